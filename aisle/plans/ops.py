@@ -1,0 +1 @@
+"""Operator catalogue over the driver's order-entry tables (keys ``op_*``)."""
