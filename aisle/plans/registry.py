@@ -22,16 +22,18 @@ ORACLE_DIR = os.path.join(os.path.dirname(__file__), "oracle")
 class Entry:
     key: str
     fn: Callable
-    retail: bool
+    prelude: str | None          # "retail", "ops" or None
+    sql: str | None = None       # inline oracle template (else oracle/<key>.sql)
     oracle: bool = True
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(key: str, retail: bool = True, oracle: bool = True):
+def register(key: str, prelude: str | None = "retail", sql: str | None = None,
+             oracle: bool = True):
     def deco(fn):
-        REGISTRY[key] = Entry(key, fn, retail, oracle)
+        REGISTRY[key] = Entry(key, fn, prelude, sql, oracle)
         fn.key = key
         return fn
     return deco
@@ -52,15 +54,23 @@ def _sql_literal(v) -> str:
 
 def oracle_text(key: str) -> str | None:
     e = REGISTRY[key]
-    path = os.path.join(ORACLE_DIR, f"{key}.sql")
-    if not e.oracle or not os.path.exists(path):
+    if not e.oracle:
         return None
-    with open(path) as f:
-        body = string.Template(f.read()).substitute(
-            {k: _sql_literal(v) for k, v in defaults(e.fn).items()})
-    if e.retail:
+    text = e.sql
+    if text is None:
+        path = os.path.join(ORACLE_DIR, f"{key}.sql")
+        if not os.path.exists(path):
+            return None
+        with open(path) as f:
+            text = f.read()
+    body = string.Template(text).substitute(
+        {k: _sql_literal(v) for k, v in defaults(e.fn).items()})
+    if e.prelude == "retail":
         from ..sources.retail import duckdb_prelude
         return duckdb_prelude() + body
+    if e.prelude == "ops":
+        from ..sources.orderentry import DUCK_PRELUDE
+        return DUCK_PRELUDE + body
     return body
 
 

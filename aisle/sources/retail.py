@@ -604,14 +604,14 @@ def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     later queries scan the stored Parquet with pushdown and pruning, as they
     would scan loaded tables.  The store lives in ``spark.checkpoint.dir`` so
     it is shared by all executors and survives the loss of any of them.
-    A ``_complete`` marker is written last; without it the set is rebuilt.
+    A ``complete_marker`` table is written last; without it the set is rebuilt.
     """
     key = (id(spark), os.path.abspath(sf_dir))
     if key in _CACHE:
         return _CACHE[key]
     base = f"{_checkpoint_root(spark)}/aisle-retail/{_fingerprint(sf_dir)}"
     try:
-        spark.read.parquet(f"{base}/_complete").schema  # noqa: B018 - existence probe
+        spark.read.parquet(f"{base}/complete_marker").schema  # noqa: B018 - existence probe
     except Exception:  # noqa: BLE001 - missing marker means rebuild
         materialise_retail(spark, sf_dir, base)
     out = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
@@ -622,7 +622,7 @@ def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def materialise_retail(spark: SparkSession, sf_dir: str, base: str) -> None:
     sizes = fold_sizes(spark, sf_dir)
     n_items, n_cust = sizes
-    sale_path = f"{base}/_sale"
+    sale_path = f"{base}/sale_base"
     # The sale base feeds six facts: write it once, then derive from the copy.
     sale_base(spark, sf_dir, n_items, n_cust).write.mode("overwrite").parquet(sale_path)
     sale = spark.read.parquet(sale_path)
@@ -632,7 +632,7 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str) -> None:
         if _specs(SPARK, "0")[name].source.startswith("range:"):
             df = df.coalesce(1)  # fixed-size calendar / outlet dimension
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-    spark.range(1).write.mode("overwrite").parquet(f"{base}/_complete")
+    spark.range(1).write.mode("overwrite").parquet(f"{base}/complete_marker")
 
 
 # ---------------------------------------------------------------------------
