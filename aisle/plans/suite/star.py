@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import money_sum
+from ...functions.scalars import avg4, money_sum
+from ...operators.aggs import lag_buckets, pivot_sums
 from ...operators.sorts import topk
 from ..registry import register
 from .common import Tables
@@ -30,3 +31,202 @@ def q03(spark, sf_dir, manufact_id=28, moy=12):
            .select("d_year", F.col("i_brand_id").alias("brand_id"), F.col("i_brand").alias("brand"),
                    "sum_agg"))
     return topk(agg, ["d_year", "-sum_agg", "brand_id"])
+
+
+def _promo_avgs(t, fact, p, cdemo_col, gender, marital, education, year):
+    """Q07 / Q26 shape: averages per item for one demographic under promotion."""
+    cd = t.customer_demographics.filter((F.col("cd_gender") == gender) & (F.col("cd_marital_status") == marital)
+                                        & (F.col("cd_education_status") == education)).select("cd_demo_sk")
+    dt = t.date_dim.filter(F.col("d_year") == year).select("d_date_sk")
+    pr = t.promotion.filter((F.col("p_channel_email") == "N") | (F.col("p_channel_event") == "N")).select("p_promo_sk")
+    j = (fact.join(dt, F.col(f"{p}_sold_date_sk") == F.col("d_date_sk"))
+         .join(cd, F.col(cdemo_col) == F.col("cd_demo_sk"))
+         .join(pr, F.col(f"{p}_promo_sk") == F.col("p_promo_sk"))
+         .join(t.item.select("i_item_sk", "i_item_id"), F.col(f"{p}_item_sk") == F.col("i_item_sk")))
+    agg = j.groupBy("i_item_id").agg(avg4(f"{p}_quantity").alias("agg1"), avg4(f"{p}_list_price").alias("agg2"),
+                                     avg4(f"{p}_coupon_amt").alias("agg3"), avg4(f"{p}_sales_price").alias("agg4"))
+    return topk(agg, ["i_item_id"])
+
+
+@register("q07")
+def q07(spark, sf_dir, gender="F", marital="D", education="College", year=1998):
+    t = Tables(spark, sf_dir)
+    return _promo_avgs(t, t.store_sales, "ss", "ss_cdemo_sk", gender, marital, education, year)
+
+
+@register("q26")
+def q26(spark, sf_dir, gender="F", marital="D", education="College", year=1998):
+    t = Tables(spark, sf_dir)
+    return _promo_avgs(t, t.catalog_sales, "cs", "cs_bill_cdemo_sk", gender, marital, education, year)
+
+
+@register("q15")
+def q15(spark, sf_dir, zips=("10311", "10622", "13421", "16530", "19639", "85669"),
+        states=("CA", "WA", "GA"), price=180, qoy=2, year=2000):
+    """The OR spans three tables, so it is evaluated after the joins."""
+    t = Tables(spark, sf_dir)
+    dt = t.date_dim.filter((F.col("d_qoy") == qoy) & (F.col("d_year") == year)).select("d_date_sk")
+    j = (t.catalog_sales.select("cs_sold_date_sk", "cs_bill_customer_sk", "cs_sales_price")
+         .join(dt, F.col("cs_sold_date_sk") == F.col("d_date_sk"))
+         .join(t.customer.select("c_customer_sk", "c_current_addr_sk"),
+               F.col("cs_bill_customer_sk") == F.col("c_customer_sk"))
+         .join(t.customer_address.select("ca_address_sk", "ca_zip", "ca_state"),
+               F.col("c_current_addr_sk") == F.col("ca_address_sk")))
+    j = j.filter(F.substring("ca_zip", 1, 5).isin(list(zips)) | F.col("ca_state").isin(list(states))
+                 | (F.col("cs_sales_price") > price))
+    agg = j.groupBy("ca_zip").agg(money_sum("cs_sales_price").alias("sum_sales_price"))
+    return topk(agg, ["ca_zip"])
+
+
+@register("q19")
+def q19(spark, sf_dir, manager_id=7, moy=11, year=1999):
+    t = Tables(spark, sf_dir)
+    dt = t.date_dim.filter((F.col("d_moy") == moy) & (F.col("d_year") == year)).select("d_date_sk")
+    it = t.item.filter(F.col("i_manager_id") == manager_id).select(
+        "i_item_sk", "i_brand_id", "i_brand", "i_manufact_id", "i_manufact")
+    j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_customer_sk", "ss_store_sk", "ss_ext_sales_price")
+         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .join(it, F.col("ss_item_sk") == F.col("i_item_sk"))
+         .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), F.col("ss_customer_sk") == F.col("c_customer_sk"))
+         .join(t.customer_address.select("ca_address_sk", "ca_zip"), F.col("c_current_addr_sk") == F.col("ca_address_sk"))
+         .join(t.store.select("s_store_sk", "s_zip"),
+               (F.col("ss_store_sk") == F.col("s_store_sk"))
+               & (F.substring("ca_zip", 1, 5) != F.substring("s_zip", 1, 5))))
+    agg = (j.groupBy("i_brand", "i_brand_id", "i_manufact_id", "i_manufact")
+           .agg(money_sum("ss_ext_sales_price").alias("ext_price"))
+           .select(F.col("i_brand_id").alias("brand_id"), F.col("i_brand").alias("brand"),
+                   "i_manufact_id", "i_manufact", "ext_price"))
+    return topk(agg, ["-ext_price", "brand", "brand_id", "i_manufact_id", "i_manufact"])
+
+
+@register("q42")
+def q42(spark, sf_dir, manager_id=1, moy=12, year=1998):
+    t = Tables(spark, sf_dir)
+    dt = t.date_dim.filter((F.col("d_moy") == moy) & (F.col("d_year") == year)).select("d_date_sk", "d_year")
+    it = t.item.filter(F.col("i_manager_id") == manager_id).select("i_item_sk", "i_category_id", "i_category")
+    j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_ext_sales_price")
+         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .join(it, F.col("ss_item_sk") == F.col("i_item_sk")))
+    agg = j.groupBy("d_year", "i_category_id", "i_category").agg(
+        money_sum("ss_ext_sales_price").alias("sum_sales"))
+    return topk(agg, ["-sum_sales", "d_year", "i_category_id", "i_category"])
+
+
+_DAYS = {"sun_sales": "Sunday", "mon_sales": "Monday", "tue_sales": "Tuesday", "wed_sales": "Wednesday",
+         "thu_sales": "Thursday", "fri_sales": "Friday", "sat_sales": "Saturday"}
+
+
+@register("q43")
+def q43(spark, sf_dir, gmt=-5, year=1998):
+    t = Tables(spark, sf_dir)
+    dt = t.date_dim.filter(F.col("d_year") == year).select("d_date_sk", "d_day_name")
+    st = t.store.filter(F.col("s_gmt_offset") == gmt).select("s_store_sk", "s_store_name", "s_store_id")
+    j = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
+         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .join(st, F.col("ss_store_sk") == F.col("s_store_sk")))
+    agg = j.groupBy("s_store_name", "s_store_id").agg(
+        *[x.cast("decimal(38,2)").alias(a) for x, a in zip(pivot_sums("d_day_name", _DAYS, "ss_sales_price"), _DAYS)])
+    return topk(agg, ["s_store_name", "s_store_id", *_DAYS])
+
+
+def _bands_filter(demo_bands, addr_bands, with_hdemo):
+    """OR-ed (demographic, price) and (state, profit) bands.  Every branch of
+    the suite's text repeats the same join keys; they are factored out into
+    the joins, so only these residual ORs remain (no cartesian product)."""
+    c = F.col
+    d = None
+    for b in demo_bands:
+        x = ((c("cd_marital_status") == b[0]) & (c("cd_education_status") == b[1])
+             & c("ss_sales_price").between(b[2], b[3]))
+        if with_hdemo:
+            x = x & (c("hd_dep_count") == b[4])
+        d = x if d is None else d | x
+    a = None
+    for states, lo, hi in addr_bands:
+        x = (c("ca_country") == "United States") & c("ca_state").isin(list(states)) & c("ss_net_profit").between(lo, hi)
+        a = x if a is None else a | x
+    return d & a
+
+
+def _store_demo_addr(t, year, with_hdemo):
+    c = F.col
+    j = (t.store_sales.join(t.store.select("s_store_sk"), c("s_store_sk") == c("ss_store_sk"))
+         .join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+         .join(t.customer_demographics.select("cd_demo_sk", "cd_marital_status", "cd_education_status"),
+               c("cd_demo_sk") == c("ss_cdemo_sk"))
+         .join(t.customer_address.select("ca_address_sk", "ca_country", "ca_state"), c("ss_addr_sk") == c("ca_address_sk")))
+    if with_hdemo:
+        j = j.join(t.household_demographics.select("hd_demo_sk", "hd_dep_count"), c("ss_hdemo_sk") == c("hd_demo_sk"))
+    return j
+
+
+@register("q48")
+def q48(spark, sf_dir, year=1998, marital="M", education="2 yr Degree",
+        states1=("KY", "GA", "NM"), states2=("TN", "OH", "IN"), states3=("WA", "CA", "TX")):
+    t = Tables(spark, sf_dir)
+    demo = [(marital, education, lo, hi) for lo, hi in ((100, 150), (50, 100), (150, 200))]
+    addr = [(states1, 0, 2000), (states2, 150, 3000), (states3, 50, 25000)]
+    j = _store_demo_addr(t, year, False).filter(_bands_filter(demo, addr, False))
+    return j.agg(F.sum("ss_quantity").cast("bigint").alias("sum_quantity"))
+
+
+@register("q13")
+def q13(spark, sf_dir, year=2000, m1="M", e1="4 yr Degree", dep1=4, m2="D", e2="Primary", dep2=3,
+        m3="D", e3="Secondary", dep3=9,
+        states1=("KY", "GA", "NM"), states2=("TN", "OH", "IN"), states3=("WA", "CA", "TX")):
+    t = Tables(spark, sf_dir)
+    demo = [(m1, e1, 100, 150, dep1), (m2, e2, 50, 100, dep2), (m3, e3, 150, 200, dep3)]
+    addr = [(states1, 0, 2000), (states2, 150, 3000), (states3, 50, 25000)]
+    j = _store_demo_addr(t, year, True).filter(_bands_filter(demo, addr, True))
+    return j.agg(avg4("ss_quantity").alias("avg_quantity"), avg4("ss_ext_sales_price").alias("avg_ext_sales_price"),
+                 avg4("ss_ext_wholesale_cost").alias("avg_ext_wholesale_cost"),
+                 money_sum("ss_ext_wholesale_cost").alias("sum_ext_wholesale_cost"))
+
+
+def _brand_month(t, manager_id, moy, year):
+    c = F.col
+    dt = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk", "d_year")
+    it = t.item.filter(c("i_manager_id") == manager_id).select("i_item_sk", "i_brand_id", "i_brand")
+    return (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_ext_sales_price")
+            .join(dt, c("ss_sold_date_sk") == c("d_date_sk")).join(it, c("ss_item_sk") == c("i_item_sk")))
+
+
+@register("q52")
+def q52(spark, sf_dir, manager_id=1, moy=12, year=1998):
+    t = Tables(spark, sf_dir)
+    agg = (_brand_month(t, manager_id, moy, year).groupBy("d_year", "i_brand", "i_brand_id")
+           .agg(money_sum("ss_ext_sales_price").alias("ext_price"))
+           .select("d_year", F.col("i_brand_id").alias("brand_id"), F.col("i_brand").alias("brand"), "ext_price"))
+    return topk(agg, ["d_year", "-ext_price", "brand_id"])
+
+
+@register("q55")
+def q55(spark, sf_dir, manager_id=13, moy=12, year=2000):
+    t = Tables(spark, sf_dir)
+    agg = (_brand_month(t, manager_id, moy, year).groupBy("i_brand", "i_brand_id")
+           .agg(money_sum("ss_ext_sales_price").alias("ext_price"))
+           .select(F.col("i_brand_id").alias("brand_id"), F.col("i_brand").alias("brand"), "ext_price"))
+    return topk(agg, ["-ext_price", "brand_id"])
+
+
+LAG_NAMES = ["30 days", "31-60 days", "61-90 days", "91-120 days", ">120 days"]
+STORE_ADDR = ["s_store_name", "s_company_id", "s_street_number", "s_street_name", "s_street_type",
+              "s_suite_number", "s_city", "s_county", "s_state", "s_zip"]
+
+
+@register("q50")
+def q50(spark, sf_dir, year=2000, moy=9):
+    """Sale and its return matched on (ticket, item, customer); buckets of the
+    day-key difference."""
+    t = Tables(spark, sf_dir)
+    c = F.col
+    d2 = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select(c("d_date_sk").alias("d2_sk"))
+    sr = (t.store_returns.select("sr_ticket_number", "sr_item_sk", "sr_customer_sk", "sr_returned_date_sk")
+          .join(d2, c("sr_returned_date_sk") == c("d2_sk")))
+    j = (t.store_sales.select("ss_ticket_number", "ss_item_sk", "ss_customer_sk", "ss_sold_date_sk", "ss_store_sk")
+         .join(sr, (c("ss_ticket_number") == c("sr_ticket_number")) & (c("ss_item_sk") == c("sr_item_sk"))
+               & (c("ss_customer_sk") == c("sr_customer_sk")))
+         .join(t.date_dim.select(c("d_date_sk").alias("d1_sk")), c("ss_sold_date_sk") == c("d1_sk"))
+         .join(t.store.select("s_store_sk", *STORE_ADDR), c("ss_store_sk") == c("s_store_sk")))
+    agg = j.groupBy(*STORE_ADDR).agg(*lag_buckets(c("sr_returned_date_sk") - c("ss_sold_date_sk"), names=LAG_NAMES))
+    return topk(agg, STORE_ADDR)
