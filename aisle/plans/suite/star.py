@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import avg4, money_sum
+from ...functions.scalars import avg4, money_sum, r4
 from ...operators.aggs import lag_buckets, pivot_sums
-from ...operators.sorts import topk
+from ...operators.sorts import order, topk
+from ...operators.windows import share_of
 from ..registry import register
 from .common import Tables
 
@@ -230,3 +231,82 @@ def q50(spark, sf_dir, year=2000, moy=9):
          .join(t.store.select("s_store_sk", *STORE_ADDR), c("ss_store_sk") == c("s_store_sk")))
     agg = j.groupBy(*STORE_ADDR).agg(*lag_buckets(c("sr_returned_date_sk") - c("ss_sold_date_sk"), names=LAG_NAMES))
     return topk(agg, STORE_ADDR)
+
+
+def _ship_lag(t, fact, p, outlet_df, outlet_key, outlet_name, month_seq):
+    """Q62 / Q99 shape: shipping-lag buckets by warehouse, ship mode and outlet."""
+    c = F.col
+    dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    j = (fact.select(f"{p}_ship_date_sk", f"{p}_sold_date_sk", f"{p}_warehouse_sk", f"{p}_ship_mode_sk", outlet_key)
+         .join(dt, c(f"{p}_ship_date_sk") == c("d_date_sk"))
+         .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c(f"{p}_warehouse_sk") == c("w_warehouse_sk"))
+         .join(t.ship_mode.select("sm_ship_mode_sk", "sm_type"), c(f"{p}_ship_mode_sk") == c("sm_ship_mode_sk"))
+         .join(outlet_df, c(outlet_key) == c(outlet_df.columns[0])))
+    agg = (j.groupBy(F.substring("w_warehouse_name", 1, 20).alias("wh_name"), "sm_type", outlet_name)
+           .agg(*lag_buckets(c(f"{p}_ship_date_sk") - c(f"{p}_sold_date_sk"), names=LAG_NAMES)))
+    return topk(agg, ["wh_name", "sm_type", outlet_name])
+
+
+@register("q62")
+def q62(spark, sf_dir, month_seq=1188):
+    t = Tables(spark, sf_dir)
+    return _ship_lag(t, t.web_sales, "ws", t.web_site.select("web_site_sk", "web_name"), "ws_web_site_sk",
+                     "web_name", month_seq)
+
+
+@register("q99")
+def q99(spark, sf_dir, month_seq=1188):
+    t = Tables(spark, sf_dir)
+    return _ship_lag(t, t.catalog_sales, "cs", t.call_center.select("cc_call_center_sk", "cc_name"),
+                     "cs_call_center_sk", "cc_name", month_seq)
+
+
+@register("q96")
+def q96(spark, sf_dir, hour=8, minute=30, dep_count=5, store_name="ese"):
+    t = Tables(spark, sf_dir)
+    c = F.col
+    j = (t.store_sales.select("ss_sold_time_sk", "ss_hdemo_sk", "ss_store_sk")
+         .join(t.time_dim.filter((c("t_hour") == hour) & (c("t_minute") >= minute)).select("t_time_sk"),
+               c("ss_sold_time_sk") == c("t_time_sk"))
+         .join(t.household_demographics.filter(c("hd_dep_count") == dep_count).select("hd_demo_sk"),
+               c("ss_hdemo_sk") == c("hd_demo_sk"))
+         .join(t.store.filter(c("s_store_name") == store_name).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
+    return j.agg(F.count(F.lit(1)).alias("cnt")).limit(100)
+
+
+def _class_share(t, fact, p, categories, start, limit):
+    """Q12 / Q20 / Q98: item revenue in a 30-day window and its share of the
+    class total.  The window runs over the aggregate (one row per item)."""
+    c = F.col
+    d0 = F.lit(start).cast("date")
+    dt = t.date_dim.filter(c("d_date").between(d0, F.date_add(d0, 30))).select("d_date_sk")
+    it = t.item.filter(c("i_category").isin(list(categories))).select(
+        "i_item_sk", "i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
+    j = (fact.select(f"{p}_item_sk", f"{p}_sold_date_sk", f"{p}_ext_sales_price")
+         .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk")).join(it, c(f"{p}_item_sk") == c("i_item_sk")))
+    agg = (j.groupBy("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
+           .agg(F.sum(f"{p}_ext_sales_price").alias("rev"))
+           .select("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price",
+                   c("rev").cast("decimal(38,2)").alias("itemrevenue"),
+                   r4(share_of("rev", ["i_class"])).alias("revenueratio")))
+    keys = ["i_category", "i_class", "i_item_id", "i_item_desc", "revenueratio"]
+    out = topk(agg, keys) if limit else order(agg, keys)
+    return out.drop("i_item_id")
+
+
+@register("q12")
+def q12(spark, sf_dir, categories=("Jewelry", "Sports", "Books"), start="2001-01-12"):
+    t = Tables(spark, sf_dir)
+    return _class_share(t, t.web_sales, "ws", categories, start, True)
+
+
+@register("q20")
+def q20(spark, sf_dir, categories=("Jewelry", "Sports", "Books"), start="2001-01-12"):
+    t = Tables(spark, sf_dir)
+    return _class_share(t, t.catalog_sales, "cs", categories, start, True)
+
+
+@register("q98")
+def q98(spark, sf_dir, categories=("Jewelry", "Sports", "Books"), start="2001-01-12"):
+    t = Tables(spark, sf_dir)
+    return _class_share(t, t.store_sales, "ss", categories, start, False)
