@@ -1,0 +1,22 @@
+, v1 AS (
+  SELECT i_category, i_brand, cc_name, d_year, d_moy, sum(cs_sales_price) AS sum_sales,
+         avg(sum(cs_sales_price)) OVER (PARTITION BY i_category, i_brand, cc_name, d_year) AS avg_monthly_sales,
+         rank() OVER (PARTITION BY i_category, i_brand, cc_name ORDER BY d_year, d_moy) AS rn
+  FROM item, catalog_sales, date_dim, call_center
+  WHERE cs_item_sk = i_item_sk AND cs_sold_date_sk = d_date_sk AND cc_call_center_sk = cs_call_center_sk
+    AND (d_year = $year OR (d_year = $year - 1 AND d_moy = 12) OR (d_year = $year + 1 AND d_moy = 1))
+  GROUP BY i_category, i_brand, cc_name, d_year, d_moy),
+v2 AS (
+  SELECT v1.i_category, v1.i_brand, v1.d_year, v1.d_moy, round(CAST(v1.avg_monthly_sales AS DOUBLE), 4) AS avg_monthly_sales,
+         CAST(v1.sum_sales AS DECIMAL(38,2)) AS sum_sales, CAST(lag.sum_sales AS DECIMAL(38,2)) AS psum,
+         CAST(lead.sum_sales AS DECIMAL(38,2)) AS nsum, v1.avg_monthly_sales AS a_exact, v1.sum_sales AS s_exact
+  FROM v1 JOIN v1 lag ON v1.i_category = lag.i_category AND v1.i_brand = lag.i_brand
+                     AND v1.cc_name = lag.cc_name AND v1.rn = lag.rn + 1
+          JOIN v1 lead ON v1.i_category = lead.i_category AND v1.i_brand = lead.i_brand
+                     AND v1.cc_name = lead.cc_name AND v1.rn = lead.rn - 1)
+SELECT i_category, i_brand, d_year, d_moy, avg_monthly_sales, sum_sales, psum, nsum FROM v2
+WHERE d_year = $year AND a_exact > 0
+  AND CASE WHEN a_exact > 0 THEN abs(s_exact - a_exact) / a_exact ELSE NULL END > 0.1
+ORDER BY sum_sales - avg_monthly_sales NULLS LAST, d_year NULLS LAST, i_category, i_brand, d_moy,
+         avg_monthly_sales, sum_sales, psum, nsum
+LIMIT 100

@@ -1,0 +1,16 @@
+SELECT i_manager_id, CAST(s AS DECIMAL(38,2)) AS sum_sales, round(CAST(a AS DOUBLE), 4) AS avg_monthly_sales
+FROM (SELECT i_manager_id, sum(ss_sales_price) AS s,
+             avg(sum(ss_sales_price)) OVER (PARTITION BY i_manager_id) AS a
+      FROM item, store_sales, date_dim, store
+      WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk
+        AND d_month_seq BETWEEN $month_seq AND $month_seq + 11
+        AND ((i_category IN ('Books', 'Children', 'Electronics')
+              AND i_class IN ('personal', 'portable', '$class_spelling', 'self-help')
+              AND i_brand IN ('Brand#25', 'Brand#17', 'Brand#23', 'Brand#15'))
+          OR (i_category IN ('Women', 'Music', 'Men')
+              AND i_class IN ('accessories', 'classical', 'fragrances', 'pants')
+              AND i_brand IN ('Brand#15', 'Brand#11', 'Brand#4', 'Brand#1')))
+      GROUP BY i_manager_id, d_moy) tmp
+WHERE CASE WHEN a > 0 THEN abs(s - a) / a ELSE NULL END > 0.1
+ORDER BY i_manager_id NULLS LAST, avg_monthly_sales NULLS LAST, sum_sales NULLS LAST
+LIMIT 100
