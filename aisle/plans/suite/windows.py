@@ -133,3 +133,89 @@ def q57(spark, sf_dir, year=2000):
     g = j.groupBy(*part, "d_year", "d_moy").agg(F.sum("cs_sales_price").alias("s"))
     g = g.withColumnRenamed("cs_sales_price", "s")
     return _neighbours(g, part, year, ["i_category", "i_brand", "d_year", "d_moy"], "d_year")
+
+
+@register("q44")
+def q44(spark, sf_dir, store_sk=2, k=10):
+    """Best and worst items by average profit at one store, paired by rank.
+
+    Both rankings are global; ``global_rank_top`` keeps each to its top k
+    (plus ties) with a bounded top-k before the window, so no task sees
+    more than k + ties rows."""
+    t = Tables(spark, sf_dir)
+    ss = t.store_sales.filter(c("ss_store_sk") == store_sk).select("ss_item_sk", "ss_net_profit", "ss_hdemo_sk")
+    base = ss.filter(c("ss_hdemo_sk").isNull()).agg(F.avg("ss_net_profit").alias("base_avg"))
+    per = ss.groupBy(c("ss_item_sk").alias("item_sk")).agg(F.avg("ss_net_profit").alias("rank_col"))
+    from ...operators.joins import attach_scalar
+    from ...operators.windows import global_rank_top
+    per = attach_scalar(per, base).filter(c("rank_col") > F.lit(0.9) * c("base_avg")).drop("base_avg")
+    asc_r = global_rank_top(per, ["rank_col"], [False], k).select(c("item_sk").alias("a_item"), c("rnk"))
+    desc_r = global_rank_top(per, ["rank_col"], [True], k).select(c("item_sk").alias("d_item"), c("rnk").alias("d_rnk"))
+    i1 = t.item.select(c("i_item_sk").alias("i1_sk"), c("i_product_name").alias("best_performing"))
+    i2 = t.item.select(c("i_item_sk").alias("i2_sk"), c("i_product_name").alias("worst_performing"))
+    j = (asc_r.join(desc_r, c("rnk") == c("d_rnk")).join(i1, c("i1_sk") == c("a_item"))
+         .join(i2, c("i2_sk") == c("d_item")))
+    return topk(j.select("rnk", "best_performing", "worst_performing"), ["rnk"])
+
+
+def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, year, moy, min_return_amt, k):
+    """One channel of q49.  The left join to returns is cancelled by the
+    filter on the return amount (an inner join).  The two global ranks run
+    over one row per item (bounded by the item dimension)."""
+    dt = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    rr = rets.select(c(f"{r}_{num_r}").alias("r_ord"), c(f"{r}_item_sk").alias("r_item"),
+                     c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt_r}").alias("r_amt"))
+    s = sales.filter((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
+    j = (s.join(rr, (c(f"{p}_{num_s}") == c("r_ord")) & (c(f"{p}_item_sk") == c("r_item")), "left")
+         .filter(c("r_amt") > min_return_amt)
+         .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk")))
+    d = "decimal(15,4)"
+    g = j.groupBy(c(f"{p}_item_sk").alias("item")).agg(
+        (F.sum(F.coalesce(c("r_qty"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_quantity"), F.lit(0))).cast(d))
+        .alias("return_ratio"),
+        (F.sum(F.coalesce(c("r_amt"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))).cast(d))
+        .alias("currency_ratio"))
+    g = (g.withColumn("return_rank", F.rank().over(Window.orderBy(asc("return_ratio"))))
+         .withColumn("currency_rank", F.rank().over(Window.orderBy(asc("currency_ratio")))))
+    return (g.filter((c("return_rank") <= k) | (c("currency_rank") <= k))
+            .select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
+                    "return_rank", "currency_rank"))
+
+
+@register("q49")
+def q49(spark, sf_dir, year=2000, moy=12, min_return_amt=1000, k=10):
+    t = Tables(spark, sf_dir)
+    a = (year, moy, min_return_amt, k)
+    web = _return_ranks(t, t.web_sales, t.web_returns, "ws", "wr", "order_number", "order_number",
+                        "return_amt", "net_paid", "web", *a)
+    cat = _return_ranks(t, t.catalog_sales, t.catalog_returns, "cs", "cr", "order_number", "order_number",
+                        "return_amount", "net_paid", "catalog", *a)
+    sto = _return_ranks(t, t.store_sales, t.store_returns, "ss", "sr", "ticket_number", "ticket_number",
+                        "return_amt", "net_paid", "store", *a)
+    u = web.unionByName(cat).unionByName(sto).distinct()
+    return topk(u, ["channel", "return_rank", "currency_rank"])
+
+
+@register("q51")
+def q51(spark, sf_dir, month_seq=1188):
+    """Cumulative web vs store sales per item and day.  Running sums are
+    windows partitioned by item over per-(item, day) aggregates; the full
+    outer join of the two cumulative series is on (item, day)."""
+    t = Tables(spark, sf_dir)
+    from ...operators.joins import full_coalesce
+    from ...operators.windows import running
+    dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
+
+    def cume(fact, p, name):
+        g = (fact.filter(c(f"{p}_item_sk").isNotNull()).join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+             .groupBy(c(f"{p}_item_sk").alias("item_sk"), "d_date").agg(F.sum(f"{p}_sales_price").alias("s")))
+        return g.select("item_sk", "d_date", running(F.sum, "s", ["item_sk"], ["d_date"]).alias(name))
+    x = full_coalesce(cume(t.web_sales, "ws", "web_sales"), cume(t.store_sales, "ss", "store_sales"),
+                      ["item_sk", "d_date"])
+    y = x.select("item_sk", "d_date", "web_sales", "store_sales",
+                 running(F.max, "web_sales", ["item_sk"], ["d_date"]).alias("web_cumulative"),
+                 running(F.max, "store_sales", ["item_sk"], ["d_date"]).alias("store_cumulative"))
+    y = y.filter(c("web_cumulative") > c("store_cumulative"))
+    y = y.select("item_sk", "d_date", *[c(n).cast("decimal(38,2)").alias(n) for n in
+                                        ("web_sales", "store_sales", "web_cumulative", "store_cumulative")])
+    return topk(y, ["item_sk", "d_date"])

@@ -427,7 +427,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
     ]
 
     def ret_money(p, credit):
-        return [(p + "return_amt" if p == "sr_" else p + "return_amount", "ra", "d12.2"),
+        return [(p + "return_amount" if p == "cr_" else p + "return_amt", "ra", "d12.2"),
                 (p + "return_tax", "rtax", "d12.2"),
                 (p + "return_amt_inc_tax", "ra + rtax", "d12.2"),
                 (p + "fee", "fee", "d12.2"),
