@@ -159,3 +159,91 @@ def q31(spark, sf_dir, year=2000):
                    r4(safe_div("w3", "w2")).alias("web_q2_q3_increase"),
                    r4(safe_div("s3", "s2")).alias("store_q2_q3_increase"))
     return order(out, ["d_year"])
+
+
+def _three_channel_sales(t, key, item_filter, year, moy, gmt):
+    """Q33 / Q56 / Q60: per-channel sales of the listed items by ``key``,
+    union all, re-aggregated.  The IN subquery is a semi join on the
+    distinct listed keys; each channel is pre-aggregated before the union."""
+    from ...operators.joins import semi
+    listed = t.item.filter(item_filter).select(c(key).alias("_k"))
+    it = semi(t.item.select("i_item_sk", key), listed, [key], ["_k"])
+    d = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    ca = t.customer_address.filter(c("ca_gmt_offset") == gmt).select("ca_address_sk")
+    parts = []
+    for fact, p, addr in ((t.store_sales, "ss", "ss_addr_sk"), (t.catalog_sales, "cs", "cs_bill_addr_sk"),
+                          (t.web_sales, "ws", "ws_bill_addr_sk")):
+        parts.append(fact.select(f"{p}_item_sk", f"{p}_sold_date_sk", addr, f"{p}_ext_sales_price")
+                     .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                     .join(ca, c(addr) == c("ca_address_sk"))
+                     .join(it, c(f"{p}_item_sk") == c("i_item_sk"))
+                     .groupBy(key).agg(F.sum(f"{p}_ext_sales_price").alias("total_sales")))
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return u.groupBy(key).agg(F.sum("total_sales").cast("decimal(38,2)").alias("total_sales"))
+
+
+@register("q33")
+def q33(spark, sf_dir, category="Books", year=1999, moy=3, gmt=-5):
+    t = Tables(spark, sf_dir)
+    g = _three_channel_sales(t, "i_manufact_id", c("i_category") == category, year, moy, gmt)
+    return topk(g, ["total_sales"])
+
+
+@register("q56")
+def q56(spark, sf_dir, colors=("slate", "blanched", "burnished"), year=2000, moy=1, gmt=-8):
+    t = Tables(spark, sf_dir)
+    g = _three_channel_sales(t, "i_item_id", c("i_color").isin(list(colors)), year, moy, gmt)
+    return topk(g, ["total_sales"])
+
+
+@register("q60")
+def q60(spark, sf_dir, category="Children", year=1999, moy=9, gmt=-6):
+    t = Tables(spark, sf_dir)
+    g = _three_channel_sales(t, "i_item_id", c("i_category") == category, year, moy, gmt)
+    return topk(g, ["i_item_id", "total_sales"])
+
+
+def _name_days(t, fact, p, cust, month_seq):
+    d = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
+    return (fact.select(f"{p}_sold_date_sk", cust).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+            .join(t.customer.select("c_customer_sk", "c_last_name", "c_first_name"), c(cust) == c("c_customer_sk"))
+            .select("c_last_name", "c_first_name", "d_date").distinct())
+
+
+@register("q38")
+def q38(spark, sf_dir, month_seq=1188):
+    """Distinct (name, day) in all three channels: INTERSECT is planned as
+    semi joins on all columns over de-duplicated inputs."""
+    from ...operators.sets import intersect
+    t = Tables(spark, sf_dir)
+    x = intersect(_name_days(t, t.store_sales, "ss", "ss_customer_sk", month_seq),
+                  _name_days(t, t.catalog_sales, "cs", "cs_bill_customer_sk", month_seq),
+                  _name_days(t, t.web_sales, "ws", "ws_bill_customer_sk", month_seq))
+    return x.agg(F.count(F.lit(1)).alias("cnt")).limit(100)
+
+
+@register("q87")
+def q87(spark, sf_dir, month_seq=1188):
+    from ...operators.sets import except_
+    t = Tables(spark, sf_dir)
+    x = except_(_name_days(t, t.store_sales, "ss", "ss_customer_sk", month_seq),
+                _name_days(t, t.catalog_sales, "cs", "cs_bill_customer_sk", month_seq),
+                _name_days(t, t.web_sales, "ws", "ws_bill_customer_sk", month_seq))
+    return x.agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@register("q97")
+def q97(spark, sf_dir, month_seq=1188):
+    from ...operators.joins import full_coalesce
+    t = Tables(spark, sf_dir)
+    d = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+
+    def pairs(fact, p, cust, flag):
+        return (fact.select(f"{p}_sold_date_sk", cust, f"{p}_item_sk").join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                .groupBy(c(cust).alias("customer_sk"), c(f"{p}_item_sk").alias("item_sk")).agg(F.lit(1).alias(flag)))
+    j = full_coalesce(pairs(t.store_sales, "ss", "ss_customer_sk", "in_s"),
+                      pairs(t.catalog_sales, "cs", "cs_bill_customer_sk", "in_c"), ["customer_sk", "item_sk"])
+    s, k = c("in_s").isNotNull(), c("in_c").isNotNull()
+    return j.agg(F.sum(F.when(s & ~k, 1).otherwise(0)).alias("store_only"),
+                 F.sum(F.when(~s & k, 1).otherwise(0)).alias("catalog_only"),
+                 F.sum(F.when(s & k, 1).otherwise(0)).alias("store_and_catalog")).limit(100)
