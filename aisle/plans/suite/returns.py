@@ -132,3 +132,81 @@ def q37(spark, sf_dir, lo_price=22, start="2000-06-02", manufacts=(12, 29, 35, 4
 def q82(spark, sf_dir, lo_price=30, start="2000-05-30", manufacts=(7, 22, 33, 41)):
     t = Tables(spark, sf_dir)
     return _in_stock(t, t.store_sales, "ss_item_sk", lo_price, start, manufacts)
+
+
+@register("q21")
+def q21(spark, sf_dir, day="2000-04-12", lo_price=0.99, hi_price=30.00):
+    """Stock before / after a date; the ratio of the two integer sums uses
+    integer division, as in the suite's dialect (kept)."""
+    from ...functions.scalars import int_div
+    t = Tables(spark, sf_dir)
+    d0 = F.lit(day).cast("date")
+    d = t.date_dim.filter(c("d_date").between(F.date_sub(d0, 30), F.date_add(d0, 30))).select("d_date_sk", "d_date")
+    it = t.item.filter(c("i_current_price").between(lo_price, hi_price)).select("i_item_sk", "i_item_id")
+    j = (t.inventory.join(d, c("inv_date_sk") == c("d_date_sk")).join(it, c("i_item_sk") == c("inv_item_sk"))
+         .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
+    q = c("inv_quantity_on_hand")
+    g = j.groupBy("w_warehouse_name", "i_item_id").agg(
+        F.sum(F.when(c("d_date") < d0, q).otherwise(0)).cast("bigint").alias("inv_before"),
+        F.sum(F.when(c("d_date") >= d0, q).otherwise(0)).cast("bigint").alias("inv_after"))
+    ratio = F.when(c("inv_before") > 0, int_div(c("inv_after"), c("inv_before")))
+    g = g.filter(ratio.between(2.0 / 3.0, 3.0 / 2.0))
+    return topk(g, ["w_warehouse_name", "i_item_id"])
+
+
+def _inv_pairs(t, year, moy, min_cov1):
+    """q39: month ``moy`` and ``moy + 1`` statistics per (warehouse, item).
+    The text self-joins the monthly statistics; here both months come from
+    one conditional aggregation keyed by (warehouse, item)."""
+    d = t.date_dim.filter((c("d_year") == year) & c("d_moy").isin(moy, moy + 1)).select("d_date_sk", "d_moy")
+    j = (t.inventory.join(d, c("inv_date_sk") == c("d_date_sk"))
+         .join(t.item.select("i_item_sk"), c("inv_item_sk") == c("i_item_sk"))
+         .join(t.warehouse.select("w_warehouse_sk"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
+    q = c("inv_quantity_on_hand")
+    aggs = []
+    for i, m in ((1, moy), (2, moy + 1)):
+        v = F.when(c("d_moy") == m, q)
+        aggs += [F.stddev_samp(v).alias(f"sd{i}"), F.avg(v).alias(f"mean{i}"), F.count(v).alias(f"n{i}")]
+    g = j.groupBy("w_warehouse_sk", "i_item_sk").agg(*aggs)
+    for i in (1, 2):
+        cov = F.when(c(f"mean{i}") == 0, F.lit(None)).otherwise(c(f"sd{i}") / c(f"mean{i}"))
+        g = g.withColumn(f"cov{i}", cov).filter((c(f"n{i}") > 0) & (
+            F.when(c(f"mean{i}") == 0, F.lit(0.0)).otherwise(c(f"sd{i}") / c(f"mean{i}")) > 1))
+    if min_cov1 is not None:
+        g = g.filter(c("cov1") > min_cov1)
+    out = g.select(c("w_warehouse_sk").alias("w_warehouse_sk1"), c("i_item_sk").alias("i_item_sk1"),
+                   F.lit(moy).alias("d_moy1"), r4("mean1").alias("mean1"), r4("cov1").alias("cov1"),
+                   c("w_warehouse_sk").alias("w_warehouse_sk2"), c("i_item_sk").alias("i_item_sk2"),
+                   F.lit(moy + 1).alias("d_moy2"), r4("mean2").alias("mean2"), r4("cov2").alias("cov2"))
+    from ...operators.sorts import order
+    return order(out, ["w_warehouse_sk1", "i_item_sk1", "d_moy1", "mean1", "cov1", "d_moy2", "mean2", "cov2"])
+
+
+@register("q39a")
+def q39a(spark, sf_dir, year=2000, moy=1):
+    return _inv_pairs(Tables(spark, sf_dir), year, moy, None)
+
+
+@register("q39b")
+def q39b(spark, sf_dir, year=2000, moy=1, min_cov=1.5):
+    return _inv_pairs(Tables(spark, sf_dir), year, moy, min_cov)
+
+
+@register("q40")
+def q40(spark, sf_dir, day="1998-04-08", lo_price=0.99, hi_price=30.00):
+    t = Tables(spark, sf_dir)
+    d0 = F.lit(day).cast("date")
+    d = t.date_dim.filter(c("d_date").between(F.date_sub(d0, 30), F.date_add(d0, 30))).select("d_date_sk", "d_date")
+    cr = t.catalog_returns.select(c("cr_order_number").alias("r_ord"), c("cr_item_sk").alias("r_item"),
+                                  "cr_refunded_cash")
+    j = (t.catalog_sales.select("cs_order_number", "cs_item_sk", "cs_warehouse_sk", "cs_sold_date_sk", "cs_sales_price")
+         .join(cr, (c("cs_order_number") == c("r_ord")) & (c("cs_item_sk") == c("r_item")), "left")
+         .join(t.warehouse.select("w_warehouse_sk", "w_state"), c("cs_warehouse_sk") == c("w_warehouse_sk"))
+         .join(t.item.filter(c("i_current_price").between(lo_price, hi_price)).select("i_item_sk", "i_item_id"),
+               c("i_item_sk") == c("cs_item_sk"))
+         .join(d, c("cs_sold_date_sk") == c("d_date_sk")))
+    net = c("cs_sales_price") - F.coalesce(c("cr_refunded_cash"), F.lit(0))
+    g = j.groupBy("w_state", "i_item_id").agg(
+        F.sum(F.when(c("d_date") < d0, net).otherwise(0)).cast("decimal(38,2)").alias("sales_before"),
+        F.sum(F.when(c("d_date") >= d0, net).otherwise(0)).cast("decimal(38,2)").alias("sales_after"))
+    return topk(g, ["w_state", "i_item_id"])
