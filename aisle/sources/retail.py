@@ -182,7 +182,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
     s["customer"] = Spec(
         "cust_fold", [],
         [("c_customer_sk", "k", "i"), ("c_customer_id", _id("C"), "s"),
-         ("c_current_cdemo_sk", "k * 5 % 1400", "i"), ("c_current_hdemo_sk", "k * 3 % 720", "i"),
+         ("c_current_cdemo_sk", "k * 5 % 1400", "i"), ("c_current_hdemo_sk", "k * 37 % 720", "i"),
          ("c_current_addr_sk", f"k * 11 % {naddr}", "i"),
          ("c_first_shipto_date_sk", f"{DATE_SK_LO} + (k * 37) % 2000", "i"),
          ("c_first_sales_date_sk", f"{DATE_SK_LO} + (k * 37) % 2000 + 30", "i"),
@@ -217,7 +217,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
         "range:0:720", [],
         [("hd_demo_sk", "k", "i"), ("hd_income_band_sk", "k % 20 + 1", "i"),
          ("hd_buy_potential", _case(f"{d.div('k', '20')} % 6", BUY_POTENTIAL), "s"),
-         ("hd_dep_count", "k % 10", "i"), ("hd_vehicle_count", f"{d.div('k', '10')} % 6 - 1", "i")])
+         ("hd_dep_count", "(k * 7) % 10", "i"), ("hd_vehicle_count", f"{d.div('k', '120')} % 6 - 1", "i")])
 
     s["income_band"] = Spec(
         "range:1:21", [],
@@ -355,7 +355,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
 
     def demo(c):  # demographic / address keys of customer expression c
         return (f"{c} * 5 % 1400",
-                f"CASE WHEN h % 23 = 0 THEN NULL ELSE {c} * 3 % 720 END",
+                f"CASE WHEN h % 23 = 0 THEN NULL ELSE ({c} * 37 + ok % 11 * 131) % 720 END",
                 f"CASE WHEN h % 41 = 0 THEN NULL ELSE ({c} * 11 + h % 3) % {naddr} END")
 
     def money(p, names):
