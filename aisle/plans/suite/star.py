@@ -310,3 +310,60 @@ def q20(spark, sf_dir, categories=("Jewelry", "Sports", "Books"), start="2001-01
 def q98(spark, sf_dir, categories=("Jewelry", "Sports", "Books"), start="2001-01-12"):
     t = Tables(spark, sf_dir)
     return _class_share(t, t.store_sales, "ss", categories, start, False)
+
+
+@register("q65")
+def q65(spark, sf_dir, month_seq=1188, factor=0.1):
+    """Store items whose revenue is at most 10% of the store's average item
+    revenue: the per-(store, item) aggregate is built once and both used
+    directly and re-aggregated per store (aggregate of an aggregate)."""
+    t = Tables(spark, sf_dir)
+    c = F.col
+    dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
+    sc = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_item_sk", "ss_sales_price")
+          .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+          .groupBy("ss_store_sk", "ss_item_sk").agg(F.sum("ss_sales_price").alias("revenue")))
+    sb = sc.groupBy(c("ss_store_sk").alias("sb_store")).agg(F.avg("revenue").alias("ave"))
+    j = (sc.join(sb, (c("sb_store") == c("ss_store_sk")) & (c("revenue") <= F.lit(factor) * c("ave")))
+         .join(t.store.select("s_store_sk", "s_store_name"), c("s_store_sk") == c("ss_store_sk"))
+         .join(t.item.select("i_item_sk", "i_item_desc", "i_current_price", "i_wholesale_cost", "i_brand"),
+               c("i_item_sk") == c("ss_item_sk")))
+    out = j.select("s_store_name", "i_item_desc", c("revenue").cast("decimal(38,2)").alias("revenue"),
+                   "i_current_price", "i_wholesale_cost", "i_brand")
+    return topk(out, ["s_store_name", "i_item_desc"])
+
+
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+W_ATTRS = ["w_warehouse_name", "w_warehouse_sq_ft", "w_city", "w_county", "w_state", "w_country"]
+
+
+@register("q66")
+def q66(spark, sf_dir, year=2000, time_lo=49530, carrier1="DIAMOND", carrier2="AIRBORNE"):
+    """Monthly warehouse sales for two carriers: 24 conditional sums per
+    channel (one pass each), union, re-aggregate, per-square-foot ratios."""
+    t = Tables(spark, sf_dir)
+    c = F.col
+    d = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_year", "d_moy")
+    tm = t.time_dim.filter(c("t_time").between(time_lo, time_lo + 28800)).select("t_time_sk")
+    sm = t.ship_mode.filter(c("sm_carrier").isin(carrier1, carrier2)).select("sm_ship_mode_sk")
+    w = t.warehouse.select("w_warehouse_sk", *W_ATTRS)
+
+    def chan(fact, p, price, net):
+        j = (fact.join(w, c(f"{p}_warehouse_sk") == c("w_warehouse_sk")).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+             .join(tm, c(f"{p}_sold_time_sk") == c("t_time_sk")).join(sm, c(f"{p}_ship_mode_sk") == c("sm_ship_mode_sk")))
+        aggs = []
+        for i, m in enumerate(MONTHS):
+            hit = c("d_moy") == i + 1
+            aggs.append(F.sum(F.when(hit, c(price) * c(f"{p}_quantity")).otherwise(0)).alias(f"{m}_sales"))
+        for i, m in enumerate(MONTHS):
+            hit = c("d_moy") == i + 1
+            aggs.append(F.sum(F.when(hit, c(net) * c(f"{p}_quantity")).otherwise(0)).alias(f"{m}_net"))
+        return (j.groupBy(*W_ATTRS, c("d_year").alias("year")).agg(*aggs)
+                .withColumn("ship_carriers", F.lit(f"{carrier1},{carrier2}")))
+    u = chan(t.web_sales, "ws", "ws_sales_price", "ws_net_paid_inc_tax").unionByName(
+        chan(t.catalog_sales, "cs", "cs_ext_sales_price", "cs_net_paid_inc_ship_tax"))
+    aggs = ([F.sum(f"{m}_sales").cast("decimal(38,2)").alias(f"{m}_sales") for m in MONTHS]
+            + [r4(F.sum(c(f"{m}_sales") / c("w_warehouse_sq_ft"))).alias(f"{m}_sales_per_sq_foot") for m in MONTHS]
+            + [F.sum(f"{m}_net").cast("decimal(38,2)").alias(f"{m}_net") for m in MONTHS])
+    g = u.groupBy(*W_ATTRS, "ship_carriers", "year").agg(*aggs)
+    return topk(g, ["w_warehouse_name"])
