@@ -367,3 +367,120 @@ def q66(spark, sf_dir, year=2000, time_lo=49530, carrier1="DIAMOND", carrier2="A
             + [F.sum(f"{m}_net").cast("decimal(38,2)").alias(f"{m}_net") for m in MONTHS])
     g = u.groupBy(*W_ATTRS, "ship_carriers", "year").agg(*aggs)
     return topk(g, ["w_warehouse_name"])
+
+
+@register("q71")
+def q71(spark, sf_dir, manager_id=1, moy=12, year=1999, meals=("breakfast", "dinner")):
+    t = Tables(spark, sf_dir)
+    c = F.col
+    d = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
+    parts = []
+    for fact, p in ((t.web_sales, "ws"), (t.catalog_sales, "cs"), (t.store_sales, "ss")):
+        parts.append(fact.join(d, c("d_date_sk") == c(f"{p}_sold_date_sk"))
+                     .select(c(f"{p}_ext_sales_price").alias("ext_price"), c(f"{p}_item_sk").alias("sold_item_sk"),
+                             c(f"{p}_sold_time_sk").alias("time_sk")))
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    j = (u.join(t.item.filter(c("i_manager_id") == manager_id).select("i_item_sk", "i_brand_id", "i_brand"),
+                c("sold_item_sk") == c("i_item_sk"))
+         .join(t.time_dim.filter(c("t_meal_time").isin(list(meals))).select("t_time_sk", "t_hour", "t_minute"),
+               c("time_sk") == c("t_time_sk")))
+    g = (j.groupBy("i_brand", "i_brand_id", "t_hour", "t_minute").agg(money_sum("ext_price").alias("ext_price"))
+         .select(c("i_brand_id").alias("brand_id"), c("i_brand").alias("brand"), "t_hour", "t_minute", "ext_price"))
+    return order(g, ["-ext_price", "brand_id"])
+
+
+@register("q72")
+def q72(spark, sf_dir, potential="1001-5000", marital="M", year=2000, ship_lag=5):
+    """Catalog orders that exceed the stock on hand in the same week.  The
+    text joins inventory on the item and compares weeks afterwards; here
+    (item, week) is the equi-join key, so each sale meets only the stock
+    rows of its own week.  Both COUNTs over CASE .. ELSE 0 count every row
+    (kept)."""
+    t = Tables(spark, sf_dir)
+    c = F.col
+    d1 = t.date_dim.filter(c("d_year") == year).select(c("d_date_sk").alias("d1_sk"), c("d_week_seq").alias("d1_week"),
+                                                       c("d_date").alias("d1_date"))
+    d3 = t.date_dim.select(c("d_date_sk").alias("d3_sk"), c("d_date").alias("d3_date"))
+    inv = (t.inventory.join(t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_week_seq").alias("d2_week")),
+                            c("inv_date_sk") == c("d2_sk"))
+           .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("w_warehouse_sk") == c("inv_warehouse_sk")))
+    cs = (t.catalog_sales.select("cs_item_sk", "cs_order_number", "cs_bill_cdemo_sk", "cs_bill_hdemo_sk",
+                                 "cs_sold_date_sk", "cs_ship_date_sk", "cs_promo_sk", "cs_quantity")
+          .join(t.customer_demographics.filter(c("cd_marital_status") == marital).select("cd_demo_sk"),
+                c("cs_bill_cdemo_sk") == c("cd_demo_sk"))
+          .join(t.household_demographics.filter(c("hd_buy_potential") == potential).select("hd_demo_sk"),
+                c("cs_bill_hdemo_sk") == c("hd_demo_sk"))
+          .join(d1, c("cs_sold_date_sk") == c("d1_sk"))
+          .join(d3, (c("cs_ship_date_sk") == c("d3_sk")) & (c("d3_date") > F.date_add(c("d1_date"), ship_lag))))
+    j = (cs.join(inv, (c("cs_item_sk") == c("inv_item_sk")) & (c("d1_week") == c("d2_week"))
+                 & (c("inv_quantity_on_hand") < c("cs_quantity")))
+         .join(t.item.select("i_item_sk", "i_item_desc"), c("i_item_sk") == c("cs_item_sk"))
+         .join(t.promotion.select("p_promo_sk"), c("cs_promo_sk") == c("p_promo_sk"), "left")
+         .join(t.catalog_returns.select("cr_item_sk", "cr_order_number"),
+               (c("cr_item_sk") == c("cs_item_sk")) & (c("cr_order_number") == c("cs_order_number")), "left"))
+    g = j.groupBy("i_item_desc", "w_warehouse_name", c("d1_week").alias("d_week_seq")).agg(
+        F.count(F.when(c("p_promo_sk").isNull(), 1).otherwise(0)).alias("no_promo"),
+        F.count(F.when(c("p_promo_sk").isNotNull(), 1).otherwise(0)).alias("promo"),
+        F.count(F.lit(1)).alias("total_cnt"))
+    return topk(g, ["-total_cnt", "i_item_desc", "w_warehouse_name", "d_week_seq"])
+
+
+@register("q84")
+def q84(spark, sf_dir, city="Fairview", income_lo=32287):
+    t = Tables(spark, sf_dir)
+    c = F.col
+    ib = t.income_band.filter((c("ib_lower_bound") >= income_lo) & (c("ib_upper_bound") <= income_lo + 50000)) \
+        .select("ib_income_band_sk")
+    hd = t.household_demographics.join(ib, c("ib_income_band_sk") == c("hd_income_band_sk")).select("hd_demo_sk")
+    cu = (t.customer.select("c_customer_id", "c_last_name", "c_first_name", "c_current_addr_sk", "c_current_cdemo_sk",
+                            "c_current_hdemo_sk")
+          .join(t.customer_address.filter(c("ca_city") == city).select("ca_address_sk"),
+                c("c_current_addr_sk") == c("ca_address_sk"))
+          .join(hd, c("hd_demo_sk") == c("c_current_hdemo_sk"))
+          .join(t.customer_demographics.select("cd_demo_sk"), c("cd_demo_sk") == c("c_current_cdemo_sk")))
+    j = cu.join(t.store_returns.select("sr_cdemo_sk"), c("sr_cdemo_sk") == c("cd_demo_sk"))
+    out = j.select(c("c_customer_id").alias("customer_id"),
+                   F.concat(c("c_last_name"), F.lit(", "), c("c_first_name")).alias("customername"))
+    return topk(out, ["customer_id"])
+
+
+@register("q91")
+def q91(spark, sf_dir, year=1999, moy=11, m1="M", e1="4 yr Degree", m2="D", e2="Unknown",
+        potential_prefix="0-500", gmt=-7):
+    t = Tables(spark, sf_dir)
+    c = F.col
+    cd = t.customer_demographics.filter(((c("cd_marital_status") == m1) & (c("cd_education_status") == e1))
+                                        | ((c("cd_marital_status") == m2) & (c("cd_education_status") == e2)))
+    j = (t.catalog_returns.select("cr_call_center_sk", "cr_returned_date_sk", "cr_returning_customer_sk", "cr_net_loss")
+         .join(t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk"),
+               c("cr_returned_date_sk") == c("d_date_sk"))
+         .join(t.call_center.select("cc_call_center_sk", "cc_call_center_id", "cc_name", "cc_manager"),
+               c("cr_call_center_sk") == c("cc_call_center_sk"))
+         .join(t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk"),
+               c("cr_returning_customer_sk") == c("c_customer_sk"))
+         .join(cd.select("cd_demo_sk", "cd_marital_status", "cd_education_status"), c("cd_demo_sk") == c("c_current_cdemo_sk"))
+         .join(t.household_demographics.filter(c("hd_buy_potential").like(f"{potential_prefix}%")).select("hd_demo_sk"),
+               c("hd_demo_sk") == c("c_current_hdemo_sk"))
+         .join(t.customer_address.filter(c("ca_gmt_offset") == gmt).select("ca_address_sk"),
+               c("ca_address_sk") == c("c_current_addr_sk")))
+    g = (j.groupBy("cc_call_center_id", "cc_name", "cc_manager", "cd_marital_status", "cd_education_status")
+         .agg(money_sum("cr_net_loss").alias("Returns_Loss"))
+         .select(c("cc_call_center_id").alias("Call_Center"), c("cc_name").alias("Call_Center_Name"),
+                 c("cc_manager").alias("Manager"), "Returns_Loss"))
+    return order(g, ["-Returns_Loss"])
+
+
+@register("q93")
+def q93(spark, sf_dir, reason="Did not like the color"):
+    """Left join to returns cancelled by the filter on the return's reason:
+    an inner join (Catalyst removes the outer join)."""
+    t = Tables(spark, sf_dir)
+    c = F.col
+    sr = (t.store_returns.select("sr_item_sk", "sr_ticket_number", "sr_reason_sk", "sr_return_quantity")
+          .join(t.reason.filter(c("r_reason_desc") == reason).select("r_reason_sk"), c("sr_reason_sk") == c("r_reason_sk")))
+    j = t.store_sales.select("ss_item_sk", "ss_ticket_number", "ss_customer_sk", "ss_quantity", "ss_sales_price").join(
+        sr, (c("sr_item_sk") == c("ss_item_sk")) & (c("sr_ticket_number") == c("ss_ticket_number")))
+    act = F.when(c("sr_return_quantity").isNotNull(), (c("ss_quantity") - c("sr_return_quantity")) * c("ss_sales_price")) \
+        .otherwise(c("ss_quantity") * c("ss_sales_price"))
+    g = j.groupBy("ss_customer_sk").agg(money_sum(act).alias("sumsales"))
+    return topk(g, ["sumsales", "ss_customer_sk"])
