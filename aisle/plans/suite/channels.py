@@ -247,3 +247,78 @@ def q97(spark, sf_dir, month_seq=1188):
     return j.agg(F.sum(F.when(s & ~k, 1).otherwise(0)).alias("store_only"),
                  F.sum(F.when(~s & k, 1).otherwise(0)).alias("catalog_only"),
                  F.sum(F.when(s & k, 1).otherwise(0)).alias("store_and_catalog")).limit(100)
+
+
+@register("q75")
+def q75(spark, sf_dir, category="Sports", year=1999):
+    """Net sales counts per product key, this year against last year.
+    The detail rows of the three channels are combined with UNION (distinct,
+    as written); the year-over-year self-join becomes one aggregation with
+    a conditional sum per year."""
+    from ...operators.sets import union_distinct
+    t = Tables(spark, sf_dir)
+    it = t.item.filter(c("i_category") == category).select("i_item_sk", "i_brand_id", "i_class_id", "i_category_id",
+                                                           "i_manufact_id")
+    d = t.date_dim.filter(c("d_year").isin(year - 1, year)).select("d_date_sk", "d_year")
+    keys = ["i_brand_id", "i_class_id", "i_category_id", "i_manufact_id"]
+
+    def detail(sales, p, num, rets, r, rnum, amt):
+        rr = rets.select(c(f"{r}_{rnum}").alias("r_num"), c(f"{r}_item_sk").alias("r_item"),
+                         c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt}").alias("r_amt"))
+        j = (sales.join(it, c("i_item_sk") == c(f"{p}_item_sk")).join(d, c("d_date_sk") == c(f"{p}_sold_date_sk"))
+             .join(rr, (c(f"{p}_{num}") == c("r_num")) & (c(f"{p}_item_sk") == c("r_item")), "left"))
+        return j.select("d_year", *keys, (c(f"{p}_quantity") - F.coalesce(c("r_qty"), F.lit(0))).alias("sales_cnt"),
+                        (c(f"{p}_ext_sales_price") - F.coalesce(c("r_amt"), F.lit(0))).alias("sales_amt"))
+    u = union_distinct(detail(t.catalog_sales, "cs", "order_number", t.catalog_returns, "cr", "order_number", "return_amount"),
+                       detail(t.store_sales, "ss", "ticket_number", t.store_returns, "sr", "ticket_number", "return_amt"),
+                       detail(t.web_sales, "ws", "order_number", t.web_returns, "wr", "order_number", "return_amt"))
+    cur, prev = c("d_year") == year, c("d_year") == year - 1
+    g = u.groupBy(*keys).agg(F.sum(F.when(prev, c("sales_cnt"))).alias("prev_cnt"),
+                             F.sum(F.when(cur, c("sales_cnt"))).alias("curr_cnt"),
+                             F.sum(F.when(prev, c("sales_amt"))).alias("prev_amt"),
+                             F.sum(F.when(cur, c("sales_amt"))).alias("curr_amt"))
+    dd = "decimal(17,2)"
+    g = g.filter(c("prev_cnt").isNotNull() & c("curr_cnt").isNotNull()
+                 & (safe_div(c("curr_cnt").cast(dd), c("prev_cnt").cast(dd)) < 0.9))
+    out = g.select(F.lit(year - 1).alias("prev_year"), F.lit(year).alias("year"), *keys,
+                   c("prev_cnt").cast("bigint").alias("prev_yr_cnt"), c("curr_cnt").cast("bigint").alias("curr_yr_cnt"),
+                   (c("curr_cnt") - c("prev_cnt")).cast("bigint").alias("sales_cnt_diff"),
+                   (c("curr_amt") - c("prev_amt")).cast("decimal(38,2)").alias("sales_amt_diff"))
+    return topk(out, ["sales_cnt_diff"])
+
+
+@register("q54")
+def q54(spark, sf_dir, category="Jewelry", klass="womens", year=1999, moy=3):
+    """Revenue segments of customers who bought a class in catalog or web.
+    The text joins each store sale to every store in the customer's county
+    and state (not to the store of the sale); that multiplies each
+    customer's revenue by the number of such stores, which is computed once
+    per customer instead of materialising the product."""
+    from ...functions.scalars import round_to_int
+    from ...operators.joins import attach_scalar
+    t = Tables(spark, sf_dir)
+    it = t.item.filter((c("i_category") == category) & (c("i_class") == klass)).select("i_item_sk")
+    d = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
+    sales = (t.catalog_sales.select(c("cs_sold_date_sk").alias("sold_date_sk"), c("cs_bill_customer_sk").alias("customer_sk"),
+                                    c("cs_item_sk").alias("item_sk"))
+             .unionByName(t.web_sales.select(c("ws_sold_date_sk").alias("sold_date_sk"),
+                                             c("ws_bill_customer_sk").alias("customer_sk"), c("ws_item_sk").alias("item_sk"))))
+    my = (sales.join(d, c("sold_date_sk") == c("d_date_sk")).join(it, c("item_sk") == c("i_item_sk"))
+          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("c_customer_sk") == c("customer_sk"))
+          .select("c_customer_sk", "c_current_addr_sk").distinct())
+    n_stores = (t.customer_address.select("ca_address_sk", "ca_county", "ca_state")
+                .join(t.store.select("s_county", "s_state"), (c("ca_county") == c("s_county")) & (c("ca_state") == c("s_state")))
+                .groupBy("ca_address_sk").agg(F.count(F.lit(1)).alias("n_stores")))
+    ms = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select(c("d_month_seq").alias("ms")).distinct()
+    bounds = ms.select((c("ms") + 1).alias("lo"), (c("ms") + 3).alias("hi"))
+    d2 = attach_scalar(t.date_dim.select("d_date_sk", "d_month_seq"), bounds) \
+        .filter(c("d_month_seq").between(c("lo"), c("hi"))).select(c("d_date_sk").alias("d2_sk"))
+    rev = (t.store_sales.select("ss_sold_date_sk", "ss_customer_sk", "ss_ext_sales_price")
+           .join(d2, c("ss_sold_date_sk") == c("d2_sk"))
+           .join(my, c("c_customer_sk") == c("ss_customer_sk"))
+           .groupBy("c_customer_sk", "c_current_addr_sk").agg(F.sum("ss_ext_sales_price").alias("base_rev"))
+           .join(n_stores, c("c_current_addr_sk") == c("ca_address_sk"))
+           .select((c("base_rev") * c("n_stores")).alias("revenue")))
+    seg = rev.select(round_to_int(c("revenue") / 50).alias("segment"))
+    g = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("num_customers")).withColumn("segment_base", c("segment") * 50)
+    return topk(g, ["segment", "num_customers"])

@@ -210,3 +210,39 @@ def q40(spark, sf_dir, day="1998-04-08", lo_price=0.99, hi_price=30.00):
         F.sum(F.when(c("d_date") < d0, net).otherwise(0)).cast("decimal(38,2)").alias("sales_before"),
         F.sum(F.when(c("d_date") >= d0, net).otherwise(0)).cast("decimal(38,2)").alias("sales_after"))
     return topk(g, ["w_state", "i_item_id"])
+
+
+@register("q85")
+def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary", m3="U", e3="Advanced Degree",
+        states1=("KY", "GA", "NM"), states2=("TN", "OH", "IN"), states3=("WA", "CA", "TX")):
+    """Web returns by reason over OR-ed demographic and address bands; the
+    shared join keys of every OR branch are factored out into the joins."""
+    t = Tables(spark, sf_dir)
+    cd1 = t.customer_demographics.select(c("cd_demo_sk").alias("cd1_sk"), c("cd_marital_status").alias("m1"),
+                                         c("cd_education_status").alias("e1"))
+    cd2 = t.customer_demographics.select(c("cd_demo_sk").alias("cd2_sk"), c("cd_marital_status").alias("m2"),
+                                         c("cd_education_status").alias("e2"))
+    j = (t.web_sales.select("ws_web_page_sk", "ws_item_sk", "ws_order_number", "ws_sold_date_sk", "ws_quantity",
+                            "ws_sales_price", "ws_net_profit")
+         .join(t.web_returns.select("wr_item_sk", "wr_order_number", "wr_refunded_cdemo_sk", "wr_returning_cdemo_sk",
+                                    "wr_refunded_addr_sk", "wr_reason_sk", "wr_refunded_cash", "wr_fee"),
+               (c("ws_item_sk") == c("wr_item_sk")) & (c("ws_order_number") == c("wr_order_number")))
+         .join(t.web_page.select("wp_web_page_sk"), c("ws_web_page_sk") == c("wp_web_page_sk"))
+         .join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ws_sold_date_sk") == c("d_date_sk"))
+         .join(cd1, c("cd1_sk") == c("wr_refunded_cdemo_sk")).join(cd2, c("cd2_sk") == c("wr_returning_cdemo_sk"))
+         .join(t.customer_address.select("ca_address_sk", "ca_country", "ca_state"), c("ca_address_sk") == c("wr_refunded_addr_sk"))
+         .join(t.reason.select("r_reason_sk", "r_reason_desc"), c("r_reason_sk") == c("wr_reason_sk")))
+    demo = None
+    for m, e, lo, hi in ((m1, e1, 100, 150), (m2, e2, 50, 100), (m3, e3, 150, 200)):
+        x = ((c("m1") == m) & (c("m1") == c("m2")) & (c("e1") == e) & (c("e1") == c("e2"))
+             & c("ws_sales_price").between(lo, hi))
+        demo = x if demo is None else demo | x
+    addr = None
+    for states, lo, hi in ((states1, 0, 2000), (states2, 150, 3000), (states3, 50, 25000)):
+        x = (c("ca_country") == "United States") & c("ca_state").isin(list(states)) & c("ws_net_profit").between(lo, hi)
+        addr = x if addr is None else addr | x
+    g = j.filter(demo & addr).groupBy("r_reason_desc").agg(
+        r4(F.avg("ws_quantity")).alias("avg_qty"), r4(F.avg("wr_refunded_cash")).alias("avg_cash"),
+        r4(F.avg("wr_fee")).alias("avg_fee"))
+    out = g.select(F.substring("r_reason_desc", 1, 20).alias("reason20"), "avg_qty", "avg_cash", "avg_fee")
+    return topk(out, ["reason20", "avg_qty", "avg_cash", "avg_fee"])
