@@ -322,3 +322,76 @@ def q54(spark, sf_dir, category="Jewelry", klass="womens", year=1999, moy=3):
     seg = rev.select(round_to_int(c("revenue") / 50).alias("segment"))
     g = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("num_customers")).withColumn("segment_base", c("segment") * 50)
     return topk(g, ["segment", "num_customers"])
+
+
+def default_zip_list() -> tuple[str, ...]:
+    """Zip codes of the q08 list, built by rule over this repo's address
+    dimension (every second of its 60 zip codes)."""
+    return tuple(str(10000 + i * 311) for i in range(0, 60, 2))
+
+
+@register("q08")
+def q08(spark, sf_dir, zips=default_zip_list(), qoy=1, year=2000, min_preferred=1):
+    """Store profit where the store's zip prefix matches a listed zip that
+    also has many preferred customers (INTERSECT of the two zip sets).
+
+    The text joins sales to the zip set on a two-character prefix, so each
+    sale counts once per matching zip; the number of matching zips per
+    prefix is computed on the (small) zip set and multiplied in, instead of
+    expanding every sale."""
+    from ...operators.sets import intersect
+    t = Tables(spark, sf_dir)
+    z5 = F.substring("ca_zip", 1, 5)
+    listed = t.customer_address.filter(z5.isin(list(zips))).select(z5.alias("zip"))
+    pref = (t.customer_address.join(t.customer.filter(c("c_preferred_cust_flag") == "Y").select("c_current_addr_sk"),
+                                    c("ca_address_sk") == c("c_current_addr_sk"))
+            .groupBy("ca_zip").agg(F.count(F.lit(1)).alias("cnt")).filter(c("cnt") > min_preferred)
+            .select(F.substring("ca_zip", 1, 5).alias("zip")))
+    v1 = intersect(listed, pref)
+    per_prefix = v1.groupBy(F.substring("zip", 1, 2).alias("p2")).agg(F.count(F.lit(1)).alias("n_zip"))
+    st = (t.store.select("s_store_sk", "s_store_name", F.substring("s_zip", 1, 2).alias("s_p2"))
+          .join(per_prefix, c("s_p2") == c("p2")))
+    j = (t.store_sales.select("ss_store_sk", "ss_sold_date_sk", "ss_net_profit")
+         .join(t.date_dim.filter((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk"),
+               c("ss_sold_date_sk") == c("d_date_sk"))
+         .join(st, c("ss_store_sk") == c("s_store_sk")))
+    g = j.groupBy("s_store_name").agg(F.sum(c("ss_net_profit") * c("n_zip")).cast("decimal(38,2)").alias("sum_net_profit"))
+    return topk(g, ["s_store_name"])
+
+
+def _q24(t, market, color, factor):
+    """The address is matched by zip and country (not by the customer's
+    address key), so one sale meets every address sharing the store's zip.
+    Addresses are counted per (zip, country, state) and the count multiplies
+    the sale, which gives the same sums without the product."""
+    addr = (t.customer_address.groupBy(c("ca_zip").alias("a_zip"), F.upper("ca_country").alias("a_country"), "ca_state")
+            .agg(F.count(F.lit(1)).alias("n_addr")))
+    j = (t.store_sales.select("ss_ticket_number", "ss_item_sk", "ss_customer_sk", "ss_store_sk", "ss_sales_price")
+         .join(t.store_returns.select("sr_ticket_number", "sr_item_sk"),
+               (c("ss_ticket_number") == c("sr_ticket_number")) & (c("ss_item_sk") == c("sr_item_sk")))
+         .join(t.store.filter(c("s_market_id") == market).select("s_store_sk", "s_store_name", "s_state", "s_zip"),
+               c("ss_store_sk") == c("s_store_sk"))
+         .join(t.item.select("i_item_sk", "i_color", "i_current_price", "i_manager_id", "i_units", "i_size"),
+               c("ss_item_sk") == c("i_item_sk"))
+         .join(t.customer.select("c_customer_sk", "c_last_name", "c_first_name", "c_birth_country"),
+               c("ss_customer_sk") == c("c_customer_sk"))
+         .join(addr, (c("c_birth_country") == c("a_country")) & (c("s_zip") == c("a_zip"))))
+    ssales = (j.groupBy("c_last_name", "c_first_name", "s_store_name", "ca_state", "s_state", "i_color", "i_current_price",
+                        "i_manager_id", "i_units", "i_size")
+              .agg(F.sum(c("ss_sales_price") * c("n_addr")).alias("netpaid")))
+    from ...operators.joins import attach_scalar
+    avg = ssales.agg((F.lit(factor) * F.avg("netpaid")).alias("limit_paid"))
+    g = (ssales.filter(c("i_color") == color).groupBy("c_last_name", "c_first_name", "s_store_name")
+         .agg(F.sum("netpaid").alias("paid")))
+    return (attach_scalar(g, avg).filter(c("paid") > c("limit_paid"))
+            .select("c_last_name", "c_first_name", "s_store_name", c("paid").cast("decimal(38,2)").alias("paid")))
+
+
+@register("q24a")
+def q24a(spark, sf_dir, market=7, color="pale", factor=0.05):
+    return _q24(Tables(spark, sf_dir), market, color, factor)
+
+
+@register("q24b")
+def q24b(spark, sf_dir, market=7, color="chiffon", factor=0.05):
+    return _q24(Tables(spark, sf_dir), market, color, factor)
