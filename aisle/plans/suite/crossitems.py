@@ -90,3 +90,67 @@ def q14b(spark, sf_dir, y0=1999, year=1999, moy=12, dom=16):
                    "ly_channel", *[f"ly_{k}" for k in KEYS], c("ly_sales").cast("decimal(38,2)").alias("ly_sales"),
                    "ly_number_sales")
     return topk(out, ["channel", *KEYS])
+
+
+def _frequent_items(t, y0, min_count):
+    d = t.date_dim.filter(c("d_year").between(y0, y0 + 3)).select("d_date_sk", "d_date")
+    g = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk").join(d, c("ss_sold_date_sk") == c("d_date_sk"))
+         .join(t.item.select("i_item_sk", "i_item_desc"), c("ss_item_sk") == c("i_item_sk"))
+         .groupBy(F.substring("i_item_desc", 1, 30).alias("itemdesc"), c("i_item_sk").alias("item_sk"),
+                  c("d_date").alias("solddate"))
+         .agg(F.count(F.lit(1)).alias("cnt")).filter(c("cnt") > min_count))
+    return g.select("item_sk")
+
+
+def _best_customers(t, y0, factor):
+    """Customers whose all-time store spend exceeds ``factor`` x the largest
+    per-customer spend in the four years (a keyless max: one row)."""
+    spend = c("ss_quantity") * c("ss_sales_price")
+    d = t.date_dim.filter(c("d_year").between(y0, y0 + 3)).select("d_date_sk")
+    ss = t.store_sales.select("ss_customer_sk", "ss_sold_date_sk", "ss_quantity", "ss_sales_price")
+    cu = t.customer.select("c_customer_sk")
+    per = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk")).join(d, c("ss_sold_date_sk") == c("d_date_sk"))
+           .groupBy("c_customer_sk").agg(F.sum(spend).alias("csales")))
+    mx = per.agg(F.max("csales").alias("tpcds_cmax"))
+    alltime = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk"))
+               .groupBy(c("c_customer_sk").alias("best_sk")).agg(F.sum(spend).alias("ssales")))
+    return attach_scalar(alltime, mx).filter(c("ssales") > F.lit(factor) * c("tpcds_cmax")).select("best_sk")
+
+
+def _q23_sales(t, y0, year, moy, min_count, factor, by_name):
+    freq = _frequent_items(t, y0, min_count)
+    best = _best_customers(t, y0, factor)
+    d = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    parts = []
+    for tab, p in (("catalog_sales", "cs"), ("web_sales", "ws")):
+        j = (getattr(t, tab).select(f"{p}_sold_date_sk", f"{p}_item_sk", f"{p}_bill_customer_sk", f"{p}_quantity",
+                                    f"{p}_list_price")
+             .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+             .join(freq, c(f"{p}_item_sk") == c("item_sk"), "left_semi")
+             .join(best, c(f"{p}_bill_customer_sk") == c("best_sk"), "left_semi")
+             .withColumn("sales", c(f"{p}_quantity") * c(f"{p}_list_price")))
+        if by_name:
+            j = (j.join(t.customer.select("c_customer_sk", "c_last_name", "c_first_name"),
+                        c(f"{p}_bill_customer_sk") == c("c_customer_sk"))
+                 .groupBy("c_last_name", "c_first_name").agg(F.sum("sales").alias("sales")))
+        else:
+            j = j.select("sales")
+        parts.append(j)
+    return parts[0].unionByName(parts[1])
+
+
+@register("q23a")
+def q23a(spark, sf_dir, y0=1999, year=1999, moy=1, min_count=1, factor=0.5):
+    """The frequency threshold and the share of the best spend are
+    parameters (the suite uses 4 and 0.95 on its own data)."""
+    t = Tables(spark, sf_dir)
+    u = _q23_sales(t, y0, year, moy, min_count, factor, False)
+    return u.agg(F.sum("sales").cast("decimal(38,2)").alias("total_sales")).limit(100)
+
+
+@register("q23b")
+def q23b(spark, sf_dir, y0=1999, year=1999, moy=1, min_count=1, factor=0.5):
+    t = Tables(spark, sf_dir)
+    u = _q23_sales(t, y0, year, moy, min_count, factor, True)
+    return topk(u.select("c_last_name", "c_first_name", c("sales").cast("decimal(38,2)").alias("sales")),
+                ["c_last_name", "c_first_name", "sales"])
