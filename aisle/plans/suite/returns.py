@@ -246,3 +246,75 @@ def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary"
         r4(F.avg("wr_fee")).alias("avg_fee"))
     out = g.select(F.substring("r_reason_desc", 1, 20).alias("reason20"), "avg_qty", "avg_cash", "avg_fee")
     return topk(out, ["reason20", "avg_qty", "avg_cash", "avg_fee"])
+
+
+@register("q64")
+def q64(spark, sf_dir, colors=("purple", "burlywood", "indian", "spring", "floral", "medium", "pale", "chiffon",
+                               "blanched", "burnished", "slate", "aquamarine"), price=35, year=1999):
+    """Store sales of returned items, by item, store and both addresses, this
+    year against next year.  ``cs_ui`` (items whose catalog list sales
+    exceed twice their refunds) is a semi-join filter on the item.  The
+    final self-join pairs the groups of one (item, store) across the two
+    years; its output is exactly those pairs."""
+    t = Tables(spark, sf_dir)
+    cs_ui = (t.catalog_sales.select("cs_item_sk", "cs_order_number", "cs_ext_list_price")
+             .join(t.catalog_returns.select("cr_item_sk", "cr_order_number", "cr_refunded_cash", "cr_reversed_charge",
+                                            "cr_store_credit"),
+                   (c("cs_item_sk") == c("cr_item_sk")) & (c("cs_order_number") == c("cr_order_number")))
+             .groupBy("cs_item_sk")
+             .agg(F.sum("cs_ext_list_price").alias("sale"),
+                  F.sum(c("cr_refunded_cash") + c("cr_reversed_charge") + c("cr_store_credit")).alias("refund"))
+             .filter(c("sale") > 2 * c("refund")).select(c("cs_item_sk").alias("ui_item")))
+    it = t.item.filter(c("i_color").isin(list(colors)) & c("i_current_price").between(price, price + 10)
+                       & c("i_current_price").between(price + 1, price + 15)).select("i_item_sk", "i_product_name")
+    cd1 = t.customer_demographics.select(c("cd_demo_sk").alias("cd1_sk"), c("cd_marital_status").alias("ms1"))
+    cd2 = t.customer_demographics.select(c("cd_demo_sk").alias("cd2_sk"), c("cd_marital_status").alias("ms2"))
+    hd1 = t.household_demographics.select(c("hd_demo_sk").alias("hd1_sk"), c("hd_income_band_sk").alias("ib1"))
+    hd2 = t.household_demographics.select(c("hd_demo_sk").alias("hd2_sk"), c("hd_income_band_sk").alias("ib2"))
+    ib1 = t.income_band.select(c("ib_income_band_sk").alias("ib1_sk"))
+    ib2 = t.income_band.select(c("ib_income_band_sk").alias("ib2_sk"))
+    a1 = t.customer_address.select(c("ca_address_sk").alias("a1_sk"), c("ca_street_number").alias("b_street_number"),
+                                   c("ca_street_name").alias("b_streen_name"), c("ca_city").alias("b_city"),
+                                   c("ca_zip").alias("b_zip"))
+    a2 = t.customer_address.select(c("ca_address_sk").alias("a2_sk"), c("ca_street_number").alias("c_street_number"),
+                                   c("ca_street_name").alias("c_street_name"), c("ca_city").alias("c_city"),
+                                   c("ca_zip").alias("c_zip"))
+    d1 = t.date_dim.select(c("d_date_sk").alias("d1_sk"), c("d_year").alias("syear"))
+    d2 = t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_year").alias("fsyear"))
+    d3 = t.date_dim.select(c("d_date_sk").alias("d3_sk"), c("d_year").alias("s2year"))
+    j = (t.store_sales.select("ss_item_sk", "ss_ticket_number", "ss_store_sk", "ss_sold_date_sk", "ss_customer_sk",
+                              "ss_cdemo_sk", "ss_hdemo_sk", "ss_addr_sk", "ss_promo_sk", "ss_wholesale_cost",
+                              "ss_list_price", "ss_coupon_amt")
+         .join(it, c("ss_item_sk") == c("i_item_sk"))
+         .join(cs_ui, c("ss_item_sk") == c("ui_item"), "left_semi")
+         .join(t.store_returns.select("sr_item_sk", "sr_ticket_number"),
+               (c("ss_item_sk") == c("sr_item_sk")) & (c("ss_ticket_number") == c("sr_ticket_number")))
+         .join(t.store.select("s_store_sk", "s_store_name", "s_zip"), c("ss_store_sk") == c("s_store_sk"))
+         .join(d1, c("ss_sold_date_sk") == c("d1_sk"))
+         .join(t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk",
+                                 "c_first_sales_date_sk", "c_first_shipto_date_sk"), c("ss_customer_sk") == c("c_customer_sk"))
+         .join(cd1, c("ss_cdemo_sk") == c("cd1_sk")).join(cd2, c("c_current_cdemo_sk") == c("cd2_sk"))
+         .filter(c("ms1") != c("ms2"))
+         .join(t.promotion.select("p_promo_sk"), c("ss_promo_sk") == c("p_promo_sk"))
+         .join(hd1, c("ss_hdemo_sk") == c("hd1_sk")).join(hd2, c("c_current_hdemo_sk") == c("hd2_sk"))
+         .join(ib1, c("ib1") == c("ib1_sk")).join(ib2, c("ib2") == c("ib2_sk"))
+         .join(a1, c("ss_addr_sk") == c("a1_sk")).join(a2, c("c_current_addr_sk") == c("a2_sk"))
+         .join(d2, c("c_first_sales_date_sk") == c("d2_sk")).join(d3, c("c_first_shipto_date_sk") == c("d3_sk")))
+    keys = ["i_product_name", "i_item_sk", "s_store_name", "s_zip", "b_street_number", "b_streen_name", "b_city", "b_zip",
+            "c_street_number", "c_street_name", "c_city", "c_zip", "syear", "fsyear", "s2year"]
+    cross = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), F.sum("ss_wholesale_cost").alias("s1"),
+                                 F.sum("ss_list_price").alias("s2"), F.sum("ss_coupon_amt").alias("s3"))
+    cs1 = cross.filter(c("syear") == year)
+    cs2 = cross.filter(c("syear") == year + 1).select(
+        c("i_item_sk").alias("item2"), c("s_store_name").alias("store2"), c("s_zip").alias("zip2"),
+        c("s1").alias("s1_2"), c("s2").alias("s2_2"), c("s3").alias("s3_2"), c("syear").alias("syear_2"),
+        c("cnt").alias("cnt_2"))
+    pj = cs1.join(cs2, (c("i_item_sk") == c("item2")) & (c("cnt_2") <= c("cnt")) & (c("s_store_name") == c("store2"))
+                  & (c("s_zip") == c("zip2")))
+    m = "decimal(38,2)"
+    out = pj.select(c("i_product_name").alias("product_name"), c("s_store_name").alias("store_name"),
+                    c("s_zip").alias("store_zip"), "b_street_number", "b_streen_name", "b_city", "b_zip",
+                    "c_street_number", "c_street_name", "c_city", "c_zip", "syear", "cnt",
+                    *[c(x).cast(m).alias(x) for x in ("s1", "s2", "s3", "s1_2", "s2_2", "s3_2")], "syear_2", "cnt_2")
+    from ...operators.sorts import order
+    return order(out, ["product_name", "store_name", "cnt_2"])

@@ -354,7 +354,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
     ]
 
     def demo(c):  # demographic / address keys of customer expression c
-        return (f"{c} * 5 % 1400",
+        return (f"({c} * 5 + h % 3) % 1400",
                 f"CASE WHEN h % 23 = 0 THEN NULL ELSE ({c} * 37 + ok % 11 * 131) % 720 END",
                 f"CASE WHEN h % 41 = 0 THEN NULL ELSE ({c} * 11 + h % 3) % {naddr} END")
 
