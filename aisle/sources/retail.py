@@ -597,7 +597,7 @@ def _fingerprint(sf_dir: str) -> str:
 _CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
 
 
-def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -> dict[str, DataFrame]:
     """All 24 retail tables, read from Parquet written once per input set.
 
     The derivation (one join + one aggregation over ``lineitem``) runs once;
@@ -605,33 +605,66 @@ def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     would scan loaded tables.  The store lives in ``spark.checkpoint.dir`` so
     it is shared by all executors and survives the loss of any of them.
     A ``complete_marker`` table is written last; without it the set is rebuilt.
+
+    ``layout``: 'flat', 'date' (facts partitioned by their date key, so a
+    filter on ``date_dim`` prunes fact files at run time through dynamic
+    partition pruning) or None = decided by size (see ``choose_layout``).
     """
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (id(spark), os.path.abspath(sf_dir), layout)
     if key in _CACHE:
         return _CACHE[key]
     base = f"{_checkpoint_root(spark)}/aisle-retail/{_fingerprint(sf_dir)}"
+    if layout is not None:
+        base += f"-{layout}"
     try:
         spark.read.parquet(f"{base}/complete_marker").schema  # noqa: B018 - existence probe
     except Exception:  # noqa: BLE001 - missing marker means rebuild
-        materialise_retail(spark, sf_dir, base)
-    out = {t: spark.read.parquet(f"{base}/{t}") for t in TABLES}
+        materialise_retail(spark, sf_dir, base, layout)
+    specs = _specs(SPARK, "0")
+    # partition columns come back last: restore the declared column order
+    out = {t: spark.read.parquet(f"{base}/{t}").select(*[n for n, _, _ in specs[t].cols]) for t in TABLES}
     _CACHE[key] = out
     return out
 
 
-def materialise_retail(spark: SparkSession, sf_dir: str, base: str) -> None:
+# The date key each fact is partitioned on in the 'date' layout.
+FACT_DATE_KEY = {"store_sales": "ss_sold_date_sk", "catalog_sales": "cs_sold_date_sk",
+                 "web_sales": "ws_sold_date_sk", "store_returns": "sr_returned_date_sk",
+                 "catalog_returns": "cr_returned_date_sk", "web_returns": "wr_returned_date_sk",
+                 "inventory": "inv_date_sk"}
+PARTITION_TARGET_BYTES = 32 << 20
+
+
+def choose_layout(spark: SparkSession, sale_path: str) -> str:
+    """'date' when one day of sales fills a reasonable Parquet partition
+    (>= 32 MB estimated from the stored sale base), else 'flat': thousands
+    of tiny day folders would cost more in file opens than pruning saves."""
+    sale = spark.read.parquet(sale_path)
+    r = sale.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ods").alias("days")).first()
+    bytes_per_row = 160  # a fact row of ~23 mostly numeric columns, compressed
+    per_day = (r["n"] or 0) * bytes_per_row / max(1, r["days"] or 1)
+    return "date" if per_day >= PARTITION_TARGET_BYTES else "flat"
+
+
+def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str | None = None) -> None:
     sizes = fold_sizes(spark, sf_dir)
     n_items, n_cust = sizes
     sale_path = f"{base}/sale_base"
     # The sale base feeds six facts: write it once, then derive from the copy.
     sale_base(spark, sf_dir, n_items, n_cust).write.mode("overwrite").parquet(sale_path)
     sale = spark.read.parquet(sale_path)
+    layout = layout or choose_layout(spark, sale_path)
     tables = build_retail(spark, sf_dir, sale=sale, sizes=sizes)
     for name in TABLES:
         df = tables[name]
         if _specs(SPARK, "0")[name].source.startswith("range:"):
             df = df.coalesce(1)  # fixed-size calendar / outlet dimension
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        if layout == "date" and name in FACT_DATE_KEY:
+            k = FACT_DATE_KEY[name]
+            # cluster by the key so each task writes whole days, then one folder per day
+            df.repartition(k).write.mode("overwrite").partitionBy(k).parquet(f"{base}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{base}/{name}")
     spark.range(1).write.mode("overwrite").parquet(f"{base}/complete_marker")
 
 
