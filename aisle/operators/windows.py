@@ -54,3 +54,4 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
     cond = [F.col(c).eqNullSafe(top[f"_t_{c}"]) for c in keys]
     small = df.join(top, cond, "left_semi")
     return small.withColumn(rank_name, F.rank().over(Window.orderBy(*order)))
+
