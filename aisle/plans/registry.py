@@ -76,7 +76,7 @@ def oracle_text(key: str) -> str | None:
 
 def load_all() -> dict[str, Entry]:
     """Import every plan module so that their ``register`` calls run."""
-    from . import ops, pipeline  # noqa: F401
+    from . import ops, pipeline, runs  # noqa: F401
     from .suite import load_suite
     load_suite()
     return REGISTRY

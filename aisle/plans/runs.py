@@ -90,3 +90,25 @@ def explain_query(spark: SparkSession, key: str, sf_dir: str) -> DataFrame:
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     return spark.createDataFrame([(key, buf.getvalue())], "query string, plan string")
+
+
+# Registered forms of the runs (timings vary, so they have no SQL twin).
+from .registry import register  # noqa: E402
+
+
+@register("run_power", prelude=None, oracle=False)
+def run_power_all(spark, sf_dir, set_name="all"):
+    """Power run over all 103 statements: (query, seconds, rows, digest)."""
+    return run_power(spark, sf_dir, set_name=set_name)
+
+
+@register("run_explain", prelude=None, oracle=False)
+def run_explain(spark, sf_dir, key="q03"):
+    return explain_query(spark, key, sf_dir)
+
+
+@register("run_throughput", prelude=None, oracle=False)
+def run_throughput_all(spark, sf_dir, streams=2):
+    """Two concurrent streams over all 99 templates."""
+    from ..streaming.throughput import run_throughput
+    return run_throughput(spark, sf_dir, streams=streams)

@@ -17,4 +17,4 @@ def test_registry_consistent():
     assert len(suite) == 103
     assert len([k for k in q if k.startswith("op_")]) >= 90
     missing = set(q) - set(o)
-    assert missing == {"job_storage_report"}
+    assert missing == {"job_storage_report", "run_power", "run_explain", "run_throughput"}
