@@ -82,7 +82,8 @@ def src_reject_limit(spark, sf_dir, max_pct=25.0):
     g = good.agg(F.count(F.lit(1)).alias("good_rows"))
     r = rejected.agg(F.count(F.lit(1)).alias("rejected_rows"),
                      F.count(F.when(c("_reject").startswith("NULL"), 1)).alias("null_key_rejects"))
-    return g.crossJoin(r)  # two one-row aggregates side by side
+    from ..operators.joins import attach_scalar
+    return attach_scalar(g, r)  # two one-row aggregates side by side
 
 
 DRIVER = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]

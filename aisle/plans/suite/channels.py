@@ -75,7 +75,13 @@ CUST_ATTRS = ["c_customer_id", "c_first_name", "c_last_name", "c_preferred_cust_
 
 def _channel_years(t, channels, years, measure_fn, agg=F.sum, attrs=CUST_ATTRS):
     """One row per customer with ``<type><i>`` = aggregate of the channel's
-    measure in ``years[i]`` (NULL when the customer had no such sale)."""
+    measure in ``years[i]`` (NULL when the customer had no such sale).
+
+    The facts are first aggregated per customer key (partial aggregation
+    before the shuffle, which is keyed by the customer key); only that
+    per-customer result meets the customer dimension, and a second, small
+    aggregation regroups it by the customer attributes the text groups by.
+    Sums and maxima both compose."""
     parts = []
     for typ, fact, p, cust in channels:
         parts.append(fact.select(c(cust).alias("cust_sk"), c(f"{p}_sold_date_sk").alias("date_sk"),
@@ -84,13 +90,14 @@ def _channel_years(t, channels, years, measure_fn, agg=F.sum, attrs=CUST_ATTRS):
     for x in parts[1:]:
         u = u.unionByName(x)
     d = t.date_dim.filter(c("d_year").isin(list(years))).select("d_date_sk", "d_year")
-    j = (u.join(d, c("date_sk") == c("d_date_sk"))
-         .join(t.customer.select("c_customer_sk", *attrs), c("cust_sk") == c("c_customer_sk")))
+    names = [f"{typ}{i + 1}" for typ, *_ in channels for i in range(len(years))]
     cols = []
     for typ, *_ in channels:
         for i, y in enumerate(years):
             cols.append(agg(F.when((c("sale_type") == typ) & (c("d_year") == y), c("v"))).alias(f"{typ}{i + 1}"))
-    return j.groupBy(*attrs).agg(*cols)
+    per_sk = u.join(d, c("date_sk") == c("d_date_sk")).groupBy("cust_sk").agg(*cols)
+    j = per_sk.join(t.customer.select("c_customer_sk", *attrs), c("cust_sk") == c("c_customer_sk"))
+    return j.groupBy(*attrs).agg(*[agg(n).alias(n) for n in names])
 
 
 def _growth_beats(a, b):
@@ -147,10 +154,12 @@ def q31(spark, sf_dir, year=2000):
                                c("ss_ext_sales_price").alias("v"), F.lit("s").alias("ch")))
     ws = (t.web_sales.select(c("ws_sold_date_sk").alias("dsk"), c("ws_bill_addr_sk").alias("ask"),
                              c("ws_ext_sales_price").alias("v"), F.lit("w").alias("ch")))
-    j = ss.unionByName(ws).join(d, c("dsk") == c("d_date_sk")).join(ca, c("ask") == c("ca_address_sk"))
+    # aggregate per address key first, then bring in the county (one row per address)
     cols = [F.sum(F.when((c("ch") == ch) & (c("d_qoy") == q), c("v"))).alias(f"{ch}{q}")
             for ch in ("s", "w") for q in (1, 2, 3)]
-    g = j.groupBy("ca_county", "d_year").agg(*cols)
+    per_addr = ss.unionByName(ws).join(d, c("dsk") == c("d_date_sk")).groupBy("ask", "d_year").agg(*cols)
+    g = (per_addr.join(ca, c("ask") == c("ca_address_sk"))
+         .groupBy("ca_county", "d_year").agg(*[F.sum(f"{ch}{q}").alias(f"{ch}{q}") for ch in ("s", "w") for q in (1, 2, 3)]))
     g = g.filter(c("s1").isNotNull() & c("s2").isNotNull() & c("s3").isNotNull() & c("w1").isNotNull()
                  & c("w2").isNotNull() & c("w3").isNotNull()
                  & (safe_div("w2", "w1") > safe_div("s2", "s1")) & (safe_div("w3", "w2") > safe_div("s3", "s2")))
