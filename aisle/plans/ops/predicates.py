@@ -33,14 +33,14 @@ def op_alias_quoted(spark, sf_dir):
 SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue
 FROM li
 WHERE l_quantity > $min_qty AND l_discount <> 0.05 AND l_shipdate <= DATE '$last_day'
-  AND l_suppkey >= l_partkey % 100 AND l_tax < l_discount
+  AND l_suppkey <= l_partkey AND l_tax < l_discount
 GROUP BY l_returnflag, l_linestatus""")
 def op_compare(spark, sf_dir, min_qty=25, last_day="1999-12-31"):
     t = OrderEntry(spark, sf_dir)
     c = F.col
     return (t.li.filter((c("l_quantity") > min_qty) & (c("l_discount") != F.lit(0.05).cast("decimal(4,2)"))
                         & (c("l_shipdate") <= F.lit(last_day).cast("date"))
-                        & (c("l_suppkey") >= c("l_partkey") % 100) & (c("l_tax") < c("l_discount")))
+                        & (c("l_suppkey") <= c("l_partkey")) & (c("l_tax") < c("l_discount")))
             .groupBy("l_returnflag", "l_linestatus")
             .agg(F.count(F.lit(1)).alias("n"), money_sum("l_extendedprice").alias("revenue")))
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -604,7 +605,9 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     later queries scan the stored Parquet with pushdown and pruning, as they
     would scan loaded tables.  The store lives in ``spark.checkpoint.dir`` so
     it is shared by all executors and survives the loss of any of them.
-    A ``complete_marker`` table is written last; without it the set is rebuilt.
+    Each build goes to its own folder and a ``complete_marker`` table naming
+    that folder is written last, so concurrent builders never mix files and
+    a half-written build is never read.
 
     ``layout``: 'flat', 'date' (facts partitioned by their date key, so a
     filter on ``date_dim`` prunes fact files at run time through dynamic
@@ -617,9 +620,14 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     if layout is not None:
         base += f"-{layout}"
     try:
-        spark.read.parquet(f"{base}/complete_marker").schema  # noqa: B018 - existence probe
-    except Exception:  # noqa: BLE001 - missing marker means rebuild
-        materialise_retail(spark, sf_dir, base, layout)
+        # the marker names the folder of the last complete build
+        base = spark.read.parquet(f"{base}/complete_marker").first()["path"]
+    except Exception:  # noqa: BLE001 - missing or partial marker means (re)build
+        build = f"{base}/build-{uuid.uuid4().hex[:12]}"
+        materialise_retail(spark, sf_dir, build, layout)
+        spark.createDataFrame([(build,)], "path string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{base}/complete_marker")
+        base = build
     specs = _specs(SPARK, "0")
     # partition columns come back last: restore the declared column order
     out = {t: spark.read.parquet(f"{base}/{t}").select(*[n for n, _, _ in specs[t].cols]) for t in TABLES}
@@ -665,7 +673,6 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
             df.repartition(k).write.mode("overwrite").partitionBy(k).parquet(f"{base}/{name}")
         else:
             df.write.mode("overwrite").parquet(f"{base}/{name}")
-    spark.range(1).write.mode("overwrite").parquet(f"{base}/complete_marker")
 
 
 # ---------------------------------------------------------------------------
