@@ -21,9 +21,18 @@ def money_sum(c) -> Column:
     return F.sum(col(c)).cast("decimal(38,2)")
 
 
+ROUND_NUDGE = 1e-9
+
+
 def r4(c) -> Column:
-    """Double rounded to 4 places (the shared form of inexact outputs)."""
-    return F.round(col(c).cast("double"), 4)
+    """Double rounded half away from zero to 4 places (the shared form of
+    inexact outputs).  Averages of cents often end exactly in 5 at the fifth
+    place; one engine holds such a value as an exact decimal, another as the
+    nearest double just below it.  A nudge of 1e-9 away from zero (far below
+    any real difference between such values, far above double error) makes
+    every engine round those ties the same way."""
+    x = col(c).cast("double")
+    return F.round(x + F.signum(x) * F.lit(ROUND_NUDGE), 4)
 
 
 def avg4(c) -> Column:
