@@ -107,11 +107,16 @@ def load_tables(spark, sf_dir, names):
 @register("sink_full_load", sql=_counts_sql(TABLES))
 def sink_full_load(spark, sf_dir):
     """Create-or-replace all 24 tables in a load folder; counts read back."""
+    root = _full_load(spark, sf_dir)
+    return _counts(spark, {n: spark.read.parquet(f"{root}/{n}") for n in TABLES})
+
+
+def _full_load(spark, sf_dir):
     t = retail_tables(spark, sf_dir)
     root = _work(spark, sf_dir, "load")
     for n in TABLES:
         tables.load_table(t[n], f"{root}/{n}", tables.write_options())
-    return _counts(spark, {n: spark.read.parquet(f"{root}/{n}") for n in TABLES})
+    return root
 
 
 _PART_SQL = """SELECT CASE WHEN ss_sold_date_sk BETWEEN 2450815 AND 2453005
@@ -219,8 +224,7 @@ def job_table_stats(spark, sf_dir):
 def job_storage_report(spark, sf_dir):
     """Files and bytes per stored table (sizes depend on the writer, so
     there is no SQL twin; the check is on rows)."""
-    sink_full_load(spark, sf_dir).collect()
-    return jobs.storage_report(spark, _work(spark, sf_dir, "load"))
+    return jobs.storage_report(spark, _full_load(spark, sf_dir))
 
 
 @register("job_generate", prelude=None, sql="""SELECT 'lineitem' AS table_name, 2 * count(*) AS row_count FROM lineitem

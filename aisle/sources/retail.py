@@ -82,6 +82,10 @@ COUNTRIES = ["UNITED STATES", "CANADA", "MEXICO", "GERMANY"]
 # 2450815 being 1998-01-01.
 DATE_SK_LO, DATE_SK_HI, DATE_SK_1998 = 2449719, 2452640, 2450815
 FOLD = 10  # rows of part / customer per item family / customer group
+# Dimension sizes stop growing where the benchmark's own dimensions do
+# (about half a million items, a hundred million customers at 100 TB); the
+# facts keep growing with the input.
+MAX_ITEMS, MAX_CUSTOMERS = 500_000, 100_000_000
 
 
 def _case(expr: str, values: list[str]) -> str:
@@ -560,7 +564,7 @@ def fold_sizes(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     """(item families, customer groups).  Two parquet footer counts."""
     n_part = _driver_df(spark, sf_dir, "part").count()
     n_cust = _driver_df(spark, sf_dir, "customer").count()
-    return max(1, n_part // FOLD), max(1, n_cust // FOLD)
+    return (max(1, min(n_part // FOLD, MAX_ITEMS)), max(1, min(n_cust // FOLD, MAX_CUSTOMERS)))
 
 
 def build_retail(spark: SparkSession, sf_dir: str, sale: DataFrame | None = None,
@@ -678,8 +682,8 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
 # ---------------------------------------------------------------------------
 # DuckDB side (oracle prelude)
 # ---------------------------------------------------------------------------
-_DUCK_NI = "(SELECT count(*) // 10 FROM part)"
-_DUCK_NC = "(SELECT count(*) // 10 FROM _src_customer)"
+_DUCK_NI = f"(SELECT least(count(*) // {FOLD}, {MAX_ITEMS}) FROM part)"
+_DUCK_NC = f"(SELECT least(count(*) // {FOLD}, {MAX_CUSTOMERS}) FROM _src_customer)"
 
 _DUCK_SALE = f"""SELECT ok, item, sk, q, disc, rf, ck,
     {DATE_SK_1998} + (CAST(od AS DATE) - DATE '1998-01-01') AS ods,
