@@ -34,7 +34,7 @@ def topk_per_group(df: DataFrame, part: list[str], order: list[Column], k: int,
     (WindowGroupLimit) before the shuffle, so at most ``k`` ties per group
     and task travel."""
     w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(rank_name, F.rank().over(w)).filter(F.col(rank_name) <= k)
+    return df.withColumn(rank_name, F.rank().over(w).cast("long")).filter(F.col(rank_name) <= k)
 
 
 def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: int,
@@ -53,5 +53,5 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
     top = df.orderBy(*order).limit(k).select(*[F.col(c).alias(f"_t_{c}") for c in keys]).distinct()
     cond = [F.col(c).eqNullSafe(top[f"_t_{c}"]) for c in keys]
     small = df.join(top, cond, "left_semi")
-    return small.withColumn(rank_name, F.rank().over(Window.orderBy(*order)))
+    return small.withColumn(rank_name, F.rank().over(Window.orderBy(*order)).cast("long"))
 

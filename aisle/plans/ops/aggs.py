@@ -102,7 +102,7 @@ _PRIOS = {"urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM",
 
 
 @register("op_agg_conditional_sum", prelude="ops", sql="""
-SELECT year(o_orderdate) AS yr,
+SELECT CAST(year(o_orderdate) AS INTEGER) AS yr,
 """ + ",\n".join(f"  CAST(sum(CASE WHEN o_orderpriority = '{v}' THEN o_totalprice END) AS DECIMAL(38,2)) AS {a}"
                  for a, v in _PRIOS.items()) + """
 FROM od GROUP BY year(o_orderdate)""")
@@ -183,7 +183,7 @@ def op_having(spark, sf_dir, min_qty=150):
 
 
 @register("op_group_expr", prelude="ops", sql="""
-SELECT year(o_orderdate) AS yr, substr(o_orderpriority, 1, 1) AS prio, count(*) AS n
+SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, substr(o_orderpriority, 1, 1) AS prio, count(*) AS n
 FROM od GROUP BY year(o_orderdate), substr(o_orderpriority, 1, 1)""")
 def op_group_expr(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
@@ -206,11 +206,11 @@ def op_distinct(spark, sf_dir):
 
 
 @register("op_rollup", prelude="ops", sql="""
-SELECT r_name, n_name, year(o_orderdate) AS yr, CAST(sum(o_totalprice) AS DECIMAL(38,2)) AS total,
+SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(sum(o_totalprice) AS DECIMAL(38,2)) AS total,
        count(*) AS n
 FROM od JOIN cu ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
-GROUP BY ROLLUP (r_name, n_name, year(o_orderdate))""")
+GROUP BY ROLLUP (r_name, n_name, CAST(year(o_orderdate) AS INTEGER))""")
 def op_rollup(spark, sf_dir):
     """Subtotals over three levels.  The sum is pre-aggregated per full key
     before the rollup's Expand, so the expansion multiplies groups, not rows."""

@@ -18,7 +18,7 @@ def _rev():
 
 
 @register("op_join_inner_equi", prelude="ops", sql="""
-SELECT r_name, year(o_orderdate) AS o_year,
+SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS o_year,
        CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(16,4))) AS DECIMAL(38,4)) AS revenue
 FROM li, od, cu, nation, region
 WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey
@@ -210,7 +210,7 @@ def op_join_self(spark, sf_dir):
 
 
 @register("op_join_self_offset", prelude="ops", sql="""
-, y AS (SELECT n_name, year(o_orderdate) AS yr, sum(o_totalprice) AS total
+, y AS (SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS yr, sum(o_totalprice) AS total
            FROM od JOIN cu ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
            GROUP BY n_name, year(o_orderdate))
 SELECT a.n_name, a.yr, CAST(a.total AS DECIMAL(38,2)) AS total, CAST(b.total AS DECIMAL(38,2)) AS next_total,

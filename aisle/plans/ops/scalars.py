@@ -28,7 +28,7 @@ def op_arith(spark, sf_dir):
 
 
 @register("op_int_div", prelude="ops", sql="""
-SELECT l_quantity // 7 AS qty_week, l_orderkey // 1000 AS order_block, count(*) AS n
+SELECT CAST(l_quantity // 7 AS BIGINT) AS qty_week, l_orderkey // 1000 AS order_block, count(*) AS n
 FROM li GROUP BY l_quantity // 7, l_orderkey // 1000""")
 def op_int_div(spark, sf_dir):
     """Integer / integer truncates in the suite's dialect."""
@@ -142,8 +142,8 @@ def op_date_sub(spark, sf_dir):
 
 @register("op_datekey_diff", prelude="ops", sql="""
 SELECT o_orderpriority,
-  min((2450815 + (l_shipdate - DATE '1998-01-01')) - (2450815 + (o_orderdate - DATE '1998-01-01'))) AS min_lag,
-  max((2450815 + (l_shipdate - DATE '1998-01-01')) - (2450815 + (o_orderdate - DATE '1998-01-01'))) AS max_lag,
+  CAST(min((2450815 + (l_shipdate - DATE '1998-01-01')) - (2450815 + (o_orderdate - DATE '1998-01-01'))) AS INTEGER) AS min_lag,
+  CAST(max((2450815 + (l_shipdate - DATE '1998-01-01')) - (2450815 + (o_orderdate - DATE '1998-01-01'))) AS INTEGER) AS max_lag,
   CAST(sum((2450815 + (l_shipdate - DATE '1998-01-01')) - (2450815 + (o_orderdate - DATE '1998-01-01'))) AS BIGINT) AS sum_lag
 FROM li JOIN od ON l_orderkey = o_orderkey GROUP BY o_orderpriority""")
 def op_datekey_diff(spark, sf_dir):

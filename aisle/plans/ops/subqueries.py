@@ -97,7 +97,7 @@ def op_corr_rank_in(spark, sf_dir, k=5):
 
 
 @register("op_cte", prelude="ops", sql="""
-, cy AS (SELECT o_custkey AS k, year(o_orderdate) AS yr, sum(o_totalprice) AS total FROM od
+, cy AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS yr, sum(o_totalprice) AS total FROM od
          GROUP BY o_custkey, year(o_orderdate))
 SELECT a.yr, count(*) AS growing, round(CAST(avg(b.total / a.total) AS DOUBLE), 4) AS avg_growth,
        (SELECT count(*) FROM cy) AS customer_years

@@ -33,7 +33,8 @@ def op_win_share(spark, sf_dir):
                     r4(share_of("rev", ["p_type"])).alias("share"))
 
 
-_MONTHLY = """WITH m AS (SELECT n_name, year(o_orderdate) AS yr, month(o_orderdate) AS mo, sum(o_totalprice) AS total
+_MONTHLY = """WITH m AS (SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo,
+           sum(o_totalprice) AS total
            FROM od JOIN cu ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
            GROUP BY n_name, year(o_orderdate), month(o_orderdate))
 """
@@ -67,7 +68,7 @@ def op_win_rank_part(spark, sf_dir):
     g = _brand_rev(t)
     w = Window.partitionBy("p_type").orderBy(desc("rev"))
     return g.select("p_type", "p_brand", c("rev").cast("decimal(38,2)").alias("revenue"),
-                    F.rank().over(w).alias("rk"))
+                    F.rank().over(w).cast("long").alias("rk"))
 
 
 @register("op_win_rank_global", prelude="ops", sql="""
@@ -99,10 +100,10 @@ def op_win_rank_rollup(spark, sf_dir):
     w = Window.partitionBy("lochierarchy", F.when(c("g_p_brand") == 0, c("p_type"))).orderBy(desc("rev"))
     return r.select("p_type", "p_brand", c("rev").cast("decimal(38,2)").alias("revenue"),
                     c("lochierarchy").cast("int").alias("lochierarchy"),
-                    F.rank().over(w).alias("rank_within_parent"))
+                    F.rank().over(w).cast("long").alias("rank_within_parent"))
 
 
-_DAILY = """WITH d AS (SELECT year(o_orderdate) AS yr, o_orderdate AS dt, sum(o_totalprice) AS total
+_DAILY = """WITH d AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderdate AS dt, sum(o_totalprice) AS total
            FROM od GROUP BY year(o_orderdate), o_orderdate)
 """
 

@@ -19,7 +19,7 @@
   JOIN date_dim ON ss_sold_date_sk = d_date_sk
   WHERE sr_ticket_number IS NULL
   GROUP BY d_year, ss_item_sk, ss_customer_sk)
-SELECT ss_sold_year, ss_item_sk, ss_customer_sk, round(ss_qty // coalesce(ws_qty + cs_qty, 1), 2) AS ratio,
+SELECT ss_sold_year, ss_item_sk, ss_customer_sk, CAST(round(ss_qty // coalesce(ws_qty + cs_qty, 1), 2) AS BIGINT) AS ratio,
        CAST(ss_qty AS BIGINT) AS store_qty, CAST(ss_wc AS DECIMAL(38,2)) AS store_wholesale_cost,
        CAST(ss_sp AS DECIMAL(38,2)) AS store_sales_price,
        CAST(coalesce(ws_qty, 0) + coalesce(cs_qty, 0) AS BIGINT) AS other_chan_qty,

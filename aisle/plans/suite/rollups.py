@@ -112,7 +112,7 @@ def _rank_in_parent(r, k1, k2, measure, ascending):
     grouping(k2) = 0 then k1 end order by measure)`` on rollup output."""
     w = Window.partitionBy("lochierarchy", F.when(c(f"g_{k2}") == 0, c(k1))).orderBy(
         asc(measure) if ascending else desc(measure))
-    return r.withColumn("rank_within_parent", F.rank().over(w))
+    return r.withColumn("rank_within_parent", F.rank().over(w).cast("long"))
 
 
 def _parent_order(r, k1):

@@ -179,8 +179,8 @@ def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, ye
         .alias("return_ratio"),
         (F.sum(F.coalesce(c("r_amt"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))).cast(d))
         .alias("currency_ratio"))
-    g = (g.withColumn("return_rank", F.rank().over(Window.orderBy(asc("return_ratio"))))
-         .withColumn("currency_rank", F.rank().over(Window.orderBy(asc("currency_ratio")))))
+    g = (g.withColumn("return_rank", F.rank().over(Window.orderBy(asc("return_ratio"))).cast("long"))
+         .withColumn("currency_rank", F.rank().over(Window.orderBy(asc("currency_ratio"))).cast("long")))
     return (g.filter((c("return_rank") <= k) | (c("currency_rank") <= k))
             .select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
                     "return_rank", "currency_rank"))
