@@ -47,6 +47,20 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_diffs(sdf, description):
+    duck = {d[0]: str(d[1]) for d in description}
+    out = []
+    for f in sdf.schema.fields:
+        t = f.dataType.simpleString()
+        if duck.get(f.name) != SPARK_TO_DUCK.get(t, t.upper()):
+            out.append((f.name, t, duck.get(f.name)))
+    return out
+
+
 def compare(spark, con, key, entry, sql, sf_dir):
     t = time.time()
     df = entry.fn(spark, sf_dir)
@@ -60,8 +74,11 @@ def compare(spark, con, key, entry, sql, sf_dir):
     drows = res.fetchall()
     a = sorted(tuple(norm(v) for v in r) for r in srows)
     b = sorted(tuple(norm(v) for v in r) for r in drows)
-    ok = a == b and scols == dcols
+    types = type_diffs(df, res.description)
+    ok = a == b and scols == dcols and not types
     out = dict(key=key, ok=ok, spark_rows=len(srows), duck_rows=len(drows), sec=round(ts, 2))
+    if types:
+        out["types"] = types
     if not ok:
         out["cols"] = (scols, dcols) if scols != dcols else "same"
         sa, sb = set(a), set(b)
