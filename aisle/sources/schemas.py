@@ -56,6 +56,10 @@ def retail_schema(table: str, money: str = "decimal") -> T.StructType:
                          for n, _, t in _specs(SPARK, "1")[table].cols])
 
 
+# the name used for the partitioned facts' DDL variants
+fact_schema = retail_schema
+
+
 def all_schemas(money: str = "decimal") -> dict[str, T.StructType]:
     from .retail import TABLES
     return {t: retail_schema(t, money) for t in TABLES}

@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="aisle-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from aisle.session import ensure_checkpoint_dir
