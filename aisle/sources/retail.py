@@ -620,6 +620,10 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     key = (id(spark), os.path.abspath(sf_dir), layout)
     if key in _CACHE:
         return _CACHE[key]
+    loaded = _loaded_tables(spark, sf_dir)
+    if loaded is not None:
+        _CACHE[key] = loaded
+        return loaded
     base = f"{_checkpoint_root(spark)}/aisle-retail/{_fingerprint(sf_dir)}"
     if layout is not None:
         base += f"-{layout}"
@@ -639,6 +643,17 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     return out
 
 
+def _loaded_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame] | None:
+    """The 24 tables themselves when ``sf_dir`` already holds them (one
+    Parquet folder per table, e.g. written by ``python -m aisle load``);
+    None when it holds the order-entry tables the retail ones derive from."""
+    try:
+        spark.read.parquet(f"{sf_dir}/store_sales").schema  # noqa: B018 - existence probe
+    except Exception:  # noqa: BLE001
+        return None
+    return {t: spark.read.parquet(f"{sf_dir}/{t}") for t in TABLES}
+
+
 # The date key each fact is partitioned on in the 'date' layout.
 FACT_DATE_KEY = {"store_sales": "ss_sold_date_sk", "catalog_sales": "cs_sold_date_sk",
                  "web_sales": "ws_sold_date_sk", "store_returns": "sr_returned_date_sk",
