@@ -119,3 +119,26 @@ def run_throughput_all(spark, sf_dir, streams=2):
     """Two concurrent streams over all 99 templates."""
     from ..streaming.throughput import run_throughput
     return run_throughput(spark, sf_dir, streams=streams)
+
+
+PLAN_NODES = ["Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin", "BroadcastHashJoin",
+              "ShuffledHashJoin", "BroadcastNestedLoopJoin", "TakeOrderedAndProject", "WindowGroupLimit",
+              "Window", "Expand", "HashAggregate"]
+
+
+def plan_summary(spark: SparkSession, key: str, sf_dir: str) -> dict:
+    """Operator counts of the final adaptive plan of one statement (after
+    running it once): shuffles, broadcasts, join strategies, top-k."""
+    import contextlib
+    import io
+    import re
+    df = load_all()[key].fn(spark, sf_dir)
+    df.collect() if key.startswith("q") else df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
+    final = text.split("== Initial Plan ==")[0]
+    tree = final.split("\n\n")[0]
+    counts = {n: len(re.findall(rf"[+\- ]{re.escape(n)}(?: [A-Za-z]+)* \(", tree)) for n in PLAN_NODES}
+    return {"query": key, **counts}
