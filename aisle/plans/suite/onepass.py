@@ -18,6 +18,7 @@ from .common import Tables
 
 c = F.col
 
+# The statement's five quantity bands.
 Q09_BANDS = [(1, 20), (21, 40), (41, 60), (61, 80), (81, 100)]
 
 
@@ -39,6 +40,8 @@ def q09(spark, sf_dir, t1=2000, t2=2000, t3=5000, t4=5000, t5=3000, value_col="s
     return attach_scalar(t.reason.filter(c("r_reason_sk") == 1).select("r_reason_sk"), one).drop("r_reason_sk")
 
 
+# The statement's six buckets (quantity low, high, list price,
+# coupon amount, wholesale cost lower bounds).
 Q28_BUCKETS = [(0, 5, 11, 460, 14), (6, 10, 91, 1430, 32), (11, 15, 66, 920, 4),
                (16, 20, 142, 3054, 80), (21, 25, 135, 14180, 38), (26, 30, 28, 2513, 42)]
 
@@ -58,6 +61,7 @@ def q28(spark, sf_dir):
     return ss.agg(*aggs).limit(100)
 
 
+# The statement's eight half-hour slots (name, hour, second half).
 Q88_SLOTS = [("h8_30_to_9", 8, True), ("h9_to_9_30", 9, False), ("h9_30_to_10", 9, True),
              ("h10_to_10_30", 10, False), ("h10_30_to_11", 10, True), ("h11_to_11_30", 11, False),
              ("h11_30_to_12", 11, True), ("h12_to_12_30", 12, False)]
