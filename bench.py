@@ -30,7 +30,7 @@ def main():
     from pyspark.sql import SparkSession
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("aisle-bench")
                .config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", str(max(8, 2 * cpus)))
+               .config("spark.sql.shuffle.partitions", str(cpus))  # one per core at this size; AQE coalesces
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
