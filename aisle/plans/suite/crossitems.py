@@ -24,6 +24,9 @@ KEYS = ["i_brand_id", "i_class_id", "i_category_id"]
 
 
 def cross_items(t, y0):
+    """Items whose (brand, class, category) sold in all three channels:
+    INTERSECT of the three distinct triple sets (planned as semi joins over
+    de-duplicated inputs), then a semi join back to the items."""
     d = t.date_dim.filter(c("d_year").between(y0, y0 + 2)).select("d_date_sk")
     it = t.item.select("i_item_sk", *KEYS)
     triples = []
@@ -62,13 +65,24 @@ def _channel_sales(t, label, tab, p, items, dates, avg):
 
 @register("q14a")
 def q14a(spark, sf_dir, y0=1999, year=2000, moy=11):
+    """The three channel branches of the text read their facts in one union
+    (tagged by channel) and aggregate once by (channel, brand, class,
+    category) before the HAVING and the rollup."""
     t = Tables(spark, sf_dir)
     items = cross_items(t, y0)
     avg = avg_sales(t, y0, y0 - 1)
     d = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
-    parts = [_channel_sales(t, label, tab, p, items, d, avg) for label, tab, p in CHANNELS]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    r = rollup_levels(u, ["channel", *KEYS], [F.sum("sales").cast("decimal(38,2)").alias("sum_sales"),
+    u = None
+    for label, tab, p in CHANNELS:
+        x = getattr(t, tab).select(F.lit(label).alias("channel"), c(f"{p}_item_sk").alias("sk"),
+                                   c(f"{p}_sold_date_sk").alias("dsk"),
+                                   (c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v"))
+        u = x if u is None else u.unionByName(x)
+    j = (u.join(d, c("dsk") == c("d_date_sk")).join(items, c("sk") == c("cross_sk"), "left_semi")
+         .join(t.item.select("i_item_sk", *KEYS), c("sk") == c("i_item_sk")))
+    g = j.groupBy("channel", *KEYS).agg(F.sum("v").alias("sales"), F.count(F.lit(1)).alias("number_sales"))
+    g = attach_scalar(g, avg).filter(c("sales") > c("average_sales")).drop("average_sales")
+    r = rollup_levels(g, ["channel", *KEYS], [F.sum("sales").cast("decimal(38,2)").alias("sum_sales"),
                                               F.sum("number_sales").cast("bigint").alias("sum_number_sales")], flags=False)
     return topk(r, ["channel", *KEYS])
 
