@@ -100,7 +100,7 @@ def _excess_discount(t, fact, p, manufact_id, start, factor, name):
 
 
 @register("q32")
-def q32(spark, sf_dir, manufact_id=29, start="1998-03-18", factor=1.3):
+def q32(spark, sf_dir, manufact_id=35, start="1998-03-18", factor=1.3):
     t = Tables(spark, sf_dir)
     return _excess_discount(t, t.catalog_sales, "cs", manufact_id, start, factor, "excess discount amount").limit(100)
 

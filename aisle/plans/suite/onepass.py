@@ -100,7 +100,7 @@ def q90(spark, sf_dir, am_hour=6, pm_hour=14, dep=8, chars_lo=5000, chars_hi=520
 
 
 @register("q61")
-def q61(spark, sf_dir, gmt=-7, category="Electronics", year=1999, moy=11):
+def q61(spark, sf_dir, gmt=-6, category="Women", year=1999, moy=11):
     t = Tables(spark, sf_dir)
     pr = t.promotion.filter((c("p_channel_dmail") == "Y") | (c("p_channel_email") == "Y") | (c("p_channel_tv") == "Y")) \
         .select("p_promo_sk")
