@@ -50,13 +50,20 @@ def part_start(key: str, days: int, lo: int = PART_LO, hi: int = PART_HI):
         .otherwise(F.lit(OUTLIERS)).cast("int")
 
 
+def cluster_for_write(df: DataFrame, part_col: str, key: str) -> DataFrame:
+    """Order rows by (partition value, key) across tasks: each task then
+    writes a contiguous slice, so it touches few partition folders, and a
+    large partition value is spread over several tasks instead of one
+    (a plain hash repartition on the partition column would send a whole
+    range, or one hot day, to a single task)."""
+    return df.repartitionByRange(F.col(part_col), F.col(key))
+
+
 def write_range_partitioned(df: DataFrame, key: str, days: int, path: str, lo: int = PART_LO,
                             hi: int = PART_HI, options: dict | None = None) -> None:
-    """Every row lands in exactly one partition (outliers included).  Rows
-    are clustered by ``part_start`` first so that each task writes few
-    partition directories."""
-    out = df.withColumn("part_start", part_start(key, days, lo, hi))
-    w = out.repartition("part_start").write.mode("overwrite").partitionBy("part_start")
+    """Every row lands in exactly one partition (outliers included)."""
+    out = cluster_for_write(df.withColumn("part_start", part_start(key, days, lo, hi)), "part_start", key)
+    w = out.write.mode("overwrite").partitionBy("part_start")
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.parquet(path)
@@ -73,7 +80,7 @@ def load_partitions(spark: SparkSession, df: DataFrame, key: str, days: int, pat
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        out.repartition("part_start").write.mode("overwrite").partitionBy("part_start").parquet(path)
+        cluster_for_write(out, "part_start", key).write.mode("overwrite").partitionBy("part_start").parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
