@@ -617,7 +617,7 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     filter on ``date_dim`` prunes fact files at run time through dynamic
     partition pruning) or None = decided by size (see ``choose_layout``).
     """
-    key = (id(spark), os.path.abspath(sf_dir), layout)
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), layout)
     if key in _CACHE:
         return _CACHE[key]
     loaded = _loaded_tables(spark, sf_dir)
