@@ -9,7 +9,7 @@
 * ``attach_scalar``: one-row aggregate beside every row.  The one-row side
   is the output of a global aggregate, so its size is proven (1 row) and
   it is broadcast; this is the only place a key-less join is used.
-* ``exists_other``: ``EXISTS (same key, other value)`` without comparing
+* ``semi_other``: ``EXISTS (same key, other value)`` without comparing
   all pairs inside a key: per key min and max of the value suffice.
 """
 
