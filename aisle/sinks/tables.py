@@ -56,7 +56,9 @@ def cluster_for_write(df: DataFrame, part_col: str, key: str) -> DataFrame:
     large partition value is spread over several tasks instead of one
     (a plain hash repartition on the partition column would send a whole
     range, or one hot day, to a single task)."""
-    return df.repartitionByRange(F.col(part_col), F.col(key))
+    # a deterministic row hash breaks ties, so even one hot key value is
+    # split across tasks (a random tiebreak would break on task retries)
+    return df.repartitionByRange(F.col(part_col), F.col(key), F.xxhash64(*df.columns))
 
 
 def write_range_partitioned(df: DataFrame, key: str, days: int, path: str, lo: int = PART_LO,

@@ -688,10 +688,10 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
             df = df.coalesce(1)  # fixed-size calendar / outlet dimension
         if layout == "date" and name in FACT_DATE_KEY:
             k = FACT_DATE_KEY[name]
-            # range-cluster by (day, item): few day folders per task, and a
-            # large day is split over several tasks
+            # range-cluster by (day, item, row hash): few day folders per
+            # task, and a large day (even one hot item) is split over tasks
             item = [c for c in df.columns if c.endswith("_item_sk")][0]
-            (df.repartitionByRange(F.col(k), F.col(item)).write.mode("overwrite")
+            (df.repartitionByRange(F.col(k), F.col(item), F.xxhash64(*df.columns)).write.mode("overwrite")
              .partitionBy(k).parquet(f"{base}/{name}"))
         else:
             df.write.mode("overwrite").parquet(f"{base}/{name}")

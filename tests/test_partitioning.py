@@ -27,3 +27,22 @@ def test_load_by_partition_drops_outliers(spark, tmpdir_path):
     back = spark.read.parquet(tmpdir_path)
     assert back.filter(F.col("part_start") == OUTLIERS).count() == 0
     assert back.count() == 4
+
+
+def test_hot_range_is_split_over_tasks(spark, tmpdir_path):
+    """Nine rows in ten fall into one range: the write spreads that range
+    over several tasks (several files) instead of one."""
+    import os
+    n = 200_000
+    df = spark.range(n).select(F.when(F.col("id") % 10 == 0, F.lit(2452000) + (F.col("id") % 500).cast("int"))
+                               .otherwise(F.lit(2450900)).alias("k"), F.col("id"))
+    # small test data: keep AQE from merging the range partitions back into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_range_partitioned(df, "k", 30, tmpdir_path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = [d for d in os.listdir(tmpdir_path) if d.startswith("part_start=2450875")][0]
+    files = [f for f in os.listdir(os.path.join(tmpdir_path, hot)) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(tmpdir_path).count() == n
