@@ -7,7 +7,8 @@ the separate driver-side time to build the DataFrame plans, and
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_REPS (timed repetitions after one warm-up, default 1;
-the reported time per query is the median), BENCH_SET (all | hive).
+the reported time per query is the median), BENCH_SET (all | hive),
+BENCH_STREAMS (default 0; > 0 adds a throughput run of that many streams).
 """
 
 from __future__ import annotations
@@ -55,7 +56,14 @@ def main():
         times[key] = round(statistics.median(r[1] for r in runs), 4)
         plan_times[key] = round(statistics.median(r[0] for r in runs), 4)
     total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "power_run_total", "value": total, "unit": "sec", "queries": times,
+    extra = {}
+    streams = int(os.environ.get("BENCH_STREAMS", "0"))
+    if streams:  # optional throughput run: S concurrent streams over all templates
+        from aisle.streaming.throughput import run_throughput
+        t1 = time.perf_counter()
+        run_throughput(spark, sf_dir, streams).count()
+        extra = {"streams": streams, "throughput_sec": round(time.perf_counter() - t1, 3)}
+    print(json.dumps({**extra, "metric": "power_run_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir.rstrip("/")), "load_sec": round(load_sec, 3),
                       "plan_build_sec": round(sum(plan_times.values()), 3),
                       "statements": len(keys), "cpus": cpus, "reps": reps}))
