@@ -35,8 +35,24 @@ def r4(c) -> Column:
     return F.round(x + F.signum(x) * F.lit(ROUND_NUDGE), 4)
 
 
+def mean(c) -> Column:
+    """Average as sum / count.  On decimals this keeps the division's full
+    scale (``avg`` would round to the input scale + 4 first, and rounding
+    that again to 4 places can differ from rounding the exact mean); on
+    integers and doubles it is the same double as ``avg``.  NULL when there
+    is nothing to average."""
+    n = F.count(col(c))
+    return F.when(n > 0, F.sum(col(c)) / n)
+
+
+def mean_over(c, w) -> Column:
+    """``mean`` as a window function over ``w``."""
+    n = F.count(col(c)).over(w)
+    return F.when(n > 0, F.sum(col(c)).over(w) / n)
+
+
 def avg4(c) -> Column:
-    return r4(F.avg(col(c)))
+    return r4(mean(c))
 
 
 def stddev4(c) -> Column:

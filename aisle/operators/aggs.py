@@ -36,14 +36,25 @@ def lag_buckets(diff: Column, bounds=(30, 60, 90, 120), names=None) -> list[Colu
 def rollup_levels(df: DataFrame, keys: list[str], aggs: list[Column],
                   flags: bool = True) -> DataFrame:
     """``GROUP BY ROLLUP(keys)`` with integer ``g_<key>`` grouping flags and
-    ``lochierarchy`` (sum of flags).  Spark plans the rollup as one Expand
-    feeding a partial aggregate, so the expanded rows are combined map-side
-    before the shuffle."""
-    g = df.rollup(*keys).agg(
-        *aggs, *([F.grouping(k).cast("int").alias(f"g_{k}") for k in keys] if flags else []))
+    ``lochierarchy`` (sum of flags).
+
+    Spark plans the rollup as one Expand feeding a partial aggregate, so the
+    expanded rows are combined map-side before the shuffle.  The grand-total
+    row comes from a keyless aggregate instead: SQL's ROLLUP returns it even
+    over an empty input (Spark's Expand would return no row at all)."""
+    full = (1 << len(keys)) - 1
+    r = df.rollup(*keys).agg(*aggs, F.grouping_id().alias("_gid"))
+    agg_cols = [c for c in r.columns if c not in keys and c != "_gid"]
+    levels = r.filter(F.col("_gid") != full)
+    total = df.agg(*aggs).select(*[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys], *agg_cols,
+                                 F.lit(full).cast(levels.schema["_gid"].dataType).alias("_gid"))
+    g = levels.unionByName(total)
     if flags:
+        for i, k in enumerate(keys):
+            bit = 1 << (len(keys) - 1 - i)
+            g = g.withColumn(f"g_{k}", ((F.col("_gid").cast("long").bitwiseAND(bit)) > 0).cast("int"))
         lvl = F.lit(0)
         for k in keys:
             lvl = lvl + F.col(f"g_{k}")
         g = g.withColumn("lochierarchy", lvl)
-    return g
+    return g.drop("_gid")

@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import mean
+
 
 def group_avg(df: DataFrame, key: str, value: str, name: str = "_avg") -> DataFrame:
-    return df.groupBy(F.col(key).alias(f"_g_{key}")).agg(F.avg(value).alias(name))
+    return df.groupBy(F.col(key).alias(f"_g_{key}")).agg(mean(value).alias(name))
 
 
 def above_group_avg(df: DataFrame, key: str, value: str, factor, inner: DataFrame | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import avg4, money_sum, r4, stddev4
+from ...functions.scalars import avg4, mean, money_sum, r4, stddev4
 from ...operators.aggs import lag_buckets, pivot_sums, rollup_levels
 from ...sources.orderentry import OrderEntry
 from ..registry import register
@@ -72,7 +72,7 @@ def op_agg_stddev(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     return t.li.groupBy("l_suppkey").agg(
         stddev4("l_quantity").alias("sd_qty"),
-        r4(F.stddev_samp("l_quantity") / F.avg("l_quantity")).alias("cov_qty"))
+        r4(F.stddev_samp("l_quantity") / mean("l_quantity")).alias("cov_qty"))
 
 
 @register("op_agg_count_distinct", prelude="ops", sql="""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import money_sum, r4
+from ...functions.scalars import mean, money_sum, r4
 from ...operators import joins as J
 from ...operators.subqueries import scalar
 from ...sources.orderentry import OrderEntry
@@ -162,7 +162,7 @@ def op_join_cross_scalar(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     return t.li.agg(
         F.count(F.when(c("l_quantity") < 10, 1)).alias("small_lines"),
-        r4(F.avg(F.when(c("l_quantity") > 40, c("l_extendedprice")))).alias("big_avg_price"),
+        r4(mean(F.when(c("l_quantity") > 40, c("l_extendedprice")))).alias("big_avg_price"),
         F.count_distinct(F.when(c("l_returnflag") == "R", c("l_suppkey"))).alias("returned_suppliers"))
 
 
@@ -308,8 +308,8 @@ def op_join_range_scalar(spark, sf_dir):
     """Key between two scalar bounds: one keyless aggregate (one row),
     broadcast beside the rows, then a range filter."""
     t = OrderEntry(spark, sf_dir)
-    b = t.od.agg((F.avg("o_totalprice") * F.lit(0.9).cast("decimal(2,1)")).alias("lo"),
-                 (F.avg("o_totalprice") * F.lit(1.1).cast("decimal(2,1)")).alias("hi"))
+    b = t.od.agg((mean("o_totalprice") * F.lit(0.9).cast("decimal(2,1)")).alias("lo"),
+                 (mean("o_totalprice") * F.lit(1.1).cast("decimal(2,1)")).alias("hi"))
     return (J.attach_scalar(t.od, b).filter(c("o_totalprice").between(c("lo"), c("hi")))
             .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import days_key, int_div, r4, round_to_int, safe_div
+from ...functions.scalars import days_key, int_div, mean, r4, round_to_int, safe_div
 from ...sources.orderentry import OrderEntry
 from ..registry import register
 
@@ -199,6 +199,6 @@ def op_abs(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     from ...operators.joins import attach_scalar
     m = t.od.groupBy(c("o_custkey").alias("custkey")).agg(F.sum("o_totalprice").alias("total"))
-    avg = m.agg(F.avg("total").alias("avg_total"))
+    avg = m.agg(mean("total").alias("avg_total"))
     return attach_scalar(m, avg).select("custkey", F.abs(c("total") - c("avg_total")).cast("decimal(38,2)")
                                         .alias("deviation"))

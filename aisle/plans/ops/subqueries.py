@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import avg4, r4
+from ...functions.scalars import avg4, mean, r4
 from ...operators.joins import attach_scalar
 from ...operators.subqueries import above_group_avg, scalar
 from ...sources.orderentry import OrderEntry
@@ -21,7 +21,7 @@ GROUP BY o_orderpriority""")
 def op_scalar_subquery(spark, sf_dir):
     """Uncorrelated scalar subquery: a keyless aggregate (one row) beside the rows."""
     t = OrderEntry(spark, sf_dir)
-    a = scalar(t.od, F.avg("o_totalprice"), "avg_price")
+    a = scalar(t.od, mean("o_totalprice"), "avg_price")
     return (attach_scalar(t.od, a).filter(c("o_totalprice") > c("avg_price"))
             .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")))
 
@@ -114,7 +114,7 @@ def op_cte(spark, sf_dir):
     b = cy.select(c("k").alias("bk"), c("yr").alias("byr"), c("total").alias("btotal"))
     j = cy.join(b, (c("k") == c("bk")) & (c("byr") == c("yr") + 1)).filter(c("btotal") > c("total"))
     n = cy.agg(F.count(F.lit(1)).alias("customer_years"))
-    g = j.groupBy("yr").agg(F.count(F.lit(1)).alias("growing"), r4(F.avg(c("btotal") / c("total"))).alias("avg_growth"))
+    g = j.groupBy("yr").agg(F.count(F.lit(1)).alias("growing"), r4(mean(c("btotal") / c("total"))).alias("avg_growth"))
     return attach_scalar(g, n)
 
 

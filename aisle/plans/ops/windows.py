@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4
+from ...functions.scalars import mean_over, r4
 from ...operators.aggs import rollup_levels
 from ...operators.sorts import asc, desc, order, topk
 from ...operators.windows import global_rank_top, prev_next, running, share_of, topk_per_group
@@ -53,7 +53,7 @@ WHERE abs(total - avg_total) / avg_total > 0.1""")
 def op_win_avg_part(spark, sf_dir):
     """Group value against its partition average (months deviating > 10%)."""
     t = OrderEntry(spark, sf_dir)
-    m = _monthly(t).withColumn("avg_total", F.avg("total").over(Window.partitionBy("n_name", "yr")))
+    m = _monthly(t).withColumn("avg_total", mean_over("total", Window.partitionBy("n_name", "yr")))
     return (m.filter(F.abs(c("total") - c("avg_total")) / c("avg_total") > 0.1)
             .select("n_name", "yr", "mo", c("total").cast("decimal(38,2)").alias("total"),
                     r4("avg_total").alias("avg_total")))

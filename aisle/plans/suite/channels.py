@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4, safe_div
+from ...functions.scalars import mean, r4, safe_div
 from ...operators.aggs import pivot_sums
 from ...operators.sorts import topk, order
 from ..registry import register
@@ -397,7 +397,7 @@ def _q24(t, market, color, factor):
                         "i_manager_id", "i_units", "i_size")
               .agg(F.sum(c("ss_sales_price") * c("n_addr")).alias("netpaid")))
     from ...operators.joins import attach_scalar
-    avg = ssales.agg((F.lit(factor) * F.avg("netpaid")).alias("limit_paid"))
+    avg = ssales.agg((F.lit(factor) * mean("netpaid")).alias("limit_paid"))
     g = (ssales.filter(c("i_color") == color).groupBy("c_last_name", "c_first_name", "s_store_name")
          .agg(F.sum("netpaid").alias("paid")))
     return (attach_scalar(g, avg).filter(c("paid") > c("limit_paid"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions.scalars import mean
+
 from ...operators.aggs import rollup_levels
 from ...operators.joins import attach_scalar, semi
 from ...operators.sets import intersect
@@ -49,7 +51,7 @@ def avg_sales(t, store_y0, other_y0):
         parts.append(getattr(t, tab).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
                      .select((c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v")))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return u.agg(F.avg("v").alias("average_sales"))
+    return u.agg(mean("v").alias("average_sales"))
 
 
 def _channel_sales(t, label, tab, p, items, dates, avg):

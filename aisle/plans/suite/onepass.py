@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4, safe_div
+from ...functions.scalars import mean, r4, safe_div
 from ...operators.joins import attach_scalar
 from ..registry import register
 from .common import Tables
@@ -31,8 +31,8 @@ def q09(spark, sf_dir, t1=2000, t2=2000, t3=5000, t4=5000, t5=3000, value_col="s
     aggs = []
     for i, (lo, hi) in enumerate(Q09_BANDS):
         inb = c("ss_quantity").between(lo, hi)
-        aggs += [F.count(F.when(inb, 1)).alias(f"n{i}"), F.avg(F.when(inb, c("ss_ext_discount_amt"))).alias(f"d{i}"),
-                 F.avg(F.when(inb, c(value_col))).alias(f"v{i}")]
+        aggs += [F.count(F.when(inb, 1)).alias(f"n{i}"), mean(F.when(inb, c("ss_ext_discount_amt"))).alias(f"d{i}"),
+                 mean(F.when(inb, c(value_col))).alias(f"v{i}")]
     one = ss.agg(*aggs)
     th = [t1, t2, t3, t4, t5]
     one = one.select(*[r4(F.when(c(f"n{i}") > th[i], c(f"d{i}")).otherwise(c(f"v{i}"))).alias(f"bucket{i + 1}")
@@ -56,7 +56,7 @@ def q28(spark, sf_dir):
                 & (c("ss_list_price").between(lp, lp + 10) | c("ss_coupon_amt").between(cp, cp + 1000)
                    | c("ss_wholesale_cost").between(wc, wc + 20)))
         v = F.when(cond, c("ss_list_price"))
-        aggs += [r4(F.avg(v)).alias(f"B{i + 1}_LP"), F.count(v).alias(f"B{i + 1}_CNT"),
+        aggs += [r4(mean(v)).alias(f"B{i + 1}_LP"), F.count(v).alias(f"B{i + 1}_CNT"),
                  F.count_distinct(v).alias(f"B{i + 1}_CNTD")]
     return ss.agg(*aggs).limit(100)
 

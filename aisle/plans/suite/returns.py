@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4
+from ...functions.scalars import mean, r4
 from ...operators.joins import semi
 from ...operators.sorts import topk
 from ..registry import register
@@ -166,7 +166,7 @@ def _inv_pairs(t, year, moy, min_cov1):
     aggs = []
     for i, m in ((1, moy), (2, moy + 1)):
         v = F.when(c("d_moy") == m, q)
-        aggs += [F.stddev_samp(v).alias(f"sd{i}"), F.avg(v).alias(f"mean{i}"), F.count(v).alias(f"n{i}")]
+        aggs += [F.stddev_samp(v).alias(f"sd{i}"), mean(v).alias(f"mean{i}"), F.count(v).alias(f"n{i}")]
     g = j.groupBy("w_warehouse_sk", "i_item_sk").agg(*aggs)
     for i in (1, 2):
         cov = F.when(c(f"mean{i}") == 0, F.lit(None)).otherwise(c(f"sd{i}") / c(f"mean{i}"))
@@ -242,8 +242,8 @@ def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary"
         x = (c("ca_country") == "United States") & c("ca_state").isin(list(states)) & c("ws_net_profit").between(lo, hi)
         addr = x if addr is None else addr | x
     g = j.filter(demo & addr).groupBy("r_reason_desc").agg(
-        r4(F.avg("ws_quantity")).alias("avg_qty"), r4(F.avg("wr_refunded_cash")).alias("avg_cash"),
-        r4(F.avg("wr_fee")).alias("avg_fee"))
+        r4(mean("ws_quantity")).alias("avg_qty"), r4(mean("wr_refunded_cash")).alias("avg_cash"),
+        r4(mean("wr_fee")).alias("avg_fee"))
     out = g.select(F.substring("r_reason_desc", 1, 20).alias("reason20"), "avg_qty", "avg_cash", "avg_fee")
     return topk(out, ["reason20", "avg_qty", "avg_cash", "avg_fee"])
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import avg4, money_sum, r4
+from ...functions.scalars import avg4, mean, money_sum, r4
 from ...operators.aggs import lag_buckets, pivot_sums
 from ...operators.sorts import order, topk
 from ...operators.windows import share_of
@@ -323,7 +323,7 @@ def q65(spark, sf_dir, month_seq=1188, factor=0.1):
     sc = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_item_sk", "ss_sales_price")
           .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
           .groupBy("ss_store_sk", "ss_item_sk").agg(F.sum("ss_sales_price").alias("revenue")))
-    sb = sc.groupBy(c("ss_store_sk").alias("sb_store")).agg(F.avg("revenue").alias("ave"))
+    sb = sc.groupBy(c("ss_store_sk").alias("sb_store")).agg(mean("revenue").alias("ave"))
     j = (sc.join(sb, (c("sb_store") == c("ss_store_sk")) & (c("revenue") <= F.lit(factor) * c("ave")))
          .join(t.store.select("s_store_sk", "s_store_name"), c("s_store_sk") == c("ss_store_sk"))
          .join(t.item.select("i_item_sk", "i_item_desc", "i_current_price", "i_wholesale_cost", "i_brand"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import money_sum, r4
+from ...functions.scalars import mean, mean_over, money_sum, r4
 from ...operators.sorts import asc, topk
 from ..registry import register
 from .common import Tables
@@ -42,7 +42,7 @@ def _deviation(t, key, period, month_seq, classes1):
          .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
          .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     g = j.groupBy(key, period).agg(F.sum("ss_sales_price").alias("s"))
-    g = g.withColumn("a", F.avg("s").over(Window.partitionBy(key)))
+    g = g.withColumn("a", mean_over("s", Window.partitionBy(key)))
     g = g.filter(F.when(c("a") > 0, F.abs(c("s") - c("a")) / c("a")) > 0.1)
     return g.select(key, c("s").cast("decimal(38,2)").alias("sum_sales"), r4("a").alias("avg"))
 
@@ -76,7 +76,7 @@ def q89(spark, sf_dir, year=2000, cats1=("Home", "Books", "Electronics"), classe
          .join(t.store.select("s_store_sk", "s_store_name", "s_company_name"), c("ss_store_sk") == c("s_store_sk")))
     keys = ["i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy"]
     g = j.groupBy(*keys).agg(F.sum("ss_sales_price").alias("s"))
-    g = g.withColumn("a", F.avg("s").over(Window.partitionBy("i_category", "i_brand", "s_store_name", "s_company_name")))
+    g = g.withColumn("a", mean_over("s", Window.partitionBy("i_category", "i_brand", "s_store_name", "s_company_name")))
     g = g.filter(F.when(c("a") != 0, F.abs(c("s") - c("a")) / c("a")) > 0.1)
     out = g.select(*keys, c("s").cast("decimal(38,2)").alias("sum_sales"), r4("a").alias("avg_monthly_sales"))
     return topk(out, [asc(c("sum_sales") - c("avg_monthly_sales")), "s_store_name"])
@@ -92,7 +92,7 @@ def _neighbours(g, part, year, out_cols, order3):
     one shuffle instead of three.  ``has_prev`` / ``has_next`` keep the
     inner-join semantics."""
     w = Window.partitionBy(*part).orderBy("d_year", "d_moy")
-    g = (g.withColumn("avg_monthly_sales", F.avg("s").over(Window.partitionBy(*part, "d_year")))
+    g = (g.withColumn("avg_monthly_sales", mean_over("s", Window.partitionBy(*part, "d_year")))
          .withColumn("psum", F.lag("s").over(w)).withColumn("nsum", F.lead("s").over(w))
          .withColumn("has_prev", F.lag(F.lit(1)).over(w)).withColumn("has_next", F.lead(F.lit(1)).over(w)))
     g = g.filter(c("has_prev").isNotNull() & c("has_next").isNotNull() & (c("d_year") == year)
@@ -144,8 +144,8 @@ def q44(spark, sf_dir, store_sk=2, k=10):
     more than k + ties rows."""
     t = Tables(spark, sf_dir)
     ss = t.store_sales.filter(c("ss_store_sk") == store_sk).select("ss_item_sk", "ss_net_profit", "ss_hdemo_sk")
-    base = ss.filter(c("ss_hdemo_sk").isNull()).agg(F.avg("ss_net_profit").alias("base_avg"))
-    per = ss.groupBy(c("ss_item_sk").alias("item_sk")).agg(F.avg("ss_net_profit").alias("rank_col"))
+    base = ss.filter(c("ss_hdemo_sk").isNull()).agg(mean("ss_net_profit").alias("base_avg"))
+    per = ss.groupBy(c("ss_item_sk").alias("item_sk")).agg(mean("ss_net_profit").alias("rank_col"))
     from ...operators.joins import attach_scalar
     from ...operators.windows import global_rank_top
     per = attach_scalar(per, base).filter(c("rank_col") > F.lit(0.9) * c("base_avg")).drop("base_avg")
