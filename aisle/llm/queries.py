@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, token_store
+from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -35,3 +36,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE) -> Dat
     return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op9_token_store(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE, end_id: int = 2) -> DataFrame:
+    """Ids of every document with the end id, through the ORC store."""
+    path = scratch(spark, "tokens")
+    token_store.write_store(_table(spark, sf_dir, "documents"), path, vocabulary, end_id)
+    return token_store.read_store(spark, path).select(
+        "doc_id", "start", "n_tokens", token_store.ids_crc32(F.col("ids")).alias("ids_crc32"))
