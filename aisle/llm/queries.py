@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_store
+from . import bpe, token_store, warc
 from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,28 @@ def op9_token_store(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE
     token_store.write_store(_table(spark, sf_dir, "documents"), path, vocabulary, end_id)
     return token_store.read_store(spark, path).select(
         "doc_id", "start", "n_tokens", token_store.ids_crc32(F.col("ids")).alias("ids_crc32"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str, min_bytes: int = 0) -> DataFrame:
+    """A record per page, written as archives and read back."""
+    path = scratch(spark, "warc")
+    records = warc.classify(_table(spark, sf_dir, "pages"), "page_id", "html", "url", min_bytes)
+    warc.write_archives(records, path)
+    return warc.read_archives(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+ORACLE_SQL["op2_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hexed FROM p),
+v AS (SELECT page_id, payload_bytes, hexed, min(page_id) OVER (PARTITION BY hexed) AS least,
+             [CAST('0x' || substr(hexed, 5 * g + 1, 5) AS BIGINT) FOR g IN range(8)] AS groups FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               CAST((groups[1 + i // 4] >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to
+FROM v
+"""
