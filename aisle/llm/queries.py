@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_store, warc
+from . import bpe, fingerprint, mixing, token_store, warc
 from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE) -> Dat
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.with_next(_table(spark, sf_dir, "documents"), fingerprint.compare, fingerprint.COMPARED)
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE, end_id: int = 2) -> DataFrame:
     """Ids of every document with the end id, through the ORC store."""
@@ -70,3 +76,54 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> least THEN least END AS refers_to
 FROM v
 """
+
+
+# sampling weights by the label of quality; unlabelled documents weigh 1
+QUALITY_WEIGHTS = {1: 2.0, 0: 0.5}
+
+
+def with_quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds ``quality`` to (doc_id, ...); of repeated labels the least counts."""
+    weight = F.min("quality").alias("label")
+    known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(weight)
+    return docs.join(known, "doc_id", "left").withColumn(
+        "quality", F.when(F.col("label") == 1, QUALITY_WEIGHTS[1]).when(F.col("label") == 0, QUALITY_WEIGHTS[0])
+        .otherwise(1.0)).drop("label")
+
+
+@query
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all documents takes from each."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(with_quality_weight(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE_SQL["op3_mix"] = """
+WITH lab AS (SELECT doc_id, min(quality) AS label FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT documents.doc_id, source,
+             CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+             -ln((CAST('0x' || substr(md5('mix' || coalesce(CAST(documents.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5)
+                 / 4503599627370496.0) / CASE label WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END AS key
+      FROM documents LEFT JOIN lab ON documents.doc_id = lab.doc_id),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER) + 1]::DOUBLE AS w
+        FROM d GROUP BY source),
+-- sources by the level at which they are full: with the first k of them full,
+-- the level is at least what the others then share, and the most of these
+levels AS (SELECT *, 2.0 * source_size / w AS full_at,
+                  coalesce(sum(2.0 * source_size) OVER o, 0.0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER o, 0.0) AS open_w,
+                  1.5 * sum(source_size) OVER () AS mix
+           FROM src WINDOW o AS (ORDER BY 2.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+found AS (SELECT max((mix - capped) / open_w) AS level FROM levels),
+plan AS (SELECT source, source_size, least(2.0 * source_size, w * level)::DOUBLE AS target FROM src, found),
+epochs AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM plan),
+rest AS (SELECT *, CAST(round(target) AS BIGINT) - epochs * source_size AS rest FROM epochs),
+placed AS (SELECT d.*, source_size, target, epochs, rest,
+                  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+           FROM d JOIN rest ON d.source IS NOT DISTINCT FROM rest.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, rest - ahead)) AS BIGINT) AS taken
+FROM placed
+"""
