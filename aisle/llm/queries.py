@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, mixing, token_store, warc
+from . import bpe, fingerprint, mixing, ngram_join, token_store, vector_join, warc
 from .common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,19 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(_table(spark, sf_dir, "documents"), fingerprint.compare, fingerprint.COMPARED)
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at a similarity of 0.8."""
+    return ngram_join.similarity_join(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
+    joined = vector_join.cosine_join(_table(spark, sf_dir, "embeddings"))
+    return joined.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE, end_id: int = 2) -> DataFrame:
     """Ids of every document with the end id, through the ORC store."""
