@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, mixing, ngram_join, token_store, vector_join, warc
-from .common import scratch
+from . import bpe, fingerprint, language, mixing, ngram_join, quality, token_store, vector_join, warc
+from .common import remainder, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,6 +44,16 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(_table(spark, sf_dir, "documents"), fingerprint.compare, fingerprint.COMPARED)
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from two thirds of the labels."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document at a similarity of 0.8."""
@@ -140,3 +150,13 @@ SELECT doc_id, size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, rest - ahead)) AS BIGINT) AS taken
 FROM placed
 """
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = language.fit(docs, ~held_out)
+    return docs.select("doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model).alias("p")) \
+        .select("doc_id", "held_out", "p.lang_pred", "p.score")
