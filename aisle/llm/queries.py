@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language, mixing, ngram_join, quality, token_store, vector_join, warc
+from . import bpe, fingerprint, html_extract, language, mixing, ngram_join, quality, token_store, vector_join, warc
 from .common import remainder, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,15 @@ def op7_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
+@query
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    weights = html_extract.fit(pages, "page_id", "html")
+    text = pages.select("page_id", "url", html_extract.extract_column(F.col("html"), weights).alias("text"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE, end_id: int = 2) -> DataFrame:
     """Ids of every document with the end id, through the ORC store."""
