@@ -11,6 +11,8 @@
   it is broadcast; this is the only place a key-less join is used.
 * ``semi_other``: ``EXISTS (same key, other value)`` without comparing
   all pairs inside a key: per key min and max of the value suffice.
+* ``without``: a ``not_exists`` that is evaluated after the joins of its left
+  side.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ def not_exists(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[
     return left.join(r, cond, "left_anti")
 
 
+def without(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]) -> DataFrame:
+    """``not_exists`` that stays where it is written: the optimizer moves an
+    anti join below the joins of ``left``, to rows that those would filter."""
+    return with_flag(left, right, lkeys, rkeys, "_met").filter(~F.col("_met")).drop("_met")
+
+
 def with_flag(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str],
               flag: str) -> DataFrame:
     """Add boolean ``flag``: a row of ``right`` has the same keys (existence join)."""

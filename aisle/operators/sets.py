@@ -1,8 +1,9 @@
 """Set operations with the suite's semantics.
 
 ``INTERSECT`` and ``EXCEPT`` are distinct operations (``intersect`` /
-``subtract``); Catalyst plans them as a semi / anti join on all columns
-after a distinct, so each side is de-duplicated before the shuffle.
+``subtract``).  Catalyst plans them as a semi / anti join with a distinct
+above it, so raw rows would be shuffled; every input is therefore made
+distinct first, which combines equal rows before they leave their task.
 ``union_all`` matches columns by name; ``union_distinct`` de-duplicates.
 """
 
@@ -22,8 +23,8 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 
 def intersect(*dfs: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.intersect(b), dfs)
+    return reduce(lambda a, b: a.intersect(b), [df.distinct() for df in dfs])
 
 
 def except_(*dfs: DataFrame) -> DataFrame:
-    return reduce(lambda a, b: a.subtract(b), dfs)
+    return reduce(lambda a, b: a.subtract(b), [df.distinct() for df in dfs])

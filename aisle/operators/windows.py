@@ -42,16 +42,16 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
     """Rows whose global ``rank()`` (ordered by ``keys``) is at most ``k``.
 
     A window without PARTITION BY runs in one task over all rows.  Instead:
-    take the first ``k`` rows in order (TakeOrderedAndProject: a bounded
-    top-k per task, then a merge of k rows per task), and keep every row
-    whose key values occur among them.  Every row of rank <= k has such a
-    twin among the first k rows, so ties are kept; the window then ranks at
-    most k + ties rows.  Same ranks as the global window for the rows kept.
+    count the rows of each key value (combined map-side), take the first
+    ``k`` values in order, and rank those from their counts; the rows then
+    meet the at most ``k`` ranked values, so ties of any number stay spread.
     """
     order = [F.col(c).desc_nulls_first() if d else F.col(c).asc_nulls_last()
              for c, d in zip(keys, descending)]
-    top = df.orderBy(*order).limit(k).select(*[F.col(c).alias(f"_t_{c}") for c in keys]).distinct()
-    cond = [F.col(c).eqNullSafe(top[f"_t_{c}"]) for c in keys]
-    small = df.join(top, cond, "left_semi")
-    return small.withColumn(rank_name, F.rank().over(Window.orderBy(*order)).cast("long"))
-
+    values = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).orderBy(*order).limit(k)
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # at most k rows, already in one task
+    ranked = (values.withColumn(rank_name, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("long"))
+              .filter(F.col(rank_name) <= k)
+              .select(*[F.col(c).alias(f"_t_{c}") for c in keys], rank_name))
+    cond = [F.col(c).eqNullSafe(ranked[f"_t_{c}"]) for c in keys]
+    return df.join(F.broadcast(ranked), cond).drop(*[f"_t_{c}" for c in keys])

@@ -68,14 +68,13 @@ FROM li JOIN pa ON l_partkey = p_partkey JOIN su ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey
 GROUP BY p_type, n_name""")
 def op_join_broadcast_dim(spark, sf_dir):
-    """Fact to dimensions.  ``nation`` has 25 rows by definition, so it is
-    broadcast by hint; ``part``/``supplier`` grow with the scale factor and
-    are left to AQE, which broadcasts them only when their measured size is
-    under the threshold and keeps a shuffle join otherwise."""
+    """Fact to dimensions.  None is broadcast by hint: the planner broadcasts
+    a side only when its measured size is under the threshold and keeps a
+    shuffle join otherwise."""
     t = OrderEntry(spark, sf_dir)
     j = (t.li.join(t.pa, c("l_partkey") == c("p_partkey"))
          .join(t.su, c("l_suppkey") == c("s_suppkey"))
-         .join(F.broadcast(t.nation), c("s_nationkey") == c("n_nationkey")))
+         .join(t.nation, c("s_nationkey") == c("n_nationkey")))
     return j.groupBy("p_type", "n_name").agg(F.count(F.lit(1)).alias("n"),
                                              money_sum("l_extendedprice").alias("revenue"))
 

@@ -153,7 +153,7 @@ def q74(spark, sf_dir, year=1998):
 
 
 @register("q31")
-def q31(spark, sf_dir, year=2000):
+def q31(spark, sf_dir, year=1997):
     """Counties whose web growth beats store growth, quarter 1->2 and 2->3."""
     t = Tables(spark, sf_dir)
     d = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_qoy", "d_year")
@@ -228,7 +228,7 @@ def _name_days(t, fact, p, cust, month_seq):
 
 
 @register("q38")
-def q38(spark, sf_dir, month_seq=1188):
+def q38(spark, sf_dir, month_seq=1164):
     """Distinct (name, day) in all three channels: INTERSECT is planned as
     semi joins on all columns over de-duplicated inputs."""
     from ...operators.sets import intersect
@@ -267,7 +267,7 @@ def q97(spark, sf_dir, month_seq=1188):
 
 
 @register("q75")
-def q75(spark, sf_dir, category="Sports", year=1999):
+def q75(spark, sf_dir, category="Books", year=2000):
     """Net sales counts per product key, this year against last year.
     The detail rows of the three channels are combined with UNION (distinct,
     as written); the year-over-year self-join becomes one aggregation with
@@ -305,7 +305,7 @@ def q75(spark, sf_dir, category="Sports", year=1999):
 
 
 @register("q54")
-def q54(spark, sf_dir, category="Jewelry", klass="womens", year=1999, moy=3):
+def q54(spark, sf_dir, category="Electronics", klass="dresses", year=1999, moy=3):
     """Revenue segments of customers who bought a class in catalog or web.
     The text joins each store sale to every store in the customer's county
     and state (not to the store of the sale); that multiplies each
@@ -326,8 +326,9 @@ def q54(spark, sf_dir, category="Jewelry", klass="womens", year=1999, moy=3):
     n_stores = (t.customer_address.select("ca_address_sk", "ca_county", "ca_state")
                 .join(t.store.select("s_county", "s_state"), (c("ca_county") == c("s_county")) & (c("ca_state") == c("s_state")))
                 .groupBy("ca_address_sk").agg(F.count(F.lit(1)).alias("n_stores")))
-    ms = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select(c("d_month_seq").alias("ms")).distinct()
-    bounds = ms.select((c("ms") + 1).alias("lo"), (c("ms") + 3).alias("hi"))
+    # a keyless aggregate: exactly one row
+    bounds = (t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy))
+              .agg((F.min("d_month_seq") + 1).alias("lo"), (F.max("d_month_seq") + 3).alias("hi")))
     d2 = attach_scalar(t.date_dim.select("d_date_sk", "d_month_seq"), bounds) \
         .filter(c("d_month_seq").between(c("lo"), c("hi"))).select(c("d_date_sk").alias("d2_sk"))
     rev = (t.store_sales.select("ss_sold_date_sk", "ss_customer_sk", "ss_ext_sales_price")

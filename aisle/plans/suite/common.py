@@ -25,7 +25,3 @@ class Tables:
 def dates(t: Tables, cond) -> DataFrame:
     """Date keys matching a condition on ``date_dim`` (a small, filtered build side)."""
     return t.date_dim.filter(cond)
-
-
-def lit_list(values):
-    return [F.lit(v) for v in values]

@@ -16,6 +16,7 @@ from ..registry import register
 from .common import Tables
 
 c = F.col
+SALTS = 64  # parts of a store or a state, of which there are few
 
 
 def _ctr(fact, cust, group2, value, date_col, dt):
@@ -30,7 +31,7 @@ def q01(spark, sf_dir, year=2000, state="TN", factor=1.2):
     dt = t.date_dim.filter(c("d_year") == year).select("d_date_sk")
     ctr = _ctr(t.store_returns, "sr_customer_sk", c("sr_store_sk").alias("ctr_store_sk"), "sr_fee",
                "sr_returned_date_sk", dt)
-    hi = above_group_avg(ctr, "ctr_store_sk", "ctr_total_return", factor)
+    hi = above_group_avg(ctr, "ctr_store_sk", "ctr_total_return", factor, salts=SALTS)
     j = (hi.join(t.store.filter(c("s_state") == state).select("s_store_sk"), c("s_store_sk") == c("ctr_store_sk"))
          .join(t.customer.select("c_customer_sk", "c_customer_id"), c("ctr_customer_sk") == c("c_customer_sk")))
     return topk(j.select("c_customer_id"), ["c_customer_id"])
@@ -62,10 +63,12 @@ ADDR_COLS = ["ca_street_number", "ca_street_name", "ca_street_type", "ca_suite_n
 
 def _state_returners(t, fact, p, value, year, state, factor):
     dt = t.date_dim.filter(c("d_year") == year).select("d_date_sk")
-    ret = fact.join(t.customer_address.select(c("ca_address_sk").alias("r_addr"), c("ca_state").alias("ctr_state")),
-                    c(f"{p}_returning_addr_sk") == c("r_addr"))
-    ctr = _ctr(ret, f"{p}_returning_customer_sk", "ctr_state", value, f"{p}_returned_date_sk", dt)
-    hi = above_group_avg(ctr, "ctr_state", "ctr_total_return", factor)
+    ret = (fact.join(dt, c(f"{p}_returned_date_sk") == c("d_date_sk"))
+           .join(t.customer_address.select(c("ca_address_sk").alias("r_addr"), c("ca_state").alias("ctr_state")),
+                 c(f"{p}_returning_addr_sk") == c("r_addr")))
+    ctr = (ret.groupBy(c(f"{p}_returning_customer_sk").alias("ctr_customer_sk"), "ctr_state")
+           .agg(F.sum(value).alias("ctr_total_return")))
+    hi = above_group_avg(ctr, "ctr_state", "ctr_total_return", factor, salts=SALTS)
     ca = t.customer_address.filter(c("ca_state") == state)
     return (hi.join(t.customer, c("ctr_customer_sk") == c("c_customer_sk"))
             .join(ca, c("ca_address_sk") == c("c_current_addr_sk")))

@@ -26,16 +26,17 @@ KEYS = ["i_brand_id", "i_class_id", "i_category_id"]
 
 
 def cross_items(t, y0):
-    """Items whose (brand, class, category) sold in all three channels:
-    INTERSECT of the three distinct triple sets (planned as semi joins over
-    de-duplicated inputs), then a semi join back to the items."""
+    """Items whose (brand, class, category) sold in all three channels.  Each
+    channel is first cut down to its distinct item keys, as the triples are
+    few and hot; then INTERSECT of the distinct triples of those items, and a
+    semi join back to the items."""
     d = t.date_dim.filter(c("d_year").between(y0, y0 + 2)).select("d_date_sk")
     it = t.item.select("i_item_sk", *KEYS)
     triples = []
     for _, tab, p in CHANNELS:
-        triples.append(getattr(t, tab).select(f"{p}_item_sk", f"{p}_sold_date_sk")
-                       .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-                       .join(it, c(f"{p}_item_sk") == c("i_item_sk")).select(*KEYS))
+        sold = (getattr(t, tab).select(f"{p}_item_sk", f"{p}_sold_date_sk")
+                .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk")).select(c(f"{p}_item_sk").alias("sold_sk")).distinct())
+        triples.append(sold.join(it, c("sold_sk") == c("i_item_sk")).select(*KEYS))
     x = intersect(*triples)
     return semi(t.item.select("i_item_sk", *KEYS), x, KEYS, KEYS).select(c("i_item_sk").alias("cross_sk"))
 

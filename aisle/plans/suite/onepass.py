@@ -49,16 +49,26 @@ Q28_BUCKETS = [(0, 5, 11, 460, 14), (6, 10, 91, 1430, 32), (11, 15, 66, 920, 4),
 @register("q28")
 def q28(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    ss = t.store_sales.select("ss_quantity", "ss_list_price", "ss_coupon_amt", "ss_wholesale_cost")
-    aggs = []
+    # the quantity bands are disjoint, so a row is in one band at most: counts
+    # per band and list price give the sums and the distinct prices
+    band = None
     for i, (qlo, qhi, lp, cp, wc) in enumerate(Q28_BUCKETS):
         cond = (c("ss_quantity").between(qlo, qhi)
                 & (c("ss_list_price").between(lp, lp + 10) | c("ss_coupon_amt").between(cp, cp + 1000)
                    | c("ss_wholesale_cost").between(wc, wc + 20)))
-        v = F.when(cond, c("ss_list_price"))
-        aggs += [r4(mean(v)).alias(f"B{i + 1}_LP"), F.count(v).alias(f"B{i + 1}_CNT"),
-                 F.count_distinct(v).alias(f"B{i + 1}_CNTD")]
-    return ss.agg(*aggs).limit(100)
+        band = F.when(cond, i) if band is None else band.when(cond, i)
+    per_price = (t.store_sales.select("ss_quantity", "ss_list_price", "ss_coupon_amt", "ss_wholesale_cost")
+                 .filter(c("ss_quantity").between(Q28_BUCKETS[0][0], Q28_BUCKETS[-1][1]) & c("ss_list_price").isNotNull())
+                 .select(band.alias("band"), "ss_list_price").filter(c("band").isNotNull())
+                 .groupBy("band", "ss_list_price").agg(F.count(F.lit(1)).alias("n"), F.sum("ss_list_price").alias("s")))
+    per_band = per_price.groupBy("band").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("prices"))
+    aggs = []
+    for i in range(len(Q28_BUCKETS)):
+        def of(name, i=i):
+            return F.max(F.when(c("band") == i, c(name)))
+        aggs += [r4(of("s") / of("n")).alias(f"B{i + 1}_LP"), F.coalesce(of("n"), F.lit(0)).alias(f"B{i + 1}_CNT"),
+                 F.coalesce(of("prices"), F.lit(0)).alias(f"B{i + 1}_CNTD")]
+    return per_band.agg(*aggs).limit(100)
 
 
 # The statement's eight half-hour slots (name, hour, second half).
@@ -101,7 +111,7 @@ def q90(spark, sf_dir, am_hour=6, pm_hour=14, dep=8, chars_lo=5000, chars_hi=520
 
 
 @register("q61")
-def q61(spark, sf_dir, gmt=-6, category="Women", year=1999, moy=11):
+def q61(spark, sf_dir, gmt=-5, category="Jewelry", year=2000, moy=11):
     t = Tables(spark, sf_dir)
     pr = t.promotion.filter((c("p_channel_dmail") == "Y") | (c("p_channel_email") == "Y") | (c("p_channel_tv") == "Y")) \
         .select("p_promo_sk")

@@ -67,8 +67,10 @@ def q05(spark, sf_dir, start="1998-08-04", days=14):
                  ret_side(t.catalog_returns, "cr_catalog_page_sk", "cr_returned_date_sk", "cr_return_amount",
                           "cr_net_loss"),
                  t.catalog_page, "cp_catalog_page_sk", "cp_catalog_page_id", "catalog channel", "catalog_page")
-    # web returns carry no site: take it from the matching sale (left join on item + order)
-    wr = t.web_returns.join(t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
+    # web returns carry no site: those of the days take it from the matching
+    # sale (left join on item + order)
+    days_only = dt.select(c("d_date_sk").alias("r_day"))
+    wr = t.web_returns.join(days_only, c("wr_returned_date_sk") == c("r_day")).join(t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
                             (c("wr_item_sk") == c("ws_item_sk")) & (c("wr_order_number") == c("ws_order_number")), "left")
     wsr = outlet(sales_side(t.web_sales, "ws", "ws_web_site_sk"),
                  ret_side(wr, "ws_web_site_sk", "wr_returned_date_sk", "wr_return_amt", "wr_net_loss"),
@@ -122,11 +124,11 @@ def q80(spark, sf_dir, start="1998-08-04", days=30, min_price=50):
     def chan(sales, p, num, rets, r, rnum, amt, dim, dim_key, dim_id, outlet_col, label, prefix):
         rr = rets.select(c(f"{r}_item_sk").alias("r_item"), c(f"{r}_{rnum}").alias("r_num"),
                          c(f"{r}_{amt}").alias("r_amt"), c(f"{r}_net_loss").alias("r_loss"))
-        j = (sales.join(rr, (c(f"{p}_item_sk") == c("r_item")) & (c(f"{p}_{num}") == c("r_num")), "left")
-             .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        j = (sales.join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
              .join(dim.select(dim_key, dim_id), c(outlet_col) == c(dim_key))
              .join(it, c(f"{p}_item_sk") == c("i_item_sk"))
-             .join(pr, c(f"{p}_promo_sk") == c("p_promo_sk")))
+             .join(pr, c(f"{p}_promo_sk") == c("p_promo_sk"))
+             .join(rr, (c(f"{p}_item_sk") == c("r_item")) & (c(f"{p}_{num}") == c("r_num")), "left"))
         g = j.groupBy(dim_id).agg(F.sum(f"{p}_ext_sales_price").alias("sales"),
                                   F.sum(F.coalesce(c("r_amt"), F.lit(0))).alias("returns"),
                                   F.sum(c(f"{p}_net_profit") - F.coalesce(c("r_loss"), F.lit(0))).alias("profit"))
@@ -168,23 +170,24 @@ def q76(spark, sf_dir):
 def q78(spark, sf_dir, year=2000):
     """Unreturned store sales against the other channels.
 
-    ``LEFT JOIN returns .. WHERE returns.key IS NULL`` is written as a
-    left-anti join.  The text joins the catalog aggregate on (year,
+    ``LEFT JOIN returns .. WHERE returns.key IS NULL`` keeps the sales of the
+    year that have no return, so the returns meet one year only.  The text joins the catalog aggregate on (year,
     customer) only (its item condition compares a column with itself), so
     every store row meets every catalog row of the same customer and year.
     The output is ordered by the store row's own unique keys first, so only
     the first 100 qualifying store rows can appear: they are selected with a
     bounded top-k, and only those are expanded against the catalog rows."""
     from ...functions.scalars import int_div
-    from ...operators.joins import not_exists
+    from ...operators.joins import without
     from ...operators.sorts import asc, desc
     t = Tables(spark, sf_dir)
-    d = t.date_dim.select("d_date_sk", "d_year")
+    # the joins on the year leave this one alone
+    d = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_year")
 
     def unreturned(sales, p, num, rets, rnum, r, cust, name):
-        s = not_exists(sales, rets, [f"{p}_{num}", f"{p}_item_sk"], [f"{r}_{rnum}", f"{r}_item_sk"])
-        return (s.join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
-                .groupBy(c("d_year").alias(f"{name}_sold_year"), c(f"{p}_item_sk").alias(f"{name}_item_sk"),
+        s = without(sales.join(d, c(f"{p}_sold_date_sk") == c("d_date_sk")), rets,
+                    [f"{p}_{num}", f"{p}_item_sk"], [f"{r}_{rnum}", f"{r}_item_sk"])
+        return (s.groupBy(c("d_year").alias(f"{name}_sold_year"), c(f"{p}_item_sk").alias(f"{name}_item_sk"),
                          c(cust).alias(f"{name}_customer_sk"))
                 .agg(F.sum(f"{p}_quantity").alias(f"{name}_qty"), F.sum(f"{p}_wholesale_cost").alias(f"{name}_wc"),
                      F.sum(f"{p}_sales_price").alias(f"{name}_sp")))
@@ -192,7 +195,6 @@ def q78(spark, sf_dir, year=2000):
     cs = unreturned(t.catalog_sales, "cs", "order_number", t.catalog_returns, "order_number", "cr",
                     "cs_bill_customer_sk", "cs")
     ss = unreturned(t.store_sales, "ss", "ticket_number", t.store_returns, "ticket_number", "sr", "ss_customer_sk", "ss")
-    ss = ss.filter(c("ss_sold_year") == year)
     j = ss.join(ws, (c("ws_sold_year") == c("ss_sold_year")) & (c("ws_item_sk") == c("ss_item_sk"))
                 & (c("ws_customer_sk") == c("ss_customer_sk"))).filter(c("ws_qty") > 0)
     cs_keys = cs.filter(c("cs_item_sk").isNotNull() & (c("cs_qty") > 0)).select(

@@ -200,11 +200,11 @@ def q40(spark, sf_dir, day="1998-04-08", lo_price=0.99, hi_price=30.00):
     cr = t.catalog_returns.select(c("cr_order_number").alias("r_ord"), c("cr_item_sk").alias("r_item"),
                                   "cr_refunded_cash")
     j = (t.catalog_sales.select("cs_order_number", "cs_item_sk", "cs_warehouse_sk", "cs_sold_date_sk", "cs_sales_price")
-         .join(cr, (c("cs_order_number") == c("r_ord")) & (c("cs_item_sk") == c("r_item")), "left")
+         .join(d, c("cs_sold_date_sk") == c("d_date_sk"))
          .join(t.warehouse.select("w_warehouse_sk", "w_state"), c("cs_warehouse_sk") == c("w_warehouse_sk"))
          .join(t.item.filter(c("i_current_price").between(lo_price, hi_price)).select("i_item_sk", "i_item_id"),
                c("i_item_sk") == c("cs_item_sk"))
-         .join(d, c("cs_sold_date_sk") == c("d_date_sk")))
+         .join(cr, (c("cs_order_number") == c("r_ord")) & (c("cs_item_sk") == c("r_item")), "left"))
     net = c("cs_sales_price") - F.coalesce(c("cr_refunded_cash"), F.lit(0))
     g = j.groupBy("w_state", "i_item_id").agg(
         F.sum(F.when(c("d_date") < d0, net).otherwise(0)).cast("decimal(38,2)").alias("sales_before"),
@@ -250,7 +250,7 @@ def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary"
 
 @register("q64")
 def q64(spark, sf_dir, colors=("purple", "burlywood", "indian", "spring", "floral", "medium", "pale", "chiffon",
-                               "blanched", "burnished", "slate", "aquamarine"), price=35, year=1999):
+                               "blanched", "burnished", "slate", "aquamarine"), price=35, year=1997):
     """Store sales of returned items, by item, store and both addresses, this
     year against next year.  ``cs_ui`` (items whose catalog list sales
     exceed twice their refunds) is a semi-join filter on the item.  The

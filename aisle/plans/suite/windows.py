@@ -131,7 +131,6 @@ def q57(spark, sf_dir, year=2000):
          .join(t.call_center.select("cc_call_center_sk", "cc_name"), c("cc_call_center_sk") == c("cs_call_center_sk")))
     part = ["i_category", "i_brand", "cc_name"]
     g = j.groupBy(*part, "d_year", "d_moy").agg(F.sum("cs_sales_price").alias("s"))
-    g = g.withColumnRenamed("cs_sales_price", "s")
     return _neighbours(g, part, year, ["i_category", "i_brand", "d_year", "d_moy"], "d_year")
 
 
@@ -170,9 +169,8 @@ def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, ye
     rr = rets.select(c(f"{r}_{num_r}").alias("r_ord"), c(f"{r}_item_sk").alias("r_item"),
                      c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt_r}").alias("r_amt"))
     s = sales.filter((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
-    j = (s.join(rr, (c(f"{p}_{num_s}") == c("r_ord")) & (c(f"{p}_item_sk") == c("r_item")), "left")
-         .filter(c("r_amt") > min_return_amt)
-         .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk")))
+    j = (s.join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+         .join(rr.filter(c("r_amt") > min_return_amt), (c(f"{p}_{num_s}") == c("r_ord")) & (c(f"{p}_item_sk") == c("r_item"))))
     d = "decimal(15,4)"
     g = j.groupBy(c(f"{p}_item_sk").alias("item")).agg(
         (F.sum(F.coalesce(c("r_qty"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_quantity"), F.lit(0))).cast(d))

@@ -5,14 +5,17 @@ The workload is a retail decision-support suite over 24 tables (7 facts,
 (``lineitem orders customer part supplier``), so the retail tables are
 *derived* from it:
 
-* one sale line per (order, item family): ``lineitem`` joined to ``orders``
-  and grouped; ``order % 3`` picks the channel (store, catalog, web);
+* one item per part, one customer per customer and two addresses each, so
+  the dimensions grow with the input and hold its attributes;
+* one sale line per (order, item): ``lineitem`` joined to ``orders`` and
+  grouped; ``order % 3`` picks the channel (store, catalog, web);
+* sales lean to favourites: three lines in four are sold as the first item
+  of their group of eleven neighbours, and four orders in five are placed by
+  the first customer of theirs, so that customers meet the same items again
+  in other channels;
 * returns are the sale lines whose return flag is ``R``;
-* item families fold the whole ``part`` table into ``|part| / 10`` groups,
-  customers fold ``customer`` into ``|customer| / 10`` groups, so every
-  table grows with the scale factor and cross-channel overlaps exist;
-* calendar dimensions (date, time) and the small outlet dimensions come
-  from number ranges.
+* the calendar spans the years of the orders and of what follows them;
+* the time of day and the small outlet dimensions come from number ranges.
 
 Every column is one SQL expression in ``_specs``; Spark evaluates it with
 ``selectExpr`` and the DuckDB oracle evaluates the very same text as a
@@ -23,7 +26,6 @@ Only ``+ - * %``, CASE, CAST and exact decimals are used.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from dataclasses import dataclass, field
 
@@ -78,14 +80,21 @@ CALL_CENTERS = ["NY Metro", "Mid Atlantic", "North Midwest", "California"]
 SITE_COMPANIES = ["pri", "able", "ought", "ese", "anti", "cally"]
 COUNTRIES = ["UNITED STATES", "CANADA", "MEXICO", "GERMANY"]
 
-# Calendar span of date_dim: 1995-01-01 .. 2002-12-31 as day numbers,
-# 2450815 being 1998-01-01.
-DATE_SK_LO, DATE_SK_HI, DATE_SK_1998 = 2449719, 2452640, 2450815
-FOLD = 10  # rows of part / customer per item family / customer group
-# Dimension sizes stop growing where the benchmark's own dimensions do
-# (about half a million items, a hundred million customers at 100 TB); the
-# facts keep growing with the input.
-MAX_ITEMS, MAX_CUSTOMERS = 500_000, 100_000_000
+# Day numbers: 2450815 is 1998-01-01.  Ship and return dates follow their sale
+# by up to AFTER_DAYS.
+DATE_SK_1998, AFTER_DAYS = 2450815, 180
+# Neighbouring parts (customers) whose sales lean to the first of them; prime,
+# so that the first ones still spread over all attribute values.
+NEIGHBOURS = 11
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Scalars that the derivation takes from the input: the number of
+    customers and the first and last day of the calendar."""
+    customers: int
+    first_day: int
+    last_day: int
 
 
 def _case(expr: str, values: list[str]) -> str:
@@ -120,13 +129,13 @@ def _id(prefix: str, k: str = "k") -> str:
     return f"concat('{prefix}', lpad(CAST({k} AS STRING), 15, '0'))"
 
 
-def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
-    """All 24 tables.  ``nc`` is SQL text for the number of customers."""
-    naddr = f"(2 * {nc})"
+def _specs(d: Dialect, nc: str = "0", lo: str = "0", hi: str = "0") -> dict[str, Spec]:
+    """All 24 tables.  ``nc``, ``lo`` and ``hi`` are SQL texts for the number
+    of customers and the first and last day number of the calendar."""
     s: dict[str, Spec] = {}
 
     s["date_dim"] = Spec(
-        f"range:{DATE_SK_LO}:{DATE_SK_HI + 1}",
+        "days",
         [[("dt", d.date_plus("DATE '1998-01-01'", f"k - {DATE_SK_1998}"))],
          [("y", "year(dt)"), ("m", "month(dt)"), ("dom", "dayofmonth(dt)"),
           ("qoy", "quarter(dt)"), ("dow", "(k + 1) % 7"),
@@ -167,7 +176,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
 
     price = "CAST((100 + (k * 97) % 19900) * 0.01 AS DECIMAL(7,2))"
     s["item"] = Spec(
-        "item_fold", [[("cp", price), ("mf", "k % 50 + 1")]],
+        "part", [[("cp", price), ("mf", "k % 50 + 1")]],
         [("i_item_sk", "k", "i"), ("i_item_id", _id("I"), "s"),
          ("i_rec_start_date", "DATE '1997-10-27'", "date"),
          ("i_rec_end_date", "CAST(NULL AS DATE)", "date"),
@@ -185,22 +194,22 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
          ("i_product_name", "concat(pn, '#', CAST(k AS STRING))", "s")])
 
     s["customer"] = Spec(
-        "cust_fold", [],
+        "customer", [],
         [("c_customer_sk", "k", "i"), ("c_customer_id", _id("C"), "s"),
          ("c_current_cdemo_sk", "k * 5 % 1400", "i"), ("c_current_hdemo_sk", "k * 37 % 720", "i"),
-         ("c_current_addr_sk", f"k * 11 % {naddr}", "i"),
-         ("c_first_shipto_date_sk", f"{DATE_SK_LO} + (k * 37) % 2000", "i"),
-         ("c_first_sales_date_sk", f"{DATE_SK_LO} + (k * 37) % 2000 + 30", "i"),
+         ("c_current_addr_sk", "2 * k + k % 3 % 2", "i"),
+         ("c_first_shipto_date_sk", f"{lo} + (k * 37) % 2000", "i"),
+         ("c_first_sales_date_sk", f"{lo} + (k * 37) % 2000 + 30", "i"),
          ("c_salutation", _case("k % 4", ["Mr.", "Mrs.", "Ms.", "Dr."]), "s"),
-         ("c_first_name", "concat('F', CAST(k % 2 AS STRING))", "s"),
-         ("c_last_name", "concat('L', CAST(k % 10 AS STRING))", "s"),
+         ("c_first_name", "concat('F', CAST(k % 8 AS STRING))", "s"),
+         ("c_last_name", "concat('L', CAST(k % 20 AS STRING))", "s"),
          ("c_preferred_cust_flag", "CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'N' END", "s"),
          ("c_birth_day", "k % 28 + 1", "i"), ("c_birth_month", "k % 12 + 1", "i"),
          ("c_birth_year", "1930 + k % 60", "i"),
          ("c_birth_country", _case("k % 4", COUNTRIES), "s"),
          ("c_login", "cn", "s"),
          ("c_email_address", "concat('cust', CAST(k AS STRING), '@example.com')", "s"),
-         ("c_last_review_date", f"CAST({DATE_SK_LO + 2000} + k % 600 AS STRING)", "s")])
+         ("c_last_review_date", f"CAST({lo} + 2000 + k % 600 AS STRING)", "s")])
 
     s["customer_address"] = Spec(
         "addr", [],
@@ -288,7 +297,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
         [("cc_call_center_sk", "k", "i"), ("cc_call_center_id", _id("CC"), "s"),
          ("cc_rec_start_date", "DATE '1998-01-01'", "date"),
          ("cc_rec_end_date", "CAST(NULL AS DATE)", "date"),
-         ("cc_closed_date_sk", "CAST(NULL AS INT)", "i"), ("cc_open_date_sk", f"{DATE_SK_LO}", "i"),
+         ("cc_closed_date_sk", "CAST(NULL AS INT)", "i"), ("cc_open_date_sk", f"{lo}", "i"),
          ("cc_name", _case("k - 1", CALL_CENTERS), "s"), ("cc_class", "'large'", "s"),
          ("cc_employees", "100 * k", "i"), ("cc_sq_ft", "10000 * k", "i"),
          ("cc_hours", "'8AM-4PM'", "s"), ("cc_manager", "concat('Manager ', CAST(k AS STRING))", "s"),
@@ -296,7 +305,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
          ("cc_market_manager", "concat('Market manager ', CAST(k AS STRING))", "s"),
          ("cc_division", "1", "i"), ("cc_division_name", "'Unknown'", "s"),
          ("cc_company", "1", "i"), ("cc_company_name", "'Unknown'", "s")]
-        + [(n.replace("cc_", "cc_"), e, t) for n, e, t in _addr_cols(d, "cc_", "k * 3")]
+        + [(n, e, t) for n, e, t in _addr_cols(d, "cc_", "k * 3")]
         + [("cc_tax_percentage", "0.05", "d5.2")])
 
     s["web_site"] = Spec(
@@ -305,7 +314,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
          ("web_rec_start_date", "DATE '1997-08-16'", "date"),
          ("web_rec_end_date", "CAST(NULL AS DATE)", "date"),
          ("web_name", "concat('site_', CAST(k - 1 AS STRING))", "s"),
-         ("web_open_date_sk", f"{DATE_SK_LO}", "i"), ("web_close_date_sk", "CAST(NULL AS INT)", "i"),
+         ("web_open_date_sk", f"{lo}", "i"), ("web_close_date_sk", "CAST(NULL AS INT)", "i"),
          ("web_class", "'Unknown'", "s"), ("web_manager", "concat('Manager ', CAST(k AS STRING))", "s"),
          ("web_mkt_id", "k", "i"), ("web_mkt_class", "'Unknown'", "s"), ("web_mkt_desc", "'Unknown'", "s"),
          ("web_market_manager", "concat('Market manager ', CAST(k AS STRING))", "s"),
@@ -318,7 +327,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
         [("wp_web_page_sk", "k", "i"), ("wp_web_page_id", _id("WP"), "s"),
          ("wp_rec_start_date", "DATE '1997-09-03'", "date"),
          ("wp_rec_end_date", "CAST(NULL AS DATE)", "date"),
-         ("wp_creation_date_sk", f"{DATE_SK_LO} + k", "i"), ("wp_access_date_sk", f"{DATE_SK_HI} - k", "i"),
+         ("wp_creation_date_sk", f"{lo} + k", "i"), ("wp_access_date_sk", f"{hi} - k", "i"),
          ("wp_autogen_flag", "CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'N' END", "s"),
          ("wp_customer_sk", "CAST(NULL AS INT)", "i"),
          ("wp_url", "'http://www.example.com'", "s"),
@@ -361,7 +370,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
     def demo(c):  # demographic / address keys of customer expression c
         return (f"({c} * 5 + h % 3) % 1400",
                 f"CASE WHEN h % 23 = 0 THEN NULL ELSE ({c} * 37 + ok % 11 * 131) % 720 END",
-                f"CASE WHEN h % 41 = 0 THEN NULL ELSE ({c} * 11 + h % 3) % {naddr} END")
+                f"CASE WHEN h % 41 = 0 THEN NULL ELSE 2 * {c} + h % 2 END")
 
     def money(p, names):
         exprs = {"wholesale_cost": "wc", "list_price": "lp", "sales_price": "sp",
@@ -459,7 +468,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
          ("cr_refunded_customer_sk", "ck", "i"), ("cr_refunded_cdemo_sk", bill[0], "i"),
          ("cr_refunded_hdemo_sk", bill[1], "i"), ("cr_refunded_addr_sk", bill[2], "i"),
          ("cr_returning_customer_sk", "rck", "i"), ("cr_returning_cdemo_sk", rdemo[0], "i"),
-         ("cr_returning_hdemo_sk", rdemo[1], "i"), ("cr_returning_addr_sk", f"rck * 11 % {naddr}", "i"),
+         ("cr_returning_hdemo_sk", rdemo[1], "i"), ("cr_returning_addr_sk", "2 * rck", "i"),
          ("cr_call_center_sk", "sk % 4 + 1", "i"), ("cr_catalog_page_sk", "h % 40 + 1", "i"),
          ("cr_ship_mode_sk", "h % 20 + 1", "i"),
          ("cr_warehouse_sk", "CASE WHEN h % 43 = 0 THEN NULL ELSE sk % 5 + 1 END", "i"),
@@ -474,7 +483,7 @@ def _specs(d: Dialect, nc: str) -> dict[str, Spec]:
          ("wr_refunded_customer_sk", "ck", "i"), ("wr_refunded_cdemo_sk", bill[0], "i"),
          ("wr_refunded_hdemo_sk", bill[1], "i"), ("wr_refunded_addr_sk", bill[2], "i"),
          ("wr_returning_customer_sk", "rck", "i"), ("wr_returning_cdemo_sk", rdemo[0], "i"),
-         ("wr_returning_hdemo_sk", rdemo[1], "i"), ("wr_returning_addr_sk", f"rck * 11 % {naddr}", "i"),
+         ("wr_returning_hdemo_sk", rdemo[1], "i"), ("wr_returning_addr_sk", "2 * rck", "i"),
          ("wr_web_page_sk", "CASE WHEN h % 37 = 0 THEN NULL ELSE h % 20 + 1 END", "i"),
          ("wr_reason_sk", "h % 10 + 1", "i"), ("wr_order_number", "ok", "L"),
          ("wr_return_quantity", "rq", "i")]
@@ -492,8 +501,9 @@ FACTS = ["store_sales", "store_returns", "catalog_sales", "catalog_returns",
          "web_sales", "web_returns", "inventory"]
 
 # Inventory snapshots: every 7th day from 1999-01-01 (day 2451180), 105 weeks,
-# warehouses 1..5.
-INV_FIRST_SK, INV_WEEKS, INV_WAREHOUSES = 2451180, 105, 5
+# in two of the five warehouses for each item.
+INV_FIRST_SK, INV_WEEKS, WAREHOUSE_COUNT = 2451180, 105, 5
+STOCKED = "k % 5 + 1", "(k + 2) % 5 + 1"
 
 
 # ---------------------------------------------------------------------------
@@ -503,18 +513,23 @@ def _driver_df(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sale_base(spark: SparkSession, sf_dir: str, n_items: int, n_cust: int) -> DataFrame:
-    """One row per (order, item family) with its channel ``ch``."""
-    li = _driver_df(spark, sf_dir, "lineitem")
-    od = _driver_df(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    item = (F.col("l_partkey") % n_items).cast("int")
+# SQL text of the sold item and of the buyer of a line (see the module's text).
+SOLD_ITEM = (f"CASE WHEN (l_orderkey + l_partkey) % 4 = 0 THEN l_partkey "
+             f"ELSE l_partkey - l_partkey % {NEIGHBOURS} END")
+BUYER = f"CASE WHEN o_orderkey % 5 = 0 THEN o_custkey ELSE o_custkey - o_custkey % {NEIGHBOURS} END"
+
+
+def sale_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, item) with its channel ``ch``."""
+    li = _driver_df(spark, sf_dir, "lineitem").withColumn("item", F.expr(f"CAST({SOLD_ITEM} AS INT)"))
+    od = _driver_df(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.expr(BUYER).alias("buyer"))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .groupBy(F.col("l_orderkey").alias("ok"), item.alias("item"))
+            .groupBy(F.col("l_orderkey").alias("ok"), "item")
             .agg(F.min("l_suppkey").alias("sk"),
                  F.sum(2 * F.col("l_quantity").cast("int") - 1).alias("q"),
                  F.max(F.round(F.col("l_discount") * 100).cast("int")).alias("disc"),
                  F.max("l_returnflag").alias("rf"),
-                 (F.min("o_custkey") % n_cust).alias("ck"),
+                 F.min("buyer").alias("ck"),
                  F.min("o_orderdate").alias("od"))
             .select("*",
                     (F.lit(DATE_SK_1998) + F.datediff(F.col("od").cast("date"),
@@ -524,29 +539,23 @@ def sale_base(spark: SparkSession, sf_dir: str, n_items: int, n_cust: int) -> Da
             .drop("od"))
 
 
-def _spark_source(spark, sf_dir, key, sizes, sale) -> DataFrame:
-    n_items, n_cust = sizes
+def _spark_source(spark, sf_dir, key, sizes: Sizes, sale) -> DataFrame:
+    if key == "days":
+        return spark.range(sizes.first_day, sizes.last_day + 1).withColumnRenamed("id", "k")
     if key.startswith("range:"):
         _, lo, hi = key.split(":")
         return spark.range(int(lo), int(hi)).withColumnRenamed("id", "k")
-    if key == "item_fold":
-        p = _driver_df(spark, sf_dir, "part")
-        return (p.groupBy((F.col("p_partkey") % n_items).alias("k"))
-                .agg(F.min_by("p_brand", "p_partkey").alias("pb"),
-                     F.min_by("p_name", "p_partkey").alias("pn"),
-                     F.min_by("p_type", "p_partkey").alias("pt")))
-    if key == "cust_fold":
-        c = _driver_df(spark, sf_dir, "customer")
-        return (c.groupBy((F.col("c_custkey") % n_cust).alias("k"))
-                .agg(F.min_by("c_name", "c_custkey").alias("cn")))
+    if key == "part":
+        return _driver_df(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_brand AS pb", "p_name AS pn", "p_type AS pt")
+    if key == "customer":
+        return _driver_df(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_name AS cn")
     if key == "addr":
-        c = _spark_source(spark, sf_dir, "cust_fold", sizes, sale)
-        return c.select(F.explode(F.array(F.col("k"), F.col("k") + n_cust)).alias("k"))
+        return _driver_df(spark, sf_dir, "customer").selectExpr("explode(array(2 * c_custkey, 2 * c_custkey + 1)) AS k")
     if key == "inv":
-        it = _spark_source(spark, sf_dir, "item_fold", sizes, sale).select("k")
+        it = _driver_df(spark, sf_dir, "part").selectExpr("p_partkey AS k")
         return (it.select("k", F.explode(F.sequence(F.lit(0), F.lit(INV_WEEKS - 1))).alias("w"))
                 .select("k", (F.lit(INV_FIRST_SK) + F.col("w") * 7).alias("dsk"),
-                        F.explode(F.sequence(F.lit(1), F.lit(INV_WAREHOUSES))).alias("wh")))
+                        F.explode(F.array(*map(F.expr, STOCKED))).alias("wh")))
     kind, ch = key.split(":")
     base = sale.filter(F.col("ch") == int(ch))
     if kind == "ret":
@@ -560,20 +569,26 @@ def _apply_spec(df: DataFrame, spec: Spec, d: Dialect = SPARK) -> DataFrame:
     return df.selectExpr(*[f"CAST({e} AS {sql_type(t)}) AS {n}" for n, e, t in spec.cols])
 
 
-def fold_sizes(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """(item families, customer groups).  Two parquet footer counts."""
-    n_part = _driver_df(spark, sf_dir, "part").count()
-    n_cust = _driver_df(spark, sf_dir, "customer").count()
-    return (max(1, min(n_part // FOLD, MAX_ITEMS)), max(1, min(n_cust // FOLD, MAX_CUSTOMERS)))
+def input_sizes(spark: SparkSession, sf_dir: str) -> Sizes:
+    """Scalars of the input.  Keys must be 0 .. n-1, as the neighbours of a
+    part and of a customer are taken by key."""
+    for table, key in (("part", "p_partkey"), ("customer", "c_custkey")):
+        n, low, high = _driver_df(spark, sf_dir, table).agg(F.count("*"), F.min(key), F.max(key)).first()
+        if n and (low, high) != (0, n - 1):
+            raise ValueError(f"{table}: {n} keys from {low} to {high}; expected 0 to {n - 1}")
+    first, last = _driver_df(spark, sf_dir, "orders").selectExpr(
+        f"datediff(trunc(min(o_orderdate), 'YEAR'), DATE '1998-01-01') + {DATE_SK_1998}",
+        f"datediff(add_months(trunc(date_add(max(o_orderdate), {AFTER_DAYS}), 'YEAR'), 12), DATE '1998-01-01') + {DATE_SK_1998} - 1").first()
+    return Sizes(n, DATE_SK_1998 if first is None else first, DATE_SK_1998 + 364 if last is None else last)
 
 
 def build_retail(spark: SparkSession, sf_dir: str, sale: DataFrame | None = None,
-                 sizes: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+                 sizes: Sizes | None = None) -> dict[str, DataFrame]:
     """Lazy DataFrames of all 24 retail tables (no materialisation)."""
-    sizes = sizes or fold_sizes(spark, sf_dir)
+    sizes = sizes or input_sizes(spark, sf_dir)
     if sale is None:
-        sale = sale_base(spark, sf_dir, *sizes)
-    specs = _specs(SPARK, str(sizes[1]))
+        sale = sale_base(spark, sf_dir)
+    specs = _specs(SPARK, str(sizes.customers), str(sizes.first_day), str(sizes.last_day))
     return {name: _apply_spec(_spark_source(spark, sf_dir, spec.source, sizes, sale), spec)
             for name, spec in specs.items()}
 
@@ -586,20 +601,33 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _files(spark: SparkSession, path: str):
+    """(path, length, modification time) of the files under ``path``, through
+    Spark's own file system; None when there is no such path."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    out, walk = [], fs.listFiles(at, True)
+    while walk.hasNext():
+        f = walk.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with this module and with any file of the input tables."""
     h = hashlib.sha1()
-    h.update(os.path.abspath(sf_dir).encode())
     with open(__file__, "rb") as f:
         h.update(f.read())
     for name in ("lineitem", "orders", "part", "customer"):
-        p = f"{sf_dir}/{name}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(repr(_files(spark, f"{sf_dir}/{name}.parquet")).encode())
     return h.hexdigest()[:16]
 
 
 _CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
+LAYOUTS = ("flat", "date")
 
 
 def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -> dict[str, DataFrame]:
@@ -613,30 +641,33 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     that folder is written last, so concurrent builders never mix files and
     a half-written build is never read.
 
-    ``layout``: 'flat', 'date' (facts partitioned by their date key, so a
+    ``layout``: 'flat', or 'date' (facts partitioned by their date key, so a
     filter on ``date_dim`` prunes fact files at run time through dynamic
-    partition pruning) or None = decided by size (see ``choose_layout``).
+    partition pruning; for inputs whose days fill files of tens of MB).
+    Left out, it is the session's ``spark.aisle.layout``, else 'flat'.
     """
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), layout)
+    layout = layout or spark.conf.get("spark.aisle.layout", "flat")
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout {layout!r} is none of {LAYOUTS}")
+    version = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, layout, version)
     if key in _CACHE:
         return _CACHE[key]
     loaded = _loaded_tables(spark, sf_dir)
     if loaded is not None:
         _CACHE[key] = loaded
         return loaded
-    base = f"{_checkpoint_root(spark)}/aisle-retail/{_fingerprint(sf_dir)}"
-    if layout is not None:
-        base += f"-{layout}"
-    try:
+    base = f"{_checkpoint_root(spark)}/aisle-retail/{version}-{layout}"
+    if _files(spark, f"{base}/complete_marker/_SUCCESS") is not None:
         # the marker names the folder of the last complete build
         base = spark.read.parquet(f"{base}/complete_marker").first()["path"]
-    except Exception:  # noqa: BLE001 - missing or partial marker means (re)build
+    else:
         build = f"{base}/build-{uuid.uuid4().hex[:12]}"
         materialise_retail(spark, sf_dir, build, layout)
         spark.createDataFrame([(build,)], "path string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{base}/complete_marker")
         base = build
-    specs = _specs(SPARK, "0")
+    specs = _specs(SPARK)
     # partition columns come back last: restore the declared column order
     out = {t: spark.read.parquet(f"{base}/{t}").select(*[n for n, _, _ in specs[t].cols]) for t in TABLES}
     _CACHE[key] = out
@@ -647,9 +678,7 @@ def _loaded_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame] | N
     """The 24 tables themselves when ``sf_dir`` already holds them (one
     Parquet folder per table, e.g. written by ``python -m aisle load``);
     None when it holds the order-entry tables the retail ones derive from."""
-    try:
-        spark.read.parquet(f"{sf_dir}/store_sales").schema  # noqa: B018 - existence probe
-    except Exception:  # noqa: BLE001
+    if _files(spark, f"{sf_dir}/store_sales") is None:
         return None
     return {t: spark.read.parquet(f"{sf_dir}/{t}") for t in TABLES}
 
@@ -659,37 +688,25 @@ FACT_DATE_KEY = {"store_sales": "ss_sold_date_sk", "catalog_sales": "cs_sold_dat
                  "web_sales": "ws_sold_date_sk", "store_returns": "sr_returned_date_sk",
                  "catalog_returns": "cr_returned_date_sk", "web_returns": "wr_returned_date_sk",
                  "inventory": "inv_date_sk"}
-PARTITION_TARGET_BYTES = 32 << 20
-
-
-def choose_layout(spark: SparkSession, sale_path: str) -> str:
-    """'date' when one day of sales fills a reasonable Parquet partition
-    (>= 32 MB estimated from the stored sale base), else 'flat': thousands
-    of tiny day folders would cost more in file opens than pruning saves."""
-    sale = spark.read.parquet(sale_path)
-    r = sale.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ods").alias("days")).first()
-    bytes_per_row = 160  # a fact row of ~23 mostly numeric columns, compressed
-    per_day = (r["n"] or 0) * bytes_per_row / max(1, r["days"] or 1)
-    return "date" if per_day >= PARTITION_TARGET_BYTES else "flat"
 
 
-def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str | None = None) -> None:
-    sizes = fold_sizes(spark, sf_dir)
-    n_items, n_cust = sizes
+def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str = "flat") -> None:
+    sizes = input_sizes(spark, sf_dir)
     sale_path = f"{base}/sale_base"
     # The sale base feeds six facts: write it once, then derive from the copy.
-    sale_base(spark, sf_dir, n_items, n_cust).write.mode("overwrite").parquet(sale_path)
+    sale_base(spark, sf_dir).write.mode("overwrite").parquet(sale_path)
     sale = spark.read.parquet(sale_path)
-    layout = layout or choose_layout(spark, sale_path)
     tables = build_retail(spark, sf_dir, sale=sale, sizes=sizes)
+    specs = _specs(SPARK)
     for name in TABLES:
         df = tables[name]
-        if _specs(SPARK, "0")[name].source.startswith("range:"):
-            df = df.coalesce(1)  # fixed-size calendar / outlet dimension
+        if specs[name].source.startswith("range:") or specs[name].source == "days":
+            df = df.coalesce(1)  # calendar / outlet dimension
         if layout == "date" and name in FACT_DATE_KEY:
             k = FACT_DATE_KEY[name]
             # range-cluster by (day, item, row hash): few day folders per
-            # task, and a large day (even one hot item) is split over tasks
+            # task, and a large day (even one hot item) is split over tasks;
+            # the range bounds cost a second derivation from the stored base
             item = [c for c in df.columns if c.endswith("_item_sk")][0]
             (df.repartitionByRange(F.col(k), F.col(item), F.xxhash64(*df.columns)).write.mode("overwrite")
              .partitionBy(k).parquet(f"{base}/{name}"))
@@ -700,45 +717,46 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
 # ---------------------------------------------------------------------------
 # DuckDB side (oracle prelude)
 # ---------------------------------------------------------------------------
-_DUCK_NI = f"(SELECT least(count(*) // {FOLD}, {MAX_ITEMS}) FROM part)"
-_DUCK_NC = f"(SELECT least(count(*) // {FOLD}, {MAX_CUSTOMERS}) FROM _src_customer)"
+_DUCK_NC = "(SELECT count(*) FROM _src_customer)"
+_DUCK_LO, _DUCK_HI = "(SELECT lo FROM _span)", "(SELECT hi FROM _span)"
+_DUCK_SPAN = f"""SELECT {DATE_SK_1998} + (CAST(date_trunc('year', min(o_orderdate)) AS DATE) - DATE '1998-01-01') AS lo,
+    {DATE_SK_1998} - 1 + (CAST(date_trunc('year', max(o_orderdate) + INTERVAL {AFTER_DAYS} DAY) + INTERVAL 1 YEAR AS DATE)
+                          - DATE '1998-01-01') AS hi
+  FROM orders"""
 
 _DUCK_SALE = f"""SELECT ok, item, sk, q, disc, rf, ck,
     {DATE_SK_1998} + (CAST(od AS DATE) - DATE '1998-01-01') AS ods,
     ok * 7 + item * 13 AS h, CAST(ok % 3 AS INT) AS ch
-  FROM (SELECT l_orderkey AS ok, CAST(l_partkey % {_DUCK_NI} AS INT) AS item,
+  FROM (SELECT l_orderkey AS ok, CAST({SOLD_ITEM} AS INT) AS item,
                min(l_suppkey) AS sk, CAST(sum(2 * CAST(l_quantity AS INT) - 1) AS BIGINT) AS q,
                max(CAST(round(l_discount * 100) AS INT)) AS disc, max(l_returnflag) AS rf,
-               min(o_custkey) % {_DUCK_NC} AS ck, min(o_orderdate) AS od
+               min({BUYER}) AS ck, min(o_orderdate) AS od
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        GROUP BY l_orderkey, CAST(l_partkey % {_DUCK_NI} AS INT)) b"""
+        GROUP BY l_orderkey, CAST({SOLD_ITEM} AS INT)) b"""
 
 
 def _duck_source(key: str) -> str:
     if key.startswith("range:"):
         _, lo, hi = key.split(":")
         return f"SELECT range AS k FROM range({lo}, {hi})"
-    if key == "item_fold":
-        return (f"SELECT p_partkey % {_DUCK_NI} AS k, min_by(p_brand, p_partkey) AS pb, "
-                f"min_by(p_name, p_partkey) AS pn, min_by(p_type, p_partkey) AS pt "
-                f"FROM part GROUP BY p_partkey % {_DUCK_NI}")
-    if key == "cust_fold":
-        return (f"SELECT c_custkey % {_DUCK_NC} AS k, min_by(c_name, c_custkey) AS cn "
-                f"FROM _src_customer GROUP BY c_custkey % {_DUCK_NC}")
+    if key == "days":
+        return f"SELECT unnest(range({_DUCK_LO}, {_DUCK_HI} + 1)) AS k"
+    if key == "part":
+        return "SELECT p_partkey AS k, p_brand AS pb, p_name AS pn, p_type AS pt FROM part"
+    if key == "customer":
+        return "SELECT c_custkey AS k, c_name AS cn FROM _src_customer"
     if key == "addr":
-        return (f"SELECT k FROM ({_duck_source('cust_fold')}) UNION ALL "
-                f"SELECT k + {_DUCK_NC} FROM ({_duck_source('cust_fold')})")
+        return "SELECT 2 * c_custkey + h.range AS k FROM _src_customer, range(2) h"
     if key == "inv":
-        return (f"SELECT i.k, {INV_FIRST_SK} + w.range * 7 AS dsk, wh.range AS wh "
-                f"FROM ({_duck_source('item_fold')}) i, range(0, {INV_WEEKS}) w, "
-                f"range(1, {INV_WAREHOUSES + 1}) wh")
+        stocked = " UNION ALL ".join(f"SELECT p_partkey AS k, {e.replace('k', 'p_partkey')} AS wh FROM part" for e in STOCKED)
+        return f"SELECT i.k, {INV_FIRST_SK} + w.range * 7 AS dsk, i.wh FROM ({stocked}) i, range(0, {INV_WEEKS}) w"
     kind, ch = key.split(":")
     cond = f"ch = {ch}" + (" AND rf = 'R'" if kind == "ret" else "")
     return f"SELECT * FROM _sale WHERE {cond}"
 
 
 def duck_table_sql(name: str) -> str:
-    spec = _specs(DUCK, _DUCK_NC)[name]
+    spec = _specs(DUCK, _DUCK_NC, _DUCK_LO, _DUCK_HI)[name]
     sql = _duck_source(spec.source)
     for stage in spec.stages:
         sql = f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in stage)} FROM ({sql}) s"
@@ -753,9 +771,9 @@ def duckdb_prelude(tables: list[str] | None = None) -> str:
     Pass ``tables`` to define only those (plus ``_sale`` when a fact needs it).
     """
     names = tables or TABLES
-    specs = _specs(DUCK, _DUCK_NC)
+    specs = _specs(DUCK, _DUCK_NC, _DUCK_LO, _DUCK_HI)
     # The order-entry ``customer`` table shares its name with the retail one.
-    parts = ["_src_customer AS (SELECT * FROM customer)"]
+    parts = ["_src_customer AS (SELECT * FROM customer)", f"_span AS MATERIALIZED ({_DUCK_SPAN})"]
     if any(specs[n].source.startswith(("sale:", "ret:")) for n in names):
         parts.append(f"_sale AS MATERIALIZED ({_DUCK_SALE})")
     parts += [f"{n} AS ({duck_table_sql(n)})" for n in names]

@@ -44,7 +44,7 @@ def _type(t: str, money: str) -> T.DataType:
 def not_null(table: str) -> list[str]:
     if table in FACT_NOT_NULL:
         return FACT_NOT_NULL[table]
-    cols = [n for n, _, _ in _specs(SPARK, "1")[table].cols]
+    cols = [n for n, _, _ in _specs(SPARK)[table].cols]
     return cols[:2]
 
 
@@ -53,7 +53,7 @@ def retail_schema(table: str, money: str = "decimal") -> T.StructType:
     m = money if table in FACTS else "decimal"
     nn = set(not_null(table))
     return T.StructType([T.StructField(n, _type(t, m), n not in nn)
-                         for n, _, t in _specs(SPARK, "1")[table].cols])
+                         for n, _, t in _specs(SPARK)[table].cols])
 
 
 # the name used for the partitioned facts' DDL variants
