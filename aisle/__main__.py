@@ -40,7 +40,7 @@ def main(argv=None):
     s.add_argument("--days", type=int, required=True)
     s.add_argument("--by-part", action="store_true")
     s.add_argument("--codec", default="snappy")
-    s.add_argument("--row-group", type=int, default=8192)
+    s.add_argument("--row-group", type=int, default=None)
     s = sub.add_parser("analyze")
     s.add_argument("--in", dest="inp", required=True)
     s = sub.add_parser("report")
@@ -70,24 +70,24 @@ def main(argv=None):
         for n in TABLES:
             delimited.write_delimited(t[n], f"{a.out}/{n}")
     elif a.cmd == "load":
-        pairs = {}
+        pairs, rejects = {}, {}
         for n in TABLES:
             schema = retail_schema(n, a.money)
             raw = delimited.read_raw(spark, f"{a.text_dir}/{n}", schema)
-            good, bad = delimited.split_rejects(raw, schema, a.max_reject_pct)
+            good, rejects[n] = delimited.ingest(raw, schema, f"{a.out}/_ingested/{n}", a.max_reject_pct)
             tables.load_table(good, f"{a.out}/{n}", tables.write_options())
-            if bad.limit(1).count():
-                bad.write.mode("overwrite").parquet(f"{a.out}/_rejects/{n}")
             pairs[n] = (raw, spark.read.parquet(f"{a.out}/{n}"))
-        jobs.reconcile(spark, pairs).show(len(TABLES), truncate=False)
+        jobs.reconcile(spark, pairs, rejects).show(len(TABLES), truncate=False)
     elif a.cmd == "part":
         for n in FACTS:
             df = spark.read.parquet(f"{a.inp}/{n}")
             key = tables.PART_KEY[n]
+            lo, hi = tables.key_range(df, key)
             if a.by_part:
-                tables.load_partitions(spark, df, key, a.days, f"{a.out}/{n}")
+                left = tables.load_partitions(spark, df, key, a.days, f"{a.out}/{n}", lo=lo, hi=hi)
+                print(f"{n}: {left} rows outside every range")
             else:
-                tables.write_range_partitioned(df, key, a.days, f"{a.out}/{n}",
+                tables.write_range_partitioned(df, key, a.days, f"{a.out}/{n}", lo=lo, hi=hi,
                                                options=tables.write_options("parquet", a.row_group, a.codec))
     elif a.cmd == "analyze":
         for n in TABLES:

@@ -9,6 +9,7 @@ the data) is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,10 +33,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only when unset."""
+    """The cluster's ``spark.checkpoint.dir``.  Where it is unset, a session
+    whose executors are threads of the driver (master ``local``) gets a
+    folder of its own, or the one that AISLE_SCRATCH names; any other session
+    has no folder that all its machines share, and that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="aisle-ckpt-", dir=os.environ.get("AISLE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(root)
     return root

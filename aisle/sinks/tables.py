@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PART_LO, PART_HI = 2450815, 2453005   # 1998-01-01 .. 2003-12-31 as day keys
+PART_LO, PART_HI = 2450815, 2453005   # 1998-01-01 .. 2003-12-31; pass the range of the data (``key_range``) where it differs
 OUTLIERS = -1
 
 # The range-partition (date) key of each fact.
@@ -27,9 +27,10 @@ DIST_KEY = {"store_sales": ["ss_item_sk", "ss_ticket_number"], "store_returns":
             "inventory": ["inv_date_sk", "inv_item_sk", "inv_warehouse_sk"]}
 
 
-def write_options(fmt: str = "parquet", row_group: int | None = 8192, codec: str = "snappy") -> dict:
-    """Storage options: row-group size in rows is approximated by bytes
-    (Parquet sizes row groups in bytes); codec 'snappy' or 'none'."""
+def write_options(fmt: str = "parquet", row_group: int | None = None, codec: str = "snappy") -> dict:
+    """Storage options: codec 'snappy' or 'none', and the row-group size in
+    rows, approximated by bytes (Parquet sizes row groups in bytes); left
+    out, row groups have Parquet's default of 128 MiB."""
     opts = {"compression": "none" if codec in (None, "none") else codec}
     if row_group:
         opts["parquet.block.size"] = str(max(1 << 16, int(row_group) * 128))
@@ -72,19 +73,24 @@ def write_range_partitioned(df: DataFrame, key: str, days: int, path: str, lo: i
 
 
 def load_partitions(spark: SparkSession, df: DataFrame, key: str, days: int, path: str,
-                    ranges: list[int] | None = None, lo: int = PART_LO, hi: int = PART_HI) -> None:
-    """Load range by range: only rows inside a listed range are written
-    (rows outside every range, outliers included, are not loaded).  One
-    job with dynamic partition overwrite instead of one job per range."""
-    out = df.withColumn("part_start", part_start(key, days, lo, hi)).filter(F.col("part_start") != OUTLIERS)
+                    ranges: list[int] | None = None, lo: int = PART_LO, hi: int = PART_HI) -> int:
+    """Load range by range: only rows inside a listed range are written.
+    One job with dynamic partition overwrite instead of one job per range.
+    Returns how many rows lie outside every range and were left out."""
+    placed = df.withColumn("part_start", part_start(key, days, lo, hi))
+    out = placed.filter(F.col("part_start") != OUTLIERS)
     if ranges is not None:
         out = out.filter(F.col("part_start").isin(list(ranges)))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        cluster_for_write(out, "part_start", key).write.mode("overwrite").partitionBy("part_start").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (cluster_for_write(out, "part_start", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("part_start").parquet(path))
+    return placed.filter(F.col("part_start") == OUTLIERS).count()
+
+
+def key_range(df: DataFrame, key: str) -> tuple[int, int]:
+    """The least and the greatest value of a date key (two scalars); the
+    default range where there is none."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    return (PART_LO, PART_HI) if lo is None else (lo, hi)
 
 
 def with_money(df: DataFrame, money: str = "decimal") -> DataFrame:

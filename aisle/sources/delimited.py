@@ -16,10 +16,14 @@ value becomes NULL instead of failing the task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 
 class RejectLimitExceeded(RuntimeError):
     pass
@@ -68,11 +72,28 @@ def split_rejects(raw: DataFrame, schema: T.StructType, max_pct: float = 1.0,
     return good, bad
 
 
+def ingest(raw: DataFrame, schema: T.StructType, path: str, max_pct: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected), read back from ``path``.  The text is parsed once:
+    one job writes both kinds side by side, and the counts for the limit come
+    from what was written."""
+    typed = typed_with_reason(raw, schema)
+    typed.withColumn("_bad", F.col("_reject").isNotNull()).write.mode("overwrite").partitionBy("_bad").parquet(path)
+    stored = typed.schema.add("_bad", T.BooleanType())
+    back = raw.sparkSession.read.schema(stored).parquet(path)
+    counts = {r["_bad"]: r["count"] for r in back.groupBy("_bad").count().collect()}
+    bad, n = counts.get(True, 0), sum(counts.values())
+    if n and 100.0 * bad / n > max_pct:
+        raise RejectLimitExceeded(f"{bad} of {n} rows rejected ({100.0 * bad / n:.2f}% > {max_pct}%)")
+    return back.filter(~F.col("_bad")).drop("_bad", "_reject"), back.filter("_bad").drop("_bad")
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
-                   encoding: str = "iso-8859-1", max_pct: float = 1.0) -> DataFrame:
-    """Good rows of a delimited text table, typed; fails above the reject limit."""
-    good, _ = split_rejects(read_raw(spark, path, schema, sep, encoding), schema, max_pct)
-    return good
+                   encoding: str = "iso-8859-1", max_pct: float = 1.0, store: str | None = None) -> DataFrame:
+    """Good rows of a delimited text table, typed; fails above the reject
+    limit.  They are stored under ``store`` (left out: a new folder under the
+    shared checkpoint folder)."""
+    store = store or f"{ensure_checkpoint_dir(spark)}/aisle-ingest/{uuid.uuid4().hex}"
+    return ingest(read_raw(spark, path, schema, sep, encoding), schema, store, max_pct)[0]
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:

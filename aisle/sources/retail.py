@@ -78,7 +78,7 @@ WAREHOUSES = ["Conventional childr", "Important issues liv", "Doors canno", "Bad
               "Operations within"]
 CALL_CENTERS = ["NY Metro", "Mid Atlantic", "North Midwest", "California"]
 SITE_COMPANIES = ["pri", "able", "ought", "ese", "anti", "cally"]
-COUNTRIES = ["UNITED STATES", "CANADA", "MEXICO", "GERMANY"]
+COUNTRIES = ["UNITED STATES", "CANADA", "M\u00c9XICO", "GERMANY"]
 
 # Day numbers: 2450815 is 1998-01-01.  Ship and return dates follow their sale
 # by up to AFTER_DAYS.
