@@ -46,9 +46,9 @@ def mean(c) -> Column:
 
 
 def mean_over(c, w) -> Column:
-    """``mean`` as a window function over ``w``."""
+    """Mean over the window ``w`` as a double: the exact sum divided once."""
     n = F.count(col(c)).over(w)
-    return F.when(n > 0, F.sum(col(c)).over(w) / n)
+    return F.when(n > 0, F.sum(col(c)).over(w).cast("double") / n)
 
 
 def avg4(c) -> Column:

@@ -1,7 +1,8 @@
-SELECT i_product_name, i_brand, i_class, i_category, round(CAST(avg(inv_quantity_on_hand) AS DOUBLE), 4) AS qoh
-FROM inventory, date_dim, item, warehouse
-WHERE inv_date_sk = d_date_sk AND inv_item_sk = i_item_sk AND inv_warehouse_sk = w_warehouse_sk
-  AND d_month_seq BETWEEN $month_seq AND $month_seq + 11
-GROUP BY ROLLUP (i_product_name, i_brand, i_class, i_category)
-ORDER BY qoh NULLS LAST, i_product_name NULLS LAST, i_brand NULLS LAST, i_class NULLS LAST, i_category NULLS LAST
-LIMIT 100
+, stock AS (
+  SELECT i_product_name, i_brand, i_class, i_category, CAST(sum(inv_quantity_on_hand) AS DOUBLE) / count(inv_quantity_on_hand) AS mean
+  FROM inventory JOIN warehouse ON w_warehouse_sk = inv_warehouse_sk JOIN item ON i_item_sk = inv_item_sk
+  JOIN date_dim ON d_date_sk = inv_date_sk AND d_month_seq - $month_seq BETWEEN 0 AND 11
+  GROUP BY ROLLUP (i_product_name, i_brand, i_class, i_category)
+  ORDER BY mean NULLS LAST, i_product_name NULLS LAST, i_brand NULLS LAST, i_class NULLS LAST, i_category NULLS LAST
+  LIMIT 100)
+SELECT i_product_name, i_brand, i_class, i_category, round(mean, 4) AS qoh FROM stock

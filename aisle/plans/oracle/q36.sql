@@ -1,14 +1,13 @@
-SELECT * FROM (
-  SELECT round(CAST(sum(ss_net_profit) / sum(ss_ext_sales_price) AS DOUBLE), 4) AS gross_margin,
-         i_category, i_class, CAST(grouping(i_category) + grouping(i_class) AS INT) AS lochierarchy,
-         rank() OVER (PARTITION BY grouping(i_category) + grouping(i_class),
-                      CASE WHEN grouping(i_class) = 0 THEN i_category END
-                      ORDER BY round(CAST(sum(ss_net_profit) / sum(ss_ext_sales_price) AS DOUBLE), 4) ASC)
-           AS rank_within_parent
-  FROM store_sales, date_dim d1, item, store
-  WHERE d1.d_year = $year AND d1.d_date_sk = ss_sold_date_sk AND i_item_sk = ss_item_sk AND s_store_sk = ss_store_sk
-    AND s_state IN ($states)
-  GROUP BY ROLLUP (i_category, i_class)) sub
-ORDER BY lochierarchy DESC NULLS FIRST, CASE WHEN lochierarchy = 0 THEN i_category END NULLS LAST,
-         rank_within_parent NULLS LAST, gross_margin, i_category, i_class
-LIMIT 100
+, sums AS (
+  SELECT i_category, i_class, grouping(i_category) + grouping(i_class) AS level, grouping(i_class) AS whole,
+         CAST(sum(ss_net_profit) AS DOUBLE) / CAST(sum(ss_ext_sales_price) AS DOUBLE) AS margin
+  FROM store_sales JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_year = $year
+  JOIN store ON s_store_sk = ss_store_sk AND s_state IN ($states)
+  JOIN item ON i_item_sk = ss_item_sk
+  GROUP BY ROLLUP (i_category, i_class)),
+ranked AS (
+  SELECT *, rank() OVER (PARTITION BY level, CASE WHEN whole = 0 THEN i_category END ORDER BY margin) AS place FROM sums
+  ORDER BY level DESC, CASE WHEN level = 0 THEN i_category END NULLS LAST, place, margin, i_category NULLS LAST, i_class NULLS LAST
+  LIMIT 100)
+SELECT round(margin, 4) AS gross_margin, i_category, i_class, CAST(level AS INT) AS lochierarchy, place AS rank_within_parent
+FROM ranked

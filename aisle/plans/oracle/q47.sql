@@ -1,25 +1,16 @@
-, v1 AS (
-  SELECT i_category, i_brand, s_store_name, s_company_name, d_year, d_moy, sum(ss_sales_price) AS sum_sales,
-         avg(sum(ss_sales_price)) OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name, d_year)
-           AS avg_monthly_sales,
-         rank() OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name ORDER BY d_year, d_moy) AS rn
-  FROM item, store_sales, date_dim, store
-  WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk
-    AND (d_year = $year OR (d_year = $year - 1 AND d_moy = 12) OR (d_year = $year + 1 AND d_moy = 1))
-  GROUP BY i_category, i_brand, s_store_name, s_company_name, d_year, d_moy),
-v2 AS (
-  SELECT v1.i_category, v1.d_year, v1.d_moy, round(CAST(v1.avg_monthly_sales AS DOUBLE), 4) AS avg_monthly_sales,
-         CAST(v1.sum_sales AS DECIMAL(38,2)) AS sum_sales, CAST(lag.sum_sales AS DECIMAL(38,2)) AS psum,
-         CAST(lead.sum_sales AS DECIMAL(38,2)) AS nsum, v1.avg_monthly_sales AS a_exact, v1.sum_sales AS s_exact
-  FROM v1 JOIN v1 lag ON v1.i_category = lag.i_category AND v1.i_brand = lag.i_brand
-                     AND v1.s_store_name = lag.s_store_name AND v1.s_company_name = lag.s_company_name
-                     AND v1.rn = lag.rn + 1
-          JOIN v1 lead ON v1.i_category = lead.i_category AND v1.i_brand = lead.i_brand
-                     AND v1.s_store_name = lead.s_store_name AND v1.s_company_name = lead.s_company_name
-                     AND v1.rn = lead.rn - 1)
-SELECT i_category, d_year, d_moy, avg_monthly_sales, sum_sales, psum, nsum FROM v2
-WHERE d_year = $year AND a_exact > 0
-  AND CASE WHEN a_exact > 0 THEN abs(s_exact - a_exact) / a_exact ELSE NULL END > 0.1
-ORDER BY sum_sales - avg_monthly_sales NULLS LAST, d_moy NULLS LAST, i_category, d_year, avg_monthly_sales,
-         sum_sales, psum, nsum
-LIMIT 100
+, monthly AS (
+  SELECT i_category, i_brand, s_store_name, s_company_name, d_year, d_moy, CAST(sum(ss_sales_price) AS DECIMAL(38,2)) AS s
+  FROM store_sales JOIN store ON s_store_sk = ss_store_sk JOIN item ON i_item_sk = ss_item_sk
+  JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_year * 12 + d_moy BETWEEN $year * 12 AND $year * 12 + 13
+  GROUP BY ALL),
+beside AS (
+  SELECT *, CAST(sum(s) OVER in_year AS DOUBLE) / count(s) OVER in_year AS a,
+         lag(s) OVER months AS before, lead(s) OVER months AS after
+  FROM monthly
+  WINDOW in_year AS (PARTITION BY i_category, i_brand, s_store_name, s_company_name, d_year),
+         months AS (PARTITION BY i_category, i_brand, s_store_name, s_company_name ORDER BY d_year, d_moy)),
+picked AS (
+  SELECT * FROM beside
+  WHERE d_year = $year AND before IS NOT NULL AND after IS NOT NULL AND a > 0 AND abs(CAST(s AS DOUBLE) - a) / a > 0.1
+  ORDER BY CAST(s AS DOUBLE) - a, d_moy, i_category, d_year, s, before, after LIMIT 100)
+SELECT i_category, d_year, d_moy, round(a, 4) AS avg_monthly_sales, s AS sum_sales, before AS psum, after AS nsum FROM picked

@@ -1,18 +1,15 @@
-SELECT i_manufact_id, CAST(s AS DECIMAL(38,2)) AS sum_sales, round(CAST(a AS DOUBLE), 4) AS avg_quarterly_sales
-FROM (SELECT i_manufact_id, sum(ss_sales_price) AS s,
-             avg(sum(ss_sales_price)) OVER (PARTITION BY i_manufact_id) AS a
-      FROM item, store_sales, date_dim, store
-      WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk
-        AND d_month_seq IN ($month_seq, $month_seq + 1, $month_seq + 2, $month_seq + 3, $month_seq + 4,
-                            $month_seq + 5, $month_seq + 6, $month_seq + 7, $month_seq + 8, $month_seq + 9,
-                            $month_seq + 10, $month_seq + 11)
-        AND ((i_category IN ('Books', 'Children', 'Electronics')
-              AND i_class IN ('personal', 'portable', 'reference', 'self-help')
-              AND i_brand IN ('Brand#25', 'Brand#17', 'Brand#23', 'Brand#15'))
-          OR (i_category IN ('Women', 'Music', 'Men')
-              AND i_class IN ('accessories', 'classical', 'fragrances', 'pants')
-              AND i_brand IN ('Brand#15', 'Brand#11', 'Brand#4', 'Brand#1')))
-      GROUP BY i_manufact_id, d_qoy) tmp
-WHERE CASE WHEN a > 0 THEN abs(s - a) / a ELSE NULL END > 0.1
-ORDER BY avg_quarterly_sales NULLS LAST, sum_sales NULLS LAST, i_manufact_id NULLS LAST
-LIMIT 100
+, choice AS (
+  SELECT i_item_sk AS good, i_manufact_id FROM item
+  WHERE (i_brand IN ('Brand#15', 'Brand#17', 'Brand#23', 'Brand#25') AND i_category IN ('Books', 'Children', 'Electronics')
+         AND i_class IN ('personal', 'portable', 'reference', 'self-help'))
+     OR (i_brand IN ('Brand#1', 'Brand#4', 'Brand#11', 'Brand#15') AND i_category IN ('Men', 'Music', 'Women')
+         AND i_class IN ('accessories', 'classical', 'fragrances', 'pants'))),
+quarterly AS (
+  SELECT i_manufact_id, d_qoy, CAST(sum(ss_sales_price) AS DECIMAL(38,2)) AS s
+  FROM store_sales JOIN choice ON good = ss_item_sk JOIN store ON s_store_sk = ss_store_sk
+  JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_month_seq BETWEEN $month_seq AND $month_seq + 11
+  GROUP BY ALL),
+usual AS (SELECT *, CAST(sum(s) OVER w AS DOUBLE) / count(s) OVER w AS a FROM quarterly WINDOW w AS (PARTITION BY i_manufact_id)),
+picked AS (SELECT * FROM usual WHERE a > 0 AND abs(CAST(s AS DOUBLE) - a) / a > 0.1
+           ORDER BY a, s NULLS LAST, i_manufact_id NULLS LAST LIMIT 100)
+SELECT i_manufact_id, s AS sum_sales, round(a, 4) AS avg_quarterly_sales FROM picked

@@ -85,8 +85,9 @@ def q22(spark, sf_dir, month_seq=1188):
          .join(t.item.select("i_item_sk", *keys), c("inv_item_sk") == c("i_item_sk"))
          .join(t.warehouse.select("w_warehouse_sk"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
     r = _avg_rollup(j, keys, ["inv_quantity_on_hand"])
-    out = r.select(*keys, _avg_col(0, "qoh"))
-    return topk(out, ["qoh", *keys])
+    # the rows are chosen by the exact average and then rounded
+    first = topk(r.select(*keys, (c("_s0").cast("double") / c("_n0")).alias("qoh")), ["qoh", *keys])
+    return first.withColumn("qoh", r4("qoh"))
 
 
 @register("q27")
@@ -127,10 +128,10 @@ def q36(spark, sf_dir, year=2000, states=("TN",) * 8):
          .join(t.store.filter(c("s_state").isin(list(states))).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     pre = j.groupBy("i_category", "i_class").agg(F.sum("ss_net_profit").alias("p"), F.sum("ss_ext_sales_price").alias("s"))
     r = rollup_levels(pre, ["i_category", "i_class"], [F.sum("p").alias("p"), F.sum("s").alias("s")])
-    r = r.withColumn("gross_margin", r4(c("p") / c("s")))
-    r = _rank_in_parent(r, "i_category", "i_class", "gross_margin", True)
+    r = r.withColumn("gross_margin", c("p").cast("double") / c("s").cast("double"))
+    r = _rank_in_parent(r, "i_category", "i_class", "gross_margin", True)  # on the exact ratio
     out = r.select("gross_margin", "i_category", "i_class", "lochierarchy", "rank_within_parent")
-    return _parent_order(out, "i_category")
+    return _parent_order(out, "i_category").withColumn("gross_margin", r4("gross_margin"))
 
 
 @register("q70")
