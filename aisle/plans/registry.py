@@ -23,14 +23,14 @@ class Entry:
     key: str
     fn: Callable
     prelude: str | None          # "retail", "ops" or None
-    sql: str | None = None       # inline oracle template (else oracle/<key>.sql)
+    sql: str | Callable | None = None  # inline oracle template or its maker (else oracle/<key>.sql)
     oracle: bool = True
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(key: str, prelude: str | None = "retail", sql: str | None = None,
+def register(key: str, prelude: str | None = "retail", sql: str | Callable | None = None,
              oracle: bool = True):
     def deco(fn):
         REGISTRY[key] = Entry(key, fn, prelude, sql, oracle)
@@ -81,19 +81,39 @@ def nudge_round4(sql: str) -> str:
         i = k
 
 
-def oracle_text(key: str) -> str | None:
+def _body(key: str, literals: dict | None = None) -> str | None:
+    """The oracle of a key without its prelude, with its literals filled in."""
     e = REGISTRY[key]
-    if not e.oracle:
-        return None
     text = e.sql
+    if callable(text):
+        return text()
     if text is None:
         path = os.path.join(ORACLE_DIR, f"{key}.sql")
         if not os.path.exists(path):
             return None
         with open(path) as f:
             text = f.read()
-    body = nudge_round4(string.Template(text).substitute(
-        {k: _sql_literal(v) for k, v in defaults(e.fn).items()}))
+    values = defaults(e.fn) | (literals or {})
+    return nudge_round4(string.Template(text).substitute({k: _sql_literal(v) for k, v in values.items()}))
+
+
+def row_count_sql(statements: list[tuple[str, dict]], columns: str = "") -> str:
+    """One row per statement (key, literals): its key and its number of rows;
+    for the retail prelude.  ``columns`` is SQL for further columns, in which
+    {i} is the position of the statement."""
+    parts = []
+    for i, (key, literals) in enumerate(statements):
+        body = _body(key, literals).strip()
+        body = "WITH " + body[1:] if body.startswith(",") else body
+        parts.append(f"SELECT {columns.format(i=i)}'{key}' AS query, count(*) AS row_count FROM ({body}) s")
+    return "\nUNION ALL\n".join(parts)
+
+
+def oracle_text(key: str) -> str | None:
+    e = REGISTRY[key]
+    body = _body(key) if e.oracle else None
+    if body is None:
+        return None
     if e.prelude == "retail":
         from ..sources.retail import duckdb_prelude
         return duckdb_prelude() + body

@@ -73,22 +73,34 @@ def time_query(spark: SparkSession, key: str, sf_dir: str) -> float:
 
 
 def run_power(spark: SparkSession, sf_dir: str, num=None, set_name=None, cold: bool = True,
-              with_digest: bool = True) -> DataFrame:
-    """Power run.  ``cold`` drops Spark's cache before each query (the
-    operating system's page cache is not touched)."""
+              with_digest: bool = False) -> DataFrame:
+    """Power run: (query, seconds, rows, digest).  ``cold`` drops Spark's
+    cache before each query (the operating system's page cache is not
+    touched); the digest costs a second execution."""
     reg = load_all()
     out = []
     for key in select_queries(num, set_name):
         if cold:
             spark.catalog.clearCache()
-        sec = time_query(spark, key, sf_dir)
-        rows, dig = digest(reg[key].fn(spark, sf_dir)) if with_digest else (None, None)
+        t0 = time.perf_counter()
+        df = reg[key].fn(spark, sf_dir)
+        rows = observed_rows(df)
+        sec = time.perf_counter() - t0
+        dig = digest(reg[key].fn(spark, sf_dir))[1] if with_digest else None
         out.append((key, float(sec), rows, dig))
     return spark.createDataFrame(out, "query string, seconds double, rows long, digest string")
 
 
-def explain_query(spark: SparkSession, key: str, sf_dir: str) -> DataFrame:
-    """Run once, then return the formatted final plan text."""
+def observed_rows(df: DataFrame) -> int:
+    """Run ``df`` into the noop sink and return how many rows it produced."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return int(seen.get["rows"])
+
+
+def final_plan(spark: SparkSession, key: str, sf_dir: str) -> str:
+    """Run a statement once and return the formatted plan it ended with."""
     import contextlib
     import io
     df = load_all()[key].fn(spark, sf_dir)
@@ -96,41 +108,64 @@ def explain_query(spark: SparkSession, key: str, sf_dir: str) -> DataFrame:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
-    return spark.createDataFrame([(key, buf.getvalue())], "query string, plan string")
+    return buf.getvalue()
 
 
-def _drain(rows):
-    for _ in rows:
-        pass
+def explain_query(spark: SparkSession, key: str, sf_dir: str) -> DataFrame:
+    """(query, plan): the formatted final plan."""
+    return spark.createDataFrame([(key, final_plan(spark, key, sf_dir))], "query string, plan string")
 
 
 def run_in_place(df: DataFrame) -> None:
     """Execute this very DataFrame (its own query execution, so that the
-    adaptive plan it reports afterwards is the final one); rows are consumed
-    inside the tasks and nothing reaches the driver."""
-    df.foreachPartition(_drain)
+    adaptive plan it reports afterwards is the final one); its rows are
+    counted inside the tasks and stay in the JVM."""
+    df._jdf.queryExecution().toRdd().count()
+
 
+# Registered forms of the runs.  Seconds vary, so they leave out the times:
+# what is compared is which statements ran and how many rows each returned.
+from .registry import register, row_count_sql  # noqa: E402
 
-# Registered forms of the runs (timings vary, so they have no SQL twin).
-from .registry import register  # noqa: E402
 
+def _all_statements():
+    return [(k, {}) for k in select_queries(set_name="all")]
 
-@register("run_power", prelude=None, oracle=False)
+
+@register("run_power", sql=lambda: "SELECT * FROM (" + row_count_sql(_all_statements()) + ") r")
 def run_power_all(spark, sf_dir, set_name="all"):
-    """Power run over all 103 statements: (query, seconds, rows, digest)."""
-    return run_power(spark, sf_dir, set_name=set_name)
+    """Power run over all 103 statements: (query, row_count)."""
+    return run_power(spark, sf_dir, set_name=set_name).select("query", F.col("rows").alias("row_count"))
+
+
+@register("run_explain", prelude=None, sql="""
+SELECT * FROM (VALUES ('q03', 3), ('q07', 5), ('q42', 3), ('q52', 3), ('q55', 3), ('q96', 4)) t(query, tables_read)""")
+def run_explain(spark, sf_dir, keys=("q03", "q07", "q42", "q52", "q55", "q96")):
+    """Final plans of some statements, reduced to what does not vary: how many
+    tables each one scans."""
+    import re
+    rows = [(k, len(set(re.findall(r"^\(\d+\) Scan parquet", final_plan(spark, k, sf_dir).split("== Initial Plan ==")[0], re.M))))
+            for k in keys]
+    return spark.createDataFrame(rows, "query string, tables_read int")
 
 
-@register("run_explain", prelude=None, oracle=False)
-def run_explain(spark, sf_dir, key="q03"):
-    return explain_query(spark, key, sf_dir)
+def _stream_statements(streams=2):
+    from ..streaming.throughput import statements_of
+    return [(s, k, lit) for s in range(streams) for k, lit in statements_of(s)]
 
 
-@register("run_throughput", prelude=None, oracle=False)
+def _throughput_sql():
+    rows = _stream_statements()
+    parts = [row_count_sql([(k, lit)], f"{s} AS stream, ") for s, k, lit in rows]
+    return "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") r"
+
+
+@register("run_throughput", sql=_throughput_sql)
 def run_throughput_all(spark, sf_dir, streams=2):
-    """Two concurrent streams over all 99 templates."""
+    """Two concurrent streams over all 99 templates, each with literals of
+    its own: (stream, query, row_count)."""
     from ..streaming.throughput import run_throughput
-    return run_throughput(spark, sf_dir, streams=streams)
+    return run_throughput(spark, sf_dir, streams=streams).select("stream", "query", F.col("rows").alias("row_count"))
 
 
 PLAN_NODES = ["Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin", "BroadcastHashJoin",
@@ -141,15 +176,8 @@ PLAN_NODES = ["Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin"
 def plan_summary(spark: SparkSession, key: str, sf_dir: str) -> dict:
     """Operator counts of the final adaptive plan of one statement (after
     running it once): shuffles, broadcasts, join strategies, top-k."""
-    import contextlib
-    import io
     import re
-    df = load_all()[key].fn(spark, sf_dir)
-    run_in_place(df)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    text = buf.getvalue()
+    text = final_plan(spark, key, sf_dir)
     final = text.split("== Initial Plan ==")[0]
     tree = final.split("\n\n")[0]
     counts = {n: len(re.findall(rf"[+\- ]{re.escape(n)}(?: [A-Za-z]+)* \(", tree)) for n in PLAN_NODES}

@@ -24,6 +24,6 @@ def test_stage_load_query(spark, tmpdir_path):
     assert rec.filter(~F.col("ok")).count() == 0
     loaded = retail_tables(spark, f"{tmpdir_path}/tables")
     assert loaded["store_sales"].count() == t["store_sales"].count()
-    rep = {r["query"]: r for r in run_power(spark, f"{tmpdir_path}/tables", num="96,7").collect()}
-    direct = {r["query"]: r for r in run_power(spark, small, num="96,7").collect()}
+    rep = {r["query"]: r for r in run_power(spark, f"{tmpdir_path}/tables", num="96,7", with_digest=True).collect()}
+    direct = {r["query"]: r for r in run_power(spark, small, num="96,7", with_digest=True).collect()}
     assert {k: v["digest"] for k, v in rep.items()} == {k: v["digest"] for k, v in direct.items()}
