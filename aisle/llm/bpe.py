@@ -33,9 +33,20 @@ from pyspark.sql import functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space beside other white space; elsewhere a cut before each space is safe,
 # as no piece goes on from something else into a space.
-LOOSE_SPACE = re.compile(r"^\s| \s|\s |\s$")
+_LOOSE = re.compile(r"^\s| \s|\s |\s$")
+_RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def loose_space(text: str) -> bool:
+    """Whether a space of ``text`` has white space beside it, or white space
+    is at an end."""
+    if "  " in text or " \n" in text or "\n " in text or text[0].isspace() or text[-1].isspace():
+        return True
+    return any(c in text for c in _RARE_SPACES) and _LOOSE.search(text) is not None
+
+
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-CACHE_ENTRIES = 200_000  # in each of two rounds of each of three caches
+CACHE_ENTRIES = 500_000  # of stretches and, half as many, of pieces, in each of two rounds
 CACHE_CHARS = 48
 
 
@@ -50,23 +61,34 @@ def byte_symbols() -> list[str]:
 
 
 class Merges:
-    """The merge table, packed into integers: a pair of symbols is
-    ``left << 32 | right``, a queue entry ``rank << 32 | position``."""
+    """The merge table: for each symbol on the left, the ranks by the symbol
+    on the right."""
 
-    def __init__(self, ranked: list[tuple[int, int, int]]):
+    def __init__(self, ranked: list[tuple[int, int, int]], symbols: int):
         self.left = [a for a, _, _ in ranked]
         self.right = [b for _, b, _ in ranked]
         self.joined = [c for _, _, c in ranked]
-        self.rank = {a << 32 | b: r for r, (a, b, _) in enumerate(ranked)}
+        tables: dict[int, dict[int, int]] = {}
+        for rank, (a, b, _) in enumerate(ranked):
+            tables.setdefault(a, {})[b] = rank
+        self.rank = [tables.get(a, {}).get for a in range(symbols)]
 
     def apply(self, symbols: list[int]) -> list[int]:
-        """Join neighbours, lowest rank first and leftmost first among equals."""
+        """Join neighbours, lowest rank first and leftmost first among equals.
+        A queue entry is the rank, shifted, and the position."""
         n = len(symbols)
         if n < 2:
             return symbols
-        rank, left, right, joined = self.rank.get, self.left, self.right, self.joined
-        queue = [r << 32 | i for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
-                 if (r := rank(a << 32 | b)) is not None]
+        ranks, left, right, joined = self.rank, self.left, self.right, self.joined
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
+        queue = []
+        a = symbols[0]
+        for i, b in enumerate(symbols[1:]):
+            r = ranks[a](b)
+            if r is not None:
+                queue.append(r << shift | i)
+            a = b
         if not queue:
             return symbols
         heapify(queue)
@@ -75,18 +97,24 @@ class Merges:
         before = list(range(-1, n))
         while queue:
             entry = heappop(queue)
-            r, i = entry >> 32, entry & 0xFFFFFFFF
-            if symbols[i] != left[r] or symbols[j := after[i]] != right[r]:
-                continue  # stale: one of the two has been merged since
+            i, r = entry & mask, entry >> shift
+            if symbols[i] != left[r]:
+                continue  # stale: merged since
+            j = after[i]
+            if symbols[j] != right[r]:
+                continue  # stale: its neighbour has been merged since
             symbols[i] = c = joined[r]
             symbols[j] = -1
             after[i] = k = after[j]
             before[k] = i
-            if (b := symbols[k]) >= 0 and (r := rank(c << 32 | b)) is not None:
-                heappush(queue, r << 32 | i)
+            r = ranks[c](symbols[k])
+            if r is not None:
+                heappush(queue, r << shift | i)
             h = before[i]
-            if h >= 0 and (r := rank(symbols[h] << 32 | c)) is not None:
-                heappush(queue, r << 32 | h)
+            if h >= 0:
+                r = ranks[symbols[h]](c)
+                if r is not None:
+                    heappush(queue, r << shift | h)
         return [s for s in symbols if s >= 0]
 
 
@@ -94,9 +122,9 @@ class Pieces(dict):
     """Bounded cache from a stretch of text to its ids as bytes.  When it is
     full, what was used since the last time stays for another round."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, entries: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.entries = encode, entries
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
@@ -104,7 +132,7 @@ class Pieces(dict):
         if ids is None:
             ids = self.encode(stretch)
         if len(stretch) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.entries:
                 self.older = dict(self)
                 self.clear()
             self[stretch] = ids
@@ -117,7 +145,6 @@ class Encoder:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.merges = Merges([(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
         symbols = byte_symbols()
         self.byte_ids = [vocab[s] for s in symbols]
         of_symbol = {s: b for b, s in enumerate(symbols)}
@@ -125,14 +152,15 @@ class Encoder:
         self.added = added
         self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.strings = [b""] * (max([*vocab.values(), *added.values()]) + 1)
+        self.merges = Merges([(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs], len(self.strings))
         for token, i in vocab.items():
             self.strings[i] = bytes(of_symbol[c] for c in token)
         for token, i in added.items():
             self.strings[i] = token.encode()
         self.find = regex.compile(PATTERN).findall
-        self.pieces = Pieces(self._piece)
-        self.first = Pieces(self._stretch)              # the first stretch of a text
-        self.later = Pieces(lambda s: self._stretch(" " + s))  # the others, without their space
+        self.pieces = Pieces(self._piece, CACHE_ENTRIES // 2)
+        # the stretches of a text that follow a space, without that space
+        self.later = Pieces(lambda s: self._stretch(" " + s), CACHE_ENTRIES)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.merges.apply([*map(self.byte_ids.__getitem__, piece.encode())])
@@ -144,10 +172,10 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         if not text:
             return b""
-        if LOOSE_SPACE.search(text):
+        if loose_space(text):
             return self._stretch(text)
         stretches = text.split(" ")
-        return self.first[stretches[0]] + b"".join(map(self.later.__getitem__, stretches[1:]))
+        return self._stretch(stretches[0]) + b"".join(map(self.later.__getitem__, stretches[1:]))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
