@@ -144,7 +144,7 @@ def run_explain(spark, sf_dir, keys=("q03", "q07", "q42", "q52", "q55", "q96")):
     """Final plans of some statements, reduced to what does not vary: how many
     tables each one scans."""
     import re
-    rows = [(k, len(set(re.findall(r"^\(\d+\) Scan parquet", final_plan(spark, k, sf_dir).split("== Initial Plan ==")[0], re.M))))
+    rows = [(k, len(set(re.findall(r"Scan parquet\s+\((\d+)\)", final_plan(spark, k, sf_dir).split("== Initial Plan ==")[0]))))
             for k in keys]
     return spark.createDataFrame(rows, "query string, tables_read int")
 
