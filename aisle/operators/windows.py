@@ -55,3 +55,25 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
               .select(*[F.col(c).alias(f"_t_{c}") for c in keys], rank_name))
     cond = [F.col(c).eqNullSafe(ranked[f"_t_{c}"]) for c in keys]
     return df.join(F.broadcast(ranked), cond).drop(*[f"_t_{c}" for c in keys])
+
+
+def rank_among(df: DataFrame, everything: DataFrame, key: str, rank_name: str) -> DataFrame:
+    """Adds the ascending ``rank()`` that each row of ``df`` has among all
+    rows of ``everything``, of which ``df`` is a small selection.
+
+    The distinct key values of ``df`` go, as one array, beside every row of
+    ``everything``; a row counts for the first of them that is above it, and
+    the counts (one per value) are summed up.  NULL keys rank last.  What is
+    broadcast grows with the selection only."""
+    marks = df.agg(F.array_sort(F.collect_set(key)).alias("_marks"))
+    # how many marks are not above the row's value
+    passed = F.size(F.filter("_marks", lambda m: m <= F.col(key)))
+    counts = (everything.select(key).crossJoin(F.broadcast(marks))
+              .withColumn("_passed", F.when(F.col(key).isNull(), F.size("_marks") + 1).otherwise(passed))
+              .groupBy("_passed").agg(F.count(F.lit(1)).alias("_n")))
+    one = counts.agg(F.collect_list(F.struct("_passed", "_n")).alias("_counts"))
+    placed = df.crossJoin(F.broadcast(marks)).crossJoin(F.broadcast(one))
+    place = F.when(F.col(key).isNull(), F.size("_marks")).otherwise(F.size(F.filter("_marks", lambda m: m < F.col(key))))
+    below = F.aggregate(F.filter("_counts", lambda x: x["_passed"] <= place), F.lit(0).cast("long"), lambda total, x: total + x["_n"])
+    # rows that equal the mark have passed it, so they are not counted
+    return placed.withColumn(rank_name, below + 1).drop("_marks", "_counts")

@@ -99,12 +99,14 @@ def observed_rows(df: DataFrame) -> int:
     return int(seen.get["rows"])
 
 
-def final_plan(spark: SparkSession, key: str, sf_dir: str) -> str:
-    """Run a statement once and return the formatted plan it ended with."""
+def final_plan(spark: SparkSession, key: str, sf_dir: str, run: bool = True) -> str:
+    """Run a statement once and return the formatted plan it ended with
+    (without ``run``: the plan as built)."""
     import contextlib
     import io
     df = load_all()[key].fn(spark, sf_dir)
-    run_in_place(df)
+    if run:
+        run_in_place(df)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
@@ -173,11 +175,11 @@ PLAN_NODES = ["Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin"
               "Window", "Expand", "HashAggregate"]
 
 
-def plan_summary(spark: SparkSession, key: str, sf_dir: str) -> dict:
-    """Operator counts of the final adaptive plan of one statement (after
-    running it once): shuffles, broadcasts, join strategies, top-k."""
+def plan_summary(spark: SparkSession, key: str, sf_dir: str, run: bool = True) -> dict:
+    """Operator counts of the plan of one statement (``final_plan``): shuffles,
+    broadcasts, join strategies, top-k."""
     import re
-    text = final_plan(spark, key, sf_dir)
+    text = final_plan(spark, key, sf_dir, run)
     final = text.split("== Initial Plan ==")[0]
     tree = final.split("\n\n")[0]
     counts = {n: len(re.findall(rf"[+\- ]{re.escape(n)}(?: [A-Za-z]+)* \(", tree)) for n in PLAN_NODES}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ...functions.scalars import mean, mean_over, money_sum, r4
 from ...operators.sorts import asc, topk
+from ...operators.windows import global_rank_top, rank_among
 from ..registry import register
 from .common import Tables
 
@@ -150,7 +151,6 @@ def q44(spark, sf_dir, store_sk=2, k=10):
     base = ss.filter(c("ss_hdemo_sk").isNull()).agg(mean("ss_net_profit").alias("base_avg"))
     per = ss.groupBy(c("ss_item_sk").alias("item_sk")).agg(mean("ss_net_profit").alias("rank_col"))
     from ...operators.joins import attach_scalar
-    from ...operators.windows import global_rank_top
     per = attach_scalar(per, base).filter(c("rank_col") > F.lit(0.9) * c("base_avg")).drop("base_avg")
     # ``per`` feeds four consumers; its shuffle is computed once and reused
     # (ReusedExchange in the final plan)
@@ -165,10 +165,9 @@ def q44(spark, sf_dir, store_sk=2, k=10):
 
 def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, year, moy, min_return_amt, k):
     """One channel of q49.  The left join to returns is cancelled by the
-    filter on the return amount (an inner join).  Both rankings need every
-    row's rank in the other order, so they are windows over the per-item
-    aggregate: one row per item sold in the month (bounded by the item
-    dimension, not by the facts), computed once and ranked in one task."""
+    filter on the return amount (an inner join).  An item is kept for its rank
+    in either order and shows both, so ``rank_among`` counts what lies below
+    the values of the kept items; no task sees all items."""
     dt = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
     rr = rets.select(c(f"{r}_{num_r}").alias("r_ord"), c(f"{r}_item_sk").alias("r_item"),
                      c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt_r}").alias("r_amt"))
@@ -181,10 +180,10 @@ def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, ye
         .alias("return_ratio"),
         (F.sum(F.coalesce(c("r_amt"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))).cast(d))
         .alias("currency_ratio"))
-    g = (g.withColumn("return_rank", F.rank().over(Window.orderBy(asc("return_ratio"))).cast("long"))
-         .withColumn("currency_rank", F.rank().over(Window.orderBy(asc("currency_ratio"))).cast("long")))
-    return (g.filter((c("return_rank") <= k) | (c("currency_rank") <= k))
-            .select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
+    kept = (global_rank_top(g, ["return_ratio"], [False], k, "_rank").drop("_rank")
+            .unionByName(global_rank_top(g, ["currency_ratio"], [False], k, "_rank").drop("_rank")).distinct())
+    ranked = rank_among(rank_among(kept, g, "return_ratio", "return_rank"), g, "currency_ratio", "currency_rank")
+    return (ranked.select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
                     "return_rank", "currency_rank"))
 
 

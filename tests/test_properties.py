@@ -77,3 +77,17 @@ def test_global_rank_top_random_ties(spark):
             full = df.withColumn("rnk", F.rank().over(Window.orderBy(o))).filter(F.col("rnk") <= k)
             fast = global_rank_top(df, ["v"], [desc_order], k)
             assert {(r["id"], r["rnk"]) for r in fast.collect()} == {(r["id"], r["rnk"]) for r in full.collect()}
+
+
+def test_rank_among_equals_the_global_window(spark):
+    from pyspark.sql import Window
+
+    from aisle.operators.windows import global_rank_top, rank_among
+    rows = [(i, None if i % 17 == 0 else float(i * 7 % 23)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    w = Window.orderBy(F.col("v").asc_nulls_last())
+    want = {r["id"]: r["rk"] for r in df.withColumn("rk", F.rank().over(w)).collect()}
+    some = df.where("id % 5 = 0")
+    assert {r["id"]: r["rk"] for r in rank_among(some, df, "v", "rk").collect()} == {i: rk for i, rk in want.items() if i % 5 == 0}
+    top = global_rank_top(df, ["v"], [False], 20, "rk").collect()
+    assert {r["id"]: r["rk"] for r in top} == {i: rk for i, rk in want.items() if rk <= 20}
