@@ -5,7 +5,7 @@
   GROUP BY substr(i_item_desc, 1, 30), i_item_sk, d_date
   HAVING count(*) > $min_count),
 max_store_sales AS (
-  SELECT max(csales) AS tpcds_cmax
+  SELECT max(csales) AS best_cmax
   FROM (SELECT c_customer_sk, sum(ss_quantity * ss_sales_price) AS csales
         FROM store_sales, customer, date_dim
         WHERE ss_customer_sk = c_customer_sk AND ss_sold_date_sk = d_date_sk

@@ -128,10 +128,10 @@ def _best_customers(t, y0, factor):
     cu = t.customer.select("c_customer_sk")
     per = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk")).join(d, c("ss_sold_date_sk") == c("d_date_sk"))
            .groupBy("c_customer_sk").agg(F.sum(spend).alias("csales")))
-    mx = per.agg(F.max("csales").alias("tpcds_cmax"))
+    mx = per.agg(F.max("csales").alias("best_cmax"))
     alltime = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk"))
                .groupBy(c("c_customer_sk").alias("best_sk")).agg(F.sum(spend).alias("ssales")))
-    return attach_scalar(alltime, mx).filter(c("ssales") > F.lit(factor) * c("tpcds_cmax")).select("best_sk")
+    return attach_scalar(alltime, mx).filter(c("ssales") > F.lit(factor) * c("best_cmax")).select("best_sk")
 
 
 def _q23_sales(t, y0, year, moy, min_count, factor, by_name):
