@@ -57,23 +57,35 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
     return df.join(F.broadcast(ranked), cond).drop(*[f"_t_{c}" for c in keys])
 
 
-def rank_among(df: DataFrame, everything: DataFrame, key: str, rank_name: str) -> DataFrame:
-    """Adds the ascending ``rank()`` that each row of ``df`` has among all
-    rows of ``everything``, of which ``df`` is a small selection.
+def rank_among(df: DataFrame, everything: DataFrame, ranks: dict[str, str]) -> DataFrame:
+    """Adds, for each key of ``ranks``, the ascending ``rank()`` that the rows
+    of ``df`` have among all rows of ``everything``, of which ``df`` is a small
+    selection; ``ranks`` names the new columns.
 
-    The distinct key values of ``df`` go, as one array, beside every row of
-    ``everything``; a row counts for the first of them that is above it, and
+    The distinct values of a key in ``df`` go, as one array, beside every row
+    of ``everything``; a row counts for the first of them that is above it, and
     the counts (one per value) are summed up.  NULL keys rank last.  What is
     broadcast grows with the selection only."""
-    marks = df.agg(F.array_sort(F.collect_set(key)).alias("_marks"))
-    # how many marks are not above the row's value
-    passed = F.size(F.filter("_marks", lambda m: m <= F.col(key)))
-    counts = (everything.select(key).crossJoin(F.broadcast(marks))
-              .withColumn("_passed", F.when(F.col(key).isNull(), F.size("_marks") + 1).otherwise(passed))
-              .groupBy("_passed").agg(F.count(F.lit(1)).alias("_n")))
-    one = counts.agg(F.collect_list(F.struct("_passed", "_n")).alias("_counts"))
-    placed = df.crossJoin(F.broadcast(marks)).crossJoin(F.broadcast(one))
-    place = F.when(F.col(key).isNull(), F.size("_marks")).otherwise(F.size(F.filter("_marks", lambda m: m < F.col(key))))
-    below = F.aggregate(F.filter("_counts", lambda x: x["_passed"] <= place), F.lit(0).cast("long"), lambda total, x: total + x["_n"])
-    # rows that equal the mark have passed it, so they are not counted
-    return placed.withColumn(rank_name, below + 1).drop("_marks", "_counts")
+    keys = list(ranks)
+    marks = df.agg(*[F.array_sort(F.collect_set(k)).alias(f"_marks{i}") for i, k in enumerate(keys)])
+
+    def passed(i, k):
+        """How many marks are not above the row's value."""
+        m = f"_marks{i}"
+        return F.when(F.col(k).isNull(), F.size(m) + 1).otherwise(F.size(F.filter(m, lambda x: x <= F.col(k))))
+    seen = (everything.select(*keys).crossJoin(F.broadcast(marks))
+            .select(F.explode(F.array(*[F.struct(F.lit(i).alias("key"), passed(i, k).alias("at")) for i, k in enumerate(keys)])).alias("s"))
+            .groupBy("s").agg(F.count(F.lit(1)).alias("n")).select("s.key", "s.at", "n"))
+    counts = seen.agg(F.collect_list(F.struct("key", "at", "n")).alias("_counts"))
+    out = df.crossJoin(F.broadcast(marks)).crossJoin(F.broadcast(counts))
+
+    def below(i, k):
+        """Rows that lie below the row's value; those that equal it have passed
+        its mark."""
+        m = f"_marks{i}"
+        place = F.when(F.col(k).isNull(), F.size(m)).otherwise(F.size(F.filter(m, lambda x: x < F.col(k))))
+        lower = F.filter("_counts", lambda x: (x["key"] == i) & (x["at"] <= place))
+        return F.aggregate(lower, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    for i, k in enumerate(keys):
+        out = out.withColumn(ranks[k], below(i, k) + 1)
+    return out.drop("_counts", *[f"_marks{i}" for i in range(len(keys))])

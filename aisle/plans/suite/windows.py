@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...functions.scalars import mean, mean_over, money_sum, r4
+from ...operators.joins import attach_scalar
 from ...operators.sorts import asc, topk
 from ...operators.windows import global_rank_top, rank_among
 from ..registry import register
@@ -150,7 +151,6 @@ def q44(spark, sf_dir, store_sk=2, k=10):
     ss = t.store_sales.filter(c("ss_store_sk") == store_sk).select("ss_item_sk", "ss_net_profit", "ss_hdemo_sk")
     base = ss.filter(c("ss_hdemo_sk").isNull()).agg(mean("ss_net_profit").alias("base_avg"))
     per = ss.groupBy(c("ss_item_sk").alias("item_sk")).agg(mean("ss_net_profit").alias("rank_col"))
-    from ...operators.joins import attach_scalar
     per = attach_scalar(per, base).filter(c("rank_col") > F.lit(0.9) * c("base_avg")).drop("base_avg")
     # ``per`` feeds four consumers; its shuffle is computed once and reused
     # (ReusedExchange in the final plan)
@@ -180,9 +180,13 @@ def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, ye
         .alias("return_ratio"),
         (F.sum(F.coalesce(c("r_amt"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))).cast(d))
         .alias("currency_ratio"))
-    kept = (global_rank_top(g, ["return_ratio"], [False], k, "_rank").drop("_rank")
-            .unionByName(global_rank_top(g, ["currency_ratio"], [False], k, "_rank").drop("_rank")).distinct())
-    ranked = rank_among(rank_among(kept, g, "return_ratio", "return_rank"), g, "currency_ratio", "currency_rank")
+    # a rank is at most k where the value is at most the k-th smallest
+    kept = g
+    for ratio in ("return_ratio", "currency_ratio"):
+        kept = attach_scalar(kept, g.orderBy(asc(ratio)).limit(k).agg(F.max(ratio).alias(f"_{ratio}")))
+    kept = (kept.filter((c("return_ratio") <= c("_return_ratio")) | (c("currency_ratio") <= c("_currency_ratio")))
+            .drop("_return_ratio", "_currency_ratio"))
+    ranked = rank_among(kept, g, {"return_ratio": "return_rank", "currency_ratio": "currency_rank"})
     return (ranked.select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
                     "return_rank", "currency_rank"))
 

@@ -88,6 +88,6 @@ def test_rank_among_equals_the_global_window(spark):
     w = Window.orderBy(F.col("v").asc_nulls_last())
     want = {r["id"]: r["rk"] for r in df.withColumn("rk", F.rank().over(w)).collect()}
     some = df.where("id % 5 = 0")
-    assert {r["id"]: r["rk"] for r in rank_among(some, df, "v", "rk").collect()} == {i: rk for i, rk in want.items() if i % 5 == 0}
+    assert {r["id"]: r["rk"] for r in rank_among(some, df, {"v": "rk"}).collect()} == {i: rk for i, rk in want.items() if i % 5 == 0}
     top = global_rank_top(df, ["v"], [False], 20, "rk").collect()
     assert {r["id"]: r["rk"] for r in top} == {i: rk for i, rk in want.items() if rk <= 20}
