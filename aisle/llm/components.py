@@ -29,7 +29,6 @@ def components(edges: DataFrame) -> DataFrame:
     null end are ignored; an empty input gives an empty result.
     """
     edges = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    spark = edges.sparkSession
     labels = stored(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
                     .withColumn("component", F.col("node")), "labels")
     while not edges.isEmpty():
@@ -49,4 +48,4 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                        .distinct(), "edges")
         labels = stored(_hop(labels, "component", parent), "labels")
-    return labels if labels is not None else spark.createDataFrame([], "node long, component long")
+    return labels
