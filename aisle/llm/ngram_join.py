@@ -39,10 +39,10 @@ from .components import components
 from .shingles import mix64, shingles
 
 SKETCH = 64          # coordinates of a sketch
-LEAF = 256           # sets up to which a bucket is not split
+LEAF = 2048          # sets up to which a bucket is not split
 DEPTH = 3            # splits of a run at most
 CHILDREN = 3         # tokens on which a large bucket is split
-BLOCK = 512          # sets in a block of a bucket
+BLOCK = 1024         # sets in a block of a bucket
 CLUSTER_BLOCK = 1 << 20   # shingles in a block of a cluster
 SLACK = 0.25         # sketches this far below the threshold are still verified: five standard errors
 
@@ -241,7 +241,8 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, recall: float = 1 -
     members = clusters.join(reps.select("rep", "mult", "n", "digest"), "rep")
     sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n") / CLUSTER_BLOCK).alias("blocks"))
     members = stored(members.join(sizes, "cluster").select("rep", "mult", "digest", "cluster", "blocks"), "members")
-    sets = docs.join(members, docs.doc_id == members.rep).select("text", "rep", "mult", "digest", "cluster", "blocks") \
+    # a shuffle of the texts at every size, also where the members are few
+    sets = docs.join(members.hint("merge"), docs.doc_id == members.rep).select("text", "rep", "mult", "digest", "cluster", "blocks") \
         .mapInArrow(_sets, "rep long, mult long, cluster long, blocks long, hashes binary")
     groups = by_key(_blocks(sets, "cluster", F.col("blocks")).select("pair", "rep", "mult", "side", "hashes"), "pair")
     found = stored(groups.mapInArrow(_verified(threshold), "rep long, links long, root long"), "links")
