@@ -36,40 +36,47 @@ from .components import components
 BLOCKS = 8
 CELL = 16_384        # vectors of a cell at which the tree stops
 SAMPLE = 20_000      # vectors on which the cuts are fitted, at most
-PART = 4_096         # vectors of a cell that one task compares with all of it
+PART = 16_384        # vectors of a cell that one task compares with all of it
 ROUNDING = 1e-5      # of distances in single precision
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """vec_id, dim, digest and the components as doubles; dim 0 where the
-    vector links with nothing."""
-    for batch in batches:
-        rows = []
-        for v in batch.column(1):
-            x = v.as_py()
-            x = np.array(x, np.float64) + 0.0 if x and None not in x else np.zeros(0)  # + 0.0: no negative zero
-            if not (len(x) and np.isfinite(x).all() and x.any()):
-                x = np.zeros(0)
-            rows.append((len(x), hashlib.blake2b(x.tobytes(), digest_size=16).digest(), x.tobytes()))
-        if rows:
-            n, d, x = zip(*rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(d, pa.binary()), pa.array(x, pa.binary())],
-                                             names=["vec_id", "dim", "digest", "vector"])
+def _read(kind: str):
+    """vec_id, dim, digest and the components as bytes of ``kind``; dim 0
+    where the vector links with nothing."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for v in batch.column(1):
+                x = v.as_py()
+                x = np.array(x, kind) + 0.0 if x and None not in x else np.zeros(0)  # + 0.0: no negative zero
+                if not (len(x) and np.isfinite(x).all() and x.any()):
+                    x = np.zeros(0)
+                rows.append((len(x), hashlib.blake2b(x.tobytes(), digest_size=16).digest(), x.tobytes()))
+            if rows:
+                n, d, x = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(n, pa.int32()), pa.array(d, pa.binary()), pa.array(x, pa.binary())],
+                    names=["vec_id", "dim", "digest", "vector"])
+    return read
 
 
 class Space:
     """A rotation, its blocks and a tree of cuts for each."""
 
-    def __init__(self, dim: int, cosine: float, count: int, sample: np.ndarray):
-        self.dim, self.cosine = dim, cosine
+    def __init__(self, dim: int, kind: str, cosine: float, count: int, sample: list[bytes]):
+        self.dim, self.kind, self.cosine = dim, kind, cosine
         rng = np.random.default_rng(dim)
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.blocks = np.array_split(np.arange(dim), min(BLOCKS, dim))
         self.budget = np.array([(2 - 2 * cosine) * len(b) / dim + 1e-9 for b in self.blocks])
         self.depth = max(0, min(math.ceil(math.log2(max(count, 1) / CELL)), int(math.log2(max(len(sample), 64) / 64))))
-        rotated = self.unit(sample) @ self.rotation
+        rotated = self.unit(self.vectors(sample)) @ self.rotation
         self.trees = [self._tree(rotated[:, b]) for b in self.blocks]
 
+    def vectors(self, stored: list[bytes]) -> np.ndarray:
+        """The vectors in double precision."""
+        return np.frombuffer(b"".join(stored), self.kind).reshape(-1, self.dim).astype(np.float64)
+
     @staticmethod
     def unit(x: np.ndarray) -> np.ndarray:
         x = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
@@ -116,8 +123,7 @@ def _deal(space: Space):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.float64).reshape(-1, space.dim)
-            y = space.unit(x) @ space.rotation
+            y = space.unit(space.vectors(batch.column("vector").to_pylist())) @ space.rotation
             for k, dims in enumerate(space.blocks):
                 row, cell, home = space.cells(k, y[:, dims])
                 taken = batch.take(pa.array(row))
@@ -128,6 +134,22 @@ def _deal(space: Space):
     return deal
 
 
+def _clusters(points: np.ndarray, rows: np.ndarray, size: int = 256) -> list[np.ndarray]:
+    """``rows`` in groups of neighbours: halved along the widest axis until
+    they are small."""
+    out, open_ = [], [rows]
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= size:
+            if len(rows):
+                out.append(rows)
+            continue
+        p = points[rows]
+        order = np.argpartition(p[:, int(np.ptp(p, axis=0).argmax())], len(rows) // 2)
+        open_ += [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
+    return out
+
+
 def _compare(space: Space):
     """Links of the vectors of one part of a cell with all of the cell."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,19 +157,21 @@ def _compare(space: Space):
             reps, mult = group.column("rep").to_numpy(), group.column("mult").to_numpy()
             home, mine = group.column("home").to_numpy(), group.column("mine").to_numpy()
             block = int(group.column("block")[0].as_py())
-            x = np.frombuffer(b"".join(v.as_py() for v in group.column("vector")), np.float64).reshape(-1, space.dim)
-            unit = space.unit(x)
+            unit = space.unit(space.vectors(group.column("vector").to_pylist()))
             y = unit @ space.rotation
             z = y[:, space.blocks[block]].astype(np.float32)
-            square = (z ** 2).sum(axis=1)
+            square = (z ** 2).sum(axis=1, keepdims=True)
+            one = np.ones_like(square)
+            # the product of these two is the squared distance
+            from_, to = np.hstack([z, square, one]), np.hstack([-2 * z, one, square])
             limit = np.float32(space.budget[block] + ROUNDING)
             left, right = [], []
-            ours = np.flatnonzero(mine)
-            for lo in range(0, len(ours), 512):
-                part = ours[lo:lo + 512]
-                near = square[part][:, None] + square[None, :] - 2 * (z[part] @ z.T) <= limit
-                i, j = np.nonzero(near)
-                i = part[i]
+            for part in _clusters(z, np.flatnonzero(mine)):
+                # only what lies within range of the box of these vectors
+                gap = np.maximum(z[part].min(axis=0) - z, z - z[part].max(axis=0))
+                close = np.flatnonzero((np.maximum(gap, 0) ** 2).sum(axis=1) <= limit)
+                i, j = np.nonzero(from_[part] @ to[close].T <= limit)
+                i, j = part[i], close[j]
                 # each pair in one place: see the module's text
                 once = np.where(home[j], reps[i] < reps[j], reps[j] < reps[i])
                 i, j = i[once], j[once]
@@ -173,17 +197,19 @@ def _compare(space: Space):
     return compare
 
 
-def _links(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
+def _links(reps: DataFrame, dim: int, kind: str, cosine: float) -> DataFrame:
     mine = reps.where(F.col("dim") == dim)
     count = mine.count()
     chosen = mine.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vector").collect()
-    space = Space(dim, cosine, count, np.array([np.frombuffer(r["vector"], np.float64) for r in chosen]))
+    space = Space(dim, kind, cosine, count, [bytes(r["vector"]) for r in chosen])
     dealt = mine.select("rep", "mult", "vector").mapInArrow(
         _deal(space), "block int, cell long, home boolean, rep long, mult long, vector binary")
-    dealt = stored(dealt, "cells")
-    sizes = dealt.groupBy("block", "cell").agg(F.ceil(F.sum(F.col("home").cast("long")) / PART).alias("parts"))
+    # the vectors are dealt twice, once for the sizes, instead of being stored
+    # as often as they are dealt; there are SAMPLE / 64 cells in a block at most
+    sizes = stored(dealt.groupBy("block", "cell").agg(F.ceil(F.sum(F.col("home").cast("long")) / PART).alias("parts"))
+                   .where("parts > 0"), "cells")
     part = F.pmod(F.xxhash64("rep"), F.col("parts"))
-    spread = (dealt.join(sizes, ["block", "cell"]).where("parts > 0")
+    spread = (dealt.join(F.broadcast(sizes), ["block", "cell"])
               .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
               .select(F.xxhash64("block", "cell", "part").alias("pair"), "block", "home",
                       (F.col("home") & (F.col("part") == part)).alias("mine"), "rep", "mult", "vector"))
@@ -193,8 +219,10 @@ def _links(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
 def cosine_join(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id (the least id that links reach) from
     ``vectors`` (vec_id, embedding; other columns are left out)."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")) \
-        .where("vec_id IS NOT NULL").mapInArrow(_read, "vec_id long, dim int, digest binary, vector binary")
+    single = dict(vectors.dtypes)["embedding"] == "array<float>"
+    kind, array = ("<f4", "array<float>") if single else ("<f8", "array<double>")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(array).alias("embedding")) \
+        .where("vec_id IS NOT NULL").mapInArrow(_read(kind), "vec_id long, dim int, digest binary, vector binary")
     one = Window.partitionBy("vec_id").orderBy("digest")
     rows = stored(rows.withColumn("_row", F.row_number().over(one)).where("_row = 1").drop("_row"), "vectors")
     valid = rows.where("dim > 0")
@@ -202,7 +230,7 @@ def cosine_join(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     reps = stored(classes.join(rows.withColumnRenamed("vec_id", "rep"), ["rep", "digest"]).select("rep", "mult", "dim", "vector"), "reps")
     found = None
     for r in reps.select("dim").distinct().collect():  # as many as vectors have different lengths
-        part = _links(reps, r["dim"], cosine)
+        part = _links(reps, r["dim"], kind, cosine)
         found = part if found is None else found.union(part)
     if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
