@@ -14,35 +14,77 @@ empty store.
 
 from __future__ import annotations
 
+import os
 import re
+import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zlib
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import LOOSE_SPACE
+from .bpe import LITTLE, loose_space
 from .common import shuffle_partitions
 
 ROW_INDEX_STRIDE = 1000
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 600_000
 CACHE_CHARS = 48
 SCHEMA = "part int, place long, local_start long, doc_id long, n_tokens long, ids array<int>"
 
 
+class Stretches:
+    """Ids of stretches of text, by the stretch without the space before it.
+    When it is full, what was used since the last time stays for another
+    round."""
+
+    def __init__(self, library, before: str):
+        self.library, self.before = library, before
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {}
+
+    def learn(self, stretches: set[str]):
+        """Make all of ``stretches`` known and return their lookup.  The new
+        ones go through the library together, without the full stops and
+        commas behind a word, which are pieces of their own."""
+        if len(self.known) >= CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = stretches.difference(known)
+        seen = [s for s in new if s in older]
+        known.update([(s, older[s]) for s in seen])
+        new.difference_update(seen)
+        words = {s: w for s in new if (w := s.rstrip(".,")) != s and w.isalpha()}
+        ends = list({s[len(w):] for s, w in words.items()}.difference(self.ends))
+        self.ends.update(zip(ends, self.library(ends)))
+        missing = list(new.difference(words).union(words.values()).difference(known))
+        known.update(zip(missing, self.library([self.before + s for s in missing])))
+        for s, w in words.items():
+            known[s] = known[w] + self.ends[s[len(w):]]
+        return known.__getitem__
+
+    def forget(self, stretches: set[str]) -> None:
+        """Do not keep long stretches."""
+        for s in stretches:
+            if len(s) > CACHE_CHARS:
+                self.known.pop(s, None)
+        if len(self.ends) > CACHE_ENTRIES:
+            self.ends.clear()
+
+
 class LibraryEncoder:
     """The tokenizers library behind a cache of the stretches between spaces.
 
-    Its byte-level pattern never goes on from another character into a space,
-    so a text without loose white space can be cut before each space; each
-    new stretch goes through the library."""
+    Its byte-level pattern never goes on from another character into a space
+    or a line break, nor from a line break into anything but white space, so a
+    text without loose white space can be cut there; the new stretches of some
+    documents go through the library together."""
 
     def __init__(self, path: str):
-        import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
@@ -50,34 +92,33 @@ class LibraryEncoder:
         self.library.no_padding()
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.first, self.later = Stretches(self._library, ""), Stretches(self._library, " ")
+        self.line_break = self._library(["\n"])[0]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<i4").tobytes()
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if LOOSE_SPACE.search(text) or (self.added is not None and self.added.search(text)):
-            return self._whole([text])[0]
-        first, *later = text.split(" ")
-        stretches = [first, *(" " + s for s in later)]
-        known = self.known
-        if len(known) >= CACHE_ENTRIES:
-            self.older, self.known = known, (known := {})
-        new = list({s for s in stretches if s not in known})
-        if new:
-            older = self.older
-            missing = [s for s in new if s not in older]
-            known.update((s, older[s]) for s in new if s in older)
-            known.update(zip(missing, self._whole(missing)))
-        out = b"".join([known[s] for s in stretches])
-        for s in new:
-            if len(s) > CACHE_CHARS:
-                del known[s]
+    def _cut(self, text: str) -> bool:
+        return not (loose_space(text) or "\n\n" in text or (self.added is not None and self.added.search(text)))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(texts)
+        plain = {i: [line.split(" ") for line in t.split("\n")] for i, t in enumerate(texts) if t and self._cut(t)}
+        whole = [i for i, t in enumerate(texts) if t and i not in plain]
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = ids
+        first = {line[0] for lines in plain.values() for line in lines}
+        later: set[str] = set()
+        for lines in plain.values():
+            for line in lines:
+                later.update(line[1:])
+        head, tail = self.first.learn(first), self.later.learn(later)
+        for i, lines in plain.items():
+            out[i] = self.line_break.join([head(line[0]) + b"".join(map(tail, line[1:])) for line in lines])
+        self.first.forget(first)
+        self.later.forget(later)
         return out
 
 
@@ -99,7 +140,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, files:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo in range(0, batch.num_rows, 256):  # a few documents at a time leave Python
-                rows = [encoder.encode(t) + end for t in texts.slice(lo, 256).to_pylist()]
+                rows = [r + end for r in encoder.encode(texts.slice(lo, 256).to_pylist())]
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays([
