@@ -1,9 +1,11 @@
 """Similarity joins and components against brute force."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aisle.llm import ngram_join, queries, vector_join
@@ -129,5 +131,43 @@ def test_vectors_split_and_edge_cases(spark, monkeypatch, dim):
     assert got == vector_truth(safe)
 
 
+def test_near_copies_of_vectors_are_bounded(spark, monkeypatch):
+    """A task reads blocks of a cell and not all of it, the tree follows the
+    count, and links are added up instead of kept."""
+    for name, small in (("CELL", 60), ("PART", 25), ("SAMPLE", 64)):
+        monkeypatch.setattr(vector_join, name, small)
+    spaces, largest = [], []
+    real_space, real_by_key = vector_join.Space, vector_join.by_key
+    monkeypatch.setattr(vector_join, "Space", lambda *args: spaces.append(real_space(*args)) or spaces[-1])
+
+    def by_key(df, key):
+        largest.append(max(r["count"] for r in df.groupBy(key).count().collect()))
+        return real_by_key(df, key)
+    monkeypatch.setattr(vector_join, "by_key", by_key)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=12)
+    rows = [(i, (centre + rng.normal(size=12) * 0.01 if i % 3 else rng.normal(size=12)).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["vec_id"] == r["component_id"]) for r in vector_join.cosine_join(df).collect()}
+    assert got == vector_truth(rows)
+    assert spaces[0].depth == 3
+    assert largest[0] < 2 * 3 * 25  # a block at home and one from elsewhere, and as much again for the chance of the deal
+
+
+def test_links_of_vectors_are_not_kept():
+    n = 5000
+    x = np.random.default_rng(4).normal(size=8) + np.random.default_rng(5).normal(size=(n, 8)) * 1e-3
+    space = vector_join.Space(8, "<f8", 0.95, n, [v.tobytes() for v in x])
+    batch = pa.RecordBatch.from_pydict({
+        "pair": [1] * n, "block": pa.array([0] * n, pa.int32()), "side": pa.array([-1] * n, pa.int32()), "home": [True] * n, "mine": [True] * n,
+        "rep": list(range(n)), "mult": [1] * n, "vector": [v.tobytes() for v in x]})
+    tracemalloc.start()
+    links = [r for out in vector_join._compare(space)(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["rep"], r["links"], r["root"]) for r in links] == [(i, n - 1, 0) for i in range(n)]
+    assert peak < 150e6  # the pairs alone are 200 MB
+
+
 def test_no_vectors(spark):
     assert vector_join.cosine_join(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
