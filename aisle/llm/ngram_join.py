@@ -44,6 +44,8 @@ DEPTH = 3            # splits of a run at most
 CHILDREN = 3         # tokens on which a large bucket is split
 BLOCK = 1024         # sets in a block of a bucket
 CLUSTER_BLOCK = 1 << 20   # shingles in a block of a cluster
+CLUSTER_SETS = 4096  # sets in a block of a cluster
+STRIPE = 1 << 20     # pairs of sets that are judged at a time
 SLACK = 0.25         # sketches this far below the threshold are still verified: five standard errors
 
 _A = mix64(np.arange(1, SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
@@ -177,7 +179,7 @@ def shared(ours: list[np.ndarray], others: list[np.ndarray] | None) -> np.ndarra
     order = np.argsort(token, kind="stable")
     row, token = row[order], token[order]
     total = np.zeros((len(ours), len(sets) - len(ours) if others is not None else len(ours)), np.float32)
-    width = 4096
+    width = min(4096, max(256, (1 << 24) // len(sets)))
     for lo in range(0, int(token[-1]) + 1 if len(token) else 0, width):
         a, b = np.searchsorted(token, [lo, lo + width])
         used = np.zeros((len(sets), min(width, int(token[-1]) + 1 - lo)), np.float32)
@@ -204,20 +206,23 @@ def _verified(threshold: float):
             if not len(others) or len(reps) < 2:
                 continue
             both = shared([sets[i] for i in ours], None if same else [sets[i] for i in others])
-            linked = both / (size[ours][:, None] + size[others][None, :] - both) >= threshold
-            if same:
-                np.fill_diagonal(linked, False)
-            i, j = np.nonzero(linked)
-            if not len(i):
-                continue
-            links = np.zeros(len(reps), np.int64)
-            links[ours] += (linked * mult[others]).sum(axis=1)
-            if not same:
-                links[others] += (linked * mult[ours][:, None]).sum(axis=0)
-            root = local_roots(len(reps), ours[i], others[j])
+            links, root = np.zeros(len(reps), np.int64), np.arange(len(reps))
+            step = max(1, STRIPE // len(others))
+            for lo in range(0, len(ours), step):
+                part, common = ours[lo:lo + step], both[lo:lo + step]
+                linked = common / (size[part][:, None] + size[others][None, :] - common) >= threshold
+                if same:
+                    linked[np.arange(len(part)), lo + np.arange(len(part))] = False
+                links[part] += (linked * mult[others]).sum(axis=1)
+                if not same:
+                    links[others] += (linked * mult[part][:, None]).sum(axis=0)
+                i, j = np.nonzero(linked)
+                i, j = root[part[i]], root[others[j]]
+                root = local_roots(len(reps), i[i != j], j[i != j])[root]
             used = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays([pa.array(reps[used]), pa.array(links[used]), pa.array(reps[root[used]])],
-                                             names=["rep", "links", "root"])
+            if len(used):
+                yield pa.RecordBatch.from_arrays([pa.array(reps[used]), pa.array(links[used]), pa.array(reps[root[used]])],
+                                                 names=["rep", "links", "root"])
     return verify
 
 
@@ -239,7 +244,8 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, recall: float = 1 -
     clusters = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     # the exact links
     members = clusters.join(reps.select("rep", "mult", "n", "digest"), "rep")
-    sizes = members.groupBy("cluster").agg(F.ceil(F.sum("n") / CLUSTER_BLOCK).alias("blocks"))
+    sizes = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.sum("n") / CLUSTER_BLOCK), F.ceil(F.count("*") / CLUSTER_SETS)).alias("blocks"))
     members = stored(members.join(sizes, "cluster").select("rep", "mult", "digest", "cluster", "blocks"), "members")
     # a shuffle of the texts at every size, also where the members are few
     sets = docs.join(members.hint("merge"), docs.doc_id == members.rep).select("text", "rep", "mult", "digest", "cluster", "blocks") \

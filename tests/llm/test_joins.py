@@ -86,6 +86,35 @@ def test_large_groups_and_edge_cases(spark, monkeypatch):
     assert got == document_truth(rows)
 
 
+def test_near_copies_of_short_texts_are_bounded(spark, monkeypatch):
+    """A block of a cluster is bounded in sets, also where they are small."""
+    monkeypatch.setattr(ngram_join, "CLUSTER_SETS", 16, raising=False)
+    largest = []
+    real = ngram_join.by_key
+
+    def by_key(df, key):
+        if "hashes" in df.columns:
+            largest.append(max(r["count"] for r in df.groupBy(key).count().collect()))
+        return real(df, key)
+    monkeypatch.setattr(ngram_join, "by_key", by_key)
+    rows = [(i, " ".join(f"w{k}" for k in range(20)) + f" page{i}") for i in range(160)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.similarity_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (0, 159) for i, _ in rows}
+    assert largest[0] < 2 * 2 * 16  # two blocks, and as much again for the chance of the deal
+
+
+def test_pairs_of_sets_are_judged_in_stripes():
+    n = 5000
+    sets = [shingles(" ".join(f"w{k}" for k in range(20)) + f" page{i}").tobytes() for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"pair": [1] * n, "rep": list(range(n)), "mult": [1] * n, "side": pa.array([-1] * n, pa.int32()), "hashes": sets})
+    tracemalloc.start()
+    links = [r for out in ngram_join._verified(0.8)(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["rep"], r["links"], r["root"]) for r in links] == [(i, n - 1, 0) for i in range(n)]
+    assert peak < 300e6  # the counts are 100 MB, and twice that while a product is added
+
+
 def test_no_documents(spark):
     assert ngram_join.similarity_join(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
