@@ -52,7 +52,8 @@ SCOPES = frozenset("article aside body blockquote div dl footer header html main
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<(?P<raw>{RAW})\b[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    r"""|<(?:svg|math)(?=[\s/>])(?:[^>"'/]|"[^"]*+"|'[^']*+'|/(?!>))*+/>"""  # ends at its own '>'
+    rf"|<(?P<raw>{RAW})(?=[\s/>]|\Z)[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']|"[^"]*+"|'[^']*+')*+)(?:>|\Z)"""
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)", re.S | re.I)

@@ -40,6 +40,20 @@ def test_long_chain_of_doubt():
     assert energy(he.minimum_cut(costs, joins), costs, joins) == pytest.approx(min(low))
 
 
+@pytest.mark.parametrize("inside", [
+    '<svg class="i"/>', "<svg/>", "<SVG viewBox='0 0 > 1'\n/>", '<math display="block" />', "<svg><path d='M0'/><text>x</text></svg>", "<svg a='/'><g/>x</svg>",
+    '<svg href=a/b width="1"/>', "<svg-icon name='x'></svg-icon>", "<title-bar></title-bar>", "<style-guide/>", "<math-field></math-field>",
+    "<script-x></script-x>", "<svg:use></svg:use>", "<script>a</script >", "<title>t</title>"])
+def test_raw_elements_end(inside):
+    page = he.blocks(f"<body><p>a{inside} b</p><p>c</p></body>")
+    assert [b.text for b in page] == ["a b", "c"]
+
+
+def test_raw_element_names():
+    assert [b.text for b in he.blocks("<p>a</p><title-bar>b</title-bar><p>c</p><style-guide>d</style-guide>")] == ["a", "b", "c", "d"]
+    assert [b.text for b in he.blocks("<p>a</p><script/>b</script><p>c</p><svg>d")] == ["a", "c"]
+
+
 PARAGRAPH = "A paragraph of the article with some words, and a comma. It has two sentences."
 
 
