@@ -20,8 +20,10 @@ Edge cases: a null payload is empty; a null or empty url gives a record
 without a target URI; in a url, control characters are percent-encoded, and
 so is the W of a magic; a null id gives an empty id that reads back as null,
 and it sorts before all others; rows that repeat the smallest id of a payload
-are all responses; a last record that the file cuts off is returned with
-``truncated``; an empty table gives no records.
+are all responses; a header may have any length; a last record that the file
+cuts off, also in its header, is returned with ``truncated``; what follows a
+record and is none is returned as a payload without fields, not ``intact``; an
+empty table gives no records.
 """
 
 from __future__ import annotations
@@ -39,11 +41,12 @@ from .common import stored
 
 MAGIC = "WARC/1."
 TERMINATOR = "\r\n\r\n"
-MOST_HEADER = 1 << 16
 # Fixed value: the alphabet of base32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID_PREFIX = "urn:x-row:"
 LENGTH_FIELD = "WARC-X-Payload-Length"
+HEADER_END = b"\r\n\r\n"
+CONTENT_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
 
 
 # -- writing ---------------------------------------------------------------
@@ -122,10 +125,10 @@ def head(data: bytes) -> tuple[int, int] | None:
     what is no header, and (-1, 0) for one that goes on behind ``data``."""
     if not re.match(rb"\d\r\n", data):
         return None
-    end = data.find(b"\r\n\r\n", 0, MOST_HEADER)
+    end = data.find(HEADER_END)
     if end < 0:
-        return (-1, 0) if len(data) < MOST_HEADER else None
-    found = re.search(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", data[:end + 2], re.I)
+        return -1, 0
+    found = CONTENT_LENGTH.search(data, 0, end + 2)
     return (end + 4, int(found[1])) if found else None
 
 
@@ -161,16 +164,23 @@ def candidate_chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     split."""
     size = len(MAGIC)
     for (file, block), cuts in _by_split(batches):
-        here, follows, unread = 0, {}, []
+        # headers that have not ended, as magic may be inside a header: those
+        # without a Content-Length so far, and those with one.  Neither that
+        # field nor the end can hold magic, so each is looked for in one cut
+        here, follows, bare, sized = 0, {}, [], []
         for cut in cuts:
-            waiting = [(at, data + MAGIC.encode() + cut) for at, data in unread]  # a magic inside a header
-            unread = []
-            for at, data in [*waiting, (here, cut)]:
-                found = head(data)
-                if found and found[0] < 0:
-                    unread.append((at, data))
-                elif found:
-                    follows[at] = at + sum(found) + len(TERMINATOR) + size
+            if re.match(rb"\d\r\n", cut):
+                bare.append(here)
+            if bare or sized:
+                end = cut.find(HEADER_END)
+                found = CONTENT_LENGTH.search(cut, 0, end + 2 if end >= 0 else len(cut)) if bare else None
+                if found:
+                    sized += [(at, int(found[1])) for at in bare]
+                    bare = []
+                if end >= 0:
+                    for at, content in sized:
+                        follows[at] = here + end + len(HEADER_END) + content + len(TERMINATOR) + size
+                    bare, sized = [], []
             here += len(cut) + size
         last = {}
         for at in sorted(follows, reverse=True):
@@ -225,17 +235,17 @@ def _records(whole: bool):
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, _, base, first, owner), cuts in _by_split(batches, 6):
-            here, start, need, held, lead = base, None, None, [], []
+            here, start, need, held, lead, unread = base, None, None, [], [], False
             for cut in cuts:
                 if here == first if start is None else need is not None and here == start + need + size:
                     if start is not None and whole:
                         yield row(file, start, start, b"".join(held))
-                    start, need, held = here, None, [cut]
+                    start, need, held, unread = here, None, [cut], True
                 else:
                     (lead if start is None else held).extend([magic, cut])
-                if start is not None and need is None:
-                    found = head(b"".join(held))
-                    if found and found[0] >= 0:
+                if unread and HEADER_END in cut:
+                    found, unread = head(b"".join(held)), False
+                    if found:
                         need = sum(found) + len(TERMINATOR)
                 here += len(cut) + size
             if not whole and owner is not None and lead:
@@ -248,20 +258,23 @@ def _records(whole: bool):
 def _fields(data: bytes) -> tuple:
     """type, id, url, refers_to, payload, payload_bytes, digest, intact,
     truncated of one record."""
-    length, content = head(data)
+    found = head(data)
+    if found is None:
+        return None, None, None, None, data, len(data), None, False, False
+    length, content = found if found[0] >= 0 else (len(data), 0)
     named = {}
     for line in data[:length].decode("utf-8", "replace").split("\r\n")[1:]:
         name, _, value = line.partition(":")
         named.setdefault(name.strip().lower(), value.strip())
     body = data[length:length + content]
-    truncated = len(body) < content
+    truncated = len(body) < content or found[0] < 0
     if named.get("content-type", "").startswith("application/http"):
         body = body.partition(b"\r\n\r\n")[2]
     number = lambda text: int(m[1]) if (m := re.fullmatch(rf"<?{ID_PREFIX}(-?\d+)>?", text or "")) else None
     kind = named.get("warc-type")
     digest = named.get("warc-payload-digest", "").removeprefix("sha1:") or None
     own = base64.b32encode(hashlib.sha1(body).digest()).decode()
-    whole = int(named[LENGTH_FIELD.lower()]) if LENGTH_FIELD.lower() in named else len(body)
+    whole = int(n) if (n := named.get(LENGTH_FIELD.lower(), "")).isdecimal() else len(body)
     return (kind, number(named.get("warc-record-id")), named.get("warc-target-uri"), number(named.get("warc-refers-to")),
             body, len(body) if kind == "response" else whole, digest,
             digest is None or kind == "revisit" or digest == own, truncated)

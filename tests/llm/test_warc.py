@@ -48,6 +48,24 @@ def test_round_trip(spark, split, compression):
         assert r["intact"] and not r["truncated"]
 
 
+@pytest.mark.parametrize("split, compression", [(1 << 27, "none"), (30_000, "none"), (1 << 27, "gzip")])
+def test_long_urls(spark, split, compression):
+    rows = [(i, "data:," + "u\n"[i % 2] * 100_000 if i % 3 == 0 else "u", f"text {i} {INNER}", "", "") for i in range(12)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {r["id"]: (r["url"], bytes(r["payload"]).decode(), r["intact"], r["truncated"]) for r in round_trip(spark, rows, compression=compression)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: (url.replace("\n", "%0A"), text, True, False) for i, url, text, *_ in rows}
+
+
+def test_what_is_no_header():
+    assert warc._fields(b"no header") == (None, None, None, None, b"no header", 9, None, False, False)
+    cut_off = warc._fields(b"0\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nWARC-X-Payload-Length: ")
+    assert (cut_off[0], cut_off[2], cut_off[4], cut_off[8]) == ("response", "u", b"", True)
+
+
 def test_small_payloads_are_not_revisited(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     kinds = {r["id"]: r["record_type"] for r in warc.classify(df, "page_id", "html", "url", min_bytes=3).collect()}
