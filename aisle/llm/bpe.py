@@ -5,9 +5,10 @@ The vocabulary file (JSON with ``model.vocab``, ``model.merges`` and
 readable on every executor.  A text is cut into pieces by the vocabulary's
 pattern, each piece becomes a doubly linked list of byte symbols, and a
 priority queue of (merge rank, position) joins neighbours; an entry whose
-symbols have meanwhile changed is stale and is skipped.  Pieces repeat, so a
-bounded cache keeps their ids.  Decoding concatenates the vocabulary's byte
-strings; broken UTF-8 becomes U+FFFD.
+symbols have meanwhile changed is stale and is skipped.  Pieces repeat, so
+their ids are kept, within ``CACHE_BYTES`` a worker.  Decoding concatenates
+the vocabulary's byte strings; broken UTF-8 becomes U+FFFD.  A few documents
+of an Arrow batch are Python objects at a time.
 
 Edge cases: null and empty texts have no ids and decode to the empty text;
 the string of an added token in a text becomes that token's id; a text of
@@ -24,7 +25,7 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,8 +47,10 @@ def loose_space(text: str) -> bool:
 
 
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-CACHE_ENTRIES = 500_000  # of stretches and, half as many, of pieces, in each of two rounds
-CACHE_CHARS = 48
+CACHE_BYTES = 48 << 20  # of stretches and of pieces, two thirds and one third
+ENTRY_BYTES = 200       # about what an entry takes beside its characters and ids
+CACHE_CHARS = 48        # longer stretches are not kept
+SLICE = 256             # documents that are in Python at a time
 
 
 def byte_symbols() -> list[str]:
@@ -119,22 +122,20 @@ class Merges:
 
 
 class Pieces(dict):
-    """Bounded cache from a stretch of text to its ids as bytes.  When it is
-    full, what was used since the last time stays for another round."""
+    """Cache from a stretch of text to its ids as bytes, emptied when it holds
+    about ``most`` bytes."""
 
-    def __init__(self, encode, entries: int):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.entries = encode, entries
-        self.older: dict[str, bytes] = {}
+        self.encode, self.most, self.held = encode, most, 0
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = self.older.get(stretch)
-        if ids is None:
-            ids = self.encode(stretch)
+        ids = self.encode(stretch)
         if len(stretch) <= CACHE_CHARS:
-            if len(self) >= self.entries:
-                self.older = dict(self)
+            self.held += ENTRY_BYTES + len(stretch) + len(ids)
+            if self.held > self.most:
                 self.clear()
+                self.held = 0
             self[stretch] = ids
         return ids
 
@@ -158,9 +159,9 @@ class Encoder:
         for token, i in added.items():
             self.strings[i] = token.encode()
         self.find = regex.compile(PATTERN).findall
-        self.pieces = Pieces(self._piece, CACHE_ENTRIES // 2)
+        self.pieces = Pieces(self._piece, CACHE_BYTES // 3)
         # the stretches of a text that follow a space, without that space
-        self.later = Pieces(lambda s: self._stretch(" " + s), CACHE_ENTRIES)
+        self.later = Pieces(lambda s: self._stretch(" " + s), CACHE_BYTES * 2 // 3)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.merges.apply([*map(self.byte_ids.__getitem__, piece.encode())])
@@ -197,24 +198,40 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _slices(column: pa.Array, apply, kind: pa.DataType) -> pa.Array:
+    """``apply`` to a few values of the column at a time."""
+    parts = [pa.array([apply(x) for x in column.slice(lo, SLICE).to_pylist()], kind) for lo in range(0, len(column), SLICE)]
+    return pa.chunked_array(parts, kind).combine_chunks() if parts else pa.array([], kind)
+
+
 def encode_column(text: Column, path: str) -> Column:
     """Binary column: the ids of ``text`` as little-endian unsigned 32-bit
     integers.  The row's other columns stay in the JVM."""
-    @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
-        encode = encoder(path).encode
-        return pd.Series([encode(t) for t in texts], dtype=object)
+    @F.arrow_udf("binary")
+    def ids(texts: pa.Array) -> pa.Array:
+        return _slices(texts, encoder(path).encode, pa.binary())
     return ids(text)
 
 
 def decode_column(ids: Column, path: str) -> Column:
-    """String column: the text of ids that ``encode_column`` gave."""
-    @F.pandas_udf("string")
-    def text(rows: pd.Series) -> pd.Series:
-        decode = encoder(path).decode
-        return pd.Series([decode(r) for r in rows], dtype=object)
+    """String column: the text of ids that ``encode_column`` gave.  On ids
+    that the same plan encodes, ``round_trip_column`` encodes once, not twice."""
+    @F.arrow_udf("string")
+    def text(rows: pa.Array) -> pa.Array:
+        return _slices(rows, encoder(path).decode, pa.string())
     return text(ids)
 
 
+def round_trip_column(text: Column, path: str) -> Column:
+    """struct(ids, decoded): the ids of ``text`` and the text decoded from
+    them, in one pass."""
+    @F.arrow_udf("ids binary, decoded string")
+    def both(texts: pa.Array) -> pa.Array:
+        known = encoder(path)
+        ids = _slices(texts, known.encode, pa.binary())
+        return pa.StructArray.from_arrays([ids, _slices(ids, known.decode, pa.string())], names=["ids", "decoded"])
+    return both(text)
+
+
 def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")

@@ -74,7 +74,14 @@ class Memory:
     def clear(self):
         self.keys = np.zeros(0, np.uint64)
         self.place = np.zeros(0, np.int64)
-        self.rows = np.zeros((0, DIMENSIONS), np.float32)
+        self.rows = np.empty((0, DIMENSIONS), np.float32)
+
+    def _room(self, n: int):
+        """Place for ``n`` rows; the array doubles, so a row is seldom copied."""
+        if n > len(self.rows):
+            rows = np.empty((min(KNOWN_TRIGRAMS, max(n, 2 * len(self.rows))), DIMENSIONS), np.float32)
+            rows[:len(self.keys)] = self.rows[:len(self.keys)]
+            self.rows = rows
 
     def _of(self, code: int) -> np.ndarray:
         if code not in self.letter:
@@ -103,9 +110,11 @@ class Memory:
             if len(self.keys) + len(new) > KNOWN_TRIGRAMS:
                 self.clear()
                 new = keys
-            rows = np.array([self.bind(k) for k in new.tolist()], np.float32)
-            self.place = np.concatenate([self.place, len(self.rows) + np.arange(len(new))])
-            self.rows = np.concatenate([self.rows, rows])
+            used = len(self.keys)
+            self._room(used + len(new))
+            for i, k in enumerate(new.tolist(), used):
+                self.rows[i] = self.bind(k)
+            self.place = np.concatenate([self.place, np.arange(used, used + len(new))])
             self.keys = np.concatenate([self.keys, new])
             order = np.argsort(self.keys)
             self.keys, self.place = self.keys[order], self.place[order]
@@ -126,6 +135,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v = memory().vector(text.as_py())
             if v is not None and v.any():
                 sums[lang] = sums.get(lang, 0) + v / np.linalg.norm(v)
+    memory().clear()
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()])], names=["lang", "profile"])
 
@@ -155,15 +165,18 @@ def predict(text: Column, model: tuple[list[str], np.ndarray]) -> Column:
     names, prototypes = model
 
     @F.pandas_udf("lang_pred string, score double")
-    def column(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
-            v = memory().vector(text) if names else None
-            if v is None or not v.any():
-                out.append((UNKNOWN, 0.0))
-                continue
-            cosine = prototypes @ (v / np.linalg.norm(v))
-            best = int(cosine.argmax())
-            out.append((names[best], float(min(1.0, max(0.0, cosine[best])))))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+    def column(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            out = []
+            for text in texts:
+                v = memory().vector(text) if names else None
+                norm = 0.0 if v is None else float(np.linalg.norm(v))
+                if v is None:
+                    out.append((UNKNOWN, 0.0))
+                    continue
+                cosine = prototypes @ (v / (norm or 1.0))  # a sum of zero is as near to every language
+                best = int(cosine.argmax())
+                out.append((names[best], float(min(1.0, max(0.0, cosine[best])))))
+            yield pd.DataFrame(out, columns=["lang_pred", "score"])
+        memory().clear()  # the worker goes on to other tasks
     return column(text)

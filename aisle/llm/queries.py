@@ -33,11 +33,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = BYTE_BPE) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", bpe.encode_column(F.col("text"), vocabulary).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode_column(F.col("ids"), vocabulary).alias("decoded"))
-    return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    both = docs.select("doc_id", bpe.round_trip_column(F.col("text"), vocabulary).alias("r"))
+    return both.select("doc_id", bpe.n_tokens(F.col("r.ids")).alias("n_tokens"),
+                       F.sha2("r.ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 @query

@@ -21,7 +21,7 @@ def library():
 
 def test_odd_texts(library, monkeypatch):
     encoder = bpe.Encoder(queries.BYTE_BPE)
-    encoder.later.entries = encoder.pieces.entries = 50  # caches that overflow
+    encoder.later.most = encoder.pieces.most = 10_000  # caches that overflow
     rnd = random.Random(1)
     for _ in range(5000):
         text = "".join(rnd.choice(ODD) for _ in range(rnd.randint(0, 14)))
@@ -49,6 +49,24 @@ def test_columns_keep_the_row(spark):
     assert df.limit(0).select(bpe.encode_column(F.col("text"), queries.BYTE_BPE)).collect() == []
 
 
+def test_caches_are_bounded_in_bytes(library):
+    encoder = bpe.Encoder(queries.BYTE_BPE)
+    encoder.later.most = 200_000
+    rnd = random.Random(4)
+    for _ in range(300):
+        text = " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(1, 60))) for _ in range(20))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        held = sum(bpe.ENTRY_BYTES + len(k) + len(v) for k, v in encoder.later.items())
+        assert held <= 200_000 and max(map(len, encoder.later), default=0) <= bpe.CACHE_CHARS
+
+
+def test_round_trip_encodes_once(spark):
+    df = spark.createDataFrame([(1, None), (2, "a b"), (3, "")], "doc_id int, text string")
+    rows = df.select("doc_id", bpe.round_trip_column(F.col("text"), queries.BYTE_BPE).alias("r")).select("doc_id", "r.*").collect()
+    assert [(r["doc_id"], len(r["ids"]), r["decoded"]) for r in rows] == [(1, 0, ""), (2, 8, "a b"), (3, 0, "")]
+    assert df.limit(0).select(bpe.round_trip_column(F.col("text"), queries.BYTE_BPE)).collect() == []
+
+
 def test_query(spark, sf_dir, library):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op1_bpe(spark, sf_dir).collect()
