@@ -27,62 +27,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import LITTLE, loose_space
+from .bpe import LITTLE, byte_symbols, loose_space
 from .common import shuffle_partitions
 
 ROW_INDEX_STRIDE = 1000
-CACHE_ENTRIES = 600_000
-CACHE_CHARS = 48
+CACHE_BYTES = 128 << 20  # of a worker's stretches, with what Python holds beside them
+ENTRY_BYTES = 240        # what a kept stretch and its ids take at most, in CPython
+CACHE_CHARS = 48         # longer stretches are not kept
 SCHEMA = "part int, place long, local_start long, doc_id long, n_tokens long, ids array<int>"
 
 
-class Stretches:
-    """Ids of stretches of text, by the stretch without the space before it.
-    When it is full, what was used since the last time stays for another
-    round."""
-
-    def __init__(self, library, before: str):
-        self.library, self.before = library, before
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.ends: dict[str, bytes] = {}
-
-    def learn(self, stretches: set[str]):
-        """Make all of ``stretches`` known and return their lookup.  The new
-        ones go through the library together, without the full stops and
-        commas behind a word, which are pieces of their own."""
-        if len(self.known) >= CACHE_ENTRIES:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        new = stretches.difference(known)
-        seen = [s for s in new if s in older]
-        known.update([(s, older[s]) for s in seen])
-        new.difference_update(seen)
-        words = {s: w for s in new if (w := s.rstrip(".,")) != s and w.isalpha()}
-        ends = list({s[len(w):] for s, w in words.items()}.difference(self.ends))
-        self.ends.update(zip(ends, self.library(ends)))
-        missing = list(new.difference(words).union(words.values()).difference(known))
-        known.update(zip(missing, self.library([self.before + s for s in missing])))
-        for s, w in words.items():
-            known[s] = known[w] + self.ends[s[len(w):]]
-        return known.__getitem__
-
-    def forget(self, stretches: set[str]) -> None:
-        """Do not keep long stretches."""
-        for s in stretches:
-            if len(s) > CACHE_CHARS:
-                self.known.pop(s, None)
-        if len(self.ends) > CACHE_ENTRIES:
-            self.ends.clear()
-
-
 class LibraryEncoder:
     """The tokenizers library behind a cache of the stretches between spaces.
 
     Its byte-level pattern never goes on from another character into a space
     or a line break, nor from a line break into anything but white space, so a
-    text without loose white space can be cut there; the new stretches of some
-    documents go through the library together."""
+    text without loose white space can be cut there.  A stretch is what
+    follows a space, or a line break with what follows it.  The new stretches
+    of some documents go through the library together: words of letters, which
+    are one piece each, straight to its model, the full stops and commas
+    behind them apart, and the others as they are."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -90,38 +54,81 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = Tokenizer(self.library.model)  # the same vocabulary, without cutting
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.first, self.later = Stretches(self._library, ""), Stretches(self._library, " ")
+        self.symbols = dict(enumerate(byte_symbols()))
         self.line_break = self._library(["\n"])[0]
+        self.known: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {}
+        self.held = 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes()
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return _ids(self.library.encode_batch_fast(texts, add_special_tokens=False))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters with a space in front."""
+        together = " ".join(words)
+        if not together.isascii():
+            words = together.encode().decode("latin-1").translate(self.symbols).split(self.symbols[32])
+        space = self.symbols[32]
+        return _ids(self.model.encode_batch_fast([space + w for w in words], add_special_tokens=False)) if words else []
+
+    def learn(self, stretches: set[str]) -> list[str]:
+        """Make all of ``stretches`` known; returns those not to be kept."""
+        known = self.known
+        new = stretches.difference(known)
+        words = {s for s in new if s.isalpha()}
+        others = new - words
+        ended = {s: w for s in others if (w := s.rstrip(".,")) != s and w.isalpha()}
+        ends = list({s[len(w):] for s, w in ended.items()}.difference(self.ends))
+        self.ends.update(zip(ends, self._library(ends)))
+        behind = set(ended.values())
+        missing = list(words | behind.difference(known))
+        found = dict(zip(missing, self._words(missing)))
+        known.update(found)
+        for s, w in ended.items():
+            known[s] = known[w] + self.ends[s[len(w):]]
+        plain = [s for s in others.difference(ended) if s[:1] != "\n"]
+        broken = [s for s in others if s[:1] == "\n"]
+        known.update(zip(plain, self._library([" " + s for s in plain])))
+        known.update(zip(broken, [self.line_break + ids for ids in self._library([s[1:] for s in broken])]))
+        self.held += ENTRY_BYTES * (len(missing) + len(others))
+        return [s for s in [*missing, *others] if len(s) > CACHE_CHARS]
 
     def _cut(self, text: str) -> bool:
         return not (loose_space(text) or "\n\n" in text or (self.added is not None and self.added.search(text)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        plain = {i: [line.split(" ") for line in t.split("\n")] for i, t in enumerate(texts) if t and self._cut(t)}
+    def encode(self, texts: list[str | None], end: bytes = b"") -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, and
+        ``end`` behind them."""
+        out: list[bytes] = [end] * len(texts)
+        # a line break in front of each text, taken off its ids again
+        plain = {i: f"\n{t}".replace("\n", " \n").split(" ")[1:] for i, t in enumerate(texts) if t and self._cut(t)}
         whole = [i for i, t in enumerate(texts) if t and i not in plain]
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
-        first = {line[0] for lines in plain.values() for line in lines}
-        later: set[str] = set()
-        for lines in plain.values():
-            for line in lines:
-                later.update(line[1:])
-        head, tail = self.first.learn(first), self.later.learn(later)
-        for i, lines in plain.items():
-            out[i] = self.line_break.join([head(line[0]) + b"".join(map(tail, line[1:])) for line in lines])
-        self.first.forget(first)
-        self.later.forget(later)
+            out[i] = ids + end
+        stretches: set[str] = set()
+        for words in plain.values():
+            stretches.update(words)
+        long = self.learn(stretches)
+        ids_of, front = self.known.__getitem__, len(self.line_break)
+        for i, words in plain.items():
+            out[i] = b"".join([*map(ids_of, words), end])[front:]
+        for s in long:
+            del self.known[s]
+            self.held -= ENTRY_BYTES
+        if self.held > CACHE_BYTES:
+            self.known.clear()
+            self.ends.clear()
+            self.held = 0
         return out
 
 
+def _ids(encodings) -> list[bytes]:
+    return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in encodings]
+
+
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
@@ -140,7 +147,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, files:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo in range(0, batch.num_rows, 256):  # a few documents at a time leave Python
-                rows = [r + end for r in encoder.encode(texts.slice(lo, 256).to_pylist())]
+                rows = encoder.encode(texts.slice(lo, 256).to_pylist(), end)
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays([

@@ -25,6 +25,18 @@ def expected(library, rows, end=2):
     return out
 
 
+def test_odd_texts(library, monkeypatch):
+    import random
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 50_000)
+    encoder, rnd = token_store.LibraryEncoder(queries.BYTE_BPE), random.Random(3)
+    odd = [*ODD, "Größe", "naïve,", "…", "word.,", "x" * 60, "ªº", "\n", "ǅ", "中文"]
+    for _ in range(400):
+        texts = [" ".join("".join(rnd.choice(odd) for _ in range(rnd.randint(0, 3))) for _ in range(rnd.randint(0, 8))) for _ in range(10)]
+        for t, ids in zip(texts, encoder.encode(texts, b"\x02\0\0\0")):
+            assert np.frombuffer(ids, "<u4").tolist() == [*library.encode(t, add_special_tokens=False).ids, 2], repr(t)
+    assert encoder.held <= 50_000
+
+
 def test_query(spark, sf_dir, library):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in queries.op9_token_store(spark, sf_dir).collect()) == expected(library, rows)
@@ -32,7 +44,7 @@ def test_query(spark, sf_dir, library):
 
 @pytest.mark.parametrize("files", [1, 5])
 def test_edge_cases(spark, library, tmpdir_path, files, monkeypatch):
-    monkeypatch.setattr(token_store, "CACHE_ENTRIES", 20)
+    monkeypatch.setattr(token_store, "CACHE_BYTES", 5000)
     import random
     rnd = random.Random(files)
     rows = [(i // 2, "".join(rnd.choice(ODD) for _ in range(rnd.randint(0, 12)))) for i in range(200)]
