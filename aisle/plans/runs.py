@@ -151,6 +151,26 @@ def run_explain(spark, sf_dir, keys=("q03", "q07", "q42", "q52", "q55", "q96")):
     return spark.createDataFrame(rows, "query string, tables_read int")
 
 
+RANGED = ["q03", "q25", "q42", "q49", "q72", "q98"]
+
+
+@register("run_range_layout", sql=lambda: "SELECT query, row_count, TRUE AS prunes FROM ("
+          + row_count_sql([(k, {}) for k in RANGED]) + ") r")
+def run_range_layout(spark, sf_dir, days=180):
+    """Statements over facts that are stored by ranges of days: rows, and
+    whether the fact scans leave out ranges at run time."""
+    import re
+
+    from ..sources.retail import stored_as
+    rows = []
+    for key in RANGED:
+        with stored_as("range", days):
+            df = load_all()[key].fn(spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows.append((key, observed_rows(df), re.search(r"dynamicpruningexpression\(part_start#", plan) is not None))
+    return spark.createDataFrame(rows, "query string, row_count long, prunes boolean")
+
+
 def _stream_statements(streams=2):
     from ..streaming.throughput import statements_of
     return [(s, k, lit) for s in range(streams) for k, lit in statements_of(s)]

@@ -32,14 +32,15 @@ def q02(spark, sf_dir, year=1998):
     week 53 weeks later.  Each week row is joined to its days in the year
     (up to seven copies, as the text does) before the offset self-join."""
     t = Tables(spark, sf_dir)
-    wscs = (t.web_sales.select(c("ws_sold_date_sk").alias("sold_date_sk"), c("ws_ext_sales_price").alias("sales_price"))
-            .unionByName(t.catalog_sales.select(c("cs_sold_date_sk").alias("sold_date_sk"),
-                                                c("cs_ext_sales_price").alias("sales_price"))))
     # Only weeks that touch the two years are ever joined; restricting the
     # dates to those whole weeks before aggregating gives the same weekly
     # sums without aggregating the rest of the history.
     weeks = t.date_dim.filter(c("d_year").isin(year, year + 1)).select(c("d_week_seq").alias("w")).distinct()
     days = t.date_dim.join(weeks, c("d_week_seq") == c("w"), "left_semi").select("d_date_sk", "d_week_seq", "d_day_name")
+    wscs = (t.in_days(t.web_sales, "ws_sold_date_sk", days)
+            .select(c("ws_sold_date_sk").alias("sold_date_sk"), c("ws_ext_sales_price").alias("sales_price"))
+            .unionByName(t.in_days(t.catalog_sales, "cs_sold_date_sk", days)
+                         .select(c("cs_sold_date_sk").alias("sold_date_sk"), c("cs_ext_sales_price").alias("sales_price"))))
     wk = (wscs.join(days, c("d_date_sk") == c("sold_date_sk"))
           .groupBy("d_week_seq").agg(*[x.alias(a) for x, a in zip(pivot_sums("d_day_name", _DAYS, "sales_price"), _DAYS)]))
 
@@ -60,7 +61,7 @@ def q59(spark, sf_dir, month_seq=1188):
     weeks = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 23)).select(c("d_week_seq").alias("w")).distinct()
     days = t.date_dim.join(weeks, c("d_week_seq") == c("w"), "left_semi").select("d_date_sk", "d_week_seq", "d_day_name")
     wss = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
-           .join(days, c("d_date_sk") == c("ss_sold_date_sk"))
+           .transform(t.on_days, "ss_sold_date_sk", days)
            .groupBy("d_week_seq", "ss_store_sk")
            .agg(*[x.alias(a) for x, a in zip(pivot_sums("d_day_name", _DAYS, "ss_sales_price"), _DAYS)]))
     st = t.store.select("s_store_sk", "s_store_name", "s_store_id")
@@ -90,14 +91,15 @@ def _channel_years(t, channels, years, measure_fn, agg=F.sum, attrs=CUST_ATTRS):
     per-customer result meets the customer dimension, and a second, small
     aggregation regroups it by the customer attributes the text groups by.
     Sums and maxima both compose."""
+    d = t.date_dim.filter(c("d_year").isin(list(years))).select("d_date_sk", "d_year")
     parts = []
     for typ, fact, p, cust in channels:
+        fact = t.in_days(fact, f"{p}_sold_date_sk", d)
         parts.append(fact.select(c(cust).alias("cust_sk"), c(f"{p}_sold_date_sk").alias("date_sk"),
                                  F.lit(typ).alias("sale_type"), measure_fn(p).alias("v")))
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)
-    d = t.date_dim.filter(c("d_year").isin(list(years))).select("d_date_sk", "d_year")
     names = [f"{typ}{i + 1}" for typ, *_ in channels for i in range(len(years))]
     cols = []
     for typ, *_ in channels:
@@ -158,10 +160,10 @@ def q31(spark, sf_dir, year=1997):
     t = Tables(spark, sf_dir)
     d = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_qoy", "d_year")
     ca = t.customer_address.select("ca_address_sk", "ca_county")
-    ss = (t.store_sales.select(c("ss_sold_date_sk").alias("dsk"), c("ss_addr_sk").alias("ask"),
-                               c("ss_ext_sales_price").alias("v"), F.lit("s").alias("ch")))
-    ws = (t.web_sales.select(c("ws_sold_date_sk").alias("dsk"), c("ws_bill_addr_sk").alias("ask"),
-                             c("ws_ext_sales_price").alias("v"), F.lit("w").alias("ch")))
+    ss = t.in_days(t.store_sales, "ss_sold_date_sk", d).select(
+        c("ss_sold_date_sk").alias("dsk"), c("ss_addr_sk").alias("ask"), c("ss_ext_sales_price").alias("v"), F.lit("s").alias("ch"))
+    ws = t.in_days(t.web_sales, "ws_sold_date_sk", d).select(
+        c("ws_sold_date_sk").alias("dsk"), c("ws_bill_addr_sk").alias("ask"), c("ws_ext_sales_price").alias("v"), F.lit("w").alias("ch"))
     # aggregate per address key first, then bring in the county (one row per address)
     cols = [F.sum(F.when((c("ch") == ch) & (c("d_qoy") == q), c("v"))).alias(f"{ch}{q}")
             for ch in ("s", "w") for q in (1, 2, 3)]
@@ -191,7 +193,7 @@ def _three_channel_sales(t, key, item_filter, year, moy, gmt):
     for fact, p, addr in ((t.store_sales, "ss", "ss_addr_sk"), (t.catalog_sales, "cs", "cs_bill_addr_sk"),
                           (t.web_sales, "ws", "ws_bill_addr_sk")):
         parts.append(fact.select(f"{p}_item_sk", f"{p}_sold_date_sk", addr, f"{p}_ext_sales_price")
-                     .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+                     .transform(t.on_days, f"{p}_sold_date_sk", d)
                      .join(ca, c(addr) == c("ca_address_sk"))
                      .join(it, c(f"{p}_item_sk") == c("i_item_sk"))
                      .groupBy(key).agg(F.sum(f"{p}_ext_sales_price").alias("total_sales")))
@@ -222,7 +224,7 @@ def q60(spark, sf_dir, category="Children", year=1999, moy=9, gmt=-6):
 
 def _name_days(t, fact, p, cust, month_seq):
     d = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
-    return (fact.select(f"{p}_sold_date_sk", cust).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+    return (fact.select(f"{p}_sold_date_sk", cust).transform(t.on_days, f"{p}_sold_date_sk", d)
             .join(t.customer.select("c_customer_sk", "c_last_name", "c_first_name"), c(cust) == c("c_customer_sk"))
             .select("c_last_name", "c_first_name", "d_date").distinct())
 
@@ -256,7 +258,7 @@ def q97(spark, sf_dir, month_seq=1188):
     d = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
 
     def pairs(fact, p, cust, flag):
-        return (fact.select(f"{p}_sold_date_sk", cust, f"{p}_item_sk").join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        return (fact.select(f"{p}_sold_date_sk", cust, f"{p}_item_sk").transform(t.on_days, f"{p}_sold_date_sk", d)
                 .groupBy(c(cust).alias("customer_sk"), c(f"{p}_item_sk").alias("item_sk")).agg(F.lit(1).alias(flag)))
     j = full_coalesce(pairs(t.store_sales, "ss", "ss_customer_sk", "in_s"),
                       pairs(t.catalog_sales, "cs", "cs_bill_customer_sk", "in_c"), ["customer_sk", "item_sk"])
@@ -282,7 +284,7 @@ def q75(spark, sf_dir, category="Books", year=2000):
     def detail(sales, p, num, rets, r, rnum, amt):
         rr = rets.select(c(f"{r}_{rnum}").alias("r_num"), c(f"{r}_item_sk").alias("r_item"),
                          c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt}").alias("r_amt"))
-        j = (sales.join(it, c("i_item_sk") == c(f"{p}_item_sk")).join(d, c("d_date_sk") == c(f"{p}_sold_date_sk"))
+        j = (sales.join(it, c("i_item_sk") == c(f"{p}_item_sk")).transform(t.on_days, f"{p}_sold_date_sk", d)
              .join(rr, (c(f"{p}_{num}") == c("r_num")) & (c(f"{p}_item_sk") == c("r_item")), "left"))
         return j.select("d_year", *keys, (c(f"{p}_quantity") - F.coalesce(c("r_qty"), F.lit(0))).alias("sales_cnt"),
                         (c(f"{p}_ext_sales_price") - F.coalesce(c("r_amt"), F.lit(0))).alias("sales_amt"))
@@ -316,10 +318,11 @@ def q54(spark, sf_dir, category="Electronics", klass="dresses", year=1999, moy=3
     t = Tables(spark, sf_dir)
     it = t.item.filter((c("i_category") == category) & (c("i_class") == klass)).select("i_item_sk")
     d = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
-    sales = (t.catalog_sales.select(c("cs_sold_date_sk").alias("sold_date_sk"), c("cs_bill_customer_sk").alias("customer_sk"),
-                                    c("cs_item_sk").alias("item_sk"))
-             .unionByName(t.web_sales.select(c("ws_sold_date_sk").alias("sold_date_sk"),
-                                             c("ws_bill_customer_sk").alias("customer_sk"), c("ws_item_sk").alias("item_sk"))))
+    sales = (t.in_days(t.catalog_sales, "cs_sold_date_sk", d)
+             .select(c("cs_sold_date_sk").alias("sold_date_sk"), c("cs_bill_customer_sk").alias("customer_sk"), c("cs_item_sk").alias("item_sk"))
+             .unionByName(t.in_days(t.web_sales, "ws_sold_date_sk", d)
+                          .select(c("ws_sold_date_sk").alias("sold_date_sk"), c("ws_bill_customer_sk").alias("customer_sk"),
+                                  c("ws_item_sk").alias("item_sk"))))
     my = (sales.join(d, c("sold_date_sk") == c("d_date_sk")).join(it, c("item_sk") == c("i_item_sk"))
           .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("c_customer_sk") == c("customer_sk"))
           .select("c_customer_sk", "c_current_addr_sk").distinct())
@@ -332,7 +335,7 @@ def q54(spark, sf_dir, category="Electronics", klass="dresses", year=1999, moy=3
     d2 = attach_scalar(t.date_dim.select("d_date_sk", "d_month_seq"), bounds) \
         .filter(c("d_month_seq").between(c("lo"), c("hi"))).select(c("d_date_sk").alias("d2_sk"))
     rev = (t.store_sales.select("ss_sold_date_sk", "ss_customer_sk", "ss_ext_sales_price")
-           .join(d2, c("ss_sold_date_sk") == c("d2_sk"))
+           .transform(t.on_days, "ss_sold_date_sk", d2, "d2_sk")
            .join(my, c("c_customer_sk") == c("ss_customer_sk"))
            .groupBy("c_customer_sk", "c_current_addr_sk").agg(F.sum("ss_ext_sales_price").alias("base_rev"))
            .join(n_stores, c("c_current_addr_sk") == c("ca_address_sk"))
@@ -370,8 +373,7 @@ def q08(spark, sf_dir, zips=default_zip_list(), qoy=1, year=2000, min_preferred=
     st = (t.store.select("s_store_sk", "s_store_name", F.substring("s_zip", 1, 2).alias("s_p2"))
           .join(per_prefix, c("s_p2") == c("p2")))
     j = (t.store_sales.select("ss_store_sk", "ss_sold_date_sk", "ss_net_profit")
-         .join(t.date_dim.filter((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk"),
-               c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", t.date_dim.filter((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk"))
          .join(st, c("ss_store_sk") == c("s_store_sk")))
     g = j.groupBy("s_store_name").agg(F.sum(c("ss_net_profit") * c("n_zip")).cast("decimal(38,2)").alias("sum_net_profit"))
     return topk(g, ["s_store_name"])

@@ -19,8 +19,8 @@ c = F.col
 SALTS = 64  # parts of a store or a state, of which there are few
 
 
-def _ctr(fact, cust, group2, value, date_col, dt):
-    return (fact.join(dt, c(date_col) == c("d_date_sk"))
+def _ctr(t, fact, cust, group2, value, date_col, dt):
+    return (fact.transform(t.on_days, date_col, dt)
             .groupBy(c(cust).alias("ctr_customer_sk"), group2)
             .agg(F.sum(value).alias("ctr_total_return")))
 
@@ -29,7 +29,7 @@ def _ctr(fact, cust, group2, value, date_col, dt):
 def q01(spark, sf_dir, year=2000, state="TN", factor=1.2):
     t = Tables(spark, sf_dir)
     dt = t.date_dim.filter(c("d_year") == year).select("d_date_sk")
-    ctr = _ctr(t.store_returns, "sr_customer_sk", c("sr_store_sk").alias("ctr_store_sk"), "sr_fee",
+    ctr = _ctr(t, t.store_returns, "sr_customer_sk", c("sr_store_sk").alias("ctr_store_sk"), "sr_fee",
                "sr_returned_date_sk", dt)
     hi = above_group_avg(ctr, "ctr_store_sk", "ctr_total_return", factor, salts=SALTS)
     j = (hi.join(t.store.filter(c("s_state") == state).select("s_store_sk"), c("s_store_sk") == c("ctr_store_sk"))
@@ -45,7 +45,7 @@ def q06(spark, sf_dir, year=2000, moy=2, factor=1.2, min_count=10):
     it = above_group_avg(t.item.select("i_item_sk", "i_category", "i_current_price"), "i_category",
                          "i_current_price", factor)
     j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_customer_sk")
-         .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(it, c("ss_item_sk") == c("i_item_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("c_customer_sk") == c("ss_customer_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_state"), c("ca_address_sk") == c("c_current_addr_sk")))
@@ -63,7 +63,7 @@ ADDR_COLS = ["ca_street_number", "ca_street_name", "ca_street_type", "ca_suite_n
 
 def _state_returners(t, fact, p, value, year, state, factor):
     dt = t.date_dim.filter(c("d_year") == year).select("d_date_sk")
-    ret = (fact.join(dt, c(f"{p}_returned_date_sk") == c("d_date_sk"))
+    ret = (fact.transform(t.on_days, f"{p}_returned_date_sk", dt)
            .join(t.customer_address.select(c("ca_address_sk").alias("r_addr"), c("ca_state").alias("ctr_state")),
                  c(f"{p}_returning_addr_sk") == c("r_addr")))
     ctr = (ret.groupBy(c(f"{p}_returning_customer_sk").alias("ctr_customer_sk"), "ctr_state")
@@ -96,7 +96,7 @@ def _excess_discount(t, fact, p, manufact_id, start, factor, name):
     dt = t.date_dim.filter(c("d_date").between(d0, F.date_add(d0, 90))).select("d_date_sk")
     it = t.item.filter(c("i_manufact_id") == manufact_id).select("i_item_sk")
     s = (fact.select(f"{p}_item_sk", f"{p}_sold_date_sk", f"{p}_ext_discount_amt")
-         .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, f"{p}_sold_date_sk", dt)
          .join(it, c("i_item_sk") == c(f"{p}_item_sk")))
     hi = above_group_avg(s, f"{p}_item_sk", f"{p}_ext_discount_amt", factor)
     return hi.agg(money_sum(f"{p}_ext_discount_amt").alias(name))
@@ -156,7 +156,7 @@ def q41(spark, sf_dir, manufact_lo=1, span=40):
 
 def _active(t, fact, cust_col, date_col, dcond):
     dt = t.date_dim.filter(dcond).select("d_date_sk")
-    return fact.select(cust_col, date_col).join(dt, c(date_col) == c("d_date_sk")).select(c(cust_col).alias("_cust"))
+    return fact.select(cust_col, date_col).transform(t.on_days, date_col, dt).select(c(cust_col).alias("_cust"))
 
 
 def _demo_customers(t, addr_cond):

@@ -35,7 +35,7 @@ def cross_items(t, y0):
     triples = []
     for _, tab, p in CHANNELS:
         sold = (getattr(t, tab).select(f"{p}_item_sk", f"{p}_sold_date_sk")
-                .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk")).select(c(f"{p}_item_sk").alias("sold_sk")).distinct())
+                .transform(t.on_days, f"{p}_sold_date_sk", d).select(c(f"{p}_item_sk").alias("sold_sk")).distinct())
         triples.append(sold.join(it, c("sold_sk") == c("i_item_sk")).select(*KEYS))
     x = intersect(*triples)
     return semi(t.item.select("i_item_sk", *KEYS), x, KEYS, KEYS).select(c("i_item_sk").alias("cross_sk"))
@@ -49,7 +49,7 @@ def avg_sales(t, store_y0, other_y0):
     for name, tab, p in CHANNELS:
         y0 = store_y0 if name == "store" else other_y0
         d = t.date_dim.filter(c("d_year").between(y0, y0 + 2)).select("d_date_sk")
-        parts.append(getattr(t, tab).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        parts.append(getattr(t, tab).transform(t.on_days, f"{p}_sold_date_sk", d)
                      .select((c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v")))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.agg(mean("v").alias("average_sales"))
@@ -57,9 +57,9 @@ def avg_sales(t, store_y0, other_y0):
 
 def _channel_sales(t, label, tab, p, items, dates, avg):
     j = (getattr(t, tab).select(f"{p}_item_sk", f"{p}_sold_date_sk", f"{p}_quantity", f"{p}_list_price")
+         .transform(t.on_days, f"{p}_sold_date_sk", dates)
          .join(items, c(f"{p}_item_sk") == c("cross_sk"), "left_semi")
-         .join(t.item.select("i_item_sk", *KEYS), c(f"{p}_item_sk") == c("i_item_sk"))
-         .join(dates, c(f"{p}_sold_date_sk") == c("d_date_sk")))
+         .join(t.item.select("i_item_sk", *KEYS), c(f"{p}_item_sk") == c("i_item_sk")))
     g = j.groupBy(*KEYS).agg(F.sum(c(f"{p}_quantity") * c(f"{p}_list_price")).alias("sales"),
                              F.count(F.lit(1)).alias("number_sales"))
     return (attach_scalar(g, avg).filter(c("sales") > c("average_sales")).drop("average_sales")
@@ -77,9 +77,9 @@ def q14a(spark, sf_dir, y0=1999, year=2000, moy=11):
     d = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
     u = None
     for label, tab, p in CHANNELS:
-        x = getattr(t, tab).select(F.lit(label).alias("channel"), c(f"{p}_item_sk").alias("sk"),
-                                   c(f"{p}_sold_date_sk").alias("dsk"),
-                                   (c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v"))
+        x = t.in_days(getattr(t, tab), f"{p}_sold_date_sk", d).select(
+            F.lit(label).alias("channel"), c(f"{p}_item_sk").alias("sk"), c(f"{p}_sold_date_sk").alias("dsk"),
+            (c(f"{p}_quantity") * c(f"{p}_list_price")).alias("v"))
         u = x if u is None else u.unionByName(x)
     j = (u.join(d, c("dsk") == c("d_date_sk")).join(items, c("sk") == c("cross_sk"), "left_semi")
          .join(t.item.select("i_item_sk", *KEYS), c("sk") == c("i_item_sk")))
@@ -111,7 +111,7 @@ def q14b(spark, sf_dir, y0=1999, year=1999, moy=12, dom=16):
 
 def _frequent_items(t, y0, min_count):
     d = t.date_dim.filter(c("d_year").between(y0, y0 + 3)).select("d_date_sk", "d_date")
-    g = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk").join(d, c("ss_sold_date_sk") == c("d_date_sk"))
+    g = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk").transform(t.on_days, "ss_sold_date_sk", d)
          .join(t.item.select("i_item_sk", "i_item_desc"), c("ss_item_sk") == c("i_item_sk"))
          .groupBy(F.substring("i_item_desc", 1, 30).alias("itemdesc"), c("i_item_sk").alias("item_sk"),
                   c("d_date").alias("solddate"))
@@ -126,7 +126,7 @@ def _best_customers(t, y0, factor):
     d = t.date_dim.filter(c("d_year").between(y0, y0 + 3)).select("d_date_sk")
     ss = t.store_sales.select("ss_customer_sk", "ss_sold_date_sk", "ss_quantity", "ss_sales_price")
     cu = t.customer.select("c_customer_sk")
-    per = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk")).join(d, c("ss_sold_date_sk") == c("d_date_sk"))
+    per = (t.on_days(ss, "ss_sold_date_sk", d).join(cu, c("ss_customer_sk") == c("c_customer_sk"))
            .groupBy("c_customer_sk").agg(F.sum(spend).alias("csales")))
     mx = per.agg(F.max("csales").alias("best_cmax"))
     alltime = (ss.join(cu, c("ss_customer_sk") == c("c_customer_sk"))
@@ -142,7 +142,7 @@ def _q23_sales(t, y0, year, moy, min_count, factor, by_name):
     for tab, p in (("catalog_sales", "cs"), ("web_sales", "ws")):
         j = (getattr(t, tab).select(f"{p}_sold_date_sk", f"{p}_item_sk", f"{p}_bill_customer_sk", f"{p}_quantity",
                                     f"{p}_list_price")
-             .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+             .transform(t.on_days, f"{p}_sold_date_sk", d)
              .join(freq, c(f"{p}_item_sk") == c("item_sk"), "left_semi")
              .join(best, c(f"{p}_bill_customer_sk") == c("best_sk"), "left_semi")
              .withColumn("sales", c(f"{p}_quantity") * c(f"{p}_list_price")))

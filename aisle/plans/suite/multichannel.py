@@ -84,8 +84,7 @@ def q45(spark, sf_dir, zips=("10311", "10622", "13421", "16530", "19639", "85669
     ids = t.item.filter(c("i_item_sk").isin(list(item_sks))).select("i_item_id")
     it = with_flag(t.item.select("i_item_sk", "i_item_id"), ids, ["i_item_id"], ["i_item_id"], "listed")
     j = (t.web_sales.select("ws_bill_customer_sk", "ws_item_sk", "ws_sold_date_sk", "ws_sales_price")
-         .join(t.date_dim.filter((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk"),
-               c("ws_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ws_sold_date_sk", t.date_dim.filter((c("d_qoy") == qoy) & (c("d_year") == year)).select("d_date_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("ws_bill_customer_sk") == c("c_customer_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_zip", "ca_county"),
                c("c_current_addr_sk") == c("ca_address_sk"))
@@ -103,7 +102,7 @@ def _week_dates(t, days):
 
 
 def _item_totals(t, fact, item_col, date_col, value, dates, name):
-    return (fact.select(item_col, date_col, value).join(dates, c(date_col) == c("d_date_sk"))
+    return (fact.select(item_col, date_col, value).transform(t.on_days, date_col, dates)
             .join(t.item.select("i_item_sk", "i_item_id"), c(item_col) == c("i_item_sk"))
             .groupBy(c("i_item_id").alias(f"{name}_id")).agg(F.sum(value).alias(name)))
 

@@ -117,8 +117,7 @@ def q61(spark, sf_dir, gmt=-5, category="Jewelry", year=2000, moy=11):
         .select("p_promo_sk")
     j = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_promo_sk", "ss_customer_sk", "ss_item_sk",
                               "ss_ext_sales_price")
-         .join(t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk"),
-               c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk"))
          .join(t.store.filter(c("s_gmt_offset") == gmt).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), c("ss_customer_sk") == c("c_customer_sk"))
          .join(t.customer_address.filter(c("ca_gmt_offset") == gmt).select("ca_address_sk"),

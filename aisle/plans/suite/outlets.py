@@ -52,26 +52,27 @@ def q05(spark, sf_dir, start="1998-08-04", days=14):
                         "sales", "returns", (c("profit") - c("profit_loss")).alias("profit"))
 
     def sales_side(fact, p, outlet_col):
-        return fact.select(c(outlet_col).alias("outlet_sk"), c(f"{p}_sold_date_sk").alias("date_sk"),
-                           c(f"{p}_ext_sales_price").alias("sales_price"), c(f"{p}_net_profit").alias("profit"),
-                           Z().alias("return_amt"), Z().alias("net_loss"))
+        return t.in_days(fact, f"{p}_sold_date_sk", dt).select(
+            c(outlet_col).alias("outlet_sk"), c(f"{p}_sold_date_sk").alias("date_sk"),
+            c(f"{p}_ext_sales_price").alias("sales_price"), c(f"{p}_net_profit").alias("profit"),
+            Z().alias("return_amt"), Z().alias("net_loss"))
 
     def ret_side(df, outlet_col, date_col, amt, loss):
         return df.select(c(outlet_col).alias("outlet_sk"), c(date_col).alias("date_sk"), Z().alias("sales_price"),
                          Z().alias("profit"), c(amt).alias("return_amt"), c(loss).alias("net_loss"))
 
     ssr = outlet(sales_side(t.store_sales, "ss", "ss_store_sk"),
-                 ret_side(t.store_returns, "sr_store_sk", "sr_returned_date_sk", "sr_return_amt", "sr_net_loss"),
+                 ret_side(t.in_days(t.store_returns, "sr_returned_date_sk", dt), "sr_store_sk", "sr_returned_date_sk", "sr_return_amt", "sr_net_loss"),
                  t.store, "s_store_sk", "s_store_id", "store channel", "store")
     csr = outlet(sales_side(t.catalog_sales, "cs", "cs_catalog_page_sk"),
-                 ret_side(t.catalog_returns, "cr_catalog_page_sk", "cr_returned_date_sk", "cr_return_amount",
-                          "cr_net_loss"),
+                 ret_side(t.in_days(t.catalog_returns, "cr_returned_date_sk", dt), "cr_catalog_page_sk", "cr_returned_date_sk",
+                          "cr_return_amount", "cr_net_loss"),
                  t.catalog_page, "cp_catalog_page_sk", "cp_catalog_page_id", "catalog channel", "catalog_page")
     # web returns carry no site: those of the days take it from the matching
     # sale (left join on item + order)
     days_only = dt.select(c("d_date_sk").alias("r_day"))
-    wr = t.web_returns.join(days_only, c("wr_returned_date_sk") == c("r_day")).join(t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
-                            (c("wr_item_sk") == c("ws_item_sk")) & (c("wr_order_number") == c("ws_order_number")), "left")
+    wr = t.on_days(t.web_returns, "wr_returned_date_sk", days_only, "r_day").join(
+        t.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"), (c("wr_item_sk") == c("ws_item_sk")) & (c("wr_order_number") == c("ws_order_number")), "left")
     wsr = outlet(sales_side(t.web_sales, "ws", "ws_web_site_sk"),
                  ret_side(wr, "ws_web_site_sk", "wr_returned_date_sk", "wr_return_amt", "wr_net_loss"),
                  t.web_site, "web_site_sk", "web_site_id", "web channel", "web_site")
@@ -84,7 +85,7 @@ def q77(spark, sf_dir, start="1998-08-04", days=30):
     dt = _window(t, start, days)
 
     def agg(fact, date_col, key, cols, dim=None, dim_key=None):
-        j = fact.join(dt, c(date_col) == c("d_date_sk"))
+        j = fact.transform(t.on_days, date_col, dt)
         if dim is not None:
             j = j.join(dim.select(dim_key), c(key) == c(dim_key))
         return j.groupBy(c(key).alias("id")).agg(*[F.sum(v).alias(n) for v, n in cols])
@@ -96,7 +97,7 @@ def q77(spark, sf_dir, start="1998-08-04", days=30):
     cs = agg(t.catalog_sales, "cs_sold_date_sk", "cs_call_center_sk",
              [("cs_ext_sales_price", "sales"), ("cs_net_profit", "profit")])
     # keyless aggregate: exactly one row, placed beside every call-centre row
-    cr = (t.catalog_returns.join(dt, c("cr_returned_date_sk") == c("d_date_sk"))
+    cr = (t.catalog_returns.transform(t.on_days, "cr_returned_date_sk", dt)
           .agg(F.sum("cr_return_amount").alias("returns"), F.sum("cr_net_loss").alias("loss")))
     ws = agg(t.web_sales, "ws_sold_date_sk", "ws_web_page_sk", [("ws_ext_sales_price", "sales"), ("ws_net_profit", "profit")],
              t.web_page, "wp_web_page_sk")
@@ -124,7 +125,7 @@ def q80(spark, sf_dir, start="1998-08-04", days=30, min_price=50):
     def chan(sales, p, num, rets, r, rnum, amt, dim, dim_key, dim_id, outlet_col, label, prefix):
         rr = rets.select(c(f"{r}_item_sk").alias("r_item"), c(f"{r}_{rnum}").alias("r_num"),
                          c(f"{r}_{amt}").alias("r_amt"), c(f"{r}_net_loss").alias("r_loss"))
-        j = (sales.join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        j = (sales.transform(t.on_days, f"{p}_sold_date_sk", dt)
              .join(dim.select(dim_key, dim_id), c(outlet_col) == c(dim_key))
              .join(it, c(f"{p}_item_sk") == c("i_item_sk"))
              .join(pr, c(f"{p}_promo_sk") == c("p_promo_sk"))
@@ -156,7 +157,7 @@ def q76(spark, sf_dir):
                                      ("web", "ws_web_page_sk", t.web_sales, "ws"),
                                      ("catalog", "cs_warehouse_sk", t.catalog_sales, "cs")):
         parts.append(fact.filter(c(col_name).isNull())
-                     .join(d, c(f"{p}_sold_date_sk") == c("d_date_sk")).join(it, c(f"{p}_item_sk") == c("i_item_sk"))
+                     .transform(t.on_days, f"{p}_sold_date_sk", d).join(it, c(f"{p}_item_sk") == c("i_item_sk"))
                      .select(F.lit(label).alias("channel"), F.lit(col_name).alias("col_name"), "d_year", "d_qoy",
                              "i_category", c(f"{p}_ext_sales_price").alias("ext_sales_price")))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -185,7 +186,7 @@ def q78(spark, sf_dir, year=2000):
     d = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_year")
 
     def unreturned(sales, p, num, rets, rnum, r, cust, name):
-        s = without(sales.join(d, c(f"{p}_sold_date_sk") == c("d_date_sk")), rets,
+        s = without(sales.transform(t.on_days, f"{p}_sold_date_sk", d), rets,
                     [f"{p}_{num}", f"{p}_item_sk"], [f"{r}_{rnum}", f"{r}_item_sk"])
         return (s.groupBy(c("d_year").alias(f"{name}_sold_year"), c(f"{p}_item_sk").alias(f"{name}_item_sk"),
                          c(cust).alias(f"{name}_customer_sk"))

@@ -26,11 +26,11 @@ c = F.col
 
 def _chain(t, d1, d2, d3, cs_value):
     ss = t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_store_sk", "ss_customer_sk", "ss_ticket_number",
-                              "ss_quantity", "ss_net_profit").join(d1, c("ss_sold_date_sk") == c("d1_sk"))
+                              "ss_quantity", "ss_net_profit").transform(t.on_days, "ss_sold_date_sk", d1, "d1_sk")
     sr = t.store_returns.select("sr_returned_date_sk", "sr_customer_sk", "sr_item_sk", "sr_ticket_number",
-                                "sr_return_quantity", "sr_net_loss").join(d2, c("sr_returned_date_sk") == c("d2_sk"))
+                                "sr_return_quantity", "sr_net_loss").transform(t.on_days, "sr_returned_date_sk", d2, "d2_sk")
     cs = (t.catalog_sales.select("cs_sold_date_sk", "cs_bill_customer_sk", "cs_item_sk", cs_value)
-          .join(d3, c("cs_sold_date_sk") == c("d3_sk"))
+          .transform(t.on_days, "cs_sold_date_sk", d3, "d3_sk")
           .groupBy("cs_bill_customer_sk", "cs_item_sk")
           .agg(F.count(F.lit(1)).alias("cs_n"), F.count(cs_value).alias("cs_cnt"), F.sum(cs_value).alias("cs_sum"),
                F.sum(c(cs_value) * c(cs_value)).alias("cs_sumsq")))
@@ -114,7 +114,7 @@ def _in_stock(t, fact, item_col, lo_price, start, manufacts):
     GROUP BY returns each item once)."""
     d0 = F.lit(start).cast("date")
     d = t.date_dim.filter(c("d_date").between(d0, F.date_add(d0, 60))).select("d_date_sk")
-    inv = t.inventory.filter(c("inv_quantity_on_hand").between(100, 500)).join(d, c("d_date_sk") == c("inv_date_sk"))
+    inv = t.inventory.filter(c("inv_quantity_on_hand").between(100, 500)).transform(t.on_days, "inv_date_sk", d)
     it = t.item.filter(c("i_current_price").between(lo_price, lo_price + 30) & c("i_manufact_id").isin(list(manufacts)))
     it = semi(it, inv, ["i_item_sk"], ["inv_item_sk"])
     it = semi(it, fact.select(item_col), ["i_item_sk"], [item_col])
@@ -143,7 +143,7 @@ def q21(spark, sf_dir, day="2000-04-12", lo_price=0.99, hi_price=30.00):
     d0 = F.lit(day).cast("date")
     d = t.date_dim.filter(c("d_date").between(F.date_sub(d0, 30), F.date_add(d0, 30))).select("d_date_sk", "d_date")
     it = t.item.filter(c("i_current_price").between(lo_price, hi_price)).select("i_item_sk", "i_item_id")
-    j = (t.inventory.join(d, c("inv_date_sk") == c("d_date_sk")).join(it, c("i_item_sk") == c("inv_item_sk"))
+    j = (t.inventory.transform(t.on_days, "inv_date_sk", d).join(it, c("i_item_sk") == c("inv_item_sk"))
          .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
     q = c("inv_quantity_on_hand")
     g = j.groupBy("w_warehouse_name", "i_item_id").agg(
@@ -159,7 +159,7 @@ def _inv_pairs(t, year, moy, min_cov1):
     The text self-joins the monthly statistics; here both months come from
     one conditional aggregation keyed by (warehouse, item)."""
     d = t.date_dim.filter((c("d_year") == year) & c("d_moy").isin(moy, moy + 1)).select("d_date_sk", "d_moy")
-    j = (t.inventory.join(d, c("inv_date_sk") == c("d_date_sk"))
+    j = (t.inventory.transform(t.on_days, "inv_date_sk", d)
          .join(t.item.select("i_item_sk"), c("inv_item_sk") == c("i_item_sk"))
          .join(t.warehouse.select("w_warehouse_sk"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
     q = c("inv_quantity_on_hand")
@@ -200,7 +200,7 @@ def q40(spark, sf_dir, day="1998-04-08", lo_price=0.99, hi_price=30.00):
     cr = t.catalog_returns.select(c("cr_order_number").alias("r_ord"), c("cr_item_sk").alias("r_item"),
                                   "cr_refunded_cash")
     j = (t.catalog_sales.select("cs_order_number", "cs_item_sk", "cs_warehouse_sk", "cs_sold_date_sk", "cs_sales_price")
-         .join(d, c("cs_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "cs_sold_date_sk", d)
          .join(t.warehouse.select("w_warehouse_sk", "w_state"), c("cs_warehouse_sk") == c("w_warehouse_sk"))
          .join(t.item.filter(c("i_current_price").between(lo_price, hi_price)).select("i_item_sk", "i_item_id"),
                c("i_item_sk") == c("cs_item_sk"))
@@ -224,11 +224,11 @@ def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary"
                                          c("cd_education_status").alias("e2"))
     j = (t.web_sales.select("ws_web_page_sk", "ws_item_sk", "ws_order_number", "ws_sold_date_sk", "ws_quantity",
                             "ws_sales_price", "ws_net_profit")
+         .transform(t.on_days, "ws_sold_date_sk", t.date_dim.filter(c("d_year") == year).select("d_date_sk"))
          .join(t.web_returns.select("wr_item_sk", "wr_order_number", "wr_refunded_cdemo_sk", "wr_returning_cdemo_sk",
                                     "wr_refunded_addr_sk", "wr_reason_sk", "wr_refunded_cash", "wr_fee"),
                (c("ws_item_sk") == c("wr_item_sk")) & (c("ws_order_number") == c("wr_order_number")))
          .join(t.web_page.select("wp_web_page_sk"), c("ws_web_page_sk") == c("wp_web_page_sk"))
-         .join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ws_sold_date_sk") == c("d_date_sk"))
          .join(cd1, c("cd1_sk") == c("wr_refunded_cdemo_sk")).join(cd2, c("cd2_sk") == c("wr_returning_cdemo_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_country", "ca_state"), c("ca_address_sk") == c("wr_refunded_addr_sk"))
          .join(t.reason.select("r_reason_sk", "r_reason_desc"), c("r_reason_sk") == c("wr_reason_sk")))
@@ -279,18 +279,18 @@ def q64(spark, sf_dir, colors=("purple", "burlywood", "indian", "spring", "flora
     a2 = t.customer_address.select(c("ca_address_sk").alias("a2_sk"), c("ca_street_number").alias("c_street_number"),
                                    c("ca_street_name").alias("c_street_name"), c("ca_city").alias("c_city"),
                                    c("ca_zip").alias("c_zip"))
-    d1 = t.date_dim.select(c("d_date_sk").alias("d1_sk"), c("d_year").alias("syear"))
+    d1 = t.date_dim.filter(c("d_year").isin(year, year + 1)).select(c("d_date_sk").alias("d1_sk"), c("d_year").alias("syear"))
     d2 = t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_year").alias("fsyear"))
     d3 = t.date_dim.select(c("d_date_sk").alias("d3_sk"), c("d_year").alias("s2year"))
     j = (t.store_sales.select("ss_item_sk", "ss_ticket_number", "ss_store_sk", "ss_sold_date_sk", "ss_customer_sk",
                               "ss_cdemo_sk", "ss_hdemo_sk", "ss_addr_sk", "ss_promo_sk", "ss_wholesale_cost",
                               "ss_list_price", "ss_coupon_amt")
+         .transform(t.on_days, "ss_sold_date_sk", d1, "d1_sk")
          .join(it, c("ss_item_sk") == c("i_item_sk"))
          .join(cs_ui, c("ss_item_sk") == c("ui_item"), "left_semi")
          .join(t.store_returns.select("sr_item_sk", "sr_ticket_number"),
                (c("ss_item_sk") == c("sr_item_sk")) & (c("ss_ticket_number") == c("sr_ticket_number")))
          .join(t.store.select("s_store_sk", "s_store_name", "s_zip"), c("ss_store_sk") == c("s_store_sk"))
-         .join(d1, c("ss_sold_date_sk") == c("d1_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk",
                                  "c_first_sales_date_sk", "c_first_shipto_date_sk"), c("ss_customer_sk") == c("c_customer_sk"))
          .join(cd1, c("ss_cdemo_sk") == c("cd1_sk")).join(cd2, c("c_current_cdemo_sk") == c("cd2_sk"))

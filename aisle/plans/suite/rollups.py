@@ -39,7 +39,7 @@ def q67(spark, sf_dir, month_seq=1188, k=100):
     keys = ["i_category", "i_class", "i_brand", "i_product_name", "d_year", "d_qoy", "d_moy", "s_store_id"]
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_year", "d_qoy", "d_moy")
     j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_store_sk", "ss_sales_price", "ss_quantity")
-         .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(t.store.select("s_store_sk", "s_store_id"), c("ss_store_sk") == c("s_store_sk"))
          .join(t.item.select("i_item_sk", "i_category", "i_class", "i_brand", "i_product_name"),
                c("ss_item_sk") == c("i_item_sk")))
@@ -60,7 +60,7 @@ def q18(spark, sf_dir, gender="M", education="College", months=(9, 5, 12, 4, 1,
         "c_customer_sk", "c_current_cdemo_sk", "c_current_addr_sk", "c_birth_year")
     ca = t.customer_address.filter(c("ca_state").isin(list(states))).select(
         "ca_address_sk", "ca_country", "ca_state", "ca_county")
-    j = (t.catalog_sales.join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("cs_sold_date_sk") == c("d_date_sk"))
+    j = (t.catalog_sales.transform(t.on_days, "cs_sold_date_sk", t.date_dim.filter(c("d_year") == year).select("d_date_sk"))
          .join(t.item.select("i_item_sk", "i_item_id"), c("cs_item_sk") == c("i_item_sk"))
          .join(cd1, c("cs_bill_cdemo_sk") == c("cd1_sk"))
          .join(cu, c("cs_bill_customer_sk") == c("c_customer_sk"))
@@ -80,8 +80,7 @@ def q18(spark, sf_dir, gender="M", education="College", months=(9, 5, 12, 4, 1,
 def q22(spark, sf_dir, month_seq=1188):
     t = Tables(spark, sf_dir)
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
-    j = (t.inventory.join(t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk"),
-                          c("inv_date_sk") == c("d_date_sk"))
+    j = (t.inventory.transform(t.on_days, "inv_date_sk", t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk"))
          .join(t.item.select("i_item_sk", *keys), c("inv_item_sk") == c("i_item_sk"))
          .join(t.warehouse.select("w_warehouse_sk"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
     r = _avg_rollup(j, keys, ["inv_quantity_on_hand"])
@@ -96,7 +95,7 @@ def q27(spark, sf_dir, gender="F", marital="D", education="College", year=1998,
     t = Tables(spark, sf_dir)
     cd = t.customer_demographics.filter((c("cd_gender") == gender) & (c("cd_marital_status") == marital)
                                         & (c("cd_education_status") == education)).select("cd_demo_sk")
-    j = (t.store_sales.join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+    j = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", t.date_dim.filter(c("d_year") == year).select("d_date_sk"))
          .join(t.item.select("i_item_sk", "i_item_id"), c("ss_item_sk") == c("i_item_sk"))
          .join(t.store.filter(c("s_state").isin(list(states))).select("s_store_sk", "s_state"),
                c("ss_store_sk") == c("s_store_sk"))
@@ -123,7 +122,7 @@ def _parent_order(r, k1):
 @register("q36")
 def q36(spark, sf_dir, year=2000, states=("TN",) * 8):
     t = Tables(spark, sf_dir)
-    j = (t.store_sales.join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+    j = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", t.date_dim.filter(c("d_year") == year).select("d_date_sk"))
          .join(t.item.select("i_item_sk", "i_category", "i_class"), c("ss_item_sk") == c("i_item_sk"))
          .join(t.store.filter(c("s_state").isin(list(states))).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     pre = j.groupBy("i_category", "i_class").agg(F.sum("ss_net_profit").alias("p"), F.sum("ss_ext_sales_price").alias("s"))
@@ -141,7 +140,7 @@ def q70(spark, sf_dir, month_seq=1188, k=5):
     t = Tables(spark, sf_dir)
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     base = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_net_profit")
-            .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+            .transform(t.on_days, "ss_sold_date_sk", dt)
             .join(t.store.select("s_store_sk", "s_state", "s_county"), c("s_store_sk") == c("ss_store_sk")))
     per_state = base.groupBy(c("s_state").alias("top_state")).agg(F.sum("ss_net_profit").alias("tp"))
     ranked = per_state.withColumn("ranking", F.rank().over(Window.partitionBy("top_state").orderBy(desc("tp"))))
@@ -159,7 +158,7 @@ def q86(spark, sf_dir, month_seq=1188):
     t = Tables(spark, sf_dir)
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     j = (t.web_sales.select("ws_sold_date_sk", "ws_item_sk", "ws_net_paid")
-         .join(dt, c("ws_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ws_sold_date_sk", dt)
          .join(t.item.select("i_item_sk", "i_category", "i_class"), c("i_item_sk") == c("ws_item_sk")))
     pre = j.groupBy("i_category", "i_class").agg(F.sum("ws_net_paid").alias("p"))
     r = rollup_levels(pre, ["i_category", "i_class"], [F.sum("p").cast("decimal(38,2)").alias("total_sum")])

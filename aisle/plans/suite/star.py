@@ -26,7 +26,7 @@ def q03(spark, sf_dir, manufact_id=28, moy=12):
     dt = t.date_dim.filter(F.col("d_moy") == moy).select("d_date_sk", "d_year")
     it = t.item.filter(F.col("i_manufact_id") == manufact_id).select("i_item_sk", "i_brand_id", "i_brand")
     ss = t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_ext_sales_price")
-    j = (ss.join(dt, ss.ss_sold_date_sk == dt.d_date_sk)
+    j = (ss.transform(t.on_days, "ss_sold_date_sk", dt)
          .join(it, ss.ss_item_sk == it.i_item_sk))
     agg = (j.groupBy("d_year", "i_brand", "i_brand_id")
            .agg(money_sum("ss_ext_sales_price").alias("sum_agg"))
@@ -41,7 +41,7 @@ def _promo_avgs(t, fact, p, cdemo_col, gender, marital, education, year):
                                         & (F.col("cd_education_status") == education)).select("cd_demo_sk")
     dt = t.date_dim.filter(F.col("d_year") == year).select("d_date_sk")
     pr = t.promotion.filter((F.col("p_channel_email") == "N") | (F.col("p_channel_event") == "N")).select("p_promo_sk")
-    j = (fact.join(dt, F.col(f"{p}_sold_date_sk") == F.col("d_date_sk"))
+    j = (fact.transform(t.on_days, f"{p}_sold_date_sk", dt)
          .join(cd, F.col(cdemo_col) == F.col("cd_demo_sk"))
          .join(pr, F.col(f"{p}_promo_sk") == F.col("p_promo_sk"))
          .join(t.item.select("i_item_sk", "i_item_id"), F.col(f"{p}_item_sk") == F.col("i_item_sk")))
@@ -69,7 +69,7 @@ def q15(spark, sf_dir, zips=("10311", "10622", "13421", "16530", "19639", "85669
     t = Tables(spark, sf_dir)
     dt = t.date_dim.filter((F.col("d_qoy") == qoy) & (F.col("d_year") == year)).select("d_date_sk")
     j = (t.catalog_sales.select("cs_sold_date_sk", "cs_bill_customer_sk", "cs_sales_price")
-         .join(dt, F.col("cs_sold_date_sk") == F.col("d_date_sk"))
+         .transform(t.on_days, "cs_sold_date_sk", dt)
          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"),
                F.col("cs_bill_customer_sk") == F.col("c_customer_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_zip", "ca_state"),
@@ -87,7 +87,7 @@ def q19(spark, sf_dir, manager_id=7, moy=11, year=1999):
     it = t.item.filter(F.col("i_manager_id") == manager_id).select(
         "i_item_sk", "i_brand_id", "i_brand", "i_manufact_id", "i_manufact")
     j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_customer_sk", "ss_store_sk", "ss_ext_sales_price")
-         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(it, F.col("ss_item_sk") == F.col("i_item_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_addr_sk"), F.col("ss_customer_sk") == F.col("c_customer_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_zip"), F.col("c_current_addr_sk") == F.col("ca_address_sk"))
@@ -107,7 +107,7 @@ def q42(spark, sf_dir, manager_id=1, moy=12, year=1998):
     dt = t.date_dim.filter((F.col("d_moy") == moy) & (F.col("d_year") == year)).select("d_date_sk", "d_year")
     it = t.item.filter(F.col("i_manager_id") == manager_id).select("i_item_sk", "i_category_id", "i_category")
     j = (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_ext_sales_price")
-         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(it, F.col("ss_item_sk") == F.col("i_item_sk")))
     agg = j.groupBy("d_year", "i_category_id", "i_category").agg(
         money_sum("ss_ext_sales_price").alias("sum_sales"))
@@ -124,7 +124,7 @@ def q43(spark, sf_dir, gmt=-5, year=1998):
     dt = t.date_dim.filter(F.col("d_year") == year).select("d_date_sk", "d_day_name")
     st = t.store.filter(F.col("s_gmt_offset") == gmt).select("s_store_sk", "s_store_name", "s_store_id")
     j = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
-         .join(dt, F.col("ss_sold_date_sk") == F.col("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(st, F.col("ss_store_sk") == F.col("s_store_sk")))
     agg = j.groupBy("s_store_name", "s_store_id").agg(
         *[x.cast("decimal(38,2)").alias(a) for x, a in zip(pivot_sums("d_day_name", _DAYS, "ss_sales_price"), _DAYS)])
@@ -153,7 +153,7 @@ def _bands_filter(demo_bands, addr_bands, with_hdemo):
 def _store_demo_addr(t, year, with_hdemo):
     c = F.col
     j = (t.store_sales.join(t.store.select("s_store_sk"), c("s_store_sk") == c("ss_store_sk"))
-         .join(t.date_dim.filter(c("d_year") == year).select("d_date_sk"), c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", t.date_dim.filter(c("d_year") == year).select("d_date_sk"))
          .join(t.customer_demographics.select("cd_demo_sk", "cd_marital_status", "cd_education_status"),
                c("cd_demo_sk") == c("ss_cdemo_sk"))
          .join(t.customer_address.select("ca_address_sk", "ca_country", "ca_state"), c("ss_addr_sk") == c("ca_address_sk")))
@@ -190,7 +190,7 @@ def _brand_month(t, manager_id, moy, year):
     dt = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk", "d_year")
     it = t.item.filter(c("i_manager_id") == manager_id).select("i_item_sk", "i_brand_id", "i_brand")
     return (t.store_sales.select("ss_sold_date_sk", "ss_item_sk", "ss_ext_sales_price")
-            .join(dt, c("ss_sold_date_sk") == c("d_date_sk")).join(it, c("ss_item_sk") == c("i_item_sk")))
+            .transform(t.on_days, "ss_sold_date_sk", dt).join(it, c("ss_item_sk") == c("i_item_sk")))
 
 
 @register("q52")
@@ -224,7 +224,7 @@ def q50(spark, sf_dir, year=2000, moy=9):
     c = F.col
     d2 = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select(c("d_date_sk").alias("d2_sk"))
     sr = (t.store_returns.select("sr_ticket_number", "sr_item_sk", "sr_customer_sk", "sr_returned_date_sk")
-          .join(d2, c("sr_returned_date_sk") == c("d2_sk")))
+          .transform(t.on_days, "sr_returned_date_sk", d2, "d2_sk"))
     j = (t.store_sales.select("ss_ticket_number", "ss_item_sk", "ss_customer_sk", "ss_sold_date_sk", "ss_store_sk")
          .join(sr, (c("ss_ticket_number") == c("sr_ticket_number")) & (c("ss_item_sk") == c("sr_item_sk"))
                & (c("ss_customer_sk") == c("sr_customer_sk")))
@@ -284,7 +284,7 @@ def _class_share(t, fact, p, categories, start, limit):
     it = t.item.filter(c("i_category").isin(list(categories))).select(
         "i_item_sk", "i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
     j = (fact.select(f"{p}_item_sk", f"{p}_sold_date_sk", f"{p}_ext_sales_price")
-         .join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk")).join(it, c(f"{p}_item_sk") == c("i_item_sk")))
+         .transform(t.on_days, f"{p}_sold_date_sk", dt).join(it, c(f"{p}_item_sk") == c("i_item_sk")))
     agg = (j.groupBy("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price")
            .agg(F.sum(f"{p}_ext_sales_price").alias("rev"))
            .select("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price",
@@ -322,7 +322,7 @@ def q65(spark, sf_dir, month_seq=1188, factor=0.1):
     c = F.col
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
     sc = (t.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_item_sk", "ss_sales_price")
-          .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+          .transform(t.on_days, "ss_sold_date_sk", dt)
           .groupBy("ss_store_sk", "ss_item_sk").agg(F.sum("ss_sales_price").alias("revenue")))
     sb = sc.groupBy(c("ss_store_sk").alias("sb_store")).agg(mean("revenue").alias("ave"))
     sc, sb, part = salted(sc, sb, 64, ["ss_item_sk"])  # stores are few and hot
@@ -351,7 +351,7 @@ def q66(spark, sf_dir, year=2000, time_lo=49530, carrier1="DIAMOND", carrier2="A
     w = t.warehouse.select("w_warehouse_sk", *W_ATTRS)
 
     def chan(fact, p, price, net):
-        j = (fact.join(w, c(f"{p}_warehouse_sk") == c("w_warehouse_sk")).join(d, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        j = (fact.join(w, c(f"{p}_warehouse_sk") == c("w_warehouse_sk")).transform(t.on_days, f"{p}_sold_date_sk", d)
              .join(tm, c(f"{p}_sold_time_sk") == c("t_time_sk")).join(sm, c(f"{p}_ship_mode_sk") == c("sm_ship_mode_sk")))
         aggs = []
         for i, m in enumerate(MONTHS):
@@ -378,7 +378,7 @@ def q71(spark, sf_dir, manager_id=1, moy=12, year=1999, meals=("breakfast", "din
     d = t.date_dim.filter((c("d_moy") == moy) & (c("d_year") == year)).select("d_date_sk")
     parts = []
     for fact, p in ((t.web_sales, "ws"), (t.catalog_sales, "cs"), (t.store_sales, "ss")):
-        parts.append(fact.join(d, c("d_date_sk") == c(f"{p}_sold_date_sk"))
+        parts.append(fact.transform(t.on_days, f"{p}_sold_date_sk", d)
                      .select(c(f"{p}_ext_sales_price").alias("ext_price"), c(f"{p}_item_sk").alias("sold_item_sk"),
                              c(f"{p}_sold_time_sk").alias("time_sk")))
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -407,15 +407,15 @@ def q72(spark, sf_dir, potential="1001-5000", marital="M", year=2000, ship_lag=5
     weeks = d1.select(c("d1_week").alias("week")).distinct()
     d2 = (t.date_dim.select(c("d_date_sk").alias("d2_sk"), c("d_week_seq").alias("d2_week"))
           .join(weeks, c("d2_week") == c("week"), "left_semi"))
-    inv = (t.inventory.join(d2, c("inv_date_sk") == c("d2_sk"))
+    inv = (t.inventory.transform(t.on_days, "inv_date_sk", d2, "d2_sk")
            .join(t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), c("w_warehouse_sk") == c("inv_warehouse_sk")))
     cs = (t.catalog_sales.select("cs_item_sk", "cs_order_number", "cs_bill_cdemo_sk", "cs_bill_hdemo_sk",
                                  "cs_sold_date_sk", "cs_ship_date_sk", "cs_promo_sk", "cs_quantity")
+          .transform(t.on_days, "cs_sold_date_sk", d1, "d1_sk")
           .join(t.customer_demographics.filter(c("cd_marital_status") == marital).select("cd_demo_sk"),
                 c("cs_bill_cdemo_sk") == c("cd_demo_sk"))
           .join(t.household_demographics.filter(c("hd_buy_potential") == potential).select("hd_demo_sk"),
                 c("cs_bill_hdemo_sk") == c("hd_demo_sk"))
-          .join(d1, c("cs_sold_date_sk") == c("d1_sk"))
           .join(d3, (c("cs_ship_date_sk") == c("d3_sk")) & (c("d3_date") > F.date_add(c("d1_date"), ship_lag))))
     j = (cs.join(inv, (c("cs_item_sk") == c("inv_item_sk")) & (c("d1_week") == c("d2_week"))
                  & (c("inv_quantity_on_hand") < c("cs_quantity")))
@@ -463,8 +463,7 @@ def q91(spark, sf_dir, year=1999, moy=11, m1="M", e1="4 yr Degree", m2="D", e2="
     cd = t.customer_demographics.filter(((c("cd_marital_status") == m1) & (c("cd_education_status") == e1))
                                         | ((c("cd_marital_status") == m2) & (c("cd_education_status") == e2)))
     j = (t.catalog_returns.select("cr_call_center_sk", "cr_returned_date_sk", "cr_returning_customer_sk", "cr_net_loss")
-         .join(t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk"),
-               c("cr_returned_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "cr_returned_date_sk", t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk"))
          .join(t.call_center.select("cc_call_center_sk", "cc_call_center_id", "cc_name", "cc_manager"),
                c("cr_call_center_sk") == c("cc_call_center_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk"),

@@ -19,7 +19,7 @@ def _away_from_home(t, dows, years, cities, dep, vehicles, values):
     hd = t.household_demographics.filter((c("hd_dep_count") == dep) | (c("hd_vehicle_count") == vehicles)) \
         .select("hd_demo_sk")
     ca = t.customer_address.select(c("ca_address_sk").alias("b_addr"), c("ca_city").alias("bought_city"))
-    j = (t.store_sales.join(d, c("ss_sold_date_sk") == c("d_date_sk")).join(st, c("ss_store_sk") == c("s_store_sk"))
+    j = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", d).join(st, c("ss_store_sk") == c("s_store_sk"))
          .join(hd, c("ss_hdemo_sk") == c("hd_demo_sk")).join(ca, c("ss_addr_sk") == c("b_addr")))
     dn = j.groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "bought_city").agg(
         *[F.sum(v).cast("decimal(38,2)").alias(n) for v, n in values])
@@ -47,7 +47,7 @@ def q68(spark, sf_dir, dom_hi=2, years=(1999, 2000, 2001), cities=("Midway", "Fa
     hd = t.household_demographics.filter((c("hd_dep_count") == dep) | (c("hd_vehicle_count") == vehicles)) \
         .select("hd_demo_sk")
     ca = t.customer_address.select(c("ca_address_sk").alias("b_addr"), c("ca_city").alias("bought_city"))
-    j = (t.store_sales.join(d, c("ss_sold_date_sk") == c("d_date_sk")).join(st, c("ss_store_sk") == c("s_store_sk"))
+    j = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", d).join(st, c("ss_store_sk") == c("s_store_sk"))
          .join(hd, c("ss_hdemo_sk") == c("hd_demo_sk")).join(ca, c("ss_addr_sk") == c("b_addr")))
     dn = j.groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "bought_city").agg(
         F.sum("ss_ext_sales_price").cast("decimal(38,2)").alias("extended_price"),
@@ -72,7 +72,7 @@ def _ticket_counts(t, dom_cond, potentials, ratio, years, counties, lo, hi):
         c("hd_buy_potential").isin(list(potentials)) & (c("hd_vehicle_count") > 0)
         & (F.when(c("hd_vehicle_count") > 0, int_div(c("hd_dep_count"), c("hd_vehicle_count"))) > ratio)) \
         .select("hd_demo_sk")
-    dn = (t.store_sales.join(d, c("ss_sold_date_sk") == c("d_date_sk")).join(st, c("ss_store_sk") == c("s_store_sk"))
+    dn = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", d).join(st, c("ss_store_sk") == c("s_store_sk"))
           .join(hd, c("ss_hdemo_sk") == c("hd_demo_sk"))
           .groupBy("ss_ticket_number", "ss_customer_sk").agg(F.count(F.lit(1)).alias("cnt")))
     return (dn.filter(c("cnt").between(lo, hi))
@@ -112,7 +112,7 @@ def q79(spark, sf_dir, dep=8, dow=1, years=(1998, 1999, 2000), emp_lo=200, emp_h
     d = t.date_dim.filter((c("d_dow") == dow) & c("d_year").isin(list(years))).select("d_date_sk")
     st = t.store.filter(c("s_number_employees").between(emp_lo, emp_hi)).select("s_store_sk", "s_city")
     hd = t.household_demographics.filter((c("hd_dep_count") == dep) | (c("hd_vehicle_count") > 0)).select("hd_demo_sk")
-    ms = (t.store_sales.join(d, c("ss_sold_date_sk") == c("d_date_sk")).join(st, c("ss_store_sk") == c("s_store_sk"))
+    ms = (t.store_sales.transform(t.on_days, "ss_sold_date_sk", d).join(st, c("ss_store_sk") == c("s_store_sk"))
           .join(hd, c("ss_hdemo_sk") == c("hd_demo_sk"))
           .groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "s_city")
           .agg(F.sum("ss_coupon_amt").cast("decimal(38,2)").alias("amt"),

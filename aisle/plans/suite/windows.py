@@ -40,8 +40,8 @@ def _deviation(t, key, period, month_seq, classes1):
         .select("i_item_sk", key)
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", period)
     j = (t.store_sales.select("ss_item_sk", "ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
+         .transform(t.on_days, "ss_sold_date_sk", dt)
          .join(it, c("ss_item_sk") == c("i_item_sk"))
-         .join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
          .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     g = j.groupBy(key, period).agg(F.sum("ss_sales_price").alias("s"))
     g = g.withColumn("a", mean_over("s", Window.partitionBy(key)))
@@ -75,7 +75,7 @@ def q89(spark, sf_dir, year=2000, cats1=("Home", "Books", "Electronics"), classe
         "i_item_sk", "i_category", "i_class", "i_brand")
     dt = t.date_dim.filter(c("d_year") == year).select("d_date_sk", "d_moy")
     j = (t.store_sales.select("ss_item_sk", "ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
-         .join(it, c("ss_item_sk") == c("i_item_sk")).join(dt, c("ss_sold_date_sk") == c("d_date_sk"))
+         .transform(t.on_days, "ss_sold_date_sk", dt).join(it, c("ss_item_sk") == c("i_item_sk"))
          .join(t.store.select("s_store_sk", "s_store_name", "s_company_name"), c("ss_store_sk") == c("s_store_sk")))
     keys = ["i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy"]
     g = j.groupBy(*keys).agg(F.sum("ss_sales_price").alias("s"))
@@ -120,8 +120,8 @@ def _three_months(t, year):
 def q47(spark, sf_dir, year=2000):
     t = Tables(spark, sf_dir)
     j = (t.store_sales.select("ss_item_sk", "ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
+         .transform(t.on_days, "ss_sold_date_sk", _three_months(t, year))
          .join(t.item.select("i_item_sk", "i_category", "i_brand"), c("ss_item_sk") == c("i_item_sk"))
-         .join(_three_months(t, year), c("ss_sold_date_sk") == c("d_date_sk"))
          .join(t.store.select("s_store_sk", "s_store_name", "s_company_name"), c("ss_store_sk") == c("s_store_sk")))
     part = ["i_category", "i_brand", "s_store_name", "s_company_name"]
     g = j.groupBy(*part, "d_year", "d_moy").agg(F.sum("ss_sales_price").alias("s"))
@@ -132,8 +132,8 @@ def q47(spark, sf_dir, year=2000):
 def q57(spark, sf_dir, year=2000):
     t = Tables(spark, sf_dir)
     j = (t.catalog_sales.select("cs_item_sk", "cs_sold_date_sk", "cs_call_center_sk", "cs_sales_price")
+         .transform(t.on_days, "cs_sold_date_sk", _three_months(t, year))
          .join(t.item.select("i_item_sk", "i_category", "i_brand"), c("cs_item_sk") == c("i_item_sk"))
-         .join(_three_months(t, year), c("cs_sold_date_sk") == c("d_date_sk"))
          .join(t.call_center.select("cc_call_center_sk", "cc_name"), c("cc_call_center_sk") == c("cs_call_center_sk")))
     part = ["i_category", "i_brand", "cc_name"]
     g = j.groupBy(*part, "d_year", "d_moy").agg(F.sum("cs_sales_price").alias("s"))
@@ -172,7 +172,7 @@ def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, ye
     rr = rets.select(c(f"{r}_{num_r}").alias("r_ord"), c(f"{r}_item_sk").alias("r_item"),
                      c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt_r}").alias("r_amt"))
     s = sales.filter((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
-    j = (s.join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+    j = (s.transform(t.on_days, f"{p}_sold_date_sk", dt)
          .join(rr.filter(c("r_amt") > min_return_amt), (c(f"{p}_{num_s}") == c("r_ord")) & (c(f"{p}_item_sk") == c("r_item"))))
     d = "decimal(15,4)"
     g = j.groupBy(c(f"{p}_item_sk").alias("item")).agg(
@@ -216,7 +216,7 @@ def q51(spark, sf_dir, month_seq=1188):
     dt = t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk", "d_date")
 
     def cume(fact, p, name):
-        g = (fact.filter(c(f"{p}_item_sk").isNotNull()).join(dt, c(f"{p}_sold_date_sk") == c("d_date_sk"))
+        g = (fact.filter(c(f"{p}_item_sk").isNotNull()).transform(t.on_days, f"{p}_sold_date_sk", dt)
              .groupBy(c(f"{p}_item_sk").alias("item_sk"), "d_date").agg(F.sum(f"{p}_sales_price").alias("s")))
         return g.select("item_sk", "d_date", running(F.sum, "s", ["item_sk"], ["d_date"]).alias(name))
     x = full_coalesce(cume(t.web_sales, "ws", "web_sales"), cume(t.store_sales, "ss", "store_sales"),

@@ -5,11 +5,15 @@ Range partitioning of a fact: the date key range [lo, hi] is cut into
 ``days``-wide ranges; each row gets ``part_start`` = first key of its
 range, and every key outside the range (and NULL) goes to the
 ``outliers`` partition, ``part_start = -1``.  The column drives
-``partitionBy``, so readers that filter on it skip whole directories.
+``partitionBy``, so readers that filter on it skip whole directories.  Beside
+the folders, ``_ranges`` (which readers of the table skip) says how the keys
+were cut, so a statement can turn the days it asks for into ranges.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,28 @@ def load_table(df: DataFrame, path: str, options: dict | None = None) -> None:
     w.parquet(path)
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Keys from ``lo`` to ``hi`` in ranges of ``days``."""
+    lo: int
+    hi: int
+    days: int
+
+    def start(self, key: str):
+        return part_start(key, self.days, self.lo, self.hi)
+
+
+def _write_ranges(spark: SparkSession, path: str, ranges: Ranges) -> None:
+    row = [(ranges.lo, ranges.hi, ranges.days)]
+    spark.createDataFrame(row, "lo int, hi int, days int").coalesce(1).write.mode("overwrite").parquet(f"{path}/_ranges")
+
+
+def read_ranges(spark: SparkSession, path: str) -> Ranges:
+    """How the table at ``path`` was cut."""
+    r = spark.read.schema("lo int, hi int, days int").parquet(f"{path}/_ranges").first()
+    return Ranges(r["lo"], r["hi"], r["days"])
+
+
 def part_start(key: str, days: int, lo: int = PART_LO, hi: int = PART_HI):
     k = F.col(key)
     return F.when(k.between(lo, hi), F.lit(lo) + F.floor((k - lo) / days).cast("int") * days) \
@@ -70,6 +96,7 @@ def write_range_partitioned(df: DataFrame, key: str, days: int, path: str, lo: i
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.parquet(path)
+    _write_ranges(df.sparkSession, path, Ranges(lo, hi, days))
 
 
 def load_partitions(spark: SparkSession, df: DataFrame, key: str, days: int, path: str,
@@ -83,6 +110,7 @@ def load_partitions(spark: SparkSession, df: DataFrame, key: str, days: int, pat
         out = out.filter(F.col("part_start").isin(list(ranges)))
     (cluster_for_write(out, "part_start", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("part_start").parquet(path))
+    _write_ranges(spark, path, Ranges(lo, hi, days))
     return placed.filter(F.col("part_start") == OUTLIERS).count()
 
 

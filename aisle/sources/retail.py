@@ -27,11 +27,14 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.tables import PART_KEY, Ranges, read_ranges, write_range_partitioned
 from .dialect import DUCK, SPARK, Dialect, sql_type
 
 # ---------------------------------------------------------------------------
@@ -626,8 +629,26 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-_CACHE: dict[tuple[int, str], dict[str, DataFrame]] = {}
-LAYOUTS = ("flat", "date")
+_CACHE: dict[tuple, tuple[dict[str, DataFrame], dict[str, Ranges]]] = {}
+LAYOUTS = ("flat", "date", "range")
+RANGE_DAYS = 30
+_CHOSEN: ContextVar[tuple[str, int] | None] = ContextVar("layout", default=None)
+
+
+@contextmanager
+def stored_as(layout: str, days: int = RANGE_DAYS):
+    """Statements that are built inside read the tables in this layout."""
+    token = _CHOSEN.set((layout, days))
+    try:
+        yield
+    finally:
+        _CHOSEN.reset(token)
+
+
+def part_column(date_key: str) -> str:
+    """Name of the range column of the fact that ``date_key`` belongs to, in a
+    table that is stored by ranges."""
+    return f"{date_key.split('_')[0]}_part_start"
 
 
 def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -> dict[str, DataFrame]:
@@ -641,56 +662,68 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
     that folder is written last, so concurrent builders never mix files and
     a half-written build is never read.
 
-    ``layout``: 'flat', or 'date' (facts partitioned by their date key, so a
+    ``layout``: 'flat'; 'date' (facts partitioned by their date key, so a
     filter on ``date_dim`` prunes fact files at run time through dynamic
-    partition pruning; for inputs whose days fill files of tens of MB).
-    Left out, it is the session's ``spark.aisle.layout``, else 'flat'.
+    partition pruning; for inputs whose days fill files of tens of MB); or
+    'range' (facts partitioned by ranges of ``spark.aisle.range.days`` days,
+    ``RANGE_DAYS`` by default; the column of the ranges, ``part_column``,
+    comes after the declared ones, and the suite's joins on days prune by it).
+    Left out, it is that of ``stored_as``, else the session's
+    ``spark.aisle.layout``, else 'flat'.
     """
-    layout = layout or spark.conf.get("spark.aisle.layout", "flat")
+    return _stored_tables(spark, sf_dir, layout)[0]
+
+
+def fact_ranges(spark: SparkSession, sf_dir: str, layout: str | None = None) -> dict[str, Ranges]:
+    """How each fact that is stored by ranges is cut, by its date key."""
+    return _stored_tables(spark, sf_dir, layout)[1]
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str, layout: str | None) -> tuple[dict[str, DataFrame], dict[str, Ranges]]:
+    chosen, days = _CHOSEN.get() or (spark.conf.get("spark.aisle.layout", "flat"), int(spark.conf.get("spark.aisle.range.days", str(RANGE_DAYS))))
+    layout = layout or chosen
     if layout not in LAYOUTS:
         raise ValueError(f"layout {layout!r} is none of {LAYOUTS}")
     version = _fingerprint(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, layout, version)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, layout, days, version)
     if key in _CACHE:
         return _CACHE[key]
-    loaded = _loaded_tables(spark, sf_dir)
-    if loaded is not None:
-        _CACHE[key] = loaded
-        return loaded
-    base = f"{_checkpoint_root(spark)}/aisle-retail/{version}-{layout}"
+    if _files(spark, f"{sf_dir}/store_sales") is not None:
+        # one Parquet folder per table, e.g. written by ``python -m aisle load``
+        # or ``part``: the 24 tables themselves
+        _CACHE[key] = _read_tables(spark, sf_dir)
+        return _CACHE[key]
+    base = f"{_checkpoint_root(spark)}/aisle-retail/{version}-{layout}{days if layout == 'range' else ''}"
     if _files(spark, f"{base}/complete_marker/_SUCCESS") is not None:
         # the marker names the folder of the last complete build
         base = spark.read.parquet(f"{base}/complete_marker").first()["path"]
     else:
         build = f"{base}/build-{uuid.uuid4().hex[:12]}"
-        materialise_retail(spark, sf_dir, build, layout)
+        materialise_retail(spark, sf_dir, build, layout, days)
         spark.createDataFrame([(build,)], "path string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{base}/complete_marker")
         base = build
-    specs = _specs(SPARK)
-    # partition columns come back last: restore the declared column order
-    out = {t: spark.read.parquet(f"{base}/{t}").select(*[n for n, _, _ in specs[t].cols]) for t in TABLES}
-    _CACHE[key] = out
-    return out
+    _CACHE[key] = _read_tables(spark, base)
+    return _CACHE[key]
 
 
-def _loaded_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame] | None:
-    """The 24 tables themselves when ``sf_dir`` already holds them (one
-    Parquet folder per table, e.g. written by ``python -m aisle load``);
-    None when it holds the order-entry tables the retail ones derive from."""
-    if _files(spark, f"{sf_dir}/store_sales") is None:
-        return None
-    return {t: spark.read.parquet(f"{sf_dir}/{t}") for t in TABLES}
-
-
-# The date key each fact is partitioned on in the 'date' layout.
-FACT_DATE_KEY = {"store_sales": "ss_sold_date_sk", "catalog_sales": "cs_sold_date_sk",
-                 "web_sales": "ws_sold_date_sk", "store_returns": "sr_returned_date_sk",
-                 "catalog_returns": "cr_returned_date_sk", "web_returns": "wr_returned_date_sk",
-                 "inventory": "inv_date_sk"}
+def _read_tables(spark: SparkSession, base: str) -> tuple[dict[str, DataFrame], dict[str, Ranges]]:
+    """The tables under ``base``.  Partition columns come back last: the
+    declared columns come first again, in their order."""
+    specs = _specs(SPARK)
+    tables, ranges = {}, {}
+    for name in TABLES:
+        df = spark.read.parquet(f"{base}/{name}")
+        key = PART_KEY.get(name)
+        by_range = "part_start" in df.columns
+        if by_range:
+            ranges[key] = read_ranges(spark, f"{base}/{name}")
+            df = df.withColumnRenamed("part_start", part_column(key))
+        tables[name] = df.select(*[n for n, _, _ in specs[name].cols], *([part_column(key)] if by_range else []))
+    return tables, ranges
 
 
-def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str = "flat") -> None:
+def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str = "flat", days: int = RANGE_DAYS) -> None:
     sizes = input_sizes(spark, sf_dir)
     sale_path = f"{base}/sale_base"
     # The sale base feeds six facts: write it once, then derive from the copy.
@@ -702,8 +735,10 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
         df = tables[name]
         if specs[name].source.startswith("range:") or specs[name].source == "days":
             df = df.coalesce(1)  # calendar / outlet dimension
-        if layout == "date" and name in FACT_DATE_KEY:
-            k = FACT_DATE_KEY[name]
+        if layout == "range" and name in PART_KEY:
+            write_range_partitioned(df, PART_KEY[name], days, f"{base}/{name}", sizes.first_day, sizes.last_day)
+        elif layout == "date" and name in PART_KEY:
+            k = PART_KEY[name]
             # range-cluster by (day, item, row hash): few day folders per
             # task, and a large day (even one hot item) is split over tasks;
             # the range bounds cost a second derivation from the stored base
