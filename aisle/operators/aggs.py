@@ -58,3 +58,31 @@ def rollup_levels(df: DataFrame, keys: list[str], aggs: list[Column],
             lvl = lvl + F.col(f"g_{k}")
         g = g.withColumn("lochierarchy", lvl)
     return g.drop("_gid")
+
+
+def rollup_cascade(df: DataFrame, keys: list[str], sums: dict[str, str], deal: int = 0) -> DataFrame:
+    """``GROUP BY ROLLUP(keys)`` of sums (new name -> column) with the integer
+    flags ``g_<key>`` and without an Expand: each level is aggregated from a
+    finer one, and the finest from ``df``, combined map-side.
+
+    The groups of the finest level are dealt once by the first ``deal`` keys;
+    the levels that hold those keys need no further shuffle, and the coarser
+    ones are aggregated from the last of these.  ``deal`` should end at a key
+    of many values: a group's rows are at most its finer groups, however many
+    rows of ``df`` it has.  With 0, every level comes from the next finer one.
+    The branches share the dealt rows (a reused exchange).  The grand total is
+    a keyless aggregate, so an empty input has that one row."""
+    fine = df.groupBy(*keys).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+    if deal:
+        fine = fine.repartition(*keys[:deal])
+    types = {f.name: f.dataType for f in fine.schema.fields}
+    out, finer = None, fine
+    for j in range(len(keys), -1, -1):
+        if j < len(keys):
+            source = fine if deal and j >= deal else finer
+            finer = source.groupBy(*keys[:j]).agg(*[F.sum(n).alias(n) for n in sums])
+        level = finer.select(*keys[:j], *[F.lit(None).cast(types[k]).alias(k) for k in keys[j:]],
+                             *[F.col(n).cast(types[n]).alias(n) for n in sums],
+                             *[F.lit(int(i >= j)).alias(f"g_{k}") for i, k in enumerate(keys)])
+        out = level if out is None else out.unionByName(level)
+    return out

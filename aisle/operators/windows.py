@@ -57,35 +57,43 @@ def global_rank_top(df: DataFrame, keys: list[str], descending: list[bool], k: i
     return df.join(F.broadcast(ranked), cond).drop(*[f"_t_{c}" for c in keys])
 
 
-def rank_among(df: DataFrame, everything: DataFrame, ranks: dict[str, str]) -> DataFrame:
-    """Adds, for each key of ``ranks``, the ascending ``rank()`` that the rows
-    of ``df`` have among all rows of ``everything``, of which ``df`` is a small
-    selection; ``ranks`` names the new columns.
-
-    The distinct values of a key in ``df`` go, as one array, beside every row
-    of ``everything``; a row counts for the first of them that is above it, and
-    the counts (one per value) are summed up.  NULL keys rank last.  What is
-    broadcast grows with the selection only."""
-    keys = list(ranks)
-    marks = df.agg(*[F.array_sort(F.collect_set(k)).alias(f"_marks{i}") for i, k in enumerate(keys)])
-
-    def passed(i, k):
-        """How many marks are not above the row's value."""
-        m = f"_marks{i}"
-        return F.when(F.col(k).isNull(), F.size(m) + 1).otherwise(F.size(F.filter(m, lambda x: x <= F.col(k))))
-    seen = (everything.select(*keys).crossJoin(F.broadcast(marks))
-            .select(F.explode(F.array(*[F.struct(F.lit(i).alias("key"), passed(i, k).alias("at")) for i, k in enumerate(keys)])).alias("s"))
-            .groupBy("s").agg(F.count(F.lit(1)).alias("n")).select("s.key", "s.at", "n"))
-    counts = seen.agg(F.collect_list(F.struct("key", "at", "n")).alias("_counts"))
-    out = df.crossJoin(F.broadcast(marks)).crossJoin(F.broadcast(counts))
-
-    def below(i, k):
-        """Rows that lie below the row's value; those that equal it have passed
-        its mark."""
-        m = f"_marks{i}"
-        place = F.when(F.col(k).isNull(), F.size(m)).otherwise(F.size(F.filter(m, lambda x: x < F.col(k))))
-        lower = F.filter("_counts", lambda x: (x["key"] == i) & (x["at"] <= place))
-        return F.aggregate(lower, F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    for i, k in enumerate(keys):
-        out = out.withColumn(ranks[k], below(i, k) + 1)
-    return out.drop("_counts", *[f"_marks{i}" for i in range(len(keys))])
+def rank_in_groups(df: DataFrame, group: list[str], value: str, name: str = "rnk", pieces: int | None = None) -> DataFrame:
+    """Adds the exact ascending ``rank()`` of every row by ``value`` within
+    ``group`` (NULLs last), for a few groups of any size; with ``group`` empty,
+    among all rows.
+
+    Rows are first counted per distinct value (combined map-side, so ties of
+    any number are one row).  The values of a group are dealt by about
+    ``pieces`` marks, its approximate quantiles; the counts of the pieces, a
+    few rows, become offsets, and a window inside a piece does the rest.  The
+    ranked values then meet the rows by equality."""
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = [f"_g{i}" for i in range(len(group))]
+    values = df.groupBy(*[F.col(k).alias(a) for k, a in zip(group, g)], F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    marks = values.groupBy(*[F.col(a).alias(f"{a}m") for a in g]).agg(
+        F.array_distinct(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)] or [0.5], 10 * pieces)).alias("_marks"))
+
+    def same(left, right):
+        cond = F.lit(True)
+        for x, y in zip(left, right):
+            cond = cond & F.col(x).eqNullSafe(F.col(y))
+        return cond
+    placed = attach_marks(values, marks, same(g, [f"{a}m" for a in g]) if g else None)
+    sizes = placed.groupBy(*g, "_piece").agg(F.sum("_n").alias("_in"))
+    # a few rows: one per piece
+    below = Window.partitionBy(*g).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(a).alias(f"{a}s") for a in g], F.col("_piece").alias("_ps"),
+                          F.coalesce(F.sum("_in").over(below), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*g, "_piece").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (placed.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+              .join(starts, same([*g, "_piece"], [*[f"{a}s" for a in g], "_ps"]))
+              .select(*g, "_v", (F.col("_start") + F.col("_before") + 1).cast("long").alias(name)))
+    return df.join(ranked, same([*group, value], [*g, "_v"])).drop(*g, "_v")
+
+
+def attach_marks(values: DataFrame, marks: DataFrame, cond: Column | None) -> DataFrame:
+    """``values`` with ``_piece``: how many of its group's marks lie below the
+    value, the last piece for NULL."""
+    both = values.crossJoin(F.broadcast(marks)) if cond is None else values.join(marks, cond)  # one row without groups
+    piece = F.when(F.col("_v").isNull(), F.size("_marks") + 1).otherwise(F.size(F.filter("_marks", lambda m: m < F.col("_v"))))
+    return both.withColumn("_piece", F.coalesce(piece, F.lit(0))).drop(*marks.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.scalars import avg4, mean, money_sum, r4, stddev4
-from ...operators.aggs import lag_buckets, pivot_sums, rollup_levels
+from ...operators.aggs import lag_buckets, pivot_sums, rollup_cascade, rollup_levels
 from ...sources.orderentry import OrderEntry
 from ..registry import register
 
@@ -212,16 +212,15 @@ FROM od JOIN cu ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationke
 JOIN region ON n_regionkey = r_regionkey
 GROUP BY ROLLUP (r_name, n_name, CAST(year(o_orderdate) AS INTEGER))""")
 def op_rollup(spark, sf_dir):
-    """Subtotals over three levels.  The sum is pre-aggregated per full key
-    before the rollup's Expand, so the expansion multiplies groups, not rows."""
+    """Subtotals over three levels, each aggregated from the next finer one."""
     t = OrderEntry(spark, sf_dir)
     j = (t.od.join(t.cu, c("o_custkey") == c("c_custkey")).join(t.nation, c("c_nationkey") == c("n_nationkey"))
          .join(t.region, c("n_regionkey") == c("r_regionkey")))
-    base = j.groupBy("r_name", "n_name", F.year("o_orderdate").alias("yr")).agg(
-        F.sum("o_totalprice").alias("t"), F.count(F.lit(1)).alias("c"))
-    return rollup_levels(base, ["r_name", "n_name", "yr"],
-                         [F.sum("t").cast("decimal(38,2)").alias("total"),
-                          F.sum("c").cast("bigint").alias("n")], flags=False)
+    base = j.select("r_name", "n_name", F.year("o_orderdate").alias("yr"), "o_totalprice", F.lit(1).alias("one"))
+    keys = ["r_name", "n_name", "yr"]
+    r = rollup_cascade(base, keys, {"total": "o_totalprice", "n": "one"})
+    # without rows the grand total counts none of them
+    return r.select(*keys, c("total").cast("decimal(38,2)").alias("total"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
 @register("op_grouping_flag", prelude="ops", sql="""

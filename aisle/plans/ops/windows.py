@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ...functions.scalars import mean_over, r4
 from ...operators.aggs import rollup_levels
 from ...operators.sorts import asc, desc, order, topk
-from ...operators.windows import global_rank_top, prev_next, running, share_of, topk_per_group
+from ...operators.windows import global_rank_top, prev_next, rank_in_groups, running, share_of, topk_per_group
 from ...sources.orderentry import OrderEntry
 from ..registry import register
 
@@ -85,6 +85,25 @@ def op_win_rank_global(spark, sf_dir, k=10):
     return global_rank_top(g, ["revenue"], [True], k)
 
 
+@register("op_win_rank_all", prelude="ops", sql="""
+SELECT 'supplier' AS kind, l_suppkey AS id, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue,
+       rank() OVER (ORDER BY sum(l_extendedprice)) AS rnk
+FROM li GROUP BY l_suppkey
+UNION ALL
+SELECT 'item', l_partkey, CAST(sum(l_quantity) AS DECIMAL(38,2)), rank() OVER (ORDER BY sum(l_quantity))
+FROM li GROUP BY l_partkey""")
+def op_win_rank_all(spark, sf_dir):
+    """Global rank of every supplier by revenue and of every item by quantity
+    (many ties), with no task over all of them."""
+    t = OrderEntry(spark, sf_dir)
+
+    def totals(kind, key, value):
+        return t.li.groupBy(c(key).alias("id")).agg(F.sum(value).cast("decimal(38,2)").alias("revenue")) \
+            .select(F.lit(kind).alias("kind"), "id", "revenue")
+    u = totals("supplier", "l_suppkey", "l_extendedprice").unionByName(totals("item", "l_partkey", "l_quantity"))
+    return rank_in_groups(u, ["kind"], "revenue")
+
+
 @register("op_win_rank_rollup", prelude="ops", sql="""
 SELECT p_type, p_brand, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue,
        CAST(grouping(p_type) + grouping(p_brand) AS INT) AS lochierarchy,

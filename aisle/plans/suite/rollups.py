@@ -1,9 +1,10 @@
 """Rollup group: subtotals with grouping flags, ranks inside rollup levels.
 
 Plan rule used throughout: aggregate on the full key first, then roll up
-the (much smaller) aggregate.  Sums and counts compose; averages are
-carried as (sum, count) and divided after the rollup.  The rollup's
-Expand therefore multiplies groups, not fact rows.
+the aggregate.  Sums and counts compose; averages are carried as (sum,
+count) and divided after the rollup.  Where the groups are many (q18 q22 q27
+q67) each level is aggregated from a finer one (``rollup_cascade``); where
+they are few, the rollup's Expand multiplies those few.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...functions.scalars import r4
-from ...operators.aggs import rollup_levels
+from ...operators.aggs import rollup_cascade, rollup_levels
 from ...operators.sorts import asc, desc, topk
 from ...operators.windows import topk_per_group
 from ..registry import register
@@ -21,12 +22,19 @@ from .common import Tables
 c = F.col
 
 
-def _avg_rollup(df, keys, values):
-    """Rollup of averages: pre-aggregate (sum, count) per full key."""
-    pre = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_s{i}") for i, v in enumerate(values)],
-                                *[F.count(v).alias(f"_n{i}") for i, v in enumerate(values)])
-    return rollup_levels(pre, keys, [*[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(values))],
-                                     *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(values))]])
+def _avg_rollup(df, keys, values, first=None):
+    """Rollup of averages as sums and counts, dealt by the first key, which
+    has many values.  ``first``: columns by which ``df`` is combined, and a
+    function that then brings in the keys."""
+    if first is None:
+        pairs = df.select(*keys, *[F.col(v).alias(f"_s{i}") for i, v in enumerate(values)],
+                          *[F.col(v).isNotNull().cast("long").alias(f"_n{i}") for i, v in enumerate(values)])
+        return rollup_cascade(pairs, keys, {f"_{x}{i}": f"_{x}{i}" for x in "sn" for i in range(len(values))}, deal=1)
+    by, then = first
+    pre = df.groupBy(*by).agg(*[F.sum(v).alias(f"_s{i}") for i, v in enumerate(values)],
+                              *[F.count(v).alias(f"_n{i}") for i, v in enumerate(values)])
+    both = [f"_{x}{i}" for x in "sn" for i in range(len(values))]
+    return rollup_cascade(then(pre), keys, {n: n for n in both}, deal=1)
 
 
 def _avg_col(i, name):
@@ -43,8 +51,8 @@ def q67(spark, sf_dir, month_seq=1188, k=100):
          .join(t.store.select("s_store_sk", "s_store_id"), c("ss_store_sk") == c("s_store_sk"))
          .join(t.item.select("i_item_sk", "i_category", "i_class", "i_brand", "i_product_name"),
                c("ss_item_sk") == c("i_item_sk")))
-    pre = j.groupBy(*keys).agg(F.sum(F.coalesce(c("ss_sales_price") * c("ss_quantity"), F.lit(0))).alias("s"))
-    r = rollup_levels(pre, keys, [F.sum("s").cast("decimal(38,2)").alias("sumsales")], flags=False)
+    j = j.select(*keys, F.coalesce(c("ss_sales_price") * c("ss_quantity"), F.lit(0)).alias("s"))
+    r = rollup_cascade(j, keys, {"sumsales": "s"}, deal=4).select(*keys, c("sumsales").cast("decimal(38,2)").alias("sumsales"))
     r = topk_per_group(r, ["i_category"], [desc("sumsales")], k)
     return topk(r, keys + ["sumsales", "rk"])
 
@@ -80,10 +88,12 @@ def q18(spark, sf_dir, gender="M", education="College", months=(9, 5, 12, 4, 1,
 def q22(spark, sf_dir, month_seq=1188):
     t = Tables(spark, sf_dir)
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
+    # by item before its four names come in
     j = (t.inventory.transform(t.on_days, "inv_date_sk", t.date_dim.filter(c("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk"))
-         .join(t.item.select("i_item_sk", *keys), c("inv_item_sk") == c("i_item_sk"))
          .join(t.warehouse.select("w_warehouse_sk"), c("inv_warehouse_sk") == c("w_warehouse_sk")))
-    r = _avg_rollup(j, keys, ["inv_quantity_on_hand"])
+    names = t.item.select("i_item_sk", *keys)
+    r = _avg_rollup(j, keys, ["inv_quantity_on_hand"],
+                    (["inv_item_sk"], lambda pre: pre.join(names, c("inv_item_sk") == c("i_item_sk"))))
     # the rows are chosen by the exact average and then rounded
     first = topk(r.select(*keys, (c("_s0").cast("double") / c("_n0")).alias("qoh")), ["qoh", *keys])
     return first.withColumn("qoh", r4("qoh"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ...functions.scalars import mean, mean_over, money_sum, r4
 from ...operators.joins import attach_scalar
 from ...operators.sorts import asc, topk
-from ...operators.windows import global_rank_top, rank_among
+from ...operators.windows import global_rank_top, rank_in_groups
 from ..registry import register
 from .common import Tables
 
@@ -163,46 +163,47 @@ def q44(spark, sf_dir, store_sk=2, k=10):
     return topk(j.select("rnk", "best_performing", "worst_performing"), ["rnk"])
 
 
-def _return_ranks(t, sales, rets, p, r, num_s, num_r, amt_r, paid_s, channel, year, moy, min_return_amt, k):
-    """One channel of q49.  The left join to returns is cancelled by the
-    filter on the return amount (an inner join).  An item is kept for its rank
-    in either order and shows both, so ``rank_among`` counts what lies below
-    the values of the kept items; no task sees all items."""
-    dt = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+def _return_ratios(t, sales, rets, p, r, num_s, num_r, amt_r, channel, dt, min_return_amt):
+    """(channel, item, return_ratio, currency_ratio) of one channel of q49.
+    The left join to returns is cancelled by the filter on the return amount
+    (an inner join)."""
     rr = rets.select(c(f"{r}_{num_r}").alias("r_ord"), c(f"{r}_item_sk").alias("r_item"),
                      c(f"{r}_return_quantity").alias("r_qty"), c(f"{r}_{amt_r}").alias("r_amt"))
     s = sales.filter((c(f"{p}_net_profit") > 1) & (c(f"{p}_net_paid") > 0) & (c(f"{p}_quantity") > 0))
     j = (s.transform(t.on_days, f"{p}_sold_date_sk", dt)
          .join(rr.filter(c("r_amt") > min_return_amt), (c(f"{p}_{num_s}") == c("r_ord")) & (c(f"{p}_item_sk") == c("r_item"))))
-    d = "decimal(15,4)"
-    g = j.groupBy(c(f"{p}_item_sk").alias("item")).agg(
-        (F.sum(F.coalesce(c("r_qty"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_quantity"), F.lit(0))).cast(d))
-        .alias("return_ratio"),
-        (F.sum(F.coalesce(c("r_amt"), F.lit(0))).cast(d) / F.sum(F.coalesce(c(f"{p}_net_paid"), F.lit(0))).cast(d))
-        .alias("currency_ratio"))
-    # a rank is at most k where the value is at most the k-th smallest
-    kept = g
-    for ratio in ("return_ratio", "currency_ratio"):
-        kept = attach_scalar(kept, g.orderBy(asc(ratio)).limit(k).agg(F.max(ratio).alias(f"_{ratio}")))
-    kept = (kept.filter((c("return_ratio") <= c("_return_ratio")) | (c("currency_ratio") <= c("_currency_ratio")))
-            .drop("_return_ratio", "_currency_ratio"))
-    ranked = rank_among(kept, g, {"return_ratio": "return_rank", "currency_ratio": "currency_rank"})
-    return (ranked.select(F.lit(channel).alias("channel"), "item", r4("return_ratio").alias("return_ratio"),
-                    "return_rank", "currency_rank"))
+    return j.select(F.lit(channel).alias("channel"), c(f"{p}_item_sk").alias("item"), "r_qty", c(f"{p}_quantity").alias("qty"),
+                    "r_amt", c(f"{p}_net_paid").alias("paid"))
 
 
 @register("q49")
 def q49(spark, sf_dir, year=2000, moy=12, min_return_amt=1000, k=10):
+    """The items of all channels go through one aggregation and one ranking:
+    both ratios of an item are two rows, ranked within (channel, ratio)."""
     t = Tables(spark, sf_dir)
-    a = (year, moy, min_return_amt, k)
-    web = _return_ranks(t, t.web_sales, t.web_returns, "ws", "wr", "order_number", "order_number",
-                        "return_amt", "net_paid", "web", *a)
-    cat = _return_ranks(t, t.catalog_sales, t.catalog_returns, "cs", "cr", "order_number", "order_number",
-                        "return_amount", "net_paid", "catalog", *a)
-    sto = _return_ranks(t, t.store_sales, t.store_returns, "ss", "sr", "ticket_number", "ticket_number",
-                        "return_amt", "net_paid", "store", *a)
-    u = web.unionByName(cat).unionByName(sto).distinct()
-    return topk(u, ["channel", "return_rank", "currency_rank"])
+    dt = t.date_dim.filter((c("d_year") == year) & (c("d_moy") == moy)).select("d_date_sk")
+    sold = [_return_ratios(t, t.web_sales, t.web_returns, "ws", "wr", "order_number", "order_number", "return_amt", "web", dt, min_return_amt),
+            _return_ratios(t, t.catalog_sales, t.catalog_returns, "cs", "cr", "order_number", "order_number", "return_amount", "catalog", dt,
+                           min_return_amt),
+            _return_ratios(t, t.store_sales, t.store_returns, "ss", "sr", "ticket_number", "ticket_number", "return_amt", "store", dt,
+                           min_return_amt)]
+    d = "decimal(15,4)"
+
+    def ratio(part, whole):
+        return F.sum(F.coalesce(c(part), F.lit(0))).cast(d) / F.sum(F.coalesce(c(whole), F.lit(0))).cast(d)
+    g = (sold[0].unionByName(sold[1]).unionByName(sold[2]).groupBy("channel", "item")
+         .agg(ratio("r_qty", "qty").alias("return_ratio"), ratio("r_amt", "paid").alias("currency_ratio")))
+    both = g.select("channel", "item", "return_ratio", F.explode(F.array(
+        F.struct(F.lit("return").alias("kind"), c("return_ratio").alias("value")),
+        F.struct(F.lit("currency").alias("kind"), c("currency_ratio").alias("value")))).alias("x")).select(
+        "channel", "item", "return_ratio", "x.kind", "x.value")
+    ranked = rank_in_groups(both, ["channel", "kind"], "value", "rk")
+    wide = ranked.groupBy("channel", "item").agg(
+        F.max("return_ratio").alias("return_ratio"), F.max(F.when(c("kind") == "return", c("rk"))).alias("return_rank"),
+        F.max(F.when(c("kind") == "currency", c("rk"))).alias("currency_rank"))
+    kept = wide.filter((c("return_rank") <= k) | (c("currency_rank") <= k))
+    return topk(kept.select("channel", "item", r4("return_ratio").alias("return_ratio"), "return_rank", "currency_rank"),
+                ["channel", "return_rank", "currency_rank"])
 
 
 @register("q51")

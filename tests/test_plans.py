@@ -9,6 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from aisle.plans.registry import load_all
+from aisle.plans.runs import plan_summary
 from aisle.sources.retail import retail_tables
 
 
@@ -136,3 +137,16 @@ def test_few_hot_keys_are_salted(spark, sf_dir):
             detail = [m for m in re.findall(r"hashpartitioning\(([^)]*)\)", plan) if hot in m]
             assert not [m for m in detail if re.fullmatch(rf"{hot}#\d+L?, \d+", m.strip())] or "_salt" in plan, key
             assert "_salt" in plan, key
+
+
+def test_cascaded_rollups_and_ranks(spark, sf_dir):
+    reg = load_all()
+    for key in ("q18", "q22", "q27", "q67", "op_rollup"):
+        assert "Expand" not in _plan(reg[key].fn(spark, sf_dir)), key
+    counted = plan_summary(spark, "q49", sf_dir)
+    assert counted["Exchange"] <= 15, counted
+    plan = _plan(reg["q49"].fn(spark, sf_dir))
+    assert "collect_" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # inventory is combined by item before the item's names come in
+    tree = _plan(reg["q22"].fn(spark, sf_dir))
+    assert "Keys [1]: [inv_item_sk" in tree

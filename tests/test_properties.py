@@ -1,11 +1,12 @@
 """Properties of the operators on the driver's tables."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aisle.operators import joins as J
-from aisle.operators.aggs import lag_buckets, rollup_levels
-from aisle.operators.windows import global_rank_top, running
+from aisle.operators.aggs import lag_buckets, rollup_cascade, rollup_levels
+from aisle.operators.windows import global_rank_top, rank_in_groups, running
 from aisle.sources.orderentry import OrderEntry
 
 
@@ -79,15 +80,46 @@ def test_global_rank_top_random_ties(spark):
             assert {(r["id"], r["rnk"]) for r in fast.collect()} == {(r["id"], r["rnk"]) for r in full.collect()}
 
 
-def test_rank_among_equals_the_global_window(spark):
-    from pyspark.sql import Window
-
-    from aisle.operators.windows import global_rank_top, rank_among
+@pytest.mark.parametrize("pieces", [1, 2, 7])
+def test_rank_in_groups_equals_the_window(spark, pieces):
+    rows = [(i, None if i % 11 == 0 else "ab"[i % 2], None if i % 17 == 0 else i * 7 % 23) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, g string, v int")
+    for group in ([], ["g"]):
+        w = Window.partitionBy(*group).orderBy(F.col("v").asc_nulls_last())
+        want = {r["id"]: r["rk"] for r in df.withColumn("rk", F.rank().over(w)).collect()}
+        got = rank_in_groups(df, group, "v", "rk", pieces)
+        assert got.columns == ["id", "g", "v", "rk"] and {r["id"]: r["rk"] for r in got.collect()} == want
+        assert rank_in_groups(df.limit(0), group, "v").collect() == []
+
+
+def test_a_million_ties_rank_without_one_task(spark):
+    df = spark.range(1_200_000).select("id", F.when(F.col("id") < 1_000_000, 5).otherwise(F.col("id") % 3 * 5).alias("v"))
+    got = rank_in_groups(df, [], "v")
+    per_value = got.groupBy("v").agg(F.min("rnk").alias("lo"), F.max("rnk").alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("v").collect()
+    at = 1
+    for r in per_value:
+        assert r["lo"] == r["hi"] == at
+        at += r["n"]
+    assert at == 1_200_001
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_" not in plan
+
+
+@pytest.mark.parametrize("deal", [0, 1, 2, 3])
+def test_rollup_cascade_equals_rollup(spark, deal):
+    rows = [(None if i % 7 == 0 else i % 3, "x" if i % 5 else None, i % 4, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "a int, b string, c int, v int")
+    keys = ["a", "b", "c"]
+    got = rollup_cascade(df, keys, {"s": "v"}, deal)
+    want = rollup_levels(df, keys, [F.sum("v").alias("s")]).drop("lochierarchy")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in rollup_cascade(df.limit(0), keys, {"s": "v"}, deal).collect()] == [(None, None, None, None, 1, 1, 1)]
+
+
+def test_global_rank_top(spark):
     rows = [(i, None if i % 17 == 0 else float(i * 7 % 23)) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, v double")
-    w = Window.orderBy(F.col("v").asc_nulls_last())
-    want = {r["id"]: r["rk"] for r in df.withColumn("rk", F.rank().over(w)).collect()}
-    some = df.where("id % 5 = 0")
-    assert {r["id"]: r["rk"] for r in rank_among(some, df, {"v": "rk"}).collect()} == {i: rk for i, rk in want.items() if i % 5 == 0}
+    want = {r["id"]: r["rk"] for r in df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").asc_nulls_last()))).collect()}
     top = global_rank_top(df, ["v"], [False], 20, "rk").collect()
     assert {r["id"]: r["rk"] for r in top} == {i: rk for i, rk in want.items() if rk <= 20}
