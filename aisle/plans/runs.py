@@ -171,6 +171,77 @@ def run_range_layout(spark, sf_dir, days=180):
     return spark.createDataFrame(rows, "query string, row_count long, prunes boolean")
 
 
+COLOCATED = ["q17", "q25", "q29", "q40", "q49", "q50", "q64", "q80", "q93"]
+_SALES = {"store_returns": "store_sales", "catalog_returns": "catalog_sales", "web_returns": "web_sales"}
+
+
+def plan_nodes(plan) -> list:
+    """The nodes of a physical plan (of an adaptive one: as it stands), each
+    with the list of its inputs: (name, node, inputs)."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return plan_nodes(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return plan_nodes(plan.plan())
+    if name == "ReusedExchange":
+        return plan_nodes(plan.child())
+    kids = plan.children()
+    return [(name, plan, [plan_nodes(kids.apply(i)) for i in range(kids.size())])]
+
+
+def shuffled_pairs(df: DataFrame) -> tuple[int, int]:
+    """Joins of a sale scan with the scan of its returns, and those of them
+    with a shuffle between a scan and the join."""
+    import re
+    joins = shuffled = 0
+
+    def walk(node):
+        """Tables scanned below the node, and whether a shuffle is between."""
+        nonlocal joins, shuffled
+        name, plan, inputs = node
+        below = [{k: v for n in side for k, v in walk(n).items()} for side in inputs]
+        if name.startswith("Scan"):
+            return {m[1]: False for m in [re.search(r"(store|catalog|web)_(?:sales|returns)", plan.relation().location().rootPaths().toString())] if m
+                    for m in [re.search(r"((?:store|catalog|web)_(?:sales|returns))", m[0])]}
+        if name == "Exchange":
+            return {t: True for t in below[0]}
+        if "Join" in name and len(below) == 2:
+            for a, b in (below, below[::-1]):
+                for t in a.keys() & _SALES.keys():
+                    if _SALES[t] in b:
+                        joins += 1
+                        shuffled += a[t] or b[_SALES[t]]
+                        return {}
+        return {k: v for side in below for k, v in side.items()}
+    for root in plan_nodes(df._jdf.queryExecution().executedPlan()):
+        walk(root)
+    return joins, shuffled
+
+
+@register("run_bucket_layout", sql=lambda: "SELECT query, row_count, TRUE AS colocated FROM ("
+          + row_count_sql([(k, {}) for k in COLOCATED]) + ") r")
+def run_bucket_layout(spark, sf_dir, buckets=8, broadcast=None):
+    """Statements that join sales with their returns, over facts bucketed by
+    the keys of both: rows, and whether each such join has no shuffle below.
+    ``broadcast``: another broadcast threshold for the run."""
+    from ..sources.retail import stored_as
+    conf = {"spark.sql.requireAllClusterKeysForCoPartition": "false"} | ({"spark.sql.autoBroadcastJoinThreshold": broadcast} if broadcast else {})
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = []
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for key in COLOCATED:
+            with stored_as("bucket", buckets=buckets):
+                df = load_all()[key].fn(spark, sf_dir)
+            joins, shuffled = shuffled_pairs(df)
+            rows.append((key, observed_rows(df), joins > 0 and not shuffled))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.createDataFrame(rows, "query string, row_count long, colocated boolean")
+
+
 def _stream_statements(streams=2):
     from ..streaming.throughput import statements_of
     return [(s, k, lit) for s in range(streams) for k, lit in statements_of(s)]

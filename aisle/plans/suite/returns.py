@@ -287,9 +287,9 @@ def q64(spark, sf_dir, colors=("purple", "burlywood", "indian", "spring", "flora
                               "ss_list_price", "ss_coupon_amt")
          .transform(t.on_days, "ss_sold_date_sk", d1, "d1_sk")
          .join(it, c("ss_item_sk") == c("i_item_sk"))
-         .join(cs_ui, c("ss_item_sk") == c("ui_item"), "left_semi")
          .join(t.store_returns.select("sr_item_sk", "sr_ticket_number"),
                (c("ss_item_sk") == c("sr_item_sk")) & (c("ss_ticket_number") == c("sr_ticket_number")))
+         .join(cs_ui, c("ss_item_sk") == c("ui_item"))  # one row per item; a semi join would be moved below the returns
          .join(t.store.select("s_store_sk", "s_store_name", "s_zip"), c("ss_store_sk") == c("s_store_sk"))
          .join(t.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk",
                                  "c_first_sales_date_sk", "c_first_shipto_date_sk"), c("ss_customer_sk") == c("c_customer_sk"))

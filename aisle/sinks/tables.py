@@ -135,6 +135,19 @@ def distribute(df: DataFrame, cols: list[str], n: int | None = None) -> DataFram
     return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
-def save_bucketed(df: DataFrame, table: str, cols: list[str], n: int) -> None:
-    """Catalog table bucketed by ``cols``: later joins on them need no shuffle."""
-    df.write.mode("overwrite").bucketBy(n, *cols).sortBy(*cols).saveAsTable(table)
+def save_bucketed(df: DataFrame, table: str, cols: list[str], n: int, path: str | None = None) -> None:
+    """Catalog table bucketed and sorted by ``cols``: later joins on them need
+    no shuffle.  Rows are dealt by the buckets' own hash first, so a bucket is
+    one file.  ``path``: where its files go (else into the warehouse)."""
+    w = df.repartition(n, *cols).write.mode("overwrite").format("parquet").bucketBy(n, *cols).sortBy(*cols)
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
+def attach_bucketed(spark: SparkSession, table: str, path: str, schema, cols: list[str], n: int) -> DataFrame:
+    """The bucketed files at ``path``, which another session may have written,
+    as a table of this session's catalog."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    keys = ", ".join(cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+              f"INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(table)

@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.tables import PART_KEY, Ranges, read_ranges, write_range_partitioned
+from ..sinks.tables import DIST_KEY, PART_KEY, Ranges, attach_bucketed, read_ranges, save_bucketed, write_range_partitioned
 from .dialect import DUCK, SPARK, Dialect, sql_type
 
 # ---------------------------------------------------------------------------
@@ -630,15 +630,15 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 _CACHE: dict[tuple, tuple[dict[str, DataFrame], dict[str, Ranges]]] = {}
-LAYOUTS = ("flat", "date", "range")
+LAYOUTS = ("flat", "date", "range", "bucket")
 RANGE_DAYS = 30
-_CHOSEN: ContextVar[tuple[str, int] | None] = ContextVar("layout", default=None)
+_CHOSEN: ContextVar[tuple[str, int, int | None] | None] = ContextVar("layout", default=None)
 
 
 @contextmanager
-def stored_as(layout: str, days: int = RANGE_DAYS):
+def stored_as(layout: str, days: int = RANGE_DAYS, buckets: int | None = None):
     """Statements that are built inside read the tables in this layout."""
-    token = _CHOSEN.set((layout, days))
+    token = _CHOSEN.set((layout, days, buckets))
     try:
         yield
     finally:
@@ -664,10 +664,16 @@ def retail_tables(spark: SparkSession, sf_dir: str, layout: str | None = None) -
 
     ``layout``: 'flat'; 'date' (facts partitioned by their date key, so a
     filter on ``date_dim`` prunes fact files at run time through dynamic
-    partition pruning; for inputs whose days fill files of tens of MB); or
+    partition pruning; for inputs whose days fill files of tens of MB);
     'range' (facts partitioned by ranges of ``spark.aisle.range.days`` days,
     ``RANGE_DAYS`` by default; the column of the ranges, ``part_column``,
-    comes after the declared ones, and the suite's joins on days prune by it).
+    comes after the declared ones, and the suite's joins on days prune by it);
+    or 'bucket' (facts bucketed and sorted by their distribution keys, item and
+    ticket or order, in ``spark.aisle.buckets`` buckets, by default as many as
+    shuffle partitions: a sale and its return are in buckets of one number,
+    and joins on the keys need no shuffle).  Joins on more than these keys
+    need none either where the session sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false.
     Left out, it is that of ``stored_as``, else the session's
     ``spark.aisle.layout``, else 'flat'.
     """
@@ -680,12 +686,15 @@ def fact_ranges(spark: SparkSession, sf_dir: str, layout: str | None = None) ->
 
 
 def _stored_tables(spark: SparkSession, sf_dir: str, layout: str | None) -> tuple[dict[str, DataFrame], dict[str, Ranges]]:
-    chosen, days = _CHOSEN.get() or (spark.conf.get("spark.aisle.layout", "flat"), int(spark.conf.get("spark.aisle.range.days", str(RANGE_DAYS))))
+    chosen, days, buckets = _CHOSEN.get() or (spark.conf.get("spark.aisle.layout", "flat"),
+                                              int(spark.conf.get("spark.aisle.range.days", str(RANGE_DAYS))), None)
     layout = layout or chosen
+    buckets = buckets or int(spark.conf.get("spark.aisle.buckets", spark.conf.get("spark.sql.shuffle.partitions")))
+    size = {"range": days, "bucket": buckets}.get(layout, "")
     if layout not in LAYOUTS:
         raise ValueError(f"layout {layout!r} is none of {LAYOUTS}")
     version = _fingerprint(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, layout, days, version)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, layout, size, version)
     if key in _CACHE:
         return _CACHE[key]
     if _files(spark, f"{sf_dir}/store_sales") is not None:
@@ -693,27 +702,34 @@ def _stored_tables(spark: SparkSession, sf_dir: str, layout: str | None) -> tupl
         # or ``part``: the 24 tables themselves
         _CACHE[key] = _read_tables(spark, sf_dir)
         return _CACHE[key]
-    base = f"{_checkpoint_root(spark)}/aisle-retail/{version}-{layout}{days if layout == 'range' else ''}"
+    base = f"{_checkpoint_root(spark)}/aisle-retail/{version}-{layout}{size}"
     if _files(spark, f"{base}/complete_marker/_SUCCESS") is not None:
         # the marker names the folder of the last complete build
         base = spark.read.parquet(f"{base}/complete_marker").first()["path"]
     else:
         build = f"{base}/build-{uuid.uuid4().hex[:12]}"
-        materialise_retail(spark, sf_dir, build, layout, days)
+        materialise_retail(spark, sf_dir, build, layout, size)
         spark.createDataFrame([(build,)], "path string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{base}/complete_marker")
         base = build
-    _CACHE[key] = _read_tables(spark, base)
+    _CACHE[key] = _read_tables(spark, base, buckets if layout == "bucket" else 0)
     return _CACHE[key]
 
 
-def _read_tables(spark: SparkSession, base: str) -> tuple[dict[str, DataFrame], dict[str, Ranges]]:
+def _table_name(base: str, name: str) -> str:
+    """Of a bucketed fact in the session's catalog."""
+    return f"aisle_{hashlib.sha1(base.encode()).hexdigest()[:12]}_{name}"
+
+
+def _read_tables(spark: SparkSession, base: str, buckets: int = 0) -> tuple[dict[str, DataFrame], dict[str, Ranges]]:
     """The tables under ``base``.  Partition columns come back last: the
     declared columns come first again, in their order."""
     specs = _specs(SPARK)
     tables, ranges = {}, {}
     for name in TABLES:
         df = spark.read.parquet(f"{base}/{name}")
+        if buckets and name in DIST_KEY:
+            df = attach_bucketed(spark, _table_name(base, name), f"{base}/{name}", df.schema, DIST_KEY[name], buckets)
         key = PART_KEY.get(name)
         by_range = "part_start" in df.columns
         if by_range:
@@ -723,7 +739,7 @@ def _read_tables(spark: SparkSession, base: str) -> tuple[dict[str, DataFrame],
     return tables, ranges
 
 
-def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str = "flat", days: int = RANGE_DAYS) -> None:
+def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str = "flat", size: int | str = "") -> None:
     sizes = input_sizes(spark, sf_dir)
     sale_path = f"{base}/sale_base"
     # The sale base feeds six facts: write it once, then derive from the copy.
@@ -736,7 +752,9 @@ def materialise_retail(spark: SparkSession, sf_dir: str, base: str, layout: str
         if specs[name].source.startswith("range:") or specs[name].source == "days":
             df = df.coalesce(1)  # calendar / outlet dimension
         if layout == "range" and name in PART_KEY:
-            write_range_partitioned(df, PART_KEY[name], days, f"{base}/{name}", sizes.first_day, sizes.last_day)
+            write_range_partitioned(df, PART_KEY[name], int(size), f"{base}/{name}", sizes.first_day, sizes.last_day)
+        elif layout == "bucket" and name in DIST_KEY:
+            save_bucketed(df, _table_name(base, name), DIST_KEY[name], int(size), f"{base}/{name}")
         elif layout == "date" and name in PART_KEY:
             k = PART_KEY[name]
             # range-cluster by (day, item, row hash): few day folders per

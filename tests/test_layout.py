@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aisle.plans.registry import load_all, oracle_text
+from aisle.plans.runs import shuffled_pairs
 from aisle.plans.suite.common import Tables
 from aisle.sources.retail import FACTS, fact_ranges, retail_tables, stored_as
 
@@ -89,3 +90,27 @@ def test_statements_in_ranges(ranged, sf_dir, key):
     con = oracle_check.duck_connect(sf_dir)
     r = oracle_check.compare(ranged, con, key, load_all()[key], oracle_text(key), sf_dir)
     assert r["ok"], r
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, sf_dir):
+    flat = {k: load_all()[k].fn(spark, sf_dir).collect() for k in ("q17", "q40", "q64", "q93")}
+    conf = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "100k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        with stored_as("bucket", buckets=8):
+            for key, want in flat.items():
+                df = load_all()[key].fn(spark, sf_dir)
+                joins, shuffled = shuffled_pairs(df)
+                assert joins and not shuffled, key
+                assert df.collect() == want
+            # the sides are large enough not to be broadcast, and meet sorted
+            assert "SortMergeJoin" in _scans(load_all()["q93"].fn(spark, sf_dir))
+            tables = retail_tables(spark, sf_dir)
+        assert tables["store_sales"].columns == retail_tables(spark, sf_dir)["store_sales"].columns
+        joins, shuffled = shuffled_pairs(load_all()["q93"].fn(spark, sf_dir))
+        assert joins and shuffled  # in flat files it is
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
