@@ -68,11 +68,10 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document (little-endian unsigned 32-bit integers), and
     whether they decode to its text."""
-    rows = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("ids", bpe.encode_column(F.col("text"), BYTE_BPE))
-    back = bpe.decode_column(F.col("ids"), BYTE_BPE)
-    return rows.select("doc_id", "lang", "source", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids",
-                       (back == F.col("text")).alias("decodes"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "lang", "source", text.alias("text"), bpe.round_trip_column(text, BYTE_BPE).alias("r"))
+    return rows.select("doc_id", "lang", "source", bpe.n_tokens(F.col("r.ids")).alias("n_tokens"), F.col("r.ids").alias("ids"),
+                       (F.col("r.decoded") == F.col("text")).alias("decodes"))
 
 
 STAGES = [
