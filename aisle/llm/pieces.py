@@ -11,7 +11,8 @@ where the model has byte pieces, else the unknown id.
 No piece goes on from another character into U+2581, and none holds a line
 break beside anything else (both are read off the vocabulary; otherwise texts
 stay whole), so a text is cut there and the ids of stretches are kept, within
-``CACHE_BYTES``.  ``check=True`` also gives every stretch that is new in some
+``CACHE_BYTES``; marks behind a word are a stretch of their own where no piece
+holds the two characters that meet there.  ``check=True`` also gives every stretch that is new in some
 documents of an Arrow batch to the sentencepiece library, in one call, and
 raises an error where it does not agree.
 
@@ -23,6 +24,7 @@ bytes that are no UTF-8 decode to one U+FFFD each.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -31,11 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bpe import LITTLE
+
+MARKS = ".,;:!?'\"()[]{}<>|&#$%*+-=/\\_~^`@"
 SPACE = "▁"
-CACHE_BYTES = 48 << 20  # of a worker's stretches, with what Python holds beside them
-ENTRY_BYTES = 200       # about what a stretch takes beside its characters and ids
-CACHE_CHARS = 48        # longer stretches are not kept
-SLICE = 256             # documents that are in Python at a time
+CACHE_BYTES = 128 << 20  # of a worker's stretches, with what Python holds beside them
+ENTRY_BYTES = 200        # about what a stretch takes beside its characters and ids
+CACHE_CHARS = 48         # longer stretches are not kept
+SLICE = 256              # documents that are in Python at a time
 # Types of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
@@ -67,6 +72,11 @@ class Vocabulary:
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.types[i] == BYTE}
         self.of_byte = {i: b for b, i in self.bytes.items()}
         inner = [p for p in self.ids if len(p) > 1]
+        self.meet = {p[i:i + 2] for p in inner for i in range(len(p) - 1)}
+        self.control = {i for i, k in enumerate(self.types) if k == CONTROL}
+        # what each id adds to a text
+        self.raw = [" ⁇ ".encode() if k == UNKNOWN else bytes([int(p[3:5], 16)]) if k == BYTE
+                    else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.types)]
         self.cuts = bool(self.bytes) and not any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in inner)
 
     def normal(self, text: str) -> str:
@@ -125,6 +135,17 @@ class Vocabulary:
         return out
 
     def decode(self, ids: list[int]) -> str:
+        if not ids or self.strips or not self.control.isdisjoint(ids):
+            return self._decode_runs(ids)
+        try:
+            # pieces are whole characters, so all is UTF-8 only if each run of bytes is
+            text = b"".join(map(self.raw.__getitem__, ids)).decode()
+        except UnicodeDecodeError:
+            return self._decode_runs(ids)
+        return text[1:] if self.prefix and self.pieces[ids[0]][:1] == SPACE else text
+
+    def _decode_runs(self, ids: list[int]) -> str:
+        """Pieces one by one, each run of bytes by itself."""
         out: list[str] = []
         run = bytearray()
         first = True  # nothing but U+2581 in front has been met
@@ -200,24 +221,49 @@ class Encoder:
         lead = len(v.library.encode("\n"))
         for s, ids in zip(stretches, v.library.encode(bare, num_threads=1) if plain else []):
             want = ids if s[0] == SPACE else ids[lead:]
-            if s != SPACE and np.array(want, "<u4").tobytes() != self.known[s]:
+            if s != SPACE and _packed(want) != self.known[s]:
                 raise RuntimeError(f"the library encodes {s!r} as {want}")
 
+    def _stretches(self, text: str) -> list[str]:
+        v = self.vocabulary
+        if not (v.identity and v.prefix and v.cuts) or "  " in text or SPACE in text or text[0] == " ":
+            return self.find(v.normal(text))
+        # the same cuts with spaces, of which a normalised text has none; empty stretches have no ids
+        return (SPACE + text.replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")
+
+    def _learn(self, new: set[str]) -> set[str]:
+        """Make ``new`` known; returns what was added."""
+        v, known = self.vocabulary, self.known
+        marked, whole = {}, set(new)
+        if v.cuts:
+            words = {s: w for s in new if (w := s.rstrip(MARKS)) != s and w}
+            marked = {s: w for s, w in words.items() if w[-1] + s[len(w)] not in v.meet}
+            whole.difference_update(marked)
+            whole.update(marked.values(), [s[len(w):] for s, w in marked.items()])
+            whole.difference_update(known)
+        for s in whole:
+            known[s] = _packed(v.encode_normal(s))
+        if self.check and whole:
+            self._verified(list(whole))
+        for s, w in marked.items():
+            known[s] = known[w] + known[s[len(w):]]
+        added = whole.union(new)
+        self.held += sum([ENTRY_BYTES + len(s) + len(known[s]) for s in added])
+        return added
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        v, known = self.vocabulary, self.known
-        cut = [self.find(v.normal(t)) if t else [] for t in texts]
+        known = self.known
+        cut = [self._stretches(t) if t else [] for t in texts]
         new = set()
         for stretches in cut:
             new.update(stretches)
         new.difference_update(known)
-        for s in new:
-            known[s] = ids = np.array(v.encode_normal(s), "<u4").tobytes()
-            self.held += ENTRY_BYTES + len(s) + len(ids)
-        if self.check and new:
-            self._verified(list(new))
+        new.discard("")
+        known[""] = b""
+        added = self._learn(new) if new else new
         out = [b"".join(map(known.__getitem__, stretches)) for stretches in cut]
-        for s in new:
+        for s in added:
             if len(s) > CACHE_CHARS:
                 self.held -= ENTRY_BYTES + len(s) + len(known.pop(s))
         if self.held > CACHE_BYTES:
@@ -226,6 +272,10 @@ class Encoder:
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, check: bool = False) -> Encoder:
     return Encoder(path, check)
