@@ -47,7 +47,7 @@ def loose_space(text: str) -> bool:
 
 
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-CACHE_BYTES = 48 << 20  # of stretches and of pieces, two thirds and one third
+CACHE_BYTES = 192 << 20  # of stretches and of pieces, two thirds and one third
 ENTRY_BYTES = 200       # about what an entry takes beside its characters and ids
 CACHE_CHARS = 48        # longer stretches are not kept
 SLICE = 256             # documents that are in Python at a time
