@@ -6,16 +6,20 @@ boilerplate; they become the capacities of its arcs from the source and to
 the sink.  Blocks that follow each other, and blocks under the same parent in
 the document tree, are joined by arcs, the heavier the nearer they stand in
 the tree.  The minimum cut, found by augmenting paths, is the labelling of
-least cost.  Blocks whose own costs outweigh all their arcs are settled first
-and their arcs become costs of their neighbours, so the flow runs on the
-doubtful blocks only.
-
-Costs have two parts.  What an element says of itself (its tag, role, class
-and id, and those around it, the nearest first) gives fixed evidence.  What
-a block looks like (length, links, punctuation) is weighed by a logistic
-model, fitted on a bounded sample of pages whose elements do say what they
-are.  Scripts, styles, forms, comments in the markup and the head are no
-blocks at all.
+least cost.  Blocks whose own costs outweigh all their arcs have one possible
+label; their arcs become capacities of their neighbours, and the flow runs on
+all the others.
+
+Costs have two parts of the same size as the arcs.  What an element says of
+itself (its tag, role, and class and id names that consist of known words
+throughout, and the elements around it, the nearest first) gives evidence.
+``html``, ``body`` and any element that wraps nearly all of the page's text and
+all of its well-named elements give none.  What a block looks like (length,
+links, punctuation, tag path, neighbours, the words of notices) is weighed by
+a logistic model, fitted on a bounded sample of pages whose elements do say
+what they are.  So the cut decides all blocks whose names say nothing, or
+whose names and looks disagree.  Scripts, styles, controls of forms, comments
+in the markup and the head are no blocks at all.
 
 Edge cases: a null or empty page has the empty text; unclosed and cut-off tags
 are dropped as markup, unknown tags do not break a line; a page without any
@@ -25,7 +29,7 @@ evidence is judged by its looks; a page of any length is read whole.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -44,7 +48,8 @@ BREAKS = frozenset("address article aside blockquote body caption center dd deta
                    "footer h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th "
                    "thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head form button select datalist object applet audio video canvas map dialog template iframe".split())
+DROPPED = frozenset("head dialog template button select option datalist label legend object applet audio video canvas map iframe".split())
+DROPPED_BLOCKS = frozenset("head dialog form".split())  # of those and the like, the ones that break a line
 RAW = "script|style|noscript|textarea|title|svg|math|xmp|noembed|noframes"
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tbody": {"tbody", "thead", "tr", "td", "th"}, "thead": {"tbody", "tr", "td", "th"}, "tfoot": {"tbody", "thead", "tr", "td", "th"}}
@@ -58,19 +63,42 @@ TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']|"[^"]*+"|'[^']*+')*+)(?:>|\Z)"""
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)", re.S | re.I)
 ATTR = re.compile(r"""\b(class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-
-# what an element's tag, and the words in its class, id and role, say
-TAG_SAYS = {"article": 3.0, "main": 2.0, "nav": -6.0, "aside": -5.0, "footer": -6.0, "header": -3.0, "menu": -6.0}
-ROLE_SAYS = {"main": 3.0, "article": 3.0, "navigation": -6.0, "banner": -6.0, "contentinfo": -6.0, "complementary": -5.0,
-             "search": -6.0, "form": -6.0, "menu": -6.0, "menubar": -6.0, "dialog": -6.0, "alertdialog": -6.0, "alert": -4.0}
-WORD_SAYS = {w: -6.0 for w in (
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W_a-zA-Z]+")
+HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
+
+# what an element's tag, role, and the names in its class and id say
+GOOD, WEAK, BAD = 1.5, -2.5, -4.0
+WRAPS = 0.75  # share of the page's text above which an element is the page's frame
+TAG_SAYS = {"article": GOOD, "main": GOOD, "nav": BAD, "aside": BAD, "footer": BAD, "header": WEAK, "menu": BAD, "form": BAD}
+ROLE_SAYS = {"main": GOOD, "article": GOOD} | dict.fromkeys(
+    "navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split(), BAD)
+WORD_SAYS = dict.fromkeys(
     "ad ads adv advert adverts advertisement advertising advertorial adsense banner sponsor sponsored promo promotion promoted "
     "cookie cookies consent gdpr notice popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "comment comments disqus reply replies respond newsletter subscribe subscription signup login share sharing "
-    "social related recommended recommendations widget pagination pager footer copyright toolbar masthead alert").split()}
-WORD_SAYS |= {w: -3.0 for w in "header side rail meta byline tags widgets links author bottom top skip".split()}
-WORD_SAYS |= {w: 3.0 for w in "article content post entry story main text body maincontent articlebody prose".split()}
+    "social related recommended recommendations pagination pager footer copyright toolbar masthead alert".split(), BAD)
+WORD_SAYS |= dict.fromkeys("header rail byline widget widgets".split(), WEAK)
+WORD_SAYS |= dict.fromkeys("article articlebody body content entry main maincontent post prose story".split(), GOOD)
+WORD_SAYS |= dict.fromkeys(
+    "area bar block bottom box col column container desktop fixed form global group inner item items left links list mobile module "
+    "outer page panel primary region right row secondary section site sticky text top wrap wrapper".split(), 0.0)
+# in blocks of less than NOTICE_WORDS words, lower case
+NOTICE = re.compile(r"\b(?:cookies?|newsletter|subscribe|sign up|sign in|log in|login|all rights reserved|advertisement|sponsored|"
+                    r"privacy policy)\b|©")
+NOTICE_WORDS = 40
+
+
+def name_says(value: str) -> float:
+    """What the names of a class or id say together.  A name counts if all its
+    words are known, so ``has-sidebar`` or ``related-work`` say nothing; within
+    a name the worst word counts, and the names are added up."""
+    total = 0.0
+    for name in value.split():
+        said = [WORD_SAYS.get(w.lower()) for w in WORD.findall(name)]
+        if said and None not in said:
+            low = min(said)
+            total += low if low < 0 else max(said)
+    return total
 
 
 @dataclass(eq=False)
@@ -78,42 +106,62 @@ class Block:
     text: str
     linked: int          # characters inside links
     parent: _Element     # the element around it
-    evidence: float
     heading: bool
     listed: bool
+    prose: bool          # inside a paragraph
+    evidence: float = 0.0
 
 
 class _Element:
-    """An open element: its tag, its evidence, whether its text is dropped."""
+    """An element: its tag, what it says of itself, whether its text is
+    dropped, and the text below it."""
 
-    __slots__ = ("tag", "says", "hides", "parent", "depth")
+    __slots__ = ("tag", "own", "says", "hides", "parent", "depth", "chars", "good")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
         self.tag, self.hides, self.parent = tag, tag in DROPPED, parent
         self.depth = parent.depth + 1 if parent else 0
-        around = parent.says if parent else 0.0
-        own = TAG_SAYS.get(tag, 0.0)
-        if "=" in attrs or "hidden" in attrs:
-            found = 0.0
+        self.own, self.says, self.chars = TAG_SAYS.get(tag, 0.0), 0.0, 0
+        if tag not in ("html", "body") and ("=" in attrs or "hidden" in attrs):
+            named = 0.0
             for name, *values in ATTR.findall(attrs):
                 name, value = name.lower(), "".join(values)
-                if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                if name == "hidden" or name == "style" and HIDDEN_STYLE.search(value):
                     self.hides = True
                 elif name in ("role", "itemprop"):
-                    found = min(found, s) if (s := ROLE_SAYS.get(value.lower(), WORD_SAYS.get(value.lower(), 0.0))) < 0 else found or s
-                elif name != "style":
-                    said = [WORD_SAYS.get(w.lower(), 0.0) for w in WORD.findall(value)]
-                    low = min(said, default=0.0)
-                    found = min(found, low) if low < 0 else found or max(said, default=0.0)
-            own = found if found < 0 or own == 0 else own
-        # the nearest evidence counts; good evidence does not lift bad evidence around it
-        self.says = around if own == 0 else min(own, around) if around < -3.5 else own
+                    named += ROLE_SAYS.get(value.lower(), 0.0) or WORD_SAYS.get(value.lower(), 0.0)
+                elif name in ("class", "id"):
+                    named += name_says(value)
+            if named < 0 or self.own == 0:
+                self.own = min(max(named, BAD), GOOD)
+        self.good = int(self.own > 0)
+
+
+def _give_evidence(elements: list[_Element], page: list[Block]) -> None:
+    """Evidence of the blocks, from the elements (parents before children)."""
+    for b in page:
+        b.parent.chars += len(b.text)
+    for e in reversed(elements[1:]):
+        e.parent.chars += e.chars
+        e.parent.good += e.good
+    frame, good = WRAPS * elements[0].chars, elements[0].good
+    for e in elements[1:]:
+        own, around = e.own, e.parent.says
+        if own < 0 and (e.chars >= frame and e.good == good or e.tag == "header" and around > 0):
+            own = 0.0
+        # the nearest counts; good evidence does not lift bad evidence around it
+        e.says = around if own == 0 else min(own, around) if around < 0 else own
+    for b in page:
+        b.evidence = b.parent.says
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page in page order."""
     out: list[Block] = []
     stack = [_Element("", "", None)]
+    elements = stack[:]
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of a tag, in the stack
+    scopes, breaking = [0], [0]                       # places of open elements of those kinds
     parts: list[str] = []
     linked = links = hidden = 0
 
@@ -122,17 +170,21 @@ def blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                tags = {e.tag for e in stack}
-                out.append(Block(text, linked, stack[-1], stack[-1].says, not tags.isdisjoint(HEADINGS), "li" in tags))
+                out.append(Block(text, linked, stack[-1], any(places[h] for h in HEADINGS), bool(places["li"]), bool(places["p"])))
             parts.clear()
         linked = 0
 
     def leave(to: int):
         nonlocal links, hidden
         for e in stack[to:]:
+            places[e.tag].pop()
             links -= e.tag == "a"
             hidden -= e.hides
         del stack[to:]
+        while scopes[-1] >= to:
+            scopes.pop()
+        while breaking[-1] >= to:
+            breaking.pop()
 
     at = 0
     for m in TOKEN.finditer(html):
@@ -146,58 +198,59 @@ def blocks(html: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        breaks = tag in BREAKS or tag in DROPPED
+        breaks = tag in BREAKS or tag in DROPPED_BLOCKS
         if breaks:
             flush()
         elif tag == "br":
             parts.append(" ")
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    leave(i)
-                    break
-                if not breaks and stack[i].tag in BREAKS:
-                    break  # an inline tag does not close blocks
+            # an inline tag does not close blocks
+            if places[tag] and (breaks or places[tag][-1] > breaking[-1]):
+                leave(places[tag][-1])
             continue
         if breaks:
-            ends = CLOSES.get(tag, ())
-            for i in range(len(stack) - 1, 0, -1):  # elements whose end tag may be left out
-                if stack[i].tag == "p" or stack[i].tag in ends:
-                    leave(i)
-                elif stack[i].tag in SCOPES:
-                    break
-        if tag == "body":
-            for i, e in enumerate(stack):
-                if e.tag == "head":
-                    leave(i)
-                    break
+            ends = ("p", *CLOSES.get(tag, ()))  # elements whose end tag may be left out
+            while (i := max((places[t][-1] for t in ends if places[t]), default=0)) and i >= scopes[-1]:
+                leave(i)
+        if tag == "body" and places["head"]:
+            leave(places["head"][0])
         if tag not in VOID and not (m["attrs"] or "").endswith("/"):
             element = _Element(tag, m["attrs"] or "", stack[-1])
+            places[tag].append(len(stack))
+            if tag in SCOPES:
+                scopes.append(len(stack))
+            if breaks:
+                breaking.append(len(stack))
             stack.append(element)
+            elements.append(element)
             links += tag == "a"
             hidden += element.hides
     if at < len(html) and not hidden:
         parts.append(html[at:])
     flush()
+    _give_evidence(elements, out)
     return out
 
 
-HEADINGS = {f"h{i}" for i in range(1, 7)}
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 
 
 def looks(page: list[Block]) -> np.ndarray:
     """What the blocks look like, a row each."""
     n = max(1, len(page))
+    words = [1 + b.text.count(" ") for b in page]
+    size = np.log1p(np.array([0, *words, 0], float))
     rows = []
     for i, b in enumerate(page):
-        words = b.text.split(" ")
-        rows.append((1.0, np.log1p(len(words)), min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?:;\"'”»", len(words) < 4,
-                     b.heading, b.listed, i / n, sum(c in ".,;" for c in b.text) / len(words), b.text[0] in "©&|·•"))
+        rows.append((1.0, size[i + 1], min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?:;\"'”»", words[i] < 4,
+                     b.heading, b.listed, i / n, (b.text.count(".") + b.text.count(",") + b.text.count(";")) / words[i], b.text[0] in "©&|·•",
+                     words[i] < NOTICE_WORDS and NOTICE.search(b.text.lower()) is not None, b.prose, (size[i] + size[i + 2]) / 2))
     return np.array(rows, float).reshape(-1, len(WEIGHTS))
 
 
 # a plain judgement of looks, for where no sample says anything
-WEIGHTS = np.array([-1.0, 0.8, -3.0, 0.8, -0.5, 0.3, -0.6, 0.0, 0.5, -2.0])
+WEIGHTS = np.array([-1.2, 0.7, -3.0, 0.8, -0.5, 0.9, -0.6, 0.0, 0.5, -2.0, -2.5, 0.3, 0.15])
+LOOKS_SAY = 2.0  # at most, either way
 
 
 def train(x: np.ndarray, y: np.ndarray, pull: float = 0.05) -> np.ndarray:
@@ -218,7 +271,7 @@ def train(x: np.ndarray, y: np.ndarray, pull: float = 0.05) -> np.ndarray:
 def evidence_of_sample(page: str) -> tuple[np.ndarray, np.ndarray]:
     """Looks and labels of the blocks whose elements say what they are."""
     found = blocks(page)[:SAMPLE_BLOCKS]
-    sure = [i for i, b in enumerate(found) if abs(b.evidence) >= 3]
+    sure = [i for i, b in enumerate(found) if b.evidence]
     return looks(found)[sure], np.array([found[i].evidence > 0 for i in sure], float)
 
 
@@ -260,19 +313,11 @@ def minimum_cut(costs: np.ndarray, joins: list[tuple[int, int, float]]) -> np.nd
         near[i][j] = near[i].get(j, 0.0) + w
         near[j][i] = near[j].get(i, 0.0) + w
     label: list[bool | None] = [None] * n
-    load = [sum(x.values()) for x in near]
-    ready = [i for i in range(n) if abs(cost[i]) >= load[i]]
-    while ready:  # settled whatever the neighbours are
-        i = ready.pop()
-        if label[i] is not None:
-            continue
-        label[i] = cost[i] > 0
-        for j, w in near[i].items():
-            if label[j] is None:
+    for i in range(n):
+        if abs(costs[i]) >= sum(near[i].values()):  # settled whatever the neighbours are
+            label[i] = bool(costs[i] > 0)
+            for j, w in near[i].items():
                 cost[j] += w if label[i] else -w
-                load[j] -= w
-                if abs(cost[j]) >= load[j]:
-                    ready.append(j)
     open_ = [i for i in range(n) if label[i] is None]
     if open_:
         for i in _reachable(open_, cost, near):
@@ -340,13 +385,17 @@ def _reachable(nodes: list[int], cost: list[float], near: list[dict[int, float]]
                 tried[at] += 1
 
 
+def costs_of(page: list[Block], weights: np.ndarray = WEIGHTS) -> np.ndarray:
+    """What calling each block boilerplate costs more than calling it content."""
+    return np.array([b.evidence for b in page]) + np.clip(looks(page) @ weights, -LOOKS_SAY, LOOKS_SAY)
+
+
 def extract(html: str | None, weights: np.ndarray = WEIGHTS) -> str:
     """The content blocks of a page, one per line."""
     page = blocks(html or "")
     if not page:
         return ""
-    costs = np.array([b.evidence for b in page]) + np.clip(looks(page) @ weights, -2.0, 2.0)
-    keep = minimum_cut(costs, arcs(page))
+    keep = minimum_cut(costs_of(page, weights), arcs(page))
     return "\n".join(b.text for b, k in zip(page, keep) if k)
 
 

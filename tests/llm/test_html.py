@@ -4,6 +4,7 @@ the article element of the test pages."""
 import itertools
 import random
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -77,6 +78,64 @@ def test_comments_inside_the_article():
     assert he.extract(page) == PARAGRAPH
 
 
+SECOND = "The second paragraph tells more of it, in plain words. It ends here."
+TWO = f"<p>{PARAGRAPH}</p><p>{SECOND}</p>"
+
+
+@pytest.mark.parametrize("page, lines", [
+    (f"<body class='has-sidebar no-ads'><div>{TWO}</div></body>", [PARAGRAPH, SECOND]),
+    (f"<body class='sidebar'><div>{TWO}</div></body>", [PARAGRAPH, SECOND]),
+    (f"<body><div id='page-sidebar'><div>{TWO}</div></div></body>", [PARAGRAPH, SECOND]),  # wraps the page
+    (f"<body><div class='content-with-sidebar'>{TWO}</div></body>", [PARAGRAPH, SECOND]),
+    (f"<body><form id='aspnetForm'><div>{TWO}<input><select><option>one</select></div></form></body>", [PARAGRAPH, SECOND]),
+    (f"<body><article>{TWO}<section class='bottom-line'><p>{PARAGRAPH}</p></section></article></body>", [PARAGRAPH, SECOND, PARAGRAPH]),
+    (f"<body><article>{TWO}<p id='author'>{PARAGRAPH}</p></article></body>", [PARAGRAPH, SECOND, PARAGRAPH]),
+    (f"<body><article>{TWO}<p class='related-work'>{PARAGRAPH}</p></article></body>", [PARAGRAPH, SECOND, PARAGRAPH]),
+    (f"<body><article><header><h1>Title</h1></header>{TWO}</article></body>", ["Title", PARAGRAPH, SECOND]),
+    (f"<body><article>{TWO}<p>text <button>b</button> more</p></article></body>", [PARAGRAPH, SECOND, "text more"]),
+    (f"<body><div class='x4'>We use cookies to improve your visit, and you can accept them.</div><div class='x9'>{TWO}</div></body>",
+     [PARAGRAPH, SECOND]),
+    (f"<body><div class='post entry sidebar'>{TWO}</div><div class='x'><a href=a>One</a></div></body>", [PARAGRAPH, SECOND]),
+])
+def test_names_that_mislead(page, lines):
+    assert he.extract(page) == "\n".join(lines)
+
+
+OPAQUE = ("<body><div class=q1><a href=a>Home</a> <a href=b>News</a></div><div class=k7><a href=c>Sport</a></div>"
+          f"<div class=z2><h1>Title</h1><p>{PARAGRAPH}</p><p>Short.</p><p>{SECOND}</p><p>Three words here</p><p>{PARAGRAPH}</p></div>"
+          "<div class=b0><a href=d>Imprint</a> <a href=e>Contact</a></div><div class=b1>Log in</div></body>")
+
+
+def test_cut_decides_opaque_pages(monkeypatch):
+    """No name says anything here: doubtful blocks reach the flow, and their
+    labels are neither those of the names nor those of each block's looks."""
+    reached = []
+    plain = he._reachable
+    monkeypatch.setattr(he, "_reachable", lambda nodes, cost, near: reached.extend(nodes) or plain(nodes, cost, near))
+    assert he.extract(OPAQUE).split("\n") == ["Title", PARAGRAPH, "Short.", SECOND, "Three words here", PARAGRAPH]
+    page = he.blocks(OPAQUE)
+    assert all(b.evidence == 0 for b in page)
+    assert len(reached) >= 2
+    alone = he.costs_of(page) > 0
+    kept = he.minimum_cut(he.costs_of(page), he.arcs(page))
+    assert (alone != kept).any()
+
+
+def test_names_and_looks_can_disagree():
+    """A paragraph under a name of boilerplate in the middle of an article,
+    told apart from a notice under the same name."""
+    page = he.blocks(f"<article><p>{PARAGRAPH}</p><p class=widget>{SECOND}</p><p>{PARAGRAPH}</p><p class=widget>Subscribe</p></article>")
+    assert list(he.minimum_cut(he.costs_of(page), he.arcs(page))) == [True, True, True, False]
+
+
+@pytest.mark.parametrize("page", ["<b>" * 40000 + "<p>" * 40000, "<b>" * 40000 + "</div>" * 40000, "<b><div>" + "<i>" * 40000 + "</b>" * 40000,
+                                  "<center>" * 40000 + "x", "<b>" * 40000 + "<p>x" * 40000])
+def test_deep_pages_take_linear_time(page):
+    start = time.process_time()
+    he.extract(page)
+    assert time.process_time() - start < 10
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<p", ""), (f"<article><p>{PARAGRAPH}</p><p>cut <a href='x", f"{PARAGRAPH}\ncut"),
     (f"<article><p>{PARAGRAPH} 1 < 2 &amp &am</article>", f"{PARAGRAPH} 1 < 2 & &am"), ("<nav><a>x</a></nav>", ""),
