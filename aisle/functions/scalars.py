@@ -21,18 +21,23 @@ def money_sum(c) -> Column:
     return F.sum(col(c)).cast("decimal(38,2)")
 
 
-ROUND_NUDGE = 1e-9
+def r4(c) -> Column:
+    """Double rounded half away from zero to 4 places, by the same steps on
+    doubles as DuckDB's ``round(x, 4)``: for deviations and the like, which
+    have no exact decimal value.  Averages and ratios of sums go through
+    ``quotient4``."""
+    return F.round(col(c).cast("double") * 10000) / 10000
 
 
-def r4(c) -> Column:
-    """Double rounded half away from zero to 4 places (the shared form of
-    inexact outputs).  Averages of cents often end exactly in 5 at the fifth
-    place; one engine holds such a value as an exact decimal, another as the
-    nearest double just below it.  A nudge of 1e-9 away from zero (far below
-    any real difference between such values, far above double error) makes
-    every engine round those ties the same way."""
-    x = col(c).cast("double")
-    return F.round(x + F.signum(x) * F.lit(ROUND_NUDGE), 4)
+def quotient4(n, d, places: int = 2) -> Column:
+    """``n / d`` rounded half away from zero to 4 places, exactly; NULL where
+    ``d`` is 0.  Both have at most ``places`` decimal places.  They are scaled
+    to whole numbers, so the one division of doubles is correctly rounded and
+    ends in one half if and only if the true quotient does (whole numbers up
+    to 2^53)."""
+    exact = f"decimal(38,{places})"
+    whole = (col(n).cast(exact) * F.lit(10 ** (4 + places))).cast("double")
+    return F.when(col(d) != 0, F.round(whole / (col(d).cast(exact) * F.lit(10 ** places)).cast("double")) / 10000)
 
 
 def mean(c) -> Column:
@@ -52,7 +57,11 @@ def mean_over(c, w) -> Column:
 
 
 def avg4(c) -> Column:
-    return r4(mean(c))
+    return quotient4(F.sum(col(c)), F.count(col(c)))
+
+
+def avg4_over(c, w) -> Column:
+    return quotient4(F.sum(col(c)).over(w), F.count(col(c)).over(w))
 
 
 def stddev4(c) -> Column:

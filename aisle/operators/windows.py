@@ -7,10 +7,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import quotient4
+
 
 def share_of(value: str, part: list[str], scale: int = 100) -> Column:
-    """``value * scale / sum(value) over (partition by part)``."""
-    return F.col(value) * scale / F.sum(value).over(Window.partitionBy(*part))
+    """``value * scale / sum(value) over (partition by part)``, rounded to 4
+    places exactly."""
+    return quotient4(F.col(value) * scale, F.sum(value).over(Window.partitionBy(*part)))
 
 
 def running(fn, value: str, part: list[str], order: list[str]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import avg4, mean, money_sum, r4, stddev4
+from ...functions.scalars import avg4, mean, money_sum, quotient4, r4, stddev4
 from ...operators.aggs import lag_buckets, pivot_sums, rollup_cascade, rollup_levels
 from ...sources.orderentry import OrderEntry
 from ..registry import register
@@ -23,9 +23,9 @@ def op_agg_sum(spark, sf_dir):
 
 
 @register("op_agg_avg", prelude="ops", sql="""
-SELECT l_returnflag, round(CAST(avg(l_quantity) AS DOUBLE), 4) AS avg_qty,
-       round(CAST(avg(l_extendedprice) AS DOUBLE), 4) AS avg_price,
-       round(CAST(avg(l_discount) AS DOUBLE), 4) AS avg_disc
+SELECT l_returnflag, round(CAST(sum(l_quantity) * 10000 AS DOUBLE) / count(l_quantity)) / 10000 AS avg_qty,
+       round(CAST(sum(l_extendedprice) * 10000 AS DOUBLE) / count(l_extendedprice)) / 10000 AS avg_price,
+       round(CAST(sum(l_discount) * 10000 AS DOUBLE) / count(l_discount)) / 10000 AS avg_disc
 FROM li GROUP BY l_returnflag""")
 def op_agg_avg(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
@@ -89,7 +89,7 @@ def op_agg_count_distinct(spark, sf_dir):
 @register("op_agg_global", prelude="ops", sql="""
 SELECT count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS qty,
        CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue,
-       round(CAST(avg(l_discount) AS DOUBLE), 4) AS avg_disc
+       round(CAST(sum(l_discount) * 10000 AS DOUBLE) / count(l_discount)) / 10000 AS avg_disc
 FROM li""")
 def op_agg_global(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
@@ -146,18 +146,18 @@ def op_agg_count_case(spark, sf_dir):
 @register("op_agg_expr", prelude="ops", sql="""
 SELECT l_returnflag,
   CAST(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS DECIMAL(38,6)) AS charge,
-  round(CAST(sum(l_extendedprice * l_discount) / sum(l_extendedprice) AS DOUBLE), 4) AS disc_share
+  round(CAST(sum(l_extendedprice * l_discount) * 100000000 AS DOUBLE) / CAST(sum(l_extendedprice) * 10000 AS DOUBLE)) / 10000 AS disc_share
 FROM li GROUP BY l_returnflag""")
 def op_agg_expr(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     p, d, x = c("l_extendedprice"), c("l_discount"), c("l_tax")
     return t.li.groupBy("l_returnflag").agg(
         F.sum(p * (1 - d) * (1 + x)).cast("decimal(38,6)").alias("charge"),
-        r4(F.sum(p * d) / F.sum(p)).alias("disc_share"))
+        quotient4(F.sum(p * d), F.sum(p), 4).alias("disc_share"))
 
 
 @register("op_agg_of_agg", prelude="ops", sql="""
-SELECT c_mktsegment, round(CAST(avg(total) AS DOUBLE), 4) AS avg_customer_total,
+SELECT c_mktsegment, round(CAST(sum(total) * 10000 AS DOUBLE) / count(total)) / 10000 AS avg_customer_total,
        max(n_orders) AS max_orders
 FROM (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n_orders FROM od GROUP BY o_custkey) x
 JOIN cu ON o_custkey = c_custkey

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean, money_sum, r4
+from ...functions.scalars import avg4, mean, money_sum, quotient4
 from ...operators import joins as J
 from ...operators.subqueries import scalar
 from ...sources.orderentry import OrderEntry
@@ -152,7 +152,7 @@ def op_join_full(spark, sf_dir, y1=1996, y2=1997):
 @register("op_join_cross_scalar", prelude="ops", sql="""
 SELECT * FROM
  (SELECT count(*) AS small_lines FROM li WHERE l_quantity < 10) a,
- (SELECT round(CAST(avg(l_extendedprice) AS DOUBLE), 4) AS big_avg_price FROM li WHERE l_quantity > 40) b,
+ (SELECT round(CAST(sum(l_extendedprice) * 10000 AS DOUBLE) / count(l_extendedprice)) / 10000 AS big_avg_price FROM li WHERE l_quantity > 40) b,
  (SELECT count(DISTINCT l_suppkey) AS returned_suppliers FROM li WHERE l_returnflag = 'R') c""")
 def op_join_cross_scalar(spark, sf_dir):
     """One-row results side by side.  The three scalar subqueries read the
@@ -161,13 +161,13 @@ def op_join_cross_scalar(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     return t.li.agg(
         F.count(F.when(c("l_quantity") < 10, 1)).alias("small_lines"),
-        r4(mean(F.when(c("l_quantity") > 40, c("l_extendedprice")))).alias("big_avg_price"),
+        avg4(F.when(c("l_quantity") > 40, c("l_extendedprice"))).alias("big_avg_price"),
         F.count_distinct(F.when(c("l_returnflag") == "R", c("l_suppkey"))).alias("returned_suppliers"))
 
 
 @register("op_join_cross_broadcast", prelude="ops", sql="""
 SELECT n_name, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue,
-       round(CAST(sum(l_extendedprice) * 100 / max(t.total) AS DOUBLE), 4) AS pct
+       round(CAST(sum(l_extendedprice) * 100000000 AS DOUBLE) / CAST(max(t.total) * 100 AS DOUBLE)) / 10000 AS pct
 FROM li JOIN su ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey,
      (SELECT sum(l_extendedprice) AS total FROM li) t
 GROUP BY n_name""")
@@ -181,7 +181,7 @@ def op_join_cross_broadcast(spark, sf_dir):
     total = scalar(t.li, F.sum("l_extendedprice"), "total")
     return (J.attach_scalar(per, total)
             .select("n_name", c("rev").cast("decimal(38,2)").alias("revenue"),
-                    r4(c("rev") * 100 / c("total")).alias("pct")))
+                    quotient4(c("rev") * 100, "total").alias("pct")))
 
 
 @register("op_join_self", prelude="ops", sql="""
@@ -213,7 +213,7 @@ def op_join_self(spark, sf_dir):
            FROM od JOIN cu ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
            GROUP BY n_name, year(o_orderdate))
 SELECT a.n_name, a.yr, CAST(a.total AS DECIMAL(38,2)) AS total, CAST(b.total AS DECIMAL(38,2)) AS next_total,
-       round(CAST(b.total / a.total AS DOUBLE), 4) AS growth
+       round(CAST(b.total * 1000000 AS DOUBLE) / CAST(NULLIF(a.total, 0) * 100 AS DOUBLE)) / 10000 AS growth
 FROM y a JOIN y b ON a.n_name = b.n_name AND a.yr + 1 = b.yr""")
 def op_join_self_offset(spark, sf_dir):
     """Self-join on key + 1 (this year against next year)."""
@@ -224,7 +224,7 @@ def op_join_self_offset(spark, sf_dir):
     j = y.join(b, (c("n_name") == c("b_name")) & (c("yr") + 1 == c("b_yr")))
     return j.select("n_name", "yr", c("total").cast("decimal(38,2)").alias("total"),
                     c("b_total").cast("decimal(38,2)").alias("next_total"),
-                    r4(c("b_total") / c("total")).alias("growth"))
+                    quotient4("b_total", "total").alias("growth"))
 
 
 @register("op_join_self_versions", prelude="ops", sql="""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import days_key, int_div, mean, r4, round_to_int, safe_div
+from ...functions.scalars import days_key, int_div, mean, quotient4, round_to_int
 from ...sources.orderentry import OrderEntry
 from ..registry import register
 
@@ -43,7 +43,7 @@ def op_int_div(spark, sf_dir):
               sum(CASE WHEN year(o_orderdate) = $y1 THEN o_totalprice ELSE 0 END) AS a,
               sum(CASE WHEN year(o_orderdate) = $y1 + 1 THEN o_totalprice ELSE 0 END) AS b
            FROM od GROUP BY o_custkey)
-SELECT k AS custkey, round(CAST(CASE WHEN a > 0 THEN b / a ELSE NULL END AS DOUBLE), 4) AS growth FROM y""".replace("WITH , ", ", "))
+SELECT k AS custkey, CASE WHEN a > 0 THEN round(CAST(b * 1000000 AS DOUBLE) / CAST(a * 100 AS DOUBLE)) / 10000 ELSE NULL END AS growth FROM y""".replace("WITH , ", ", "))
 def op_safe_ratio(spark, sf_dir, y1=1996):
     """CASE guard against a zero divisor (ANSI mode raises on / 0)."""
     t = OrderEntry(spark, sf_dir)
@@ -52,7 +52,7 @@ def op_safe_ratio(spark, sf_dir, y1=1996):
     y = t.od.groupBy(c("o_custkey").alias("custkey")).agg(
         F.sum(F.when(yr == y1, c("o_totalprice")).otherwise(z)).alias("a"),
         F.sum(F.when(yr == y1 + 1, c("o_totalprice")).otherwise(z)).alias("b"))
-    return y.select("custkey", r4(safe_div("b", "a")).alias("growth"))
+    return y.select("custkey", F.when(c("a") > 0, quotient4("b", "a")).alias("growth"))
 
 
 @register("op_case_searched", prelude="ops", sql="""

@@ -31,8 +31,8 @@ _BANDS = [(1, 10), (11, 20), (21, 30), (31, 40), (41, 50)]
 
 @register("op_scalar_case_merge", prelude="ops", sql="SELECT " + ",\n".join(
     f"""CASE WHEN (SELECT count(*) FROM li WHERE l_quantity BETWEEN {lo} AND {hi}) > $threshold
-     THEN (SELECT round(CAST(avg(l_extendedprice) AS DOUBLE), 4) FROM li WHERE l_quantity BETWEEN {lo} AND {hi})
-     ELSE (SELECT round(CAST(avg(l_discount) AS DOUBLE), 4) FROM li WHERE l_quantity BETWEEN {lo} AND {hi}) END AS bucket{i + 1}"""
+     THEN (SELECT round(CAST(sum(l_extendedprice) * 10000 AS DOUBLE) / count(l_extendedprice)) / 10000 FROM li WHERE l_quantity BETWEEN {lo} AND {hi})
+     ELSE (SELECT round(CAST(sum(l_discount) * 10000 AS DOUBLE) / count(l_discount)) / 10000 FROM li WHERE l_quantity BETWEEN {lo} AND {hi}) END AS bucket{i + 1}"""
     for i, (lo, hi) in enumerate(_BANDS)))
 def op_scalar_case_merge(spark, sf_dir, threshold=12000):
     """Fifteen scalar subqueries over one table, merged into one scan with
@@ -119,7 +119,7 @@ def op_cte(spark, sf_dir):
 
 
 @register("op_derived", prelude="ops", sql="""
-SELECT size_class, count(*) AS orders, round(CAST(avg(lines) AS DOUBLE), 4) AS avg_lines FROM (
+SELECT size_class, count(*) AS orders, round(CAST(sum(lines) * 10000 AS DOUBLE) / count(lines)) / 10000 AS avg_lines FROM (
   SELECT o_orderkey, lines, CASE WHEN qty > 100 THEN 'big' ELSE 'small' END AS size_class FROM (
     SELECT l_orderkey AS o_orderkey, count(*) AS lines, sum(l_quantity) AS qty FROM li GROUP BY l_orderkey) a) b
 GROUP BY size_class""")

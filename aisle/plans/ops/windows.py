@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean_over, r4
+from ...functions.scalars import avg4_over, mean_over
 from ...operators.aggs import rollup_levels
 from ...operators.sorts import asc, desc, order, topk
 from ...operators.windows import global_rank_top, prev_next, rank_in_groups, running, share_of, topk_per_group
@@ -22,7 +22,7 @@ def _brand_rev(t):
 
 @register("op_win_share", prelude="ops", sql="""
 SELECT p_type, p_brand, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS revenue,
-       round(CAST(sum(l_extendedprice) * 100 / sum(sum(l_extendedprice)) OVER (PARTITION BY p_type) AS DOUBLE), 4) AS share
+       round(CAST(sum(l_extendedprice) * 100000000 AS DOUBLE) / CAST(sum(sum(l_extendedprice)) OVER (PARTITION BY p_type) * 100 AS DOUBLE)) / 10000 AS share
 FROM li JOIN pa ON l_partkey = p_partkey GROUP BY p_type, p_brand""")
 def op_win_share(spark, sf_dir):
     """Aggregate first, then the partition total as a window over the
@@ -30,7 +30,7 @@ def op_win_share(spark, sf_dir):
     t = OrderEntry(spark, sf_dir)
     g = _brand_rev(t)
     return g.select("p_type", "p_brand", c("rev").cast("decimal(38,2)").alias("revenue"),
-                    r4(share_of("rev", ["p_type"])).alias("share"))
+                    share_of("rev", ["p_type"]).alias("share"))
 
 
 _MONTHLY = """WITH m AS (SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo,
@@ -47,16 +47,18 @@ def _monthly(t):
 
 
 @register("op_win_avg_part", prelude="ops", sql=_MONTHLY.replace("WITH", ", ", 1) + """
-SELECT n_name, yr, mo, CAST(total AS DECIMAL(38,2)) AS total, round(CAST(avg_total AS DOUBLE), 4) AS avg_total
-FROM (SELECT *, avg(total) OVER (PARTITION BY n_name, yr) AS avg_total FROM m) x
+SELECT n_name, yr, mo, CAST(total AS DECIMAL(38,2)) AS total, avg4 AS avg_total
+FROM (SELECT *, avg(total) OVER w AS avg_total, round(CAST(sum(total) OVER w * 10000 AS DOUBLE) / count(total) OVER w) / 10000 AS avg4
+      FROM m WINDOW w AS (PARTITION BY n_name, yr)) x
 WHERE abs(total - avg_total) / avg_total > 0.1""")
 def op_win_avg_part(spark, sf_dir):
     """Group value against its partition average (months deviating > 10%)."""
     t = OrderEntry(spark, sf_dir)
-    m = _monthly(t).withColumn("avg_total", mean_over("total", Window.partitionBy("n_name", "yr")))
+    w = Window.partitionBy("n_name", "yr")
+    m = _monthly(t).withColumn("avg_total", mean_over("total", w)).withColumn("avg4", avg4_over("total", w))
     return (m.filter(F.abs(c("total") - c("avg_total")) / c("avg_total") > 0.1)
             .select("n_name", "yr", "mo", c("total").cast("decimal(38,2)").alias("total"),
-                    r4("avg_total").alias("avg_total")))
+                    c("avg4").alias("avg_total")))
 
 
 @register("op_win_rank_part", prelude="ops", sql="""

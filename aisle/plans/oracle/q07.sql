@@ -1,5 +1,5 @@
-SELECT i_item_id, round(CAST(avg(ss_quantity) AS DOUBLE), 4) AS agg1, round(CAST(avg(ss_list_price) AS DOUBLE), 4) AS agg2,
-       round(CAST(avg(ss_coupon_amt) AS DOUBLE), 4) AS agg3, round(CAST(avg(ss_sales_price) AS DOUBLE), 4) AS agg4
+SELECT i_item_id, round(CAST(sum(ss_quantity) * 10000 AS DOUBLE) / count(ss_quantity)) / 10000 AS agg1, round(CAST(sum(ss_list_price) * 10000 AS DOUBLE) / count(ss_list_price)) / 10000 AS agg2,
+       round(CAST(sum(ss_coupon_amt) * 10000 AS DOUBLE) / count(ss_coupon_amt)) / 10000 AS agg3, round(CAST(sum(ss_sales_price) * 10000 AS DOUBLE) / count(ss_sales_price)) / 10000 AS agg4
 FROM store_sales
 JOIN customer_demographics ON ss_cdemo_sk = cd_demo_sk
 JOIN date_dim ON ss_sold_date_sk = d_date_sk

@@ -1,6 +1,6 @@
 SELECT i_item_desc, i_category, i_class, i_current_price,
        CAST(sum(ws_ext_sales_price) AS DECIMAL(38,2)) AS itemrevenue,
-       round(CAST(sum(ws_ext_sales_price) * 100 / sum(sum(ws_ext_sales_price)) OVER (PARTITION BY i_class) AS DOUBLE), 4)
+       round(CAST(sum(ws_ext_sales_price) * 100000000 AS DOUBLE) / CAST(sum(sum(ws_ext_sales_price)) OVER (PARTITION BY i_class) * 100 AS DOUBLE)) / 10000
          AS revenueratio
 FROM web_sales
 JOIN item ON ws_item_sk = i_item_sk

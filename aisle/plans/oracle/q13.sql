@@ -1,6 +1,6 @@
-SELECT round(CAST(avg(ss_quantity) AS DOUBLE), 4) AS avg_quantity,
-       round(CAST(avg(ss_ext_sales_price) AS DOUBLE), 4) AS avg_ext_sales_price,
-       round(CAST(avg(ss_ext_wholesale_cost) AS DOUBLE), 4) AS avg_ext_wholesale_cost,
+SELECT round(CAST(sum(ss_quantity) * 10000 AS DOUBLE) / count(ss_quantity)) / 10000 AS avg_quantity,
+       round(CAST(sum(ss_ext_sales_price) * 10000 AS DOUBLE) / count(ss_ext_sales_price)) / 10000 AS avg_ext_sales_price,
+       round(CAST(sum(ss_ext_wholesale_cost) * 10000 AS DOUBLE) / count(ss_ext_wholesale_cost)) / 10000 AS avg_ext_wholesale_cost,
        CAST(sum(ss_ext_wholesale_cost) AS DECIMAL(38,2)) AS sum_ext_wholesale_cost
 FROM store_sales, store, customer_demographics, household_demographics, customer_address, date_dim
 WHERE s_store_sk = ss_store_sk AND ss_sold_date_sk = d_date_sk AND d_year = $year

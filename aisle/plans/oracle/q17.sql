@@ -1,11 +1,11 @@
 SELECT i_item_id, i_item_desc, s_state,
-       count(ss_quantity) AS store_sales_quantitycount, round(CAST(avg(ss_quantity) AS DOUBLE), 4) AS store_sales_quantityave,
+       count(ss_quantity) AS store_sales_quantitycount, round(CAST(sum(ss_quantity) * 10000 AS DOUBLE) / count(ss_quantity)) / 10000 AS store_sales_quantityave,
        round(CAST(stddev_samp(ss_quantity) AS DOUBLE), 4) AS store_sales_quantitystdev,
        round(CAST(stddev_samp(ss_quantity) / avg(ss_quantity) AS DOUBLE), 4) AS store_sales_quantitycov,
-       count(sr_return_quantity) AS as_store_returns_quantitycount, round(CAST(avg(sr_return_quantity) AS DOUBLE), 4) AS as_store_returns_quantityave,
+       count(sr_return_quantity) AS as_store_returns_quantitycount, round(CAST(sum(sr_return_quantity) * 10000 AS DOUBLE) / count(sr_return_quantity)) / 10000 AS as_store_returns_quantityave,
        round(CAST(stddev_samp(sr_return_quantity) AS DOUBLE), 4) AS as_store_returns_quantitystdev,
        round(CAST(stddev_samp(sr_return_quantity) / avg(sr_return_quantity) AS DOUBLE), 4) AS store_returns_quantitycov,
-       count(cs_quantity) AS catalog_sales_quantitycount, round(CAST(avg(cs_quantity) AS DOUBLE), 4) AS catalog_sales_quantityave,
+       count(cs_quantity) AS catalog_sales_quantitycount, round(CAST(sum(cs_quantity) * 10000 AS DOUBLE) / count(cs_quantity)) / 10000 AS catalog_sales_quantityave,
        round(CAST(stddev_samp(cs_quantity) / avg(cs_quantity) AS DOUBLE), 4) AS catalog_sales_quantitystdev,
        round(CAST(stddev_samp(cs_quantity) / avg(cs_quantity) AS DOUBLE), 4) AS catalog_sales_quantitycov
 FROM store_sales, store_returns, catalog_sales, date_dim d1, date_dim d2, date_dim d3, store, item

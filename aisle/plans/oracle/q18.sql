@@ -1,11 +1,11 @@
 SELECT i_item_id, ca_country, ca_state, ca_county,
-       round(CAST(avg(CAST(cs_quantity AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg1,
-       round(CAST(avg(CAST(cs_list_price AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg2,
-       round(CAST(avg(CAST(cs_coupon_amt AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg3,
-       round(CAST(avg(CAST(cs_sales_price AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg4,
-       round(CAST(avg(CAST(cs_net_profit AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg5,
-       round(CAST(avg(CAST(c_birth_year AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg6,
-       round(CAST(avg(CAST(cd1.cd_dep_count AS DECIMAL(12,2))) AS DOUBLE), 4) AS agg7
+       round(CAST(sum(cs_quantity) * 10000 AS DOUBLE) / count(cs_quantity)) / 10000 AS agg1,
+       round(CAST(sum(cs_list_price) * 10000 AS DOUBLE) / count(cs_list_price)) / 10000 AS agg2,
+       round(CAST(sum(cs_coupon_amt) * 10000 AS DOUBLE) / count(cs_coupon_amt)) / 10000 AS agg3,
+       round(CAST(sum(cs_sales_price) * 10000 AS DOUBLE) / count(cs_sales_price)) / 10000 AS agg4,
+       round(CAST(sum(cs_net_profit) * 10000 AS DOUBLE) / count(cs_net_profit)) / 10000 AS agg5,
+       round(CAST(sum(c_birth_year) * 10000 AS DOUBLE) / count(c_birth_year)) / 10000 AS agg6,
+       round(CAST(sum(cd1.cd_dep_count) * 10000 AS DOUBLE) / count(cd1.cd_dep_count)) / 10000 AS agg7
 FROM catalog_sales, customer_demographics cd1, customer_demographics cd2, customer, customer_address, date_dim, item
 WHERE cs_sold_date_sk = d_date_sk AND cs_item_sk = i_item_sk AND cs_bill_cdemo_sk = cd1.cd_demo_sk
   AND cs_bill_customer_sk = c_customer_sk AND cd1.cd_gender = '$gender' AND cd1.cd_education_status = '$education'

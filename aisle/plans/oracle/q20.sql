@@ -1,6 +1,6 @@
 SELECT i_item_desc, i_category, i_class, i_current_price,
        CAST(sum(cs_ext_sales_price) AS DECIMAL(38,2)) AS itemrevenue,
-       round(CAST(sum(cs_ext_sales_price) * 100 / sum(sum(cs_ext_sales_price)) OVER (PARTITION BY i_class) AS DOUBLE), 4)
+       round(CAST(sum(cs_ext_sales_price) * 100000000 AS DOUBLE) / CAST(sum(sum(cs_ext_sales_price)) OVER (PARTITION BY i_class) * 100 AS DOUBLE)) / 10000
          AS revenueratio
 FROM catalog_sales
 JOIN item ON cs_item_sk = i_item_sk

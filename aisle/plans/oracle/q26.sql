@@ -1,5 +1,5 @@
-SELECT i_item_id, round(CAST(avg(cs_quantity) AS DOUBLE), 4) AS agg1, round(CAST(avg(cs_list_price) AS DOUBLE), 4) AS agg2,
-       round(CAST(avg(cs_coupon_amt) AS DOUBLE), 4) AS agg3, round(CAST(avg(cs_sales_price) AS DOUBLE), 4) AS agg4
+SELECT i_item_id, round(CAST(sum(cs_quantity) * 10000 AS DOUBLE) / count(cs_quantity)) / 10000 AS agg1, round(CAST(sum(cs_list_price) * 10000 AS DOUBLE) / count(cs_list_price)) / 10000 AS agg2,
+       round(CAST(sum(cs_coupon_amt) * 10000 AS DOUBLE) / count(cs_coupon_amt)) / 10000 AS agg3, round(CAST(sum(cs_sales_price) * 10000 AS DOUBLE) / count(cs_sales_price)) / 10000 AS agg4
 FROM catalog_sales
 JOIN customer_demographics ON cs_bill_cdemo_sk = cd_demo_sk
 JOIN date_dim ON cs_sold_date_sk = d_date_sk

@@ -1,11 +1,11 @@
 SELECT ca_state, cd_gender, cd_marital_status, count(*) AS cnt1,
-       round(CAST(avg(cd_dep_count) AS DOUBLE), 4) AS avg_dep, max(cd_dep_count) AS max_dep,
+       round(CAST(sum(cd_dep_count) * 10000 AS DOUBLE) / count(cd_dep_count)) / 10000 AS avg_dep, max(cd_dep_count) AS max_dep,
        CAST(sum(cd_dep_count) AS BIGINT) AS sum_dep,
        cd_dep_employed_count, count(*) AS cnt2,
-       round(CAST(avg(cd_dep_employed_count) AS DOUBLE), 4) AS avg_emp, max(cd_dep_employed_count) AS max_emp,
+       round(CAST(sum(cd_dep_employed_count) * 10000 AS DOUBLE) / count(cd_dep_employed_count)) / 10000 AS avg_emp, max(cd_dep_employed_count) AS max_emp,
        CAST(sum(cd_dep_employed_count) AS BIGINT) AS sum_emp,
        cd_dep_college_count, count(*) AS cnt3,
-       round(CAST(avg(cd_dep_college_count) AS DOUBLE), 4) AS avg_col, max(cd_dep_college_count) AS max_col,
+       round(CAST(sum(cd_dep_college_count) * 10000 AS DOUBLE) / count(cd_dep_college_count)) / 10000 AS avg_col, max(cd_dep_college_count) AS max_col,
        CAST(sum(cd_dep_college_count) AS BIGINT) AS sum_col
 FROM customer c, customer_address ca, customer_demographics
 WHERE c.c_current_addr_sk = ca.ca_address_sk AND cd_demo_sk = c.c_current_cdemo_sk

@@ -1,10 +1,11 @@
-SELECT 'web' AS channel, item, round(CAST(return_ratio AS DOUBLE), 4) AS return_ratio, return_rank, currency_rank
-FROM (SELECT item, return_ratio, currency_ratio,
+SELECT 'web' AS channel, item, shown AS return_ratio, return_rank, currency_rank
+FROM (SELECT item, shown, return_ratio, currency_ratio,
              rank() OVER (ORDER BY return_ratio) AS return_rank,
              rank() OVER (ORDER BY currency_ratio) AS currency_rank
       FROM (SELECT ws.ws_item_sk AS item,
                    CAST(sum(coalesce(wr.wr_return_quantity, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(ws.ws_quantity, 0)) AS DECIMAL(15,4)) AS return_ratio,
+                   round(CAST(sum(coalesce(wr.wr_return_quantity, 0)) * 10000 AS DOUBLE) / sum(coalesce(ws.ws_quantity, 0))) / 10000 AS shown,
                    CAST(sum(coalesce(wr.wr_return_amt, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(ws.ws_net_paid, 0)) AS DECIMAL(15,4)) AS currency_ratio
             FROM web_sales ws
@@ -16,13 +17,14 @@ FROM (SELECT item, return_ratio, currency_ratio,
             GROUP BY ws.ws_item_sk) x) y
 WHERE return_rank <= $k OR currency_rank <= $k
 UNION
-SELECT 'catalog' AS channel, item, round(CAST(return_ratio AS DOUBLE), 4) AS return_ratio, return_rank, currency_rank
-FROM (SELECT item, return_ratio, currency_ratio,
+SELECT 'catalog' AS channel, item, shown AS return_ratio, return_rank, currency_rank
+FROM (SELECT item, shown, return_ratio, currency_ratio,
              rank() OVER (ORDER BY return_ratio) AS return_rank,
              rank() OVER (ORDER BY currency_ratio) AS currency_rank
       FROM (SELECT cs.cs_item_sk AS item,
                    CAST(sum(coalesce(cr.cr_return_quantity, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(cs.cs_quantity, 0)) AS DECIMAL(15,4)) AS return_ratio,
+                   round(CAST(sum(coalesce(cr.cr_return_quantity, 0)) * 10000 AS DOUBLE) / sum(coalesce(cs.cs_quantity, 0))) / 10000 AS shown,
                    CAST(sum(coalesce(cr.cr_return_amount, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(cs.cs_net_paid, 0)) AS DECIMAL(15,4)) AS currency_ratio
             FROM catalog_sales cs
@@ -34,13 +36,14 @@ FROM (SELECT item, return_ratio, currency_ratio,
             GROUP BY cs.cs_item_sk) x) y
 WHERE return_rank <= $k OR currency_rank <= $k
 UNION
-SELECT 'store' AS channel, item, round(CAST(return_ratio AS DOUBLE), 4) AS return_ratio, return_rank, currency_rank
-FROM (SELECT item, return_ratio, currency_ratio,
+SELECT 'store' AS channel, item, shown AS return_ratio, return_rank, currency_rank
+FROM (SELECT item, shown, return_ratio, currency_ratio,
              rank() OVER (ORDER BY return_ratio) AS return_rank,
              rank() OVER (ORDER BY currency_ratio) AS currency_rank
       FROM (SELECT ss.ss_item_sk AS item,
                    CAST(sum(coalesce(sr.sr_return_quantity, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(ss.ss_quantity, 0)) AS DECIMAL(15,4)) AS return_ratio,
+                   round(CAST(sum(coalesce(sr.sr_return_quantity, 0)) * 10000 AS DOUBLE) / sum(coalesce(ss.ss_quantity, 0))) / 10000 AS shown,
                    CAST(sum(coalesce(sr.sr_return_amt, 0)) AS DECIMAL(15,4))
                      / CAST(sum(coalesce(ss.ss_net_paid, 0)) AS DECIMAL(15,4)) AS currency_ratio
             FROM store_sales ss

@@ -9,7 +9,7 @@ quarterly AS (
   FROM store_sales JOIN choice ON good = ss_item_sk JOIN store ON s_store_sk = ss_store_sk
   JOIN date_dim ON d_date_sk = ss_sold_date_sk AND d_month_seq BETWEEN $month_seq AND $month_seq + 11
   GROUP BY ALL),
-usual AS (SELECT *, CAST(sum(s) OVER w AS DOUBLE) / count(s) OVER w AS a FROM quarterly WINDOW w AS (PARTITION BY i_manufact_id)),
+usual AS (SELECT *, CAST(sum(s) OVER w AS DOUBLE) / count(s) OVER w AS a, round(CAST(sum(s) OVER w * 10000 AS DOUBLE) / count(s) OVER w) / 10000 AS a4 FROM quarterly WINDOW w AS (PARTITION BY i_manufact_id)),
 picked AS (SELECT * FROM usual WHERE a > 0 AND abs(CAST(s AS DOUBLE) - a) / a > 0.1
            ORDER BY a, s NULLS LAST, i_manufact_id NULLS LAST LIMIT 100)
-SELECT i_manufact_id, s AS sum_sales, round(a, 4) AS avg_quarterly_sales FROM picked
+SELECT i_manufact_id, s AS sum_sales, a4 AS avg_quarterly_sales FROM picked

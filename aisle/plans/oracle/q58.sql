@@ -17,12 +17,12 @@
     AND ws_sold_date_sk = d_date_sk
   GROUP BY i_item_id)
 SELECT ss_items.item_id, CAST(ss_item_rev AS DECIMAL(38,2)) AS ss_item_rev,
-       round(CAST(ss_item_rev / (ss_item_rev + cs_item_rev + ws_item_rev) / 3 * 100 AS DOUBLE), 4) AS ss_dev,
+       round(CAST(ss_item_rev * 100000000 AS DOUBLE) / CAST((ss_item_rev + cs_item_rev + ws_item_rev) * 300 AS DOUBLE)) / 10000 AS ss_dev,
        CAST(cs_item_rev AS DECIMAL(38,2)) AS cs_item_rev,
-       round(CAST(cs_item_rev / (ss_item_rev + cs_item_rev + ws_item_rev) / 3 * 100 AS DOUBLE), 4) AS cs_dev,
+       round(CAST(cs_item_rev * 100000000 AS DOUBLE) / CAST((ss_item_rev + cs_item_rev + ws_item_rev) * 300 AS DOUBLE)) / 10000 AS cs_dev,
        CAST(ws_item_rev AS DECIMAL(38,2)) AS ws_item_rev,
-       round(CAST(ws_item_rev / (ss_item_rev + cs_item_rev + ws_item_rev) / 3 * 100 AS DOUBLE), 4) AS ws_dev,
-       round(CAST((ss_item_rev + cs_item_rev + ws_item_rev) / 3 AS DOUBLE), 4) AS average
+       round(CAST(ws_item_rev * 100000000 AS DOUBLE) / CAST((ss_item_rev + cs_item_rev + ws_item_rev) * 300 AS DOUBLE)) / 10000 AS ws_dev,
+       round(CAST((ss_item_rev + cs_item_rev + ws_item_rev) * 10000 AS DOUBLE) / 3) / 10000 AS average
 FROM ss_items, cs_items, ws_items
 WHERE ss_items.item_id = cs_items.item_id AND ss_items.item_id = ws_items.item_id
   AND ss_item_rev BETWEEN $lo * cs_item_rev AND $hi * cs_item_rev

@@ -1,5 +1,5 @@
 SELECT promotions, total,
-       round(CAST(CAST(promotions AS DECIMAL(15,4)) / CAST(total AS DECIMAL(15,4)) * 100 AS DOUBLE), 4) AS promo_pct
+       round(CAST(promotions * 100000000 AS DOUBLE) / CAST(NULLIF(total, 0) * 100 AS DOUBLE)) / 10000 AS promo_pct
 FROM (SELECT CAST(sum(ss_ext_sales_price) AS DECIMAL(38,2)) AS promotions
       FROM store_sales, store, promotion, date_dim, customer, customer_address, item
       WHERE ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk AND ss_promo_sk = p_promo_sk

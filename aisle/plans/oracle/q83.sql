@@ -17,12 +17,12 @@
     AND wr_returned_date_sk = d_date_sk
   GROUP BY i_item_id)
 SELECT sr_items.item_id, CAST(sr_item_qty AS BIGINT) AS sr_item_qty,
-       round(CAST(sr_item_qty / (sr_item_qty + cr_item_qty + wr_item_qty) / 3.0 * 100 AS DOUBLE), 4) AS sr_dev,
+       round(CAST(sr_item_qty * 100000000 AS DOUBLE) / CAST((sr_item_qty + cr_item_qty + wr_item_qty) * 300 AS DOUBLE)) / 10000 AS sr_dev,
        CAST(cr_item_qty AS BIGINT) AS cr_item_qty,
-       round(CAST(cr_item_qty / (sr_item_qty + cr_item_qty + wr_item_qty) / 3.0 * 100 AS DOUBLE), 4) AS cr_dev,
+       round(CAST(cr_item_qty * 100000000 AS DOUBLE) / CAST((sr_item_qty + cr_item_qty + wr_item_qty) * 300 AS DOUBLE)) / 10000 AS cr_dev,
        CAST(wr_item_qty AS BIGINT) AS wr_item_qty,
-       round(CAST(wr_item_qty / (sr_item_qty + cr_item_qty + wr_item_qty) / 3.0 * 100 AS DOUBLE), 4) AS wr_dev,
-       round(CAST((sr_item_qty + cr_item_qty + wr_item_qty) / 3.0 AS DOUBLE), 4) AS average
+       round(CAST(wr_item_qty * 100000000 AS DOUBLE) / CAST((sr_item_qty + cr_item_qty + wr_item_qty) * 300 AS DOUBLE)) / 10000 AS wr_dev,
+       round(CAST((sr_item_qty + cr_item_qty + wr_item_qty) * 10000 AS DOUBLE) / 3) / 10000 AS average
 FROM sr_items, cr_items, wr_items
 WHERE sr_items.item_id = cr_items.item_id AND sr_items.item_id = wr_items.item_id
 ORDER BY sr_items.item_id NULLS LAST, sr_item_qty NULLS LAST, sr_dev, cr_item_qty, cr_dev, wr_item_qty, wr_dev, average

@@ -1,5 +1,5 @@
-SELECT substr(r_reason_desc, 1, 20) AS reason20, round(CAST(avg(ws_quantity) AS DOUBLE), 4) AS avg_qty,
-       round(CAST(avg(wr_refunded_cash) AS DOUBLE), 4) AS avg_cash, round(CAST(avg(wr_fee) AS DOUBLE), 4) AS avg_fee
+SELECT substr(r_reason_desc, 1, 20) AS reason20, round(CAST(sum(ws_quantity) * 10000 AS DOUBLE) / count(ws_quantity)) / 10000 AS avg_qty,
+       round(CAST(sum(wr_refunded_cash) * 10000 AS DOUBLE) / count(wr_refunded_cash)) / 10000 AS avg_cash, round(CAST(sum(wr_fee) * 10000 AS DOUBLE) / count(wr_fee)) / 10000 AS avg_fee
 FROM web_sales, web_returns, web_page, customer_demographics cd1, customer_demographics cd2, customer_address, date_dim, reason
 WHERE ws_web_page_sk = wp_web_page_sk AND ws_item_sk = wr_item_sk AND ws_order_number = wr_order_number
   AND ws_sold_date_sk = d_date_sk AND d_year = $year AND cd1.cd_demo_sk = wr_refunded_cdemo_sk

@@ -52,35 +52,6 @@ def _sql_literal(v) -> str:
     return str(v)
 
 
-def nudge_round4(sql: str) -> str:
-    """Rewrite every ``round(E, 4)`` as ``round(E + sign(E) * 1e-9, 4)``, the
-    SQL form of ``functions.scalars.r4`` (ties at the fifth place round the
-    same way whether the engine holds the value as a decimal or a double)."""
-    out, i, low = [], 0, sql.lower()
-    while True:
-        j = low.find("round(", i)
-        if j < 0:
-            out.append(sql[i:])
-            return "".join(out)
-        k, depth, last_comma = j + len("round("), 1, None
-        while depth:
-            ch = sql[k]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-            elif ch == "," and depth == 1:
-                last_comma = k
-            k += 1
-        args_end = k - 1
-        if last_comma is not None and sql[last_comma + 1:args_end].strip() == "4":
-            inner = nudge_round4(sql[j + len("round("):last_comma])
-            out.append(sql[i:j] + f"round(({inner}) + sign({inner}) * 1e-9, 4)")
-        else:
-            out.append(sql[i:j + len("round(")] + nudge_round4(sql[j + len("round("):args_end]) + ")")
-        i = k
-
-
 def _body(key: str, literals: dict | None = None) -> str | None:
     """The oracle of a key without its prelude, with its literals filled in."""
     e = REGISTRY[key]
@@ -94,7 +65,7 @@ def _body(key: str, literals: dict | None = None) -> str | None:
         with open(path) as f:
             text = f.read()
     values = defaults(e.fn) | (literals or {})
-    return nudge_round4(string.Template(text).substitute({k: _sql_literal(v) for k, v in values.items()}))
+    return string.Template(text).substitute({k: _sql_literal(v) for k, v in values.items()})
 
 
 def row_count_sql(statements: list[tuple[str, dict]], columns: str = "") -> str:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean, r4, safe_div
+from ...functions.scalars import mean, quotient4, safe_div
 from ...operators.aggs import pivot_sums
 from ...operators.sorts import topk, order
 from ..registry import register
@@ -74,7 +74,7 @@ def q59(spark, sf_dir, month_seq=1188):
     j = side(month_seq, 1).join(side(month_seq + 12, 2),
                                 (c("s_store_id1") == c("s_store_id2")) & (c("d_week_seq1") == c("d_week_seq2") - 52))
     out = j.select("s_store_name1", "s_store_id1", "d_week_seq1",
-                   *[r4(c(f"{a}1") / c(f"{a}2")).alias(f"{a}_ratio") for a in _DAYS])
+                   *[quotient4(f"{a}1", f"{a}2").alias(f"{a}_ratio") for a in _DAYS])
     return topk(out, ["s_store_name1", "s_store_id1", "d_week_seq1"])
 
 
@@ -173,10 +173,10 @@ def q31(spark, sf_dir, year=1997):
     g = g.filter(c("s1").isNotNull() & c("s2").isNotNull() & c("s3").isNotNull() & c("w1").isNotNull()
                  & c("w2").isNotNull() & c("w3").isNotNull()
                  & (safe_div("w2", "w1") > safe_div("s2", "s1")) & (safe_div("w3", "w2") > safe_div("s3", "s2")))
-    out = g.select("ca_county", "d_year", r4(safe_div("w2", "w1")).alias("web_q1_q2_increase"),
-                   r4(safe_div("s2", "s1")).alias("store_q1_q2_increase"),
-                   r4(safe_div("w3", "w2")).alias("web_q2_q3_increase"),
-                   r4(safe_div("s3", "s2")).alias("store_q2_q3_increase"))
+    out = g.select("ca_county", "d_year", quotient4("w2", "w1").alias("web_q1_q2_increase"),
+                   quotient4("s2", "s1").alias("store_q1_q2_increase"),
+                   quotient4("w3", "w2").alias("web_q2_q3_increase"),
+                   quotient4("s3", "s2").alias("store_q2_q3_increase"))
     return order(out, ["d_year"])
 
 

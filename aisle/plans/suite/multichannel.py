@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4
+from ...functions.scalars import quotient4
 from ...operators.joins import not_exists, semi, with_flag, without
 from ...operators.sorts import topk
 from ..registry import register
@@ -125,9 +125,9 @@ def q58(spark, sf_dir, day="1998-05-03", lo=0.25, hi=4.0):
                  & within("ws", "ss") & within("ws", "cs"))
     tot = c("ss") + c("cs") + c("ws")
     out = j.select(c("ss_id").alias("item_id"), c("ss").cast("decimal(38,2)").alias("ss_item_rev"),
-                   r4(c("ss") / tot / 3 * 100).alias("ss_dev"), c("cs").cast("decimal(38,2)").alias("cs_item_rev"),
-                   r4(c("cs") / tot / 3 * 100).alias("cs_dev"), c("ws").cast("decimal(38,2)").alias("ws_item_rev"),
-                   r4(c("ws") / tot / 3 * 100).alias("ws_dev"), r4(tot / 3).alias("average"))
+                   quotient4(c("ss") * 100, tot * 3).alias("ss_dev"), c("cs").cast("decimal(38,2)").alias("cs_item_rev"),
+                   quotient4(c("cs") * 100, tot * 3).alias("cs_dev"), c("ws").cast("decimal(38,2)").alias("ws_item_rev"),
+                   quotient4(c("ws") * 100, tot * 3).alias("ws_dev"), quotient4(tot, F.lit(3)).alias("average"))
     return topk(out, ["item_id", "ss_item_rev"])
 
 
@@ -139,9 +139,9 @@ def q83(spark, sf_dir, days=("1996-02-04", "2000-06-18", "2000-12-24")):
     cr = _item_totals(t, t.catalog_returns, "cr_item_sk", "cr_returned_date_sk", "cr_return_quantity", dates, "cr")
     wr = _item_totals(t, t.web_returns, "wr_item_sk", "wr_returned_date_sk", "wr_return_quantity", dates, "wr")
     j = sr.join(cr, c("sr_id") == c("cr_id")).join(wr, c("sr_id") == c("wr_id"))
-    tot = (c("sr") + c("cr") + c("wr")).cast("double")
+    tot = c("sr") + c("cr") + c("wr")
     out = j.select(c("sr_id").alias("item_id"), c("sr").cast("bigint").alias("sr_item_qty"),
-                   r4(c("sr") / tot / 3.0 * 100).alias("sr_dev"), c("cr").cast("bigint").alias("cr_item_qty"),
-                   r4(c("cr") / tot / 3.0 * 100).alias("cr_dev"), c("wr").cast("bigint").alias("wr_item_qty"),
-                   r4(c("wr") / tot / 3.0 * 100).alias("wr_dev"), r4(tot / 3.0).alias("average"))
+                   quotient4(c("sr") * 100, tot * 3).alias("sr_dev"), c("cr").cast("bigint").alias("cr_item_qty"),
+                   quotient4(c("cr") * 100, tot * 3).alias("cr_dev"), c("wr").cast("bigint").alias("wr_item_qty"),
+                   quotient4(c("wr") * 100, tot * 3).alias("wr_dev"), quotient4(tot, F.lit(3)).alias("average"))
     return topk(out, ["item_id", "sr_item_qty"])

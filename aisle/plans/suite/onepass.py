@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean, r4, safe_div
+from ...functions.scalars import avg4, quotient4
 from ...operators.joins import attach_scalar
 from ..registry import register
 from .common import Tables
@@ -31,11 +31,11 @@ def q09(spark, sf_dir, t1=2000, t2=2000, t3=5000, t4=5000, t5=3000, value_col="s
     aggs = []
     for i, (lo, hi) in enumerate(Q09_BANDS):
         inb = c("ss_quantity").between(lo, hi)
-        aggs += [F.count(F.when(inb, 1)).alias(f"n{i}"), mean(F.when(inb, c("ss_ext_discount_amt"))).alias(f"d{i}"),
-                 mean(F.when(inb, c(value_col))).alias(f"v{i}")]
+        aggs += [F.count(F.when(inb, 1)).alias(f"n{i}"), avg4(F.when(inb, c("ss_ext_discount_amt"))).alias(f"d{i}"),
+                 avg4(F.when(inb, c(value_col))).alias(f"v{i}")]
     one = ss.agg(*aggs)
     th = [t1, t2, t3, t4, t5]
-    one = one.select(*[r4(F.when(c(f"n{i}") > th[i], c(f"d{i}")).otherwise(c(f"v{i}"))).alias(f"bucket{i + 1}")
+    one = one.select(*[F.when(c(f"n{i}") > th[i], c(f"d{i}")).otherwise(c(f"v{i}")).alias(f"bucket{i + 1}")
                        for i in range(5)])
     return attach_scalar(t.reason.filter(c("r_reason_sk") == 1).select("r_reason_sk"), one).drop("r_reason_sk")
 
@@ -66,7 +66,7 @@ def q28(spark, sf_dir):
     for i in range(len(Q28_BUCKETS)):
         def of(name, i=i):
             return F.max(F.when(c("band") == i, c(name)))
-        aggs += [r4(of("s") / of("n")).alias(f"B{i + 1}_LP"), F.coalesce(of("n"), F.lit(0)).alias(f"B{i + 1}_CNT"),
+        aggs += [quotient4(of("s"), of("n")).alias(f"B{i + 1}_LP"), F.coalesce(of("n"), F.lit(0)).alias(f"B{i + 1}_CNT"),
                  F.coalesce(of("prices"), F.lit(0)).alias(f"B{i + 1}_CNTD")]
     return per_band.agg(*aggs).limit(100)
 
@@ -105,9 +105,8 @@ def q90(spark, sf_dir, am_hour=6, pm_hour=14, dep=8, chars_lo=5000, chars_hi=520
                c("ws_web_page_sk") == c("wp_web_page_sk")))
     one = j.agg(F.count(F.when(c("t_hour").between(am_hour, am_hour + 1), 1)).alias("amc"),
                 F.count(F.when(c("t_hour").between(pm_hour, pm_hour + 1), 1)).alias("pmc"))
-    d = "decimal(15,4)"
     # no afternoon sales: NULL ratio (the dialect would raise, DuckDB gives inf)
-    return one.select(r4(safe_div(c("amc").cast(d), c("pmc").cast(d))).alias("am_pm_ratio")).limit(100)
+    return one.select(quotient4("amc", "pmc").alias("am_pm_ratio")).limit(100)
 
 
 @register("q61")
@@ -126,6 +125,5 @@ def q61(spark, sf_dir, gmt=-5, category="Jewelry", year=2000, moy=11):
          .join(pr, c("ss_promo_sk") == c("p_promo_sk"), "left"))
     one = j.agg(F.sum(F.when(c("p_promo_sk").isNotNull(), c("ss_ext_sales_price"))).cast("decimal(38,2)").alias("promotions"),
                 F.sum("ss_ext_sales_price").cast("decimal(38,2)").alias("total"))
-    d = "decimal(15,4)"
     return one.select("promotions", "total",
-                      r4(c("promotions").cast(d) / c("total").cast(d) * 100).alias("promo_pct")).limit(100)
+                      quotient4(c("promotions") * 100, c("total")).alias("promo_pct")).limit(100)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean, r4
+from ...functions.scalars import avg4, mean, quotient4, r4
 from ...operators.joins import semi
 from ...operators.sorts import topk
 from ..registry import register
@@ -99,11 +99,11 @@ def q17(spark, sf_dir, quarter="2000Q1", quarters=("2000Q1", "2000Q2", "2000Q3")
     n2, a2, d2, v2 = _moments(c("n"), c("s2"), c("q2"), "sr")
     n3, a3, d3, v3 = _moments(c("n3"), c("s3"), c("q3"), "cs")
     out = g.select(*keys,
-                   n1.cast("bigint").alias("store_sales_quantitycount"), r4(a1).alias("store_sales_quantityave"),
+                   n1.cast("bigint").alias("store_sales_quantitycount"), quotient4(c("s1"), c("n")).alias("store_sales_quantityave"),
                    r4(d1).alias("store_sales_quantitystdev"), r4(v1).alias("store_sales_quantitycov"),
-                   n2.cast("bigint").alias("as_store_returns_quantitycount"), r4(a2).alias("as_store_returns_quantityave"),
+                   n2.cast("bigint").alias("as_store_returns_quantitycount"), quotient4(c("s2"), c("n")).alias("as_store_returns_quantityave"),
                    r4(d2).alias("as_store_returns_quantitystdev"), r4(v2).alias("store_returns_quantitycov"),
-                   n3.cast("bigint").alias("catalog_sales_quantitycount"), r4(a3).alias("catalog_sales_quantityave"),
+                   n3.cast("bigint").alias("catalog_sales_quantitycount"), quotient4(c("s3"), c("n3")).alias("catalog_sales_quantityave"),
                    r4(v3).alias("catalog_sales_quantitystdev"), r4(v3).alias("catalog_sales_quantitycov"))
     return topk(out, keys)
 
@@ -166,7 +166,7 @@ def _inv_pairs(t, year, moy, min_cov1):
     aggs = []
     for i, m in ((1, moy), (2, moy + 1)):
         v = F.when(c("d_moy") == m, q)
-        aggs += [F.stddev_samp(v).alias(f"sd{i}"), mean(v).alias(f"mean{i}"), F.count(v).alias(f"n{i}")]
+        aggs += [F.stddev_samp(v).alias(f"sd{i}"), mean(v).alias(f"mean{i}"), avg4(v).alias(f"shown{i}"), F.count(v).alias(f"n{i}")]
     g = j.groupBy("w_warehouse_sk", "i_item_sk").agg(*aggs)
     for i in (1, 2):
         cov = F.when(c(f"mean{i}") == 0, F.lit(None)).otherwise(c(f"sd{i}") / c(f"mean{i}"))
@@ -175,9 +175,9 @@ def _inv_pairs(t, year, moy, min_cov1):
     if min_cov1 is not None:
         g = g.filter(c("cov1") > min_cov1)
     out = g.select(c("w_warehouse_sk").alias("w_warehouse_sk1"), c("i_item_sk").alias("i_item_sk1"),
-                   F.lit(moy).alias("d_moy1"), r4("mean1").alias("mean1"), r4("cov1").alias("cov1"),
+                   F.lit(moy).alias("d_moy1"), c("shown1").alias("mean1"), r4("cov1").alias("cov1"),
                    c("w_warehouse_sk").alias("w_warehouse_sk2"), c("i_item_sk").alias("i_item_sk2"),
-                   F.lit(moy + 1).alias("d_moy2"), r4("mean2").alias("mean2"), r4("cov2").alias("cov2"))
+                   F.lit(moy + 1).alias("d_moy2"), c("shown2").alias("mean2"), r4("cov2").alias("cov2"))
     from ...operators.sorts import order
     return order(out, ["w_warehouse_sk1", "i_item_sk1", "d_moy1", "mean1", "cov1", "d_moy2", "mean2", "cov2"])
 
@@ -242,8 +242,8 @@ def q85(spark, sf_dir, year=1998, m1="M", e1="4 yr Degree", m2="D", e2="Primary"
         x = (c("ca_country") == "United States") & c("ca_state").isin(list(states)) & c("ws_net_profit").between(lo, hi)
         addr = x if addr is None else addr | x
     g = j.filter(demo & addr).groupBy("r_reason_desc").agg(
-        r4(mean("ws_quantity")).alias("avg_qty"), r4(mean("wr_refunded_cash")).alias("avg_cash"),
-        r4(mean("wr_fee")).alias("avg_fee"))
+        avg4("ws_quantity").alias("avg_qty"), avg4("wr_refunded_cash").alias("avg_cash"),
+        avg4("wr_fee").alias("avg_fee"))
     out = g.select(F.substring("r_reason_desc", 1, 20).alias("reason20"), "avg_qty", "avg_cash", "avg_fee")
     return topk(out, ["reason20", "avg_qty", "avg_cash", "avg_fee"])
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import r4
+from ...functions.scalars import quotient4
 from ...operators.aggs import rollup_cascade, rollup_levels
 from ...operators.sorts import asc, desc, topk
 from ...operators.windows import topk_per_group
@@ -38,7 +38,7 @@ def _avg_rollup(df, keys, values, first=None):
 
 
 def _avg_col(i, name):
-    return r4(c(f"_s{i}") / c(f"_n{i}")).alias(name)
+    return quotient4(c(f"_s{i}"), c(f"_n{i}")).alias(name)
 
 
 @register("q67")
@@ -95,8 +95,8 @@ def q22(spark, sf_dir, month_seq=1188):
     r = _avg_rollup(j, keys, ["inv_quantity_on_hand"],
                     (["inv_item_sk"], lambda pre: pre.join(names, c("inv_item_sk") == c("i_item_sk"))))
     # the rows are chosen by the exact average and then rounded
-    first = topk(r.select(*keys, (c("_s0").cast("double") / c("_n0")).alias("qoh")), ["qoh", *keys])
-    return first.withColumn("qoh", r4("qoh"))
+    first = topk(r.select(*keys, (c("_s0").cast("double") / c("_n0")).alias("qoh"), quotient4("_s0", "_n0").alias("qoh4")), ["qoh", *keys])
+    return first.withColumn("qoh", c("qoh4")).drop("qoh4")
 
 
 @register("q27")
@@ -137,10 +137,10 @@ def q36(spark, sf_dir, year=2000, states=("TN",) * 8):
          .join(t.store.filter(c("s_state").isin(list(states))).select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     pre = j.groupBy("i_category", "i_class").agg(F.sum("ss_net_profit").alias("p"), F.sum("ss_ext_sales_price").alias("s"))
     r = rollup_levels(pre, ["i_category", "i_class"], [F.sum("p").alias("p"), F.sum("s").alias("s")])
-    r = r.withColumn("gross_margin", c("p").cast("double") / c("s").cast("double"))
+    r = r.withColumn("gross_margin", c("p").cast("double") / c("s").cast("double")).withColumn("margin4", quotient4("p", "s"))
     r = _rank_in_parent(r, "i_category", "i_class", "gross_margin", True)  # on the exact ratio
-    out = r.select("gross_margin", "i_category", "i_class", "lochierarchy", "rank_within_parent")
-    return _parent_order(out, "i_category").withColumn("gross_margin", r4("gross_margin"))
+    out = r.select(c("margin4").alias("gross_margin"), "i_category", "i_class", "lochierarchy", "rank_within_parent")
+    return _parent_order(out, "i_category")
 
 
 @register("q70")

@@ -289,7 +289,7 @@ def _class_share(t, fact, p, categories, start, limit):
            .agg(F.sum(f"{p}_ext_sales_price").alias("rev"))
            .select("i_item_id", "i_item_desc", "i_category", "i_class", "i_current_price",
                    c("rev").cast("decimal(38,2)").alias("itemrevenue"),
-                   r4(share_of("rev", ["i_class"])).alias("revenueratio")))
+                   share_of("rev", ["i_class"]).alias("revenueratio")))
     keys = ["i_category", "i_class", "i_item_id", "i_item_desc", "revenueratio"]
     out = topk(agg, keys) if limit else order(agg, keys)
     return out.drop("i_item_id")

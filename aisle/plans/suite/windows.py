@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ...functions.scalars import mean, mean_over, money_sum, r4
+from ...functions.scalars import avg4_over, mean, mean_over, quotient4
 from ...operators.joins import attach_scalar
 from ...operators.sorts import asc, topk
 from ...operators.windows import global_rank_top, rank_in_groups
@@ -44,9 +44,10 @@ def _deviation(t, key, period, month_seq, classes1):
          .join(it, c("ss_item_sk") == c("i_item_sk"))
          .join(t.store.select("s_store_sk"), c("ss_store_sk") == c("s_store_sk")))
     g = j.groupBy(key, period).agg(F.sum("ss_sales_price").alias("s"))
-    g = g.withColumn("a", mean_over("s", Window.partitionBy(key)))
+    w = Window.partitionBy(key)
+    g = g.withColumn("a", mean_over("s", w)).withColumn("a4", avg4_over("s", w))
     return g.filter(F.when(c("a") > 0, F.abs(c("s").cast("double") - c("a")) / c("a")) > 0.1) \
-        .select(key, c("s").cast("decimal(38,2)").alias("sum_sales"), "a")
+        .select(key, c("s").cast("decimal(38,2)").alias("sum_sales"), "a", "a4")
 
 
 @register("q53")
@@ -54,7 +55,7 @@ def q53(spark, sf_dir, month_seq=1188):
     t = Tables(spark, sf_dir)
     # ordered by the exact average, rounded when the rows are chosen
     g = topk(_deviation(t, "i_manufact_id", "d_qoy", month_seq, SET1_CLASSES), ["a", "sum_sales", "i_manufact_id"])
-    return g.select("i_manufact_id", "sum_sales", r4("a").alias("avg_quarterly_sales"))
+    return g.select("i_manufact_id", "sum_sales", c("a4").alias("avg_quarterly_sales"))
 
 
 @register("q63")
@@ -64,7 +65,7 @@ def q63(spark, sf_dir, month_seq=1188, class_spelling="refernece"):
     t = Tables(spark, sf_dir)
     classes = ("personal", "portable", class_spelling, "self-help")
     g = topk(_deviation(t, "i_manager_id", "d_moy", month_seq, classes), ["i_manager_id", "a", "sum_sales"])
-    return g.select("i_manager_id", "sum_sales", r4("a").alias("avg_monthly_sales"))
+    return g.select("i_manager_id", "sum_sales", c("a4").alias("avg_monthly_sales"))
 
 
 @register("q89")
@@ -79,11 +80,12 @@ def q89(spark, sf_dir, year=2000, cats1=("Home", "Books", "Electronics"), classe
          .join(t.store.select("s_store_sk", "s_store_name", "s_company_name"), c("ss_store_sk") == c("s_store_sk")))
     keys = ["i_category", "i_class", "i_brand", "s_store_name", "s_company_name", "d_moy"]
     g = j.groupBy(*keys).agg(F.sum("ss_sales_price").alias("s"))
-    g = g.withColumn("a", mean_over("s", Window.partitionBy("i_category", "i_brand", "s_store_name", "s_company_name")))
+    w = Window.partitionBy("i_category", "i_brand", "s_store_name", "s_company_name")
+    g = g.withColumn("a", mean_over("s", w)).withColumn("a4", avg4_over("s", w))
     g = g.filter(F.when(c("a") != 0, F.abs(c("s").cast("double") - c("a")) / c("a")) > 0.1)
-    first = topk(g.select(*keys, c("s").cast("decimal(38,2)").alias("sum_sales"), "a"),
+    first = topk(g.select(*keys, c("s").cast("decimal(38,2)").alias("sum_sales"), "a", "a4"),
                  [asc(c("sum_sales").cast("double") - c("a")), "s_store_name"])
-    return first.select(*keys, "sum_sales", r4("a").alias("avg_monthly_sales"))
+    return first.select(*keys, "sum_sales", c("a4").alias("avg_monthly_sales"))
 
 
 def _neighbours(g, part, year, out_cols, order3):
@@ -97,17 +99,18 @@ def _neighbours(g, part, year, out_cols, order3):
     inner-join semantics."""
     w = Window.partitionBy(*part).orderBy("d_year", "d_moy")
     g = (g.withColumn("avg_monthly_sales", mean_over("s", Window.partitionBy(*part, "d_year")))
+         .withColumn("a4", avg4_over("s", Window.partitionBy(*part, "d_year")))
          .withColumn("psum", F.lag("s").over(w)).withColumn("nsum", F.lead("s").over(w))
          .withColumn("has_prev", F.lag(F.lit(1)).over(w)).withColumn("has_next", F.lead(F.lit(1)).over(w)))
     g = g.filter(c("has_prev").isNotNull() & c("has_next").isNotNull() & (c("d_year") == year)
                  & (c("avg_monthly_sales") > 0)
                  & (F.abs(c("s").cast("double") - c("avg_monthly_sales")) / c("avg_monthly_sales") > 0.1))
-    out = g.select(*out_cols, "avg_monthly_sales", *[c(x).cast("decimal(38,2)").alias(n) for x, n in
+    out = g.select(*out_cols, "avg_monthly_sales", "a4", *[c(x).cast("decimal(38,2)").alias(n) for x, n in
                                                      (("s", "sum_sales"), ("psum", "psum"), ("nsum", "nsum"))])
     # ordered by the exact difference, rounded when the rows are chosen
     first = topk(out, [asc(c("sum_sales").cast("double") - c("avg_monthly_sales")), order3,
                        *[x for x in out_cols if x != order3], "sum_sales", "psum", "nsum"])
-    return first.withColumn("avg_monthly_sales", r4("avg_monthly_sales"))
+    return first.withColumn("avg_monthly_sales", c("a4")).drop("a4")
 
 
 def _three_months(t, year):
@@ -192,17 +195,18 @@ def q49(spark, sf_dir, year=2000, moy=12, min_return_amt=1000, k=10):
     def ratio(part, whole):
         return F.sum(F.coalesce(c(part), F.lit(0))).cast(d) / F.sum(F.coalesce(c(whole), F.lit(0))).cast(d)
     g = (sold[0].unionByName(sold[1]).unionByName(sold[2]).groupBy("channel", "item")
-         .agg(ratio("r_qty", "qty").alias("return_ratio"), ratio("r_amt", "paid").alias("currency_ratio")))
-    both = g.select("channel", "item", "return_ratio", F.explode(F.array(
+         .agg(quotient4(F.sum(F.coalesce(c("r_qty"), F.lit(0))), F.sum(F.coalesce(c("qty"), F.lit(0)))).alias("shown"),
+              ratio("r_qty", "qty").alias("return_ratio"), ratio("r_amt", "paid").alias("currency_ratio")))
+    both = g.select("channel", "item", "shown", F.explode(F.array(
         F.struct(F.lit("return").alias("kind"), c("return_ratio").alias("value")),
         F.struct(F.lit("currency").alias("kind"), c("currency_ratio").alias("value")))).alias("x")).select(
-        "channel", "item", "return_ratio", "x.kind", "x.value")
+        "channel", "item", "shown", "x.kind", "x.value")
     ranked = rank_in_groups(both, ["channel", "kind"], "value", "rk")
     wide = ranked.groupBy("channel", "item").agg(
-        F.max("return_ratio").alias("return_ratio"), F.max(F.when(c("kind") == "return", c("rk"))).alias("return_rank"),
+        F.max("shown").alias("return_ratio"), F.max(F.when(c("kind") == "return", c("rk"))).alias("return_rank"),
         F.max(F.when(c("kind") == "currency", c("rk"))).alias("currency_rank"))
     kept = wide.filter((c("return_rank") <= k) | (c("currency_rank") <= k))
-    return topk(kept.select("channel", "item", r4("return_ratio").alias("return_ratio"), "return_rank", "currency_rank"),
+    return topk(kept.select("channel", "item", "return_ratio", "return_rank", "currency_rank"),
                 ["channel", "return_rank", "currency_rank"])
 
 

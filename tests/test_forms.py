@@ -8,7 +8,7 @@ import string
 
 import pytest
 
-from aisle.plans.registry import ORACLE_DIR, _sql_literal, defaults, load_all, nudge_round4
+from aisle.plans.registry import ORACLE_DIR, _sql_literal, defaults, load_all
 from aisle.sources.retail import TABLES, retail_tables
 from oracle_check import norm
 
@@ -17,7 +17,7 @@ def literal_sql(key):
     e = load_all()[key]
     with open(os.path.join(ORACLE_DIR, f"{key}.sql")) as f:
         body = string.Template(f.read()).substitute({k: _sql_literal(v) for k, v in defaults(e.fn).items()})
-    body = nudge_round4(body).replace("//", " div ")
+    body = body.replace("//", " div ")
     if body.lstrip().startswith(","):
         body = "WITH " + body.lstrip()[1:]
     return body
