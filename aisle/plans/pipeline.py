@@ -109,30 +109,78 @@ def _spoiled(table):
     return next((f.name for f in retail_schema(table) if f.nullable and f.dataType.typeName() != "string"), None)
 
 
+def _keys(table):
+    """Sum of the NOT NULL whole-number columns: spreads over the rows."""
+    whole = [f.name for f in retail_schema(table).fields if f.name in not_null(table) and f.dataType.typeName() in ("integer", "long")]
+    return " + ".join(whole or [_columns(table)[0]])
+
+
 def _rejects_sql(table):
-    first, col_name = _columns(table)[0], _spoiled(table)
-    bad = f"count(CASE WHEN {first} % 7 = 0 THEN {col_name} END)" if col_name else "CAST(0 AS BIGINT)"
+    col_name = _spoiled(table)
+    bad = f"count(CASE WHEN ({_keys(table)}) % 499 = 0 THEN {col_name} END)" if col_name else "CAST(0 AS BIGINT)"
     return f"SELECT '{table}' AS table_name, count(*) - {bad} AS good_rows, {bad} AS rejected_rows FROM {table}"
 
 
+def _spoil(df, table, hit):
+    """``df`` as text in which the rows of ``hit`` have a malformed value."""
+    col_name = _spoiled(table)
+    if not col_name:
+        return df
+    text = c(col_name).cast("string")
+    return df.withColumn(col_name, F.when(hit, F.concat(F.lit("x"), text)).otherwise(text))
+
+
+def _both_counts(table, good, rejected):
+    both = good.select(F.lit(1).alias("good"), F.lit(0).alias("bad")).unionByName(
+        rejected.select(F.lit(0).alias("good"), F.lit(1).alias("bad")))
+    return both.agg(F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("good_rows"),
+                    F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("rejected_rows")) \
+        .select(F.lit(table).alias("table_name"), "good_rows", "rejected_rows")
+
+
 @register("src_reject_limit", sql=_union_sql(map(_rejects_sql, TABLES)))
-def src_reject_limit(spark, sf_dir, max_pct=50.0):
-    """In each table the rows whose first key is a multiple of seven get a
-    malformed value in the staged text; they are quarantined, the rest load,
-    and the share stays under the (raised) limit."""
+def src_reject_limit(spark, sf_dir, max_pct=1.0):
+    """In each table one row of about 499 gets a malformed value in the staged
+    text; they are quarantined, the rest load, and the share stays under the
+    limit of 1 % in every input split."""
     t = retail_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
-        path, col_name, schema = _work(spark, sf_dir, f"bad/{n}"), _spoiled(n), retail_schema(n)
-        text = c(col_name).cast("string") if col_name else None
-        spoil = F.when(c(t[n].columns[0]) % 7 == 0, F.concat(F.lit("x"), text)).otherwise(text) if col_name else None
-        delimited.write_delimited(t[n].withColumn(col_name, spoil) if col_name else t[n], f"{path}/text")
-        good, rejected = delimited.ingest(delimited.read_raw(spark, f"{path}/text", schema), schema, f"{path}/typed", max_pct)
-        both = good.select(F.lit(1).alias("good"), F.lit(0).alias("bad")).unionByName(
-            rejected.select(F.lit(0).alias("good"), F.lit(1).alias("bad")))
-        parts.append(both.agg(F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("good_rows"),
-                              F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("rejected_rows"))
-                     .select(F.lit(n).alias("table_name"), "good_rows", "rejected_rows"))
+        path, schema = _work(spark, sf_dir, f"bad/{n}"), retail_schema(n)
+        delimited.write_delimited(_spoil(t[n], n, F.expr(f"({_keys(n)}) % 499 = 0")), f"{path}/text")
+        parts.append(_both_counts(n, *delimited.ingest(delimited.read_raw(spark, f"{path}/text", schema), schema, f"{path}/typed", max_pct)))
+    return _all(parts)
+
+
+def _split_rejects_sql(table):
+    bad = f"count(CASE WHEN ({_keys(table)}) % 150 = 0 AND {_spoiled(table)} IS NOT NULL THEN 1 END)"
+    return (f"SELECT '{table}' AS table_name, count(*) AS row_count, {bad} AS rejected_rows, 100 * {bad} <= count(*) AS table_within, "
+            f"{bad} > 0 AS load_failed FROM {table}")
+
+
+@register("src_reject_split", sql=_union_sql(map(_split_rejects_sql, FACTS)))
+def src_reject_split(spark, sf_dir, max_pct=1.0, min_rows=1):
+    """The limit holds in every input split: the malformed rows of a fact
+    (one of about 150) are staged in files of their own, so the table keeps
+    the limit as a whole and its load fails.  The counts are summed from those
+    of the splits that the failed load stored."""
+    t = retail_tables(spark, sf_dir)
+    parts = []
+    for n in FACTS:
+        path, schema = _work(spark, sf_dir, f"split/{n}"), retail_schema(n)
+        hit = F.expr(f"({_keys(n)}) % 150 = 0 AND {_spoiled(n)} IS NOT NULL")
+        delimited.write_delimited(t[n].filter(~hit), f"{path}/text/clean")
+        delimited.write_delimited(_spoil(t[n].filter(hit), n, F.lit(True)), f"{path}/text/spoiled")
+        raw = delimited.read_raw(spark, [f"{path}/text/clean", f"{path}/text/spoiled"], schema)
+        try:
+            delimited.ingest(raw, schema, f"{path}/typed", max_pct, min_rows)
+            failed = False
+        except delimited.RejectLimitExceeded:
+            failed = True
+        total = delimited.stored_splits(spark, f"{path}/typed").agg(
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("reject_count"), F.lit(0)).alias("rejected_rows"))
+        parts.append(total.select(F.lit(n).alias("table_name"), "row_count", "rejected_rows",
+                                  (100 * c("rejected_rows") <= max_pct * c("row_count")).alias("table_within"), F.lit(failed).alias("load_failed")))
     return _all(parts)
 
 

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from aisle.sources.delimited import RejectLimitExceeded, read_delimited, read_raw, split_rejects
+from aisle.sources.delimited import RejectLimitExceeded, ingest, read_delimited, read_raw, split_rejects, stored_splits
 
 SCHEMA = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("name", T.StringType(), True),
                        T.StructField("price", T.DecimalType(7, 2), True)])
@@ -40,3 +40,62 @@ def test_reject_limit(spark, tmpdir_path, n_bad, ok):
     else:
         with pytest.raises(RejectLimitExceeded):
             read_delimited(spark, tmpdir_path, SCHEMA, max_pct=1.0)
+
+
+def _lines(n, bad, start=0):
+    return [f"{start + i}|n{i}|{'oops' if i < bad else '1.00'}" for i in range(n)]
+
+
+@pytest.mark.parametrize("early", [False, True])
+def test_one_bad_split_fails_a_good_table(spark, tmpdir_path, early):
+    """0.06 % of the table, but 2 % of one file."""
+    for i in range(9):
+        _write(f"{tmpdir_path}/t/f{i}", _lines(2000, 0, 10000 * i))
+    _write(f"{tmpdir_path}/t/f9", _lines(600, 12, 10000 * 9))
+    raw = read_raw(spark, f"{tmpdir_path}/t/*", SCHEMA)
+    with pytest.raises(Exception, match="rejected") as raised:
+        ingest(raw, SCHEMA, f"{tmpdir_path}/out", early=early)
+    assert early or isinstance(raised.value, RejectLimitExceeded)
+    if not early:
+        splits = stored_splits(spark, f"{tmpdir_path}/out").collect()
+        assert sorted((r["row_count"], r["reject_count"]) for r in splits) == [(600, 12)] + [(2000, 0)] * 9
+        assert [r["reject_count"] for r in splits if "/f9/" in r["_file"]] == [12]
+    good, bad = ingest(raw, SCHEMA, f"{tmpdir_path}/out2", max_pct=2.0, early=early)
+    assert (good.count(), bad.count(), good.columns) == (18588, 12, SCHEMA.fieldNames())
+    assert {r["_reject"] for r in bad.collect()} == {"bad value in price"}
+
+
+def test_small_splits_count_with_the_table(spark, tmpdir_path):
+    """A file of 299 records is no sample; with 300 its share counts."""
+    _write(f"{tmpdir_path}/a/big", _lines(5000, 0))
+    _write(f"{tmpdir_path}/a/small", _lines(299, 20, 10000))
+    assert read_delimited(spark, f"{tmpdir_path}/a/*", SCHEMA).count() == 5279
+    _write(f"{tmpdir_path}/b/big", _lines(5000, 0))
+    _write(f"{tmpdir_path}/b/small", _lines(300, 20, 10000))
+    with pytest.raises(RejectLimitExceeded, match="small.*20 of 300"):
+        read_delimited(spark, f"{tmpdir_path}/b/*", SCHEMA)
+    with pytest.raises(RejectLimitExceeded, match="20 of 300"):
+        split_rejects(read_raw(spark, f"{tmpdir_path}/b/*", SCHEMA), SCHEMA)
+
+
+def test_splits_of_one_file(spark, tmpdir_path):
+    """The blocks of a large file are judged apart."""
+    _write(tmpdir_path, _lines(20000, 0) + _lines(1000, 100, 50000) + _lines(20000, 0, 60000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        raw = read_raw(spark, tmpdir_path, SCHEMA)
+        with pytest.raises(RejectLimitExceeded):
+            ingest(raw, SCHEMA, f"{tmpdir_path}-out")
+        splits = stored_splits(spark, f"{tmpdir_path}-out").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(splits) > 5 and sum(r["row_count"] for r in splits) == 41000
+    assert sum(r["reject_count"] for r in splits) == 100 and sum(r["reject_count"] > 0 for r in splits) <= 2
+
+
+def test_empty_text(spark, tmpdir_path):
+    os.makedirs(tmpdir_path, exist_ok=True)
+    open(os.path.join(tmpdir_path, "part-0.dat"), "w").close()
+    good, bad = ingest(read_raw(spark, tmpdir_path, SCHEMA), SCHEMA, f"{tmpdir_path}-out")
+    assert good.count() == bad.count() == 0
