@@ -31,7 +31,7 @@ from .bpe import LITTLE, byte_symbols, loose_space
 from .common import shuffle_partitions
 
 ROW_INDEX_STRIDE = 1000
-CACHE_BYTES = 128 << 20  # of a worker's stretches, with what Python holds beside them
+CACHE_BYTES = 320 << 20  # of a worker's stretches, with what Python holds beside them
 ENTRY_BYTES = 240        # what a kept stretch and its ids take at most, in CPython
 CACHE_CHARS = 48         # longer stretches are not kept
 SCHEMA = "part int, place long, local_start long, doc_id long, n_tokens long, ids array<int>"
