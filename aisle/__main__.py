@@ -33,6 +33,7 @@ def main(argv=None):
     s.add_argument("--text-dir", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--max-reject-pct", type=float, default=1.0)
+    s.add_argument("--stop-early", action="store_true", help="end the load as soon as an input split is above the limit")
     s.add_argument("--money", choices=["decimal", "double"], default="decimal")
     s = sub.add_parser("part")
     s.add_argument("--in", dest="inp", required=True)
@@ -74,7 +75,7 @@ def main(argv=None):
         for n in TABLES:
             schema = retail_schema(n, a.money)
             raw = delimited.read_raw(spark, f"{a.text_dir}/{n}", schema)
-            good, rejects[n] = delimited.ingest(raw, schema, f"{a.out}/_ingested/{n}", a.max_reject_pct)
+            good, rejects[n] = delimited.ingest(raw, schema, f"{a.out}/_ingested/{n}", a.max_reject_pct, early=a.stop_early)
             tables.load_table(good, f"{a.out}/{n}", tables.write_options())
             pairs[n] = (raw, spark.read.parquet(f"{a.out}/{n}"))
         jobs.reconcile(spark, pairs, rejects).show(len(TABLES), truncate=False)
