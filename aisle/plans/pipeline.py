@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sinks import jobs, tables
 from ..sources import delimited
-from ..sources.retail import FACTS, TABLES, _checkpoint_root, _fingerprint, retail_tables
+from ..sources.retail import FACTS, TABLES, _checkpoint_root, _fingerprint, derived_tables
 from ..sources.schemas import not_null, retail_schema
 from .registry import register
 
@@ -76,7 +76,7 @@ def _profile_sql(table, cols):
 def src_delimited(spark, sf_dir):
     """Stage all 24 tables as '|' text in latin-1, read them back typed
     (reject limit 1%), and profile what arrived."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
         path = _work(spark, sf_dir, f"text/{n}")
@@ -95,7 +95,7 @@ def _kept(table):
 def src_fill_missing(spark, sf_dir):
     """Short records are legal: text that ends with the last NOT NULL field
     reads with the full schema, the missing trailing fields as NULL."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
         path = _work(spark, sf_dir, f"short/{n}")
@@ -143,7 +143,7 @@ def src_reject_limit(spark, sf_dir, max_pct=1.0):
     """In each table one row of about 499 gets a malformed value in the staged
     text; they are quarantined, the rest load, and the share stays under the
     limit of 1 % in every input split."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
         path, schema = _work(spark, sf_dir, f"bad/{n}"), retail_schema(n)
@@ -164,7 +164,7 @@ def src_reject_split(spark, sf_dir, max_pct=1.0, min_rows=1):
     (one of about 150) are staged in files of their own, so the table keeps
     the limit as a whole and its load fails.  The counts are summed from those
     of the splits that the failed load stored."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in FACTS:
         path, schema = _work(spark, sf_dir, f"split/{n}"), retail_schema(n)
@@ -210,7 +210,7 @@ def sink_full_load(spark, sf_dir):
 
 
 def _full_load(spark, sf_dir):
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     root = _work(spark, sf_dir, "load")
     for n in TABLES:
         tables.load_table(t[n], f"{root}/{n}", tables.write_options())
@@ -233,7 +233,7 @@ def _range_sql(table):
 def sink_range_partition(spark, sf_dir, days=30):
     """The seven facts in range partitions of ``days`` on their date key plus
     the outlier partition; rows per partition read back from the folders."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in FACTS:
         path, key = _work(spark, sf_dir, f"part/{n}"), tables.PART_KEY[n]
@@ -250,7 +250,7 @@ def sink_range_partition(spark, sf_dir, days=30):
 def sink_by_partition(spark, sf_dir, days=90):
     """Partition-by-partition load of the seven facts: rows outside every
     range are not loaded, and counted in ``left_out``."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in FACTS:
         path, key = _work(spark, sf_dir, f"bypart/{n}"), tables.PART_KEY[n]
@@ -267,7 +267,7 @@ UNION ALL
 SELECT 'snappy', count(*), CAST(sum(ss_net_profit) AS DECIMAL(38,2)) FROM store_sales""")
 def sink_format(spark, sf_dir, row_group=8192):
     """Parquet with a small row group, uncompressed and snappy; read back."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for codec in ("none", "snappy"):
         path = _work(spark, sf_dir, f"format/{codec}")
@@ -291,7 +291,7 @@ MONEY_FACTS = [n for n in FACTS if _money(n)]
 def sink_money_type(spark, sf_dir):
     """The floating-point variant of the facts: every money column is stored
     as a double and keeps its cents (summed exactly, one row per column)."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for n in MONEY_FACTS:
         path = _work(spark, sf_dir, f"money/{n}")
@@ -312,7 +312,7 @@ def sink_money_type(spark, sf_dir):
 def sink_distribution(spark, sf_dir, n=16):
     """The seven facts hash-distributed by their declared keys (a sale and its
     return share them): rows, keys, and keys found in more than one part."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     parts = []
     for name in FACTS:
         keys = tables.DIST_KEY[name]
@@ -329,7 +329,7 @@ def sink_distribution(spark, sf_dir, n=16):
     for n in FACTS))
 def job_row_reconcile(spark, sf_dir):
     """Expected (source) against actual (stored) rows of the seven facts."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     root = _work(spark, sf_dir, "reconcile")
     pairs = {}
     for n in FACTS:
@@ -350,7 +350,7 @@ def job_table_stats(spark, sf_dir):
     """Column statistics of all 24 tables, one aggregation per table, through
     the shipped path (HyperLogLog estimates).  ``ndv_close``: the estimate
     lies between one and the number of values, with a tenth to spare."""
-    t = retail_tables(spark, sf_dir)
+    t = derived_tables(spark, sf_dir)
     values = c("row_count") - c("null_count")
     close = (c("ndv") >= F.least(values, F.lit(1))) & (c("ndv") <= values * 1.1 + 1)
     return _all([jobs.table_stats(t[n]).select(F.lit(n).alias("table_name"), "column_name", "row_count", "null_count",
