@@ -74,13 +74,13 @@ def _profile_sql(table, cols):
 
 @register("src_delimited", sql=_union_sql(_profile_sql(t, _columns(t)) for t in TABLES))
 def src_delimited(spark, sf_dir):
-    """Stage all 24 tables as '|' text in latin-1, read them back typed
-    (reject limit 1%), and profile what arrived."""
+    """Stage all 24 tables as '|' text in latin-1 (gzip files), read them back
+    typed (reject limit 1%), and profile what arrived."""
     t = derived_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
         path = _work(spark, sf_dir, f"text/{n}")
-        delimited.write_delimited(t[n], f"{path}/text")
+        delimited.write_delimited(t[n], f"{path}/text", compression="gzip")
         parts.append(_profile(n, delimited.read_delimited(spark, f"{path}/text", retail_schema(n), store=f"{path}/typed")))
     return _all(parts)
 

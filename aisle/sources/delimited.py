@@ -152,8 +152,9 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return ingest(read_raw(spark, path, schema, sep, encoding), schema, store, max_pct, min_rows, early)[0]
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
-    """Inverse of ``read_delimited`` (used to stage text inputs)."""
+def write_delimited(df: DataFrame, path: str, sep: str = "|", compression: str = "none") -> None:
+    """Inverse of ``read_delimited`` (used to stage text inputs).  A file with
+    a compression that cannot be cut (gzip) is one input split."""
     (df.write.mode("overwrite").option("sep", sep).option("nullValue", "").option("emptyValue", "")
      .option("quote", "\u0000").option("escape", "\u0000").option("encoding", "iso-8859-1")
-     .option("header", "false").csv(path))
+     .option("header", "false").option("compression", compression).csv(path))
