@@ -317,6 +317,9 @@ def sink_distribution(spark, sf_dir, n=16):
     for name in FACTS:
         keys = tables.DIST_KEY[name]
         placed = tables.distribute(t[name].select(*keys), keys, n).withColumn("part", F.spark_partition_id())
+        # a part has as many keys as the fact has rows for it: they are
+        # counted in slices of the parts, whose number grows with the input
+        placed = tables.distribute(placed, keys, tables.shuffle_partitions(spark))
         per_key = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"))
         parts.append(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"), F.count(F.lit(1)).alias("key_count"),
                                  F.count(F.when(c("lo") != c("hi"), 1)).alias("split_keys"))
