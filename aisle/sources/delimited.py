@@ -58,16 +58,19 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|
 
 def typed_with_reason(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns plus ``_reject`` (NULL when the record is good), and the
-    split where ``raw`` names it."""
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    split where ``raw`` names it.  Each value is converted once, in a step of
+    its own: the code of a wide table that converts it again for the reason is
+    too long for the JVM to compile."""
+    both = raw.select("*", *[F.col(f.name).try_cast(f.dataType).alias(f"_typed_{f.name}") for f in schema.fields])
+    typed = [F.col(f"_typed_{f.name}").alias(f.name) for f in schema.fields]
     reasons: list[Column] = [F.when(F.col("_over").isNotNull(), F.lit("too many fields"))]
     for f in schema.fields:
         raw_c = F.col(f.name)
-        bad = raw_c.isNotNull() & raw_c.try_cast(f.dataType).isNull()
+        bad = raw_c.isNotNull() & F.col(f"_typed_{f.name}").isNull()
         reasons.append(F.when(bad, F.lit(f"bad value in {f.name}")))
         if not f.nullable:
             reasons.append(F.when(raw_c.isNull(), F.lit(f"NULL in NOT NULL {f.name}")))
-    return raw.select(*typed, F.coalesce(*reasons).alias("_reject"), *[x for x in SPLIT if x in raw.columns])
+    return both.select(*typed, F.coalesce(*reasons).alias("_reject"), *[x for x in SPLIT if x in raw.columns])
 
 
 def split_rejects(raw: DataFrame, schema: T.StructType, max_pct: float = 1.0,

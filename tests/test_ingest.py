@@ -6,7 +6,10 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from aisle.sources.delimited import RejectLimitExceeded, ingest, read_delimited, read_raw, split_rejects, stored_splits
+from aisle.sources.delimited import (RejectLimitExceeded, ingest, read_delimited, read_raw, split_rejects, stored_splits,
+                                     typed_with_reason)
+from aisle.sources.retail import TABLES
+from aisle.sources.schemas import retail_schema
 
 SCHEMA = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("name", T.StringType(), True),
                        T.StructField("price", T.DecimalType(7, 2), True)])
@@ -99,3 +102,26 @@ def test_empty_text(spark, tmpdir_path):
     open(os.path.join(tmpdir_path, "part-0.dat"), "w").close()
     good, bad = ingest(read_raw(spark, tmpdir_path, SCHEMA), SCHEMA, f"{tmpdir_path}-out")
     assert good.count() == bad.count() == 0
+
+
+def test_code_of_wide_tables_is_compiled(spark, tmpdir_path):
+    """The JVM compiles no method above 8,000 bytes: it would interpret the
+    conversion of every row."""
+    _write(tmpdir_path, ["1|2"])
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for name in TABLES:
+        schema = retail_schema(name)
+        plan = typed_with_reason(read_raw(spark, tmpdir_path, schema), schema)._jdf.queryExecution().executedPlan()
+        parts = debug.codegenStringSeq(plan)
+        assert all(parts.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(parts.size())), name
+
+
+def test_reasons_of_whole_schemas(spark, tmpdir_path):
+    """Each kind of value is converted once, and the first reason is named."""
+    schema = T.StructType([T.StructField("k", T.LongType(), False), T.StructField("d", T.DateType(), True),
+                           T.StructField("s", T.StringType(), False), T.StructField("_typed", T.DecimalType(7, 2), True)])
+    _write(tmpdir_path, ["1|2000-01-02|a|1.5", "x|2000-99-02||y", "2|2000-99-02|b|1", "3||", "4||c|123456.00", "5||d|1|z"])
+    good, bad = split_rejects(read_raw(spark, tmpdir_path, schema), schema, check=False)
+    assert [str(v) for v in good.first()] == ["1", "2000-01-02", "a", "1.50"] and good.columns == schema.fieldNames()
+    assert sorted((r["k"] or 0, r["_reject"]) for r in bad.collect()) == [
+        (0, "bad value in k"), (2, "bad value in d"), (3, "NULL in NOT NULL s"), (4, "bad value in _typed"), (5, "too many fields")]
