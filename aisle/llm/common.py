@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +83,35 @@ def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if (root == before).all():
             break
     return root
+
+
+def cut_by_space(texts: list[str]) -> tuple[pa.Array, list[str], pa.Array]:
+    """The texts cut at each space: where each text's stretches begin, the
+    different stretches, and the place among these of each one."""
+    cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    found = cut.values.dictionary_encode()
+    n = len(found.dictionary)
+    if not n:
+        return cut.offsets, [], found.indices
+    # no stretch holds a space, so all of them pass as one string
+    together = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), found.dictionary), pa.scalar(" ", pa.large_string()))
+    return cut.offsets, together[0].as_py().split(" "), found.indices
+
+
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the cyclic garbage collector, which would go through the long
+    lists of strings of a slice again and again; they hold no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def join_taken(offsets: pa.Array, values: list[bytes], places: pa.Array) -> list[bytes]:
+    """For each row between two offsets, the ``values`` at its places, joined."""
+    taken = pc.take(pa.array(values, pa.large_binary()), places)
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, taken), pa.scalar(b"", pa.large_binary())).to_pylist()

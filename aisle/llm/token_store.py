@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import LITTLE, byte_symbols, loose_space
-from .common import shuffle_partitions
+from .common import cut_by_space, join_taken, no_collection, shuffle_partitions
 
 ROW_INDEX_STRIDE = 1000
 CACHE_BYTES = 320 << 20  # of a worker's stretches, with what Python holds beside them
 ENTRY_BYTES = 240        # what a kept stretch and its ids take at most, in CPython
 CACHE_CHARS = 48         # longer stretches are not kept
+SLICE = 512              # documents that are in Python at a time
+WORDS = 20_000           # words that the model takes in one row
 SCHEMA = "part int, place long, local_start long, doc_id long, n_tokens long, ids array<int>"
 
 
@@ -46,7 +48,9 @@ class LibraryEncoder:
     follows a space, or a line break with what follows it.  The new stretches
     of some documents go through the library together: words of letters, which
     are one piece each, straight to its model, the full stops and commas
-    behind them apart, and the others as they are."""
+    behind them apart, and the others as they are.  Arrow cuts the documents,
+    finds the different stretches and joins their ids again, so Python meets
+    each stretch once in a slice of documents."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -58,6 +62,10 @@ class LibraryEncoder:
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.symbols = dict(enumerate(byte_symbols()))
+        vocabulary = self.library.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
         self.line_break = self._library(["\n"])[0]
         self.known: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {}
@@ -72,7 +80,23 @@ class LibraryEncoder:
         if not together.isascii():
             words = together.encode().decode("latin-1").translate(self.symbols).split(self.symbols[32])
         space = self.symbols[32]
-        return _ids(self.model.encode_batch_fast([space + w for w in words], add_special_tokens=False)) if words else []
+        spaced = [space + w for w in words]
+        out: list[bytes] = []
+        for lo in range(0, len(spaced), WORDS):
+            out += self._pieces(spaced[lo:lo + WORDS])
+        return out
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces in the symbols of the vocabulary.  They come in one
+        row from the model, and the lengths of the tokens say where a piece ends."""
+        ids = np.array(self.model.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        reach = np.cumsum(self.lengths[ids])
+        want = np.cumsum([len(p) for p in pieces])
+        ends = np.searchsorted(reach, want)
+        if not len(ids) or ends[-1] >= len(ids) or (reach[ends] != want).any():  # a symbol that is no token was left out
+            return _ids(self.model.encode_batch_fast(pieces, add_special_tokens=False))
+        raw, cuts = ids.tobytes(), (4 * ends + 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def learn(self, stretches: set[str]) -> list[str]:
         """Make all of ``stretches`` known; returns those not to be kept."""
@@ -99,22 +123,22 @@ class LibraryEncoder:
     def _cut(self, text: str) -> bool:
         return not (loose_space(text) or "\n\n" in text or (self.added is not None and self.added.search(text)))
 
+    @no_collection()
     def encode(self, texts: list[str | None], end: bytes = b"") -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, and
         ``end`` behind them."""
         out: list[bytes] = [end] * len(texts)
-        # a line break in front of each text, taken off its ids again
-        plain = {i: f"\n{t}".replace("\n", " \n").split(" ")[1:] for i, t in enumerate(texts) if t and self._cut(t)}
-        whole = [i for i, t in enumerate(texts) if t and i not in plain]
+        plain = [i for i, t in enumerate(texts) if t and self._cut(t)]
+        rest = set(plain)
+        whole = [i for i, t in enumerate(texts) if t and i not in rest]
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids + end
-        stretches: set[str] = set()
-        for words in plain.values():
-            stretches.update(words)
-        long = self.learn(stretches)
-        ids_of, front = self.known.__getitem__, len(self.line_break)
-        for i, words in plain.items():
-            out[i] = b"".join([*map(ids_of, words), end])[front:]
+        # a line break in front of each text, taken off its ids again
+        offsets, stretches, places = cut_by_space([f"\n{texts[i]}".replace("\n", " \n")[1:] for i in plain])
+        long = self.learn(set(stretches))
+        front = len(self.line_break)
+        for i, ids in zip(plain, join_taken(offsets, [*map(self.known.__getitem__, stretches)], places)):
+            out[i] = ids[front:] + end
         for s in long:
             del self.known[s]
             self.held -= ENTRY_BYTES
@@ -146,15 +170,15 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, files:
         place = start = 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for lo in range(0, batch.num_rows, 256):  # a few documents at a time leave Python
-                rows = encoder.encode(texts.slice(lo, 256).to_pylist(), end)
+            for lo in range(0, batch.num_rows, SLICE):  # a few documents at a time leave Python
+                rows = encoder.encode(texts.slice(lo, SLICE).to_pylist(), end)
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(rows), part, np.int32)),
                     pa.array(place + np.arange(len(rows))),
                     pa.array(start + ends[:-1]),
-                    ids.slice(lo, 256), pa.array(n),
+                    ids.slice(lo, SLICE), pa.array(n),
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(rows), "<i4"))),
                 ], names=["part", "place", "local_start", "doc_id", "n_tokens", "ids"])
                 place += len(rows)

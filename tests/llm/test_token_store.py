@@ -85,3 +85,23 @@ def test_files_carry_the_index(spark, sf_dir, tmpdir_path):
     with contextlib.redirect_stdout(plan):
         one.explain("formatted")
     assert "EqualTo(doc_id,5)" in plan.getvalue()
+
+
+def test_words_in_one_row(library, monkeypatch):
+    """New words go through the model in one row and are told apart by the
+    lengths of their tokens; without these, one by one."""
+    encoder = token_store.LibraryEncoder(queries.BYTE_BPE)
+    words = ["the", "xyzzyq", "Größe", "中文", "a", "naïve" * 30, "zzzzzz"]
+    want = [np.array(library.encode(" " + w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    monkeypatch.setattr(token_store, "WORDS", 3)
+    assert encoder._words(words) == want
+    encoder.lengths[:] = 0
+    assert encoder._words(words) == want
+
+
+def test_each_stretch_once_a_slice():
+    offsets, stretches, places = token_store.cut_by_space(["a b a", "", "b  a\nc"])
+    assert offsets.to_pylist() == [0, 3, 4, 7]
+    assert stretches == ["a", "b", "", "a\nc"] and places.to_pylist() == [0, 1, 0, 2, 1, 2, 3]
+    assert token_store.join_taken(offsets, [s.encode() for s in stretches], places) == [b"aba", b"", b"ba\nc"]
+    assert token_store.cut_by_space([])[1] == []
