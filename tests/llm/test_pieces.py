@@ -78,3 +78,26 @@ def test_query(spark, sf_dir, library):
         ids = library.encode(texts[r["doc_id"]])
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_short_stretches_side_by_side():
+    v = pieces.Vocabulary(queries.PIECE_BPE)
+    rnd = random.Random(5)
+    texts = [rnd.choice(["", "▁"]) + "".join(rnd.choice("aeiouthnsrdlABZ01.,-éß日") for _ in range(rnd.randint(1, 14))) for _ in range(3000)]
+    texts += ["aaaaaaaaaaaa", "▁", "x\U000e0041", "hahahahaha"]
+    found = v.encode_short(texts)
+    for t in texts:
+        ids = v.encode_normal(t)
+        if t in found:
+            assert found[t] == np.array(ids, "<u4").tobytes(), t
+        else:  # a character that is no piece is written as bytes
+            assert any(i in v.of_byte for i in ids), t
+    assert len(found) > 2000
+
+
+def test_rows_decode_as_one_by_one(library):
+    v = pieces.Vocabulary(queries.PIECE_BPE)
+    rows = [[], library.encode("a b\nc"), [v.bytes[0xC3]], library.encode(" 😀 é"), [], [1, *library.encode("x y")], [v.bytes[0x41]]]
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    got = v.decode_rows(np.array([i for r in rows for i in r], np.int32), ends)
+    assert got == [v.decode(r) for r in rows] == [library.decode(r) for r in rows]
