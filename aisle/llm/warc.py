@@ -2,7 +2,8 @@
 
 Writing: of the rows with equal payloads the one with the smallest id is a
 ``response`` record, the others are ``revisit`` records without a payload
-that name it; payloads below ``min_bytes`` are all responses.  The text
+that name it; payloads below ``min_bytes`` are all responses.  Only payloads
+with copies are shuffled; a bitmap of their digests tells them.  The text
 writer joins records with the format's own terminator, so each task writes
 one archive and nothing passes the driver.
 
@@ -46,6 +47,9 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID_PREFIX = "urn:x-row:"
 LENGTH_FIELD = "WARC-X-Payload-Length"
 HEADER_END = b"\r\n\r\n"
+# Bits that tell the payloads with copies from the others; at more of them
+# than a tenth of this, more single payloads are shuffled with the copies.
+MARK_BITS = 1 << 26
 CONTENT_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
 
 
@@ -72,14 +76,32 @@ def classify(pages: DataFrame, row_id: str, payload: str, url: str, min_bytes: i
             .withColumn("digest", sha1_base32(F.col("payload"))))
     # a hot payload is summed up before the shuffle, and the join below can be
     # split by the adaptive planner, as its right side has one row per digest
-    first = (rows.where(F.col("payload_bytes") >= min_bytes).groupBy("digest")
-             .agg(F.min(F.struct(F.col("id").isNotNull(), F.col("id"))).alias("least"), F.count("*").alias("copies"))
-             .where("copies > 1").select("digest", "least"))
+    first = stored(rows.where(F.col("payload_bytes") >= min_bytes).groupBy("digest")
+                   .agg(F.min(F.struct(F.col("id").isNotNull(), F.col("id"))).alias("least"), F.count("*").alias("copies"))
+                   .where("copies > 1").select("digest", "least"), "copied")
+    named = ["id", "url", "payload", "payload_bytes", "digest"]
+    marked = _mark(rows, first, "digest")
+    alone = marked.where(~F.col("marked")).select(*named, F.lit("response").alias("record_type"),
+                                                  F.lit(None).cast("long").alias("refers_to"))
     again = F.col("least").isNotNull() & ~F.col("id").eqNullSafe(F.col("least.id"))
-    return rows.join(first, "digest", "left").select(
-        "id", "url", "payload", "payload_bytes", "digest",
-        F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, F.col("least.id")).alias("refers_to"))
+    return alone.union(marked.where("marked").join(first, "digest", "left").select(
+        *named, F.when(again, "revisit").otherwise("response").alias("record_type"),
+        F.when(again, F.col("least.id")).alias("refers_to")))
+
+
+def _mark(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Adds ``marked``: false only where ``keys`` does not hold the row's key.
+    The keys are hashed into bitmaps of at most ``MARK_BITS`` bits together,
+    which every task gets, so that rows with a key of their own are told
+    without a shuffle of what they carry."""
+    place = F.pmod(F.xxhash64(key), F.lit(MARK_BITS)) + 1
+    bitmaps = (keys.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit"))
+               .groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")))
+    byte = F.substring("_bitmap", F.shiftright("_bit", 3).cast("int") + 1, F.lit(1))
+    held = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.col("_bit") % 8) == 1
+    return (rows.withColumns({"_bucket": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)})
+            .join(F.broadcast(bitmaps), "_bucket", "left").withColumn("marked", F.coalesce(held, F.lit(False)))
+            .drop("_bucket", "_bit", "_bitmap"))
 
 
 def _safe_url(url: Column) -> Column:

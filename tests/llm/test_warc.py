@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from aisle.llm import queries, warc
+from aisle.plans.runs import plan_nodes, run_in_place
 
 INNER = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
 
@@ -81,3 +82,36 @@ def test_query_matches_sql(spark, sf_dir):
     con.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
     want = sorted(con.sql(queries.ORACLE_SQL["op2_warc"]).fetchall())
     assert sorted(tuple(r) for r in queries.op2_warc(spark, sf_dir).collect()) == want
+
+
+def copied_pages(spark):
+    """100 pages, of which ten have one text and the others texts of their own."""
+    return spark.createDataFrame([(i, "u", "same" if i % 10 == 3 else f"text {i}") for i in range(100)],
+                                 "page_id long, url string, html string").repartition(4)
+
+
+def walk(nodes):
+    return [found for name, plan, inputs in nodes for found in [(name, plan), *(below for i in inputs for below in walk(i))]]
+
+
+def test_single_payloads_are_not_shuffled(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = warc.classify(warc.stored(copied_pages(spark), "pages"), "page_id", "html", "url")
+        run_in_place(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    shuffled = [plan.metrics().apply("shuffleRecordsWritten").value()
+                for name, plan in walk(plan_nodes(rows._jdf.queryExecution().executedPlan()))
+                if name == "Exchange" and "payload#" in plan.output().toString()]
+    assert shuffled == [10]
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 8, 1])
+def test_single_payloads_marked_by_chance(spark, monkeypatch, bits):
+    monkeypatch.setattr(warc, "MARK_BITS", bits)
+    got = {r["id"]: (r["record_type"], r["refers_to"], bytes(r["payload"]).decode())
+           for r in warc.classify(copied_pages(spark), "page_id", "html", "url").collect()}
+    assert got == {i: ("revisit" if i % 10 == 3 and i > 3 else "response", 3 if i % 10 == 3 and i > 3 else None,
+                       "same" if i % 10 == 3 else f"text {i}") for i in range(100)}
