@@ -25,7 +25,7 @@ def _run(spark, sf_dir, module):
     return throughput.run_throughput(spark, sf_dir, streams=1, templates=[96, 7]).collect()
 
 
-@pytest.mark.parametrize("module", [runs])
+@pytest.mark.parametrize("module", [runs, throughput])
 def test_a_run_broadcasts_by_measured_size_and_releases_each_statement(spark, monkeypatch, module):
     given = spark.conf.get(BROADCAST)
     seen = _watched(spark, monkeypatch, module)
