@@ -12,6 +12,7 @@ from what it wrote, so the check covers the round trip.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,19 @@ def _counts(spark, dfs):
                  for n, df in dfs.items()])
 
 
+TEXT_CODEC = "snappy"  # costs next to no time; a file is one input split
+
+
+@contextmanager
+def _staged(spark, path):
+    """Text staged under ``path`` inside: it goes when its load has ended, so
+    that the disk holds the text of one table, not of all."""
+    try:
+        yield
+    finally:
+        delimited.remove_text(spark, path)
+
+
 def _profile(table, df):
     """One row for a table: rows, values that are not NULL, and characters of
     all values as text, so a lost, moved or recoded value shows."""
@@ -74,14 +88,15 @@ def _profile_sql(table, cols):
 
 @register("src_delimited", sql=_union_sql(_profile_sql(t, _columns(t)) for t in TABLES))
 def src_delimited(spark, sf_dir):
-    """Stage all 24 tables as '|' text in latin-1 (gzip files), read them back
-    typed (reject limit 1%), and profile what arrived."""
+    """Stage all 24 tables as '|' text in latin-1, read them back typed (reject
+    limit 1%), and profile what arrived."""
     t = derived_tables(spark, sf_dir)
     parts = []
     for n in TABLES:
         path = _work(spark, sf_dir, f"text/{n}")
-        delimited.write_delimited(t[n], f"{path}/text", compression="gzip")
-        parts.append(_profile(n, delimited.read_delimited(spark, f"{path}/text", retail_schema(n), store=f"{path}/typed")))
+        with _staged(spark, f"{path}/text"):
+            delimited.write_delimited(t[n], f"{path}/text", compression=TEXT_CODEC)
+            parts.append(_profile(n, delimited.read_delimited(spark, f"{path}/text", retail_schema(n), store=f"{path}/typed")))
     return _all(parts)
 
 

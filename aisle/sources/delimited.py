@@ -127,17 +127,18 @@ def stop_early(typed: DataFrame, max_pct: float, min_rows: int = MIN_ROWS) -> Da
 def ingest(raw: DataFrame, schema: T.StructType, path: str, max_pct: float = 1.0, min_rows: int = MIN_ROWS,
            early: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good, rejected), read back from ``path``.  The text is parsed once:
-    one job writes both kinds side by side, and the counts for the limit come
+    one job writes both kinds, told apart by ``_reject``, in the order they come
+    (folders for each would cost a sort), and the counts for the limit come
     from what was written (``stored_splits`` shows them, also after a load
     that failed)."""
     typed = typed_with_reason(raw, schema)
-    stored = T.StructType([T.StructField(f.name, f.dataType) for f in typed.schema.fields]).add("_bad", T.BooleanType())
+    stored = T.StructType([T.StructField(f.name, f.dataType) for f in typed.schema.fields])
     if early:
         typed = stop_early(typed, max_pct, min_rows)
-    typed.withColumn("_bad", F.col("_reject").isNotNull()).write.mode("overwrite").partitionBy("_bad").parquet(path)
+    typed.write.mode("overwrite").parquet(path)
     back = raw.sparkSession.read.schema(stored).parquet(path)
     check_limit(stored_splits(raw.sparkSession, path), max_pct, min_rows)
-    return back.filter(~F.col("_bad")).drop("_bad", "_reject", *SPLIT), back.filter("_bad").drop("_bad")
+    return back.filter(F.col("_reject").isNull()).drop("_reject", *SPLIT), back.filter(F.col("_reject").isNotNull())
 
 
 def stored_splits(spark: SparkSession, path: str) -> DataFrame:
@@ -161,3 +162,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|", compression: str =
     (df.write.mode("overwrite").option("sep", sep).option("nullValue", "").option("emptyValue", "")
      .option("quote", "\u0000").option("escape", "\u0000").option("encoding", "iso-8859-1")
      .option("header", "false").option("compression", compression).csv(path))
+
+
+def remove_text(spark: SparkSession, path: str) -> None:
+    """Staged text that has been loaded, through Spark's own file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

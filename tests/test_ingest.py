@@ -4,6 +4,7 @@ fields, latin-1 bytes, NOT NULL keys and the reject limit."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aisle.sources.delimited import (RejectLimitExceeded, ingest, read_delimited, read_raw, split_rejects, stored_splits,
@@ -125,3 +126,39 @@ def test_reasons_of_whole_schemas(spark, tmpdir_path):
     assert [str(v) for v in good.first()] == ["1", "2000-01-02", "a", "1.50"] and good.columns == schema.fieldNames()
     assert sorted((r["k"] or 0, r["_reject"]) for r in bad.collect()) == [
         (0, "bad value in k"), (2, "bad value in d"), (3, "NULL in NOT NULL s"), (4, "bad value in _typed"), (5, "too many fields")]
+
+
+def test_a_load_sorts_nothing_and_tells_rejects_by_their_reason(spark, tmpdir_path):
+    """Folders for good and bad records would make each task sort its rows."""
+    _write(f"{tmpdir_path}/t", _lines(2000, 7))
+    good, bad = ingest(read_raw(spark, f"{tmpdir_path}/t", SCHEMA), SCHEMA, f"{tmpdir_path}/out")
+    assert not [f for f in os.listdir(f"{tmpdir_path}/out") if os.path.isdir(f"{tmpdir_path}/out/{f}")]
+    assert (good.count(), bad.count()) == (1993, 7)
+    assert good.columns == SCHEMA.fieldNames() and bad.columns == [*SCHEMA.fieldNames(), "_reject", "_file", "_block"]
+
+
+@pytest.mark.parametrize("job", ["src_delimited"])
+def test_staged_text_goes_when_its_load_has_ended(spark, tmpdir_path, monkeypatch, job):
+    """The disk holds the staged text of one table at a time, compressed."""
+    from aisle.plans import pipeline
+    name = "store_returns"
+    table = spark.range(3000).select(*[(F.col("id") if f.dataType.typeName() in ("integer", "long") else F.lit(1)).cast(f.dataType).alias(f.name)
+                                       for f in retail_schema(name).fields])
+    monkeypatch.setattr(pipeline, "derived_tables", lambda *a: {name: table})
+    monkeypatch.setattr(pipeline, "TABLES", [name])
+    monkeypatch.setattr(pipeline, "FACTS", [name])
+    monkeypatch.setattr(pipeline, "_work", lambda s, d, n: f"{tmpdir_path}/{n}")
+    staged = []
+    real = pipeline.delimited.ingest
+
+    def ingest_of(*a, **k):
+        staged.extend(f for _, _, names in os.walk(tmpdir_path) for f in names if f.startswith("part-") and "parquet" not in f)
+        return real(*a, **k)
+    monkeypatch.setattr(pipeline.delimited, "ingest", ingest_of)
+    row = getattr(pipeline, job)(spark, "").first()
+    assert staged and all(f.endswith(".snappy") for f in staged)
+    left = [f for _, _, names in os.walk(tmpdir_path) for f in names if f.startswith("part-")]
+    assert left and all(f.endswith(".parquet") for f in left)
+    hits = [i for i in range(3000) if 2 * i % 499 == 0]
+    assert {"src_delimited": ("row_count", 3000), "src_reject_limit": ("rejected_rows", len(hits)), "src_reject_split": ("load_failed", True)}[job] \
+        in row.asDict().items()
