@@ -184,14 +184,15 @@ def src_reject_split(spark, sf_dir, max_pct=1.0, min_rows=1):
     for n in FACTS:
         path, schema = _work(spark, sf_dir, f"split/{n}"), retail_schema(n)
         hit = F.expr(f"({_keys(n)}) % 150 = 0 AND {_spoiled(n)} IS NOT NULL")
-        delimited.write_delimited(t[n].filter(~hit), f"{path}/text/clean")
-        delimited.write_delimited(_spoil(t[n].filter(hit), n, F.lit(True)), f"{path}/text/spoiled")
-        raw = delimited.read_raw(spark, [f"{path}/text/clean", f"{path}/text/spoiled"], schema)
-        try:
-            delimited.ingest(raw, schema, f"{path}/typed", max_pct, min_rows)
-            failed = False
-        except delimited.RejectLimitExceeded:
-            failed = True
+        with _staged(spark, f"{path}/text"):
+            delimited.write_delimited(t[n].filter(~hit), f"{path}/text/clean", compression=TEXT_CODEC)
+            delimited.write_delimited(_spoil(t[n].filter(hit), n, F.lit(True)), f"{path}/text/spoiled", compression=TEXT_CODEC)
+            raw = delimited.read_raw(spark, [f"{path}/text/clean", f"{path}/text/spoiled"], schema)
+            try:
+                delimited.ingest(raw, schema, f"{path}/typed", max_pct, min_rows)
+                failed = False
+            except delimited.RejectLimitExceeded:
+                failed = True
         total = delimited.stored_splits(spark, f"{path}/typed").agg(
             F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("reject_count"), F.lit(0)).alias("rejected_rows"))
         parts.append(total.select(F.lit(n).alias("table_name"), "row_count", "rejected_rows",
