@@ -162,8 +162,9 @@ def src_reject_limit(spark, sf_dir, max_pct=1.0):
     parts = []
     for n in TABLES:
         path, schema = _work(spark, sf_dir, f"bad/{n}"), retail_schema(n)
-        delimited.write_delimited(_spoil(t[n], n, F.expr(f"({_keys(n)}) % 499 = 0")), f"{path}/text")
-        parts.append(_both_counts(n, *delimited.ingest(delimited.read_raw(spark, f"{path}/text", schema), schema, f"{path}/typed", max_pct)))
+        with _staged(spark, f"{path}/text"):
+            delimited.write_delimited(_spoil(t[n], n, F.expr(f"({_keys(n)}) % 499 = 0")), f"{path}/text", compression=TEXT_CODEC)
+            parts.append(_both_counts(n, *delimited.ingest(delimited.read_raw(spark, f"{path}/text", schema), schema, f"{path}/typed", max_pct)))
     return _all(parts)
 
 

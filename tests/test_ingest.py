@@ -137,7 +137,7 @@ def test_a_load_sorts_nothing_and_tells_rejects_by_their_reason(spark, tmpdir_pa
     assert good.columns == SCHEMA.fieldNames() and bad.columns == [*SCHEMA.fieldNames(), "_reject", "_file", "_block"]
 
 
-@pytest.mark.parametrize("job", ["src_delimited", "src_reject_split"])
+@pytest.mark.parametrize("job", ["src_delimited", "src_reject_limit", "src_reject_split"])
 def test_staged_text_goes_when_its_load_has_ended(spark, tmpdir_path, monkeypatch, job):
     """The disk holds the staged text of one table at a time, compressed."""
     from aisle.plans import pipeline
